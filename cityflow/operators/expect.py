@@ -43,9 +43,9 @@ def values_match(actual: Column, expected: Column, kind: str) -> Column:
 
     A geometry is compared with the binary form of the expected one (`canonical_wkb`).
     """
-    if kind == "timestamp":
-        instant = expected.cast("timestamp")
-        return F.abs(F.unix_micros(actual) - F.unix_micros(instant)) <= int(TIME_TOLERANCE_S * 1e6)
+    if kind in ("timestamp", "timestamp_ntz"):
+        held, wanted = actual.cast("timestamp"), expected.cast("timestamp")
+        return F.abs(F.unix_micros(held) - F.unix_micros(wanted)) <= int(TIME_TOLERANCE_S * 1e6)
     if kind in ("double", "float"):
         wanted = expected.cast("double")
         margin = F.greatest(

@@ -31,8 +31,10 @@ USER_TABLE = "city.devices_user"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; their times have no zone and are taken as UTC."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    zoneless = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "timestamp_ntz"]
+    return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else rows
 
 
 def arrival(event_id: Column) -> Column:
