@@ -19,102 +19,103 @@ from cityflow.functions.text import number_text
 
 SRID = 4326
 
-# Geometry kinds, in lower case, their text name and their binary type code.
+# Geometry kinds, in lower case: text name, binary type code, and nesting letter.
 KINDS = {
-    "point": ("POINT", 1),
-    "linestring": ("LINESTRING", 2),
-    "polygon": ("POLYGON", 3),
-    "multipoint": ("MULTIPOINT", 4),
-    "multilinestring": ("MULTILINESTRING", 5),
-    "multipolygon": ("MULTIPOLYGON", 6),
+    "point": ("POINT", 1, "p"),
+    "linestring": ("LINESTRING", 2, "l"),
+    "polygon": ("POLYGON", 3, "r"),
+    "multipoint": ("MULTIPOINT", 4, "l"),
+    "multilinestring": ("MULTILINESTRING", 5, "r"),
+    "multipolygon": ("MULTIPOLYGON", 6, "m"),
 }
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def _coordinate(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+def _coordinate_text(text: Column) -> Column:
+    return number_text(F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double")))
 
 
-def _lat_lon_pair(text: Column) -> Column:
-    parts = F.split(text, ",", -1)
-    lat, lon = _coordinate(F.get(parts, 0)), _coordinate(F.get(parts, 1))
-    return F.concat(number_text(lon), F.lit(" "), number_text(lat))
+def _lon_lat(text: Column) -> Column:
+    """`"lat,lon"` as `lon lat`, NULL when either is no number."""
+    parts = F.transform(F.reverse(F.slice(F.split(text, ",", -1), 1, 2)), _coordinate_text)
+    whole = (F.size(parts) == 2) & ~F.exists(parts, lambda p: p.isNull())
+    return F.when(whole, F.array_join(parts, " "))
 
 
-def wkt_from_point(text: Column) -> Column:
-    """`"lat,lon"` as `POINT (lon lat)`; NULL when either part is no number."""
-    return F.concat(F.lit("POINT ("), _lat_lon_pair(text), F.lit(")"))
+def wkt_from_lat_lon(text: Column, is_polygon: Column) -> Column:
+    """Point of a `"lat,lon"` text, or polygon of one ring of a JSON array of such texts.
 
+    The axes are swapped. A ring is not closed for the caller. NULL when any part is no number.
+    """
+    corners = F.when(is_polygon, F.from_json(text, "array<string>")).otherwise(F.array(text))
+    pairs = F.transform(corners, _lon_lat)
+    whole = (F.size(corners) > 0) & ~F.exists(pairs, lambda p: p.isNull())
+    opening = F.when(is_polygon, "POLYGON ((").otherwise("POINT (")
+    closing = F.when(is_polygon, "))").otherwise(")")
+    return F.when(whole, F.concat(opening, F.array_join(pairs, ", "), closing))
 
-def wkt_from_polygon(json_text: Column) -> Column:
-    """JSON array of `"lat,lon"` as a polygon of one ring; the ring is not closed for the caller."""
-    corners = F.from_json(json_text, "array<string>")
-    pairs = F.transform(corners, _lat_lon_pair)
-    ring = F.concat(F.lit("POLYGON (("), F.array_join(pairs, ", "), F.lit("))"))
-    return F.when((F.size(corners) > 0) & ~F.exists(pairs, lambda p: p.isNull()), ring)
-
-
-def _position_ok(p: Column) -> Column:
-    return (F.size(p) >= 2) & ~F.exists(F.slice(p, 1, 3), lambda x: x.isNull())
-
-
-def _position(p: Column) -> Column:
-    return F.array_join(F.transform(F.slice(p, 1, 3), number_text), " ")
-
-
-def _nested(depth: int):
-    """(validity, text) builders for coordinate arrays `depth` levels above a position."""
-    if depth == 0:
-        return _position_ok, _position
-    inner_ok, inner_text = _nested(depth - 1)
-
-    def ok(values: Column) -> Column:
-        return (F.size(values) > 0) & F.forall(values, inner_ok)
-
-    def text(values: Column) -> Column:
-        if depth == 1:
-            return F.array_join(F.transform(values, inner_text), ", ")
-        parts = F.transform(values, lambda v: F.concat(F.lit("("), inner_text(v), F.lit(")")))
-        return F.array_join(parts, ", ")
 
-    return ok, text
+# A number as JSON writers print it, and a position: two or more of them.
+_N = r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"
+_POSITION_2 = rf"\[({_N}),({_N})(?:,{_N})*\]"
+_POSITION_3 = rf"\[({_N}),({_N}),({_N})(?:,{_N})*\]"
 
 
-def _shape(name: str, coordinates: Column, depth: int) -> Column:
-    nested_type = "array<" * (depth + 1) + "double" + ">" * (depth + 1)
-    values = F.from_json(coordinates, nested_type)
-    ok, text = _nested(depth)
-    first = values
-    for _ in range(depth):
-        first = F.get(first, 0)
-    axis = F.when(F.size(first) >= 3, F.lit(" Z (")).otherwise(F.lit(" ("))
-    return F.when(F.coalesce(ok(values), F.lit(False)), F.concat(F.lit(name), axis, text(values), F.lit(")")))
+def _plain_numbers(coordinates: Column) -> Column:
+    """Numbers the shortest way: no `.0`, no exponent down to a millionth, and `e` below that."""
+    text = F.regexp_replace(coordinates, r"(?<=\d)\.0(?=[E,\]])", "")
+    for zeros in (4, 5, 6):
+        text = F.regexp_replace(text, rf"(\d)(?:\.(\d+))?E-{zeros}(?!\d)", "0." + "0" * (zeros - 1) + "$1$2")
+    return F.regexp_replace(F.replace(text, F.lit("E-"), F.lit("e-")), r"E(?=\d)", "e+")
 
 
 def wkt_from_geojson(json_text: Column) -> Column:
     """GeoJSON geometry as well-known text, NULL when it is none of the six kinds or is malformed.
 
-    A Feature stands for its geometry and a FeatureCollection of one feature for that feature's.
+    A Feature stands for its geometry and a FeatureCollection of one feature for that feature's. The
+    nesting is checked by folding positions into `p`, lists of those into `l`, lists of those into `r`,
+    and lists of those into `m`: a kind is well formed when its coordinates fold to its letter.
     """
-    outer = "struct<type:string,coordinates:string,geometry:string,features:array<string>>"
-    lone = F.from_json(json_text, outer)
-    of_collection = F.when(
-        (F.lower(lone["type"]) == "featurecollection") & (F.size(lone["features"]) == 1), F.get(lone["features"], 0)
+    collected = F.get_json_object(json_text, "$.features")
+    lone = F.when(F.get_json_object(json_text, "$.features[1]").isNull(), F.get_json_object(collected, "$[0].geometry"))
+    geometry = F.coalesce(F.get_json_object(json_text, "$.geometry"), lone, json_text)
+    folded = F.transform(
+        F.array(F.from_json(geometry, "type STRING, coordinates STRING")),
+        lambda g: F.struct(F.lower(g["type"]).alias("kind"), _plain_numbers(g["coordinates"]).alias("text")),
     )
-    of_feature = F.when(F.lower(lone["type"]) == "feature", json_text)
-    feature = F.coalesce(of_feature, of_collection)
-    geometry = F.coalesce(F.get_json_object(feature, "$.geometry"), json_text)
-    parsed = F.from_json(geometry, "struct<type:string,coordinates:string>")
-    kind, coordinates = F.lower(parsed["type"]), parsed["coordinates"]
-    return (
-        F.when(kind == "point", _shape("POINT", coordinates, 0))
-        .when(kind == "linestring", _shape("LINESTRING", coordinates, 1))
-        .when(kind == "multipoint", _shape("MULTIPOINT", coordinates, 1))
-        .when(kind == "polygon", _shape("POLYGON", coordinates, 2))
-        .when(kind == "multilinestring", _shape("MULTILINESTRING", coordinates, 2))
-        .when(kind == "multipolygon", _shape("MULTIPOLYGON", coordinates, 3))
+    shaped = F.transform(
+        folded,
+        lambda g: F.struct(
+            g["kind"].alias("kind"),
+            g["text"].alias("text"),
+            g["text"].rlike(rf"^\[*{_N},{_N},{_N}").alias("raised"),
+            F.regexp_replace(
+                F.regexp_replace(
+                    F.regexp_replace(F.regexp_replace(g["text"], _POSITION_2, "p"), r"\[p(,p)*\]", "l"),
+                    r"\[l(,l)*\]",
+                    "r",
+                ),
+                r"\[r(,r)*\]",
+                "m",
+            ).alias("fold"),
+        ),
+    )
+    return F.get(F.transform(shaped, _assembled), 0)
+
+
+def _assembled(g: Column) -> Column:
+    names, letters = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, (name, _, letter) in KINDS.items():
+        names = F.when(g["kind"] == kind, name).otherwise(names)
+        letters = F.when(g["kind"] == kind, letter).otherwise(letters)
+    positions = F.when(g["raised"], F.regexp_replace(g["text"], _POSITION_3, "$1 $2 $3")).otherwise(
+        F.regexp_replace(g["text"], _POSITION_2, "$1 $2")
     )
+    body = F.translate(F.replace(positions, F.lit(","), F.lit(", ")), "[]", "()")
+    body = F.when(g["kind"] == "point", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
+    axis = F.when(g["raised"], " Z ").otherwise(" ")
+    return F.when(g["fold"] == letters, F.concat(names, axis, body))
 
 
 _WKT = re.compile(r"^\s*([A-Za-z]+)\s*(Z)?\s*(\(.*\))\s*$", re.S)

@@ -9,10 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cityflow.functions.binding import bind
 from cityflow.functions.geometry import geometry_struct, wkb_from_wkt
 from cityflow.functions.text import number_text
 from cityflow.functions.times import iso_timestamp
-from cityflow.operators.decode import accepted, rejected, rejection
+from cityflow.operators.decode import accepted, declared_json, json_kind, rejected, rejection, wkt_of
 
 CATALOGUE_SCHEMA = "target STRING, column STRING, type STRING, nullable BOOLEAN, pk BOOLEAN"
 
@@ -136,8 +137,10 @@ def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
     no_table = F.array(
         violation(F.lit(""), "TABLE_MISSING", F.concat(F.lit('ERROR: relation "'), "target", F.lit('" does not exist')))
     )
-    checked = joined.withColumn("_present", has_value).withColumn(
-        "violations", F.when(F.col("_columns").isNull(), no_table).otherwise(F.concat(values, missing))
+    checked = bind(
+        joined.withColumn("_present", has_value),
+        "violations",
+        F.when(F.col("_columns").isNull(), no_table).otherwise(F.concat(values, missing)),
     )
     first = F.get("violations", 0)
     prior = F.col("reject") if "reject" in entities.columns else F.lit(None)
@@ -236,34 +239,75 @@ def _verdict(a: Column, c: Column) -> Column:
 def to_wide(entities: DataFrame, table: Contract, keep: Sequence[str] = ()) -> DataFrame:
     """Rows in the columns of one table, plus `present` (names of the attributes the row carries) and `keep`.
 
-    Entities without attributes give a row too. An attribute named like a base column takes its place.
-    A value its column cannot hold becomes NULL here; `enforce_contract` is what reports it.
+    Only the attributes the table has are parsed, each once, by the expression its column type asks
+    for. Entities without attributes give a row too. An attribute named like a base column takes its
+    place. A value its column cannot hold becomes NULL here; `enforce_contract` is what reports it.
     """
-    by_name = F.map_from_entries(F.transform("attrs", lambda a: F.struct(a["name"].alias("key"), a.alias("value"))))
-    staged = entities.withColumn("_by", by_name).select(
-        *[F.col(c) for c in entities.columns],
-        *[F.try_element_at("_by", F.lit(c.name)).alias(f"_a_{c.name}") for c in table.columns],
+    lowered = F.map_from_entries(
+        F.transform(F.map_entries("entity"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     )
     base = {"entityid": F.col("entityid"), "entitytype": F.col("entitytype"), "fiwareservicepath": F.col("servicepath")}
-    columns = []
-    for c in table.columns:
-        attr = F.col(f"_a_{c.name}")
-        if c.name == "recvtime":
-            value = F.col("recvtime").try_cast("timestamp") if "recvtime" in entities.columns else F.lit(None)
-            value = value.cast(c.spark_type)
-        elif c.name in base:
-            value = F.coalesce(attr["v_string"], base[c.name])
+    parsed = [c for c in table.columns if c.name != "recvtime"]
+    staged = bind(entities, "_low", lowered)
+    names = F.array(*[F.lit(c.name) for c in parsed])
+    texts = F.transform(names, lambda n: F.try_element_at("_low", n))
+    # All attributes of the table side by side, each parsed once.
+    read = F.transform(
+        texts, lambda t: F.struct(t.alias("json"), F.from_json(t, "type STRING, value VARIANT").alias("p"))
+    )
+    staged = bind(
+        staged,
+        "_read",
+        F.transform(
+            read,
+            lambda a: F.struct(
+                a["json"].alias("json"),
+                F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
+                a["p"]["value"].alias("value"),
+                F.schema_of_variant(a["p"]["value"]).alias("schema"),
+            ),
+        ),
+    )
+    values = {}
+    for i, c in enumerate(parsed):
+        attr = F.get(F.col("_read"), i)
+        if c.name in base:
+            values[c.name] = F.coalesce(_text_value(attr), base[c.name])
         else:
-            value = _cast(attr, c)
-        columns.append(value.alias(c.name))
-    present = F.transform("attrs", lambda a: a["name"]).alias("present")
-    return staged.select(*columns, present, *[F.col(k) for k in keep])
+            values[c.name] = _cast(attr, c)
+    if "recvtime" in table.names:
+        receipt = F.col("recvtime").try_cast("timestamp") if "recvtime" in entities.columns else F.lit(None)
+        values["recvtime"] = receipt.cast(next(c for c in table.columns if c.name == "recvtime").spark_type)
+    skipped = F.array(F.lit("id"), F.lit("type"), F.lit("alterationtype"))
+    present = F.filter(F.map_keys("_low"), lambda n: ~F.array_contains(skipped, n))
+    return staged.select(*[values[c].alias(c) for c in table.names], present.alias("present"), *[F.col(k) for k in keep])
+
+
+def _text_value(a: Column) -> Column:
+    return F.when(a["schema"] == "STRING", F.try_variant_get(a["value"], "$", "string"))
+
+
+def _any_text(a: Column) -> Column:
+    """Text of a value as a text column takes it: strings bare, nested values as JSON."""
+    kind = json_kind(a["schema"])
+    text = F.when(kind == "string", F.try_variant_get(a["value"], "$", "string")).when(
+        kind != "null", F.get_json_object(a["json"], "$.value")
+    )
+    is_json = a["type"].isin("json", "jsonb")
+    number = F.when(kind == "number", number_text(F.try_variant_get(a["value"], "$", "double")))
+    return F.when(is_json, declared_json(a["value"], kind, text)).otherwise(F.coalesce(number, text))
 
 
 def _cast(a: Column, c: TableColumn) -> Column:
-    number = a["v_double"]
+    number = F.when(
+        ~a["schema"].isin("STRING", "BOOLEAN", "VOID")
+        & ~a["schema"].startswith("OBJECT")
+        & ~a["schema"].startswith("ARRAY")
+        & ~a["type"].isin("json", "jsonb"),
+        F.try_variant_get(a["value"], "$", "double"),
+    )
     if c.type == "boolean":
-        return a["v_bool"]
+        return F.when((a["schema"] == "BOOLEAN") & ~a["type"].isin("json", "jsonb"), F.try_variant_get(a["value"], "$", "boolean"))
     if c.type in WHOLE_NUMBERS:
         low, high = WHOLE_NUMBERS[c.type]
         whole = F.rint(number)
@@ -275,14 +319,16 @@ def _cast(a: Column, c: TableColumn) -> Column:
     if c.type.startswith("numeric"):
         return number.try_cast(c.spark_type)
     if c.type == "json":
-        return a["v_string"]
+        is_text = json_kind(a["schema"]).isin("number", "boolean") & ~a["type"].isin("json", "jsonb")
+        return F.when(~is_text, _any_text(a))
     if c.type == "text":
-        return F.coalesce(a["v_string"], number_text(number), a["v_bool"].cast("string"))
+        return _any_text(a)
     if c.type.startswith("timestamp"):
-        ts = iso_timestamp(a["v_string"]) if c.name == "timeinstant" else a["v_ts"]
-        return ts.cast(c.spark_type)
+        declared = F.lower(a["type"]).isin("datetime", "iso8601") if c.name != "timeinstant" else F.lit(True)
+        return F.when(declared, iso_timestamp(_text_value(a))).cast(c.spark_type)
     if c.type.startswith("geometry"):
-        return geometry_struct(wkb_from_wkt(a["wkt"]))
+        text = F.coalesce(_text_value(a), F.get_json_object(a["json"], "$.value"))
+        return geometry_struct(wkb_from_wkt(wkt_of(a["type"], json_kind(a["schema"]), text)))
     raise ValueError(f"unknown column type {c.type!r}")
 
 

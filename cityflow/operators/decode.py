@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.functions.geometry import wkt_from_geojson, wkt_from_point, wkt_from_polygon
+from cityflow.functions.binding import bind
+from cityflow.functions.geometry import wkt_from_geojson, wkt_from_lat_lon
+from cityflow.functions.text import json_quote
 from cityflow.functions.times import iso_text, iso_timestamp
 
 REJECT = "struct<stage:string,code:string,error:string>"
@@ -53,7 +55,7 @@ def parse_flagged(records: DataFrame) -> DataFrame:
     message = F.from_json("value", _MESSAGE, options)
     bad = F.col("_msg").isNull() | F.col("_msg._bad").isNotNull()
     return (
-        records.withColumn("_msg", message)
+        bind(records, "_msg", message)
         .withColumn("data", F.col("_msg.data"))
         .withColumn("reject", F.when(bad, rejection("parse", "BAD_JSON", "Malformed notification JSON")))
         .drop("_msg")
@@ -161,7 +163,7 @@ def with_attributes(entities: DataFrame, names: Sequence[str] | None = None) ->
         wanted = F.array(*[F.lit(n.lower()) for n in names])
         entries = F.filter(entries, lambda e: F.array_contains(wanted, e["name"]))
     unique = F.map_entries(F.map_from_entries(entries))
-    return entities.withColumn("attrs", _typed(unique))
+    return bind(entities, "attrs", _typed(unique))
 
 
 def _typed(entries: Column) -> Column:
@@ -172,7 +174,7 @@ def _typed(entries: Column) -> Column:
             e["key"].alias("name"), i.alias("pos"), e["value"].alias("json"), F.from_json(e["value"], shape).alias("p")
         ),
     )
-    read = F.transform(
+    described = F.transform(
         parsed,
         lambda a: F.struct(
             a["name"].alias("name"),
@@ -180,14 +182,17 @@ def _typed(entries: Column) -> Column:
             F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
             a["p"]["metadata"].alias("metadata"),
             a["p"]["value"].alias("value"),
-            _json_kind(a["p"]["value"]).alias("json_kind"),
+            F.schema_of_variant(a["p"]["value"]).alias("schema"),
             a["json"].alias("json"),
         ),
     )
+    read = F.transform(
+        described, lambda a: F.struct(*_keep(a, "value", "json"), json_kind(a["schema"]).alias("json_kind"))
+    )
     texts = F.transform(
         read,
         lambda a: F.struct(
-            *[a[c].alias(c) for c in ("name", "pos", "type", "metadata", "value", "json_kind")],
+            *_keep(a, "value", "json_kind"),
             F.when(a["json_kind"] == "string", F.try_variant_get(a["value"], "$", "string"))
             .when(a["json_kind"] != "null", F.get_json_object(a["json"], "$.value"))
             .alias("text"),
@@ -196,23 +201,29 @@ def _typed(entries: Column) -> Column:
     shaped = F.transform(
         texts,
         lambda a: F.struct(
-            *[a[c].alias(c) for c in ("name", "pos", "type", "metadata", "value", "json_kind", "text")],
-            _wkt(a).alias("wkt"),
-            _as_json_text(a).alias("declared_json"),
+            *_keep(a, "value", "json_kind", "text"),
+            F.when(a["type"].startswith("geo:"), wkt_of(a["type"], a["json_kind"], a["text"])).alias("wkt"),
             F.when(_is_date(a), iso_timestamp(a["text"])).alias("ts"),
         ),
     )
-    return F.transform(shaped, _final)
+    kinds = F.transform(
+        shaped, lambda a: F.struct(*_keep(a, "value", "json_kind", "text", "wkt", "ts"), _kind(a).alias("kind"))
+    )
+    return F.transform(kinds, _final)
 
 
-def _json_kind(value: Column) -> Column:
-    described = F.schema_of_variant(value)
+def _keep(a: Column, *more: str) -> list[Column]:
+    return [a[c].alias(c) for c in ("name", "pos", "type", "metadata", *more)]
+
+
+def json_kind(schema: Column) -> Column:
+    """Kind of a JSON value from the text of its variant schema: null, string, boolean, object, array, number."""
     return (
-        F.when(described.isNull() | (described == "VOID"), "null")
-        .when(described == "STRING", "string")
-        .when(described == "BOOLEAN", "boolean")
-        .when(described.startswith("OBJECT"), "object")
-        .when(described.startswith("ARRAY"), "array")
+        F.when(schema.isNull() | (schema == "VOID"), "null")
+        .when(schema == "STRING", "string")
+        .when(schema == "BOOLEAN", "boolean")
+        .when(schema.startswith("OBJECT"), "object")
+        .when(schema.startswith("ARRAY"), "array")
         .otherwise("number")
     )
 
@@ -222,36 +233,26 @@ def _is_date(a: Column) -> Column:
     return declared & ~a["name"].isin("timeinstant", "recvtime") & a["text"].isNotNull()
 
 
-def _wkt(a: Column) -> Column:
-    is_text = a["json_kind"] == "string"
-    return (
-        F.when((a["type"] == "geo:point") & is_text, wkt_from_point(a["text"]))
-        .when((a["type"] == "geo:polygon") & (a["json_kind"] == "array"), wkt_from_polygon(a["text"]))
-        .when((a["type"] == "geo:json") & (a["json_kind"] == "object"), wkt_from_geojson(a["text"]))
-    )
+def wkt_of(declared: Column, kind: Column, text: Column) -> Column:
+    """Well-known text of an attribute value under its declared geometry type."""
+    is_polygon = (declared == "geo:polygon") & (kind == "array")
+    return F.when(
+        ((declared == "geo:point") & (kind == "string")) | is_polygon, wkt_from_lat_lon(text, is_polygon)
+    ).when((declared == "geo:json") & (kind == "object"), wkt_from_geojson(text))
 
 
-def _as_json_text(a: Column) -> Column:
-    """JSON text of the value when the declared type is json or jsonb (a string gains quotes)."""
-    quoted = F.to_json(F.array(a["text"]))
-    quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-    absent = a["value"].isNull()
-    return F.when(
-        a["type"].isin("json", "jsonb"),
-        F.when(a["json_kind"] == "string", quoted)
-        .when(absent, F.lit(None).cast("string"))
-        .when(a["json_kind"] == "null", F.lit("null"))
-        .otherwise(a["text"]),
+def declared_json(value: Column, kind: Column, text: Column) -> Column:
+    """JSON text of a value whose declared type is json or jsonb (a string gains quotes)."""
+    return F.when(kind == "string", json_quote(text)).when(
+        value.isNotNull(), F.coalesce(text, F.lit("null"))
     )
 
 
-def _final(a: Column) -> Column:
-    is_time_column = a["name"].isin("timeinstant", "recvtime")
-    declares_json = a["type"].isin("json", "jsonb")
-    lost_geometry = (F.lower(a["type"]) == "geo:json") & (a["json_kind"] != "null") & a["wkt"].isNull()
-    kind = (
+def _kind(a: Column) -> Column:
+    lost_geometry = (F.lower(a["type"]) == "geo:json") & (a["json_kind"] != "null")
+    return (
         F.when(a["wkt"].isNotNull(), "geometry")
-        .when(is_time_column | declares_json, "string")
+        .when(a["name"].isin("timeinstant", "recvtime") | a["type"].isin("json", "jsonb"), "string")
         .when(lost_geometry, "bad_geometry")
         .when(a["ts"].isNotNull(), "timestamp")
         .when(_is_date(a), "string")
@@ -259,10 +260,14 @@ def _final(a: Column) -> Column:
         .when(a["json_kind"] == "number", "double")
         .otherwise("string")
     )
+
+
+def _final(a: Column) -> Column:
+    kind = a["kind"]
     string = (
         # A time column is always text, so a null in it is the word.
-        F.when(is_time_column, F.coalesce(a["text"], F.lit("null")))
-        .when(declares_json, a["declared_json"])
+        F.when(a["name"].isin("timeinstant", "recvtime"), F.coalesce(a["text"], F.lit("null")))
+        .when(a["type"].isin("json", "jsonb"), declared_json(a["value"], a["json_kind"], a["text"]))
         .when(kind.isin("string", "bad_geometry"), a["text"])
     )
     return F.struct(
@@ -277,7 +282,7 @@ def _final(a: Column) -> Column:
         F.when(kind == "timestamp", a["ts"]).alias("v_ts"),
         a["wkt"].alias("wkt"),
         ((kind == "string") & _is_date(a)).alias("date_error"),
-        ((kind == "string") & string.isNull()).alias("is_null"),
+        ((kind == "string") & (a["json_kind"] == "null") & string.isNull()).alias("is_null"),
     )
 
 

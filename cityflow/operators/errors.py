@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.config import FlowConfig
+from cityflow.functions.binding import bind
 from cityflow.functions.text import json_quote, number_text, strip, truncate_with_note
 from cityflow.functions.times import iso_text
 from cityflow.operators.envelope import error_headers, with_topic
@@ -32,13 +33,13 @@ def errors_from_rejected(records: DataFrame, config: FlowConfig = FlowConfig(),
     full = F.when(
         cause.isNotNull() & ~F.contains(message, cause), F.concat(message, F.lit("\nCaused by: "), cause)
     ).otherwise(message)
-    staged = records.withColumns({"_parsed": parsed, "_full": full}).where(F.try_parse_json(text).isNotNull())
-    # JSON null holds no record.
-    staged = staged.where(F.schema_of_variant(F.try_parse_json(text)) != "VOID")
+    staged = bind(records, "_parsed", F.struct(parsed.alias("m"), F.schema_of_variant(F.try_parse_json(text)).alias("kind")))
+    # What is no JSON has no kind, and JSON null holds no record.
+    staged = staged.withColumn("_full", full).where(F.col("_parsed.kind") != "VOID")
     staged = staged.withColumn("tenant", _tenant(F.col("_full"), header("__connect.errors.topic"), config.prefix))
     table = F.coalesce(header("target_table"), F.lit("unknown_table"))
     statement = F.nullif(F.regexp_extract("_full", r'(INSERT INTO "[^"]+"[^)]+\)[^)]*\))', 1), F.lit(""))
-    query = F.coalesce(statement, _rebuilt(F.col("_parsed.payload"), F.col("tenant"), table, text))
+    query = F.coalesce(statement, _rebuilt(F.col("_parsed.m.payload"), F.col("tenant"), table, text))
     return staged.withColumns(
         {
             "timestamp": F.current_timestamp() if now is None else now,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.config import GraphConfig
+from cityflow.functions.binding import bind
 from cityflow.functions.geometry import KINDS, wkt_from_geojson
 from cityflow.functions.graphtext import edit_object, mutation_text, slug
 from cityflow.functions.text import json_quote
@@ -18,7 +19,7 @@ def explode_graph_entities(records: DataFrame) -> DataFrame:
     Malformed bodies, empty messages and null entities are kept with `reject`.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    staged = records.withColumn("_msg", F.from_json("value", "data ARRAY<STRING>, _bad STRING", options))
+    staged = bind(records, "_msg", F.from_json("value", "data ARRAY<STRING>, _bad STRING", options))
     bad = F.col("_msg").isNull() | F.col("_msg._bad").isNotNull()
     rows = staged.withColumn("_bad", bad).select(
         *records.columns, "_bad", F.posexplode_outer("_msg.data").alias("entity_pos", "object")
@@ -31,8 +32,7 @@ def explode_graph_entities(records: DataFrame) -> DataFrame:
     )
     members = F.from_json("object", "type STRING, alterationType STRING")
     return (
-        rows.withColumn("reject", reject)
-        .withColumn("_m", members)
+        bind(rows.withColumn("reject", reject), "_m", members)
         .withColumns(
             {
                 "entitytype": F.col("_m.type"),
@@ -57,11 +57,11 @@ def rewrite_location(entities: DataFrame) -> DataFrame:
     """
     members = F.map_entries(F.from_json("object", "map<string,string>"))
     found = F.get(F.filter(members, lambda e: F.lower(e["key"]) == "asgeojson"), 0)
-    staged = entities.withColumn("_geo", F.when(F.lower("entitytype") == "location", found))
+    staged = bind(entities, "_geo", F.when(F.lower("entitytype") == "location", found))
     text = F.col("_geo.value")
     parsed = F.from_json(text, "type STRING, coordinates STRING")
     acceptable = F.lower(parsed["type"]).isin(*KINDS) & parsed["coordinates"].startswith("[")
-    staged = staged.withColumn("_wkt", F.when(acceptable, wkt_from_geojson(text)))
+    staged = bind(staged, "_wkt", F.when(acceptable, wkt_from_geojson(text)))
     is_null = F.col("_geo").isNotNull() & (text.isNull() | (F.lower(F.trim(text)) == "null"))
     done = is_null | F.col("_wkt").isNotNull()
     return staged.withColumns(

@@ -81,7 +81,7 @@ def _rows(records: DataFrame, flow: str = "lastdata", with_time: bool = True) ->
     """Change rows of the user table; only its own attributes are parsed."""
     table = A.user_contract(flow, with_time)
     entities = classify_changes(entities_of(records), "lastdata")
-    wide = to_wide(with_attributes(entities, table.names), table, ["seq", "change"])
+    wide = to_wide(entities, table, ["seq", "change"])
     return wide.drop("recvtime", "props", "fiwareservicepath", "entitytype")
 
 
@@ -591,7 +591,7 @@ def contract_cast(spark, sf_dir):
     body = notification(F.concat(F.lit("L"), "l_orderkey"), F.lit("Line"), {"n": price(), "t": price(), "d": price()})
     table = contract("default._line", {"n": "integer", "t": "text", "d": "numeric(30,15)"}, with_time=False)
     raw = as_raw(lines, "historic", body, F.col("l_orderkey"))
-    wide = to_wide(with_attributes(entities_of(raw)), table, ["offset"])
+    wide = to_wide(entities_of(raw), table, ["offset"])
     return wide.groupBy("entityid").agg(
         F.sum("n").alias("sum_n"), F.sum("d").cast("decimal(38,2)").cast("string").alias("sum_d"), F.min("t").alias("min_t")
     )
