@@ -187,27 +187,45 @@ def _typed(entries: Column) -> Column:
         ),
     )
     read = F.transform(
-        described, lambda a: F.struct(*_keep(a, "value", "json"), json_kind(a["schema"]).alias("json_kind"))
+        described,
+        lambda a: F.struct(
+            *_keep(a, "value", "json"),
+            json_kind(a["schema"]).alias("json_kind"),
+            a["type"].isin("json", "jsonb").alias("is_json"),
+            a["name"].isin("timeinstant", "recvtime").alias("is_time"),
+            F.lower(a["type"]).isin("datetime", "iso8601").alias("is_date"),
+            F.lower(a["type"]).startswith("geo:").alias("is_geo"),
+        ),
     )
+    # Numbers and booleans keep their own form, and their text is only read where something asks for it.
     texts = F.transform(
         read,
         lambda a: F.struct(
-            *_keep(a, "value", "json_kind"),
+            *_keep(a, "value", "json_kind", "is_json", "is_time", "is_geo"),
             F.when(a["json_kind"] == "string", F.try_variant_get(a["value"], "$", "string"))
-            .when(a["json_kind"] != "null", F.get_json_object(a["json"], "$.value"))
+            .when(
+                a["json_kind"].isin("object", "array")
+                | ((a["json_kind"] != "null") & (a["is_json"] | a["is_time"] | a["is_date"] | a["is_geo"])),
+                F.get_json_object(a["json"], "$.value"),
+            )
             .alias("text"),
+            (a["is_date"] & ~a["is_time"] & (a["json_kind"] != "null")).alias("is_date"),
         ),
     )
     shaped = F.transform(
         texts,
         lambda a: F.struct(
-            *_keep(a, "value", "json_kind", "text"),
-            F.when(a["type"].startswith("geo:"), wkt_of(a["type"], a["json_kind"], a["text"])).alias("wkt"),
-            F.when(_is_date(a), iso_timestamp(a["text"])).alias("ts"),
+            *_keep(a, "value", "json_kind", "is_json", "is_time", "is_geo", "is_date", "text"),
+            F.when(a["is_geo"], wkt_of(a["type"], a["json_kind"], a["text"])).alias("wkt"),
+            F.when(a["is_date"], iso_timestamp(a["text"])).alias("ts"),
         ),
     )
     kinds = F.transform(
-        shaped, lambda a: F.struct(*_keep(a, "value", "json_kind", "text", "wkt", "ts"), _kind(a).alias("kind"))
+        shaped,
+        lambda a: F.struct(
+            *_keep(a, "value", "json_kind", "is_json", "is_time", "is_date", "text", "wkt", "ts"),
+            _kind(a).alias("kind"),
+        ),
     )
     return F.transform(kinds, _final)
 
@@ -228,11 +246,6 @@ def json_kind(schema: Column) -> Column:
     )
 
 
-def _is_date(a: Column) -> Column:
-    declared = F.lower(a["type"]).isin("datetime", "iso8601")
-    return declared & ~a["name"].isin("timeinstant", "recvtime") & a["text"].isNotNull()
-
-
 def wkt_of(declared: Column, kind: Column, text: Column) -> Column:
     """Well-known text of an attribute value under its declared geometry type."""
     is_polygon = (declared == "geo:polygon") & (kind == "array")
@@ -249,13 +262,12 @@ def declared_json(value: Column, kind: Column, text: Column) -> Column:
 
 
 def _kind(a: Column) -> Column:
-    lost_geometry = (F.lower(a["type"]) == "geo:json") & (a["json_kind"] != "null")
     return (
         F.when(a["wkt"].isNotNull(), "geometry")
-        .when(a["name"].isin("timeinstant", "recvtime") | a["type"].isin("json", "jsonb"), "string")
-        .when(lost_geometry, "bad_geometry")
+        .when(a["is_time"] | a["is_json"], "string")
+        .when(a["is_geo"] & (F.lower(a["type"]) == "geo:json") & (a["json_kind"] != "null"), "bad_geometry")
         .when(a["ts"].isNotNull(), "timestamp")
-        .when(_is_date(a), "string")
+        .when(a["is_date"], "string")
         .when(a["json_kind"] == "boolean", "boolean")
         .when(a["json_kind"] == "number", "double")
         .otherwise("string")
@@ -266,8 +278,8 @@ def _final(a: Column) -> Column:
     kind = a["kind"]
     string = (
         # A time column is always text, so a null in it is the word.
-        F.when(a["name"].isin("timeinstant", "recvtime"), F.coalesce(a["text"], F.lit("null")))
-        .when(a["type"].isin("json", "jsonb"), declared_json(a["value"], a["json_kind"], a["text"]))
+        F.when(a["is_time"], F.coalesce(a["text"], F.lit("null")))
+        .when(a["is_json"], declared_json(a["value"], a["json_kind"], a["text"]))
         .when(kind.isin("string", "bad_geometry"), a["text"])
     )
     return F.struct(
@@ -281,8 +293,9 @@ def _final(a: Column) -> Column:
         F.when(kind == "boolean", F.try_variant_get(a["value"], "$", "boolean")).alias("v_bool"),
         F.when(kind == "timestamp", a["ts"]).alias("v_ts"),
         a["wkt"].alias("wkt"),
-        ((kind == "string") & _is_date(a)).alias("date_error"),
-        ((kind == "string") & (a["json_kind"] == "null") & string.isNull()).alias("is_null"),
+        ((kind == "string") & a["is_date"] & ~a["is_json"]).alias("date_error"),
+        # A declared json value of null is the JSON text null, which is a value.
+        ((a["json_kind"] == "null") & ~a["is_time"] & ~(a["is_json"] & a["value"].isNotNull())).alias("is_null"),
     )
 
 
