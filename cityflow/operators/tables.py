@@ -59,31 +59,33 @@ def apply_historic(
     """(rows to append, repeated rows with `reject`).
 
     With a primary key the first row of a key is stored and later ones are refused, as are keys the
-    table already holds. Without one every row is stored. The winner of a key is an aggregate that
-    combines before the shuffle, so a key repeated many times costs no more than any other. Only keys
-    seen more than once, or already stored, take part in the join that finds the repeats.
+    table already holds. Without one every row is stored. The stored rows are an aggregate that combines
+    before the shuffle, so a key repeated many times costs no more than any other. The refused rows are
+    found in bounded pieces: within a piece of a key all but the first row are repeats, and only the
+    first rows of the pieces meet to see which of them was the very first.
     """
     columns = _columns(current, changes, _control(changes))
     if not pk:
         return changes.select(*columns), _refused(changes.where(F.lit(False)), columns)
-    row = F.struct(*[F.col(c) for c in columns])
-    counted = changes.groupBy(*pk).agg(
-        F.min_by(row, F.col("seq")).alias("_row"), F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n")
+    first = F.min_by(F.struct(*[F.col(c) for c in columns]), F.col("seq"))
+    new = changes.groupBy(*pk).agg(first.alias("_row"))
+    if current is not None:
+        new = new.join(current.select(*pk), list(pk), "left_anti")
+    inserted = new.select("_row.*")
+
+    of_piece = Window.partitionBy(*pk, F.col("seq.partition"), F.floor(F.col("seq.offset") / PIECE)).orderBy("seq")
+    ranked = changes.withColumn("_nth", F.row_number().over(of_piece))
+    repeats = ranked.where(F.col("_nth") > 1)
+    heads = ranked.where(F.col("_nth") == 1).withColumn(
+        "_nth", F.row_number().over(Window.partitionBy(*pk).orderBy("seq"))
     )
     if current is None:
-        new = counted
-        repeated = counted.where(F.col("_n") > 1).select(*pk, F.col("_first"))
+        late = heads.where(F.col("_nth") > 1)
     else:
         # A table holds each key once, so this join adds no rows.
         held = current.select(*pk, F.lit(True).alias("_known"))
-        matched = counted.join(held, list(pk), "left")
-        new = matched.where(F.col("_known").isNull())
-        repeated = matched.where((F.col("_n") > 1) | F.col("_known")).select(
-            *pk, F.when(F.col("_known").isNull(), F.col("_first")).alias("_first")
-        )
-    inserted = new.select("_row.*")
-    # `_first` is NULL where the table holds the key, and then no row of the key is the stored one.
-    again = changes.join(repeated, list(pk)).where(F.col("_first").isNull() | (F.col("seq") != F.col("_first")))
+        late = heads.join(held, list(pk), "left").where((F.col("_nth") > 1) | F.col("_known"))
+    again = repeats.select(*columns, "seq").unionByName(late.select(*columns, "seq"))
     return inserted, _refused(again, columns)
 
 
