@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cityflow.llm.chat import format_chats, read_back, with_example
 from cityflow.llm.common import table
 from cityflow.llm.exact import content_sort
+from cityflow.llm.pii import pii_spans, span_counts
+from cityflow.llm.quality import judge
 from cityflow.llm.sharding import shard_documents
 from cityflow.llm.simhash import simhash_classes
 
@@ -17,11 +20,28 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back from every formatted conversation, and from one made of control strings."""
+    return read_back(format_chats(with_example(table(spark, sf_dir, "conversations"))))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy class of every document."""
     return simhash_classes(table(spark, sf_dir, "documents"), words=3)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, posterior quality and verdict of every document."""
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return span_counts(pii_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document; the largest id stays."""
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
@@ -29,7 +49,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
+    "op6_quality": op6_quality,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
