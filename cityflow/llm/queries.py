@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cityflow.llm.chat import format_chats, read_back, with_example
 from cityflow.llm.common import table
 from cityflow.llm.exact import content_sort
+from cityflow.llm.packing import pack_documents
 from cityflow.llm.pii import pii_spans, span_counts
 from cityflow.llm.quality import judge
 from cityflow.llm.sharding import shard_documents
@@ -30,6 +32,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), words=3)
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the public tokenizers, in the same place on all machines."""
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence each piece of every document goes to."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, posterior quality and verdict of every document."""
     return judge(table(spark, sf_dir, "documents")).select(
@@ -51,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
+    "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
