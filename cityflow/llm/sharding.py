@@ -22,7 +22,7 @@ from cityflow.llm.common import bounded_batches, col, shuffle_partitions, small_
 #: Bins of all lanes together; bounds what the driver schedules.
 BINS = 65_536
 #: Parts a group's rows are counted in, so that a group with very many rows never meets in one task.
-SALTS = 4_096
+SALTS = 512
 
 
 def least_loaded(sizes: list[int], bins: int) -> list[int]:
