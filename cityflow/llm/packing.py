@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityflow.llm.common import bounded_batches, col, slices, small_frame, stored, text_of
-from cityflow.llm.tokens import word_encoder
+from cityflow.llm.tokens import encode
 
 CAPACITY = 1024
 #: Id behind each document.
@@ -238,7 +238,6 @@ def _places(runs: list[Run]) -> dict[str, list[int]]:
 def _pieces(path: str, capacity: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Tokenizes and cuts; numbers the pieces of each length within the task."""
-        encoder = word_encoder(path)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         seen: dict[int, int] = defaultdict(int)
@@ -246,7 +245,7 @@ def _pieces(path: str, capacity: int, end_id: int):
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         for batch in slices(batches, "text"):
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(list(text_of(batch.column(1)))), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(path, list(text_of(batch.column(1)))), strict=True):
                 ids += end
                 total = len(ids) // 4
                 start = 0

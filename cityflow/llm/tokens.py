@@ -1,51 +1,48 @@
-"""Token ids of whole texts, by a public tokenizer, with repeated words encoded once."""
+"""Token ids of whole texts by a public byte-level tokenizer."""
 
 from __future__ import annotations
 
-import os
+import json
 from functools import lru_cache
 
 import numpy as np
+import tiktoken
 
-#: Most words a worker keeps; beyond, it starts anew. Their ids take some 200 MB.
-REMEMBERED = 600_000
+#: Fixed value: how a byte-level tokenizer cuts a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-class WordEncoder:
-    """Ids of a byte-level BPE tokenizer as little-endian unsigned 32-bit bytes.
-
-    The tokenizer's pattern never joins what is before a space to the space and what follows it, so a text is
-    cut in front of spaces and each distinct part is encoded once.
-    """
-
-    def __init__(self, path: str):
-        # One thread for each task; Spark deals out the work.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, one after the other."""
-        split = []
-        for text in texts:
-            head, *tail = text.split(" ")
-            split.append([head, *[" " + t for t in tail]])
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = set().union(*split)
-        todo = list(new)
-        for begin in range(0, len(todo), 20_000):
-            part = todo[begin : begin + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        ids_of = self.known.__getitem__
-        return [b"".join(map(ids_of, words)) for words in split]
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where printable, else from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    """The encoder of a vocabulary file, once for each worker."""
-    return WordEncoder(path)
+def encoding(path: str) -> tiktoken.Encoding:
+    """The encoder of a tokenizer file, once for each worker.
+
+    The file's merges must be in the order of the ids they make, as they are where merging by rank and by
+    list are the same; other files are refused.
+    """
+    with open(path, encoding="utf-8") as f:
+        described = json.load(f)
+    model = described["model"]
+    before = described["pre_tokenizer"]
+    plain = described.get("normalizer") is None and before["type"] == "ByteLevel" and before.get("use_regex", True)
+    if model["type"] != "BPE" or not plain or before["add_prefix_space"]:
+        raise ValueError(f"{path} is not a byte-level tokenizer")
+    made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if made != sorted(made):
+        raise ValueError(f"the merges of {path} are not in the order of their ids")
+    byte_of = _byte_letters()
+    special = {t["content"]: t["id"] for t in described["added_tokens"]}
+    ranks = {bytes(map(byte_of.__getitem__, word)): i for word, i in model["vocab"].items() if word not in special}
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def encode(path: str, texts: list[str]) -> list[bytes]:
+    """The ids of each text as little-endian unsigned 32-bit; special tokens in a text are read as such."""
+    encoder = encoding(path)
+    return [encoder.encode_to_numpy(t, allowed_special="all").astype(np.dtype("<u4")).tobytes() for t in texts]
