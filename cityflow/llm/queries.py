@@ -15,6 +15,7 @@ from cityflow.llm.pii import pii_spans, span_counts
 from cityflow.llm.quality import judge
 from cityflow.llm.sharding import shard_documents
 from cityflow.llm.simhash import simhash_classes
+from cityflow.llm.toxicity import learned, score_documents
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, learned(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat": op2_chat,
@@ -67,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
