@@ -11,7 +11,9 @@ from cityflow.llm.chat import format_chats, read_back, with_example
 from cityflow.llm.common import table
 from cityflow.llm.exact import content_sort
 from cityflow.llm.packing import pack_documents
+from cityflow.llm.pieces import code_documents, coded_digests
 from cityflow.llm.pii import pii_spans, span_counts
+from cityflow.llm.pseudo import pseudo_likelihood
 from cityflow.llm.quality import judge
 from cityflow.llm.sharding import shard_documents
 from cityflow.llm.simhash import simhash_classes
@@ -33,6 +35,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), words=3)
 
 
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document, by a network that learned from all of them."""
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """A vocabulary file of the public tokenizers, in the same place on all machines."""
     return public_tokenizers.path(name)
@@ -60,6 +67,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of the text read back from them."""
+    return coded_digests(code_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -70,10 +82,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
+    "op4_pseudo_likelihood": op4_pseudo_likelihood,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pieces": op9_pieces,
     "op10_toxicity": op10_toxicity,
 }
 
