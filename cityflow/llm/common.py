@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -33,6 +34,12 @@ def unpacked(rows: DataFrame, names: list[str], struct: str = "row") -> list[Col
     return [F.col(struct).getField(n).alias(n) for n in names]
 
 
+def with_first(name: str, like: DataFrame, rest: str) -> T.StructType:
+    """Schema of a column as another frame has it, then others."""
+    kind = like.schema[name].dataType
+    return T.StructType([T.StructField(name, kind), *T.StructType.fromDDL(rest).fields])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session sets them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import ascii_lower, bounded_batches, col, one_array, packed, shuffle_partitions, small_frame, stored, unpacked
+from cityflow.llm.common import ascii_lower, bounded_batches, col, one_array, packed, shuffle_partitions, small_frame, stored, unpacked, with_first
 
 #: Characters of a text in the sort key, in front of its digest.
 PREFIX = 16
@@ -134,16 +134,13 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, keep: str, carry:
     bounded_batches(spark)
     content = packed(docs) if carry else F.struct(col(text_col).alias(text_col))
     rows = docs.select(content.alias("row"), col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
-    row_type = rows.schema["row"].dataType.simpleString()
-    keyed = rows.mapInArrow(_keys, f"row {row_type}, id long, start string, digest binary")
+    keyed = rows.mapInArrow(_keys, with_first("row", rows, "id long, start string, digest binary"))
     by_id = F.desc_nulls_last("id") if keep == "largest" else F.asc_nulls_last("id")
     order = [F.col("start"), F.col("digest"), by_id]
     ranges = keyed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
     placed = ranges.select("row" if carry else F.lit(None).cast("int").alias("row"), "id", F.col("row").getField(text_col).cast("string").alias("text"), "digest")
-    kept_type = row_type if carry else "int"
-    return placed.mapInArrow(
-        _runs, f"row {kept_type}, id long, digest binary, first_id long, n long, head boolean, part int, border int"
-    )
+    rest = "id long, digest binary, first_id long, n long, head boolean, part int, border int"
+    return placed.mapInArrow(_runs, with_first("row", placed, rest))
 
 
 def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:

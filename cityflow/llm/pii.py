@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import bounded_batches, col, packed, slices
+from cityflow.llm.common import bounded_batches, col, packed, slices, with_first
 
 #: Order of kinds in results. The first four are kept whatever their score.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "birth")
@@ -203,7 +203,7 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(packed(docs).alias("row"), col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(_masked, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    out = rows.mapInArrow(_masked, with_first("row", rows, "text string"))
     original = F.col("row").getField(text_col)
     changed = ~F.col("text").eqNullSafe(original)
     columns = []

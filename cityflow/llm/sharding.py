@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import bounded_batches, col, shuffle_partitions, small_frame, stored
+from cityflow.llm.common import bounded_batches, col, shuffle_partitions, small_frame, stored, with_first
 
 #: Bins of all lanes together; bounds what the driver schedules.
 BINS = 65_536
@@ -104,10 +104,9 @@ def shard_groups(rows: DataFrame, key: Column, size: Column, order: Column, carr
         )
         .sortWithinPartitions(F.desc("total"), "key", "salt")
     )
-    key_type = base.schema["key"].dataType.simpleString()
     placed = stored(
         totals.mapInArrow(
-            _lanes(bins), f"key {key_type}, salt int, bytes long, n long, lane int, bin int, place long"
+            _lanes(bins), with_first("key", base, "salt int, bytes long, n long, lane int, bin int, place long")
         )
     )
     filled = placed.groupBy("lane", "bin").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect()

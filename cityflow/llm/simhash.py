@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import UPPER_TO_LOWER, bounded_batches, col, packed, shuffle_partitions, slices, stored
+from cityflow.llm.common import UPPER_TO_LOWER, bounded_batches, col, packed, shuffle_partitions, slices, stored, unpacked, with_first
 
 DISTANCE = 2
 #: Widths of the ring's segments, from the lowest bit.
@@ -191,17 +191,18 @@ def roots(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, carry: bool) -> tuple[DataFrame, DataFrame]:
-    """Rows with their fingerprint, and each fingerprint's class with its smallest id."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, row: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint and a number of their own, and the class of each fingerprint with its smallest id."""
     bounded_batches(docs.sparkSession)
-    row = packed(docs) if carry else F.struct(col(id_col).cast("long").alias("doc_id"))
     rows = docs.select(F.struct(row.alias("row"), col(id_col).cast("long").alias("id")).alias("row"), col(text_col).cast("string").alias("text"))
-    marked = stored(rows.mapInArrow(_fingerprints(words), f"row {rows.schema['row'].dataType.simpleString()}, fp long"))
-    prints = stored(marked.groupBy("fp").agg(F.min("row.id").alias("least_id")))
+    printed = rows.mapInArrow(_fingerprints(words), with_first("row", rows, "fp long"))
+    # Written, so the numbers stay what they are.
+    marked = stored(printed.select("row.row", "row.id", "fp", F.monotonically_increasing_id().alias("tag")))
+    prints = stored(marked.groupBy("fp").agg(F.min("id").alias("least_id")))
     rooted = roots(near_links(prints.select("fp")))
     classes = prints.join(rooted, F.col("fp") == F.col("u"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     smallest = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked, classes.join(smallest, "root").select("fp", "component_id")
+    return marked, classes.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -212,25 +213,21 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingle is one shingle; one without words, or null, has fingerprint zero and is linked like any other. A class
     without any id has a null component. Other columns are not read. An empty table gives no rows.
     """
-    marked, classes = _classes(docs, id_col, text_col, words, carry=False)
+    marked, classes = _classes(docs, id_col, text_col, words, F.lit(None).cast("int"))
     return marked.join(classes, "fp").select(
-        F.col("row.id").alias("doc_id"),
+        F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """The documents without near copies: of a class the row with the smallest id stays, all columns as they were.
+    """One document of each class, all columns as they were: the one with the smallest id.
 
-    A row without an id has no class of its own to be kept by and stays. Rows that repeat the id of the one
-    that stays are copies of the row and stay once. Other edge cases as in `simhash_classes`.
+    Without any id in a class, and among rows that repeat the smallest one, it is any one row. Other edge cases as
+    in `simhash_classes`. Texts are shuffled once, to meet the numbers of the rows that stay.
     """
-    marked, classes = _classes(docs, id_col, text_col, words, carry=True)
-    stays = marked.join(classes, "fp").where(F.col("row.id").isNull() | (F.col("row.id") == F.col("component_id")))
-    # At most the rows that repeat one id meet here.
-    numbered = stays.where(F.col("row.id").isNotNull()).dropDuplicates(["component_id"])
-    whole = numbered.unionByName(stays.where(F.col("row.id").isNull()))
-    return whole.select(*[F.col("row.row").getField(c).alias(c) for c in docs.columns])
-
-
+    marked, classes = _classes(docs, id_col, text_col, words, packed(docs))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag"))
+    stays = marked.select("fp", "id", "tag").join(classes, "fp").groupBy("root").agg(first.alias("first")).select("first.tag")
+    return marked.join(stays, "tag", "left_semi").select(*unpacked(marked, docs.columns))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import bounded_batches, col, packed, slices, text_of, unpacked
+from cityflow.llm.common import bounded_batches, col, packed, slices, text_of, unpacked, with_first
 from cityflow.llm.gru import GRAM_BITS, WORD_BITS, Network, Trainer, Windows, WordInputs, _sigmoid, windows, word_inputs
 
 #: Words of a window, and how far the next one is.
@@ -185,7 +185,7 @@ def _with_scores(docs: DataFrame, row: Column, network: Network, text_col: str)
     rows = docs.select(row.alias("row"), col(text_col).cast("string").alias("text"))
     # A network has the same size whatever it was trained on.
     weights = docs.sparkSession.sparkContext.broadcast(network.weights)
-    return rows.mapInArrow(_scored(weights), f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(_scored(weights), with_first("row", rows, "score double"))
 
 
 def score_documents(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
