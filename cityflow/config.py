@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -39,15 +38,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream state.
 
-    On a cluster this is the folder named in ``spark.checkpoint.dir``. A machine-local temporary
-    folder is used only when that is unset and the whole session lives on this machine.
+    This is the folder named in ``spark.checkpoint.dir``; where that is unset, a folder in the session's
+    warehouse, which all executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="cityflow-")
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return shared.rstrip("/") if shared else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 @dataclass(frozen=True)
@@ -74,5 +69,5 @@ class GraphConfig:
     topic_by_service: bool = False
     staging: bool = False
     slug_uri: bool = False
-    # Base of the resource addresses in delete mutations.
-    resource_base: str = "http://datos.segittur.es/"
+    # Base of the resource addresses in delete mutations; without one they are refused.
+    resource_base: str | None = None

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,22 +102,34 @@ def contract(target: str, extra: Mapping[str, str], pk: Sequence[str] = (), not_
 
 
 def catalogue(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:
-    """The contracts as a DataFrame, one row per column."""
-    rows = [(c.target, col.name, col.type, col.nullable, col.pk) for c in contracts for col in c.columns]
-    return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
+    """The contracts as a DataFrame, one row per table with its columns.
+
+    Made from an Arrow table, so that Spark knows its size and broadcasts it as long as that is small.
+    """
+    held = list(contracts)
+    column = pa.struct([("column", pa.string()), ("type", pa.string()), ("nullable", pa.bool_()), ("pk", pa.bool_())])
+    described = [
+        [{"column": c.name, "type": c.type, "nullable": c.nullable, "pk": c.pk} for c in table.columns] for table in held
+    ]
+    return spark.createDataFrame(
+        pa.table({"target": pa.array([t.target for t in held], pa.string()), "columns": pa.array(described, pa.list_(column))})
+    )
 
 
 def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
     """Add `violations`, an array of `{column, code, error}`, and `reject` with the first of them.
 
-    Needs `target` and `attrs`. The catalogue is folded to one row per table (bounded by the columns a
-    table may have) and joined on the table name without a hint: a catalogue of ordinary size is
-    broadcast because Spark sees its size, a huge one is shuffled and hot tables are split at run time.
-    All tables and tenants are checked in one pass with no other shuffle.
+    Needs `target` and `attrs`. `tables` is a `catalogue`, or a frame of CATALOGUE_SCHEMA, which is folded
+    to one row per table first. It is joined on the table name without a hint: Spark broadcasts a
+    catalogue below its own threshold, which then needs no shuffle of the entities; above it the
+    entities are shuffled by table and hot tables split at run time. All tables and tenants are checked in one pass.
     """
-    folded = tables.groupBy("target").agg(
-        F.collect_list(F.struct("column", "type", "nullable", "pk")).alias("_columns")
-    )
+    if "columns" in tables.columns:
+        folded = tables.select("target", F.col("columns").alias("_columns"))
+    else:
+        folded = tables.groupBy("target").agg(
+            F.collect_list(F.struct("column", "type", "nullable", "pk")).alias("_columns")
+        )
     joined = entities.join(folded, "target", "left")
     # Attribute and its column side by side, so that the lookup runs once per attribute.
     paired = F.transform(
@@ -205,7 +218,9 @@ def _verdict(a: Column, c: Column) -> Column:
         out_of_whole = out_of_whole | ((column_type == type_name) & ~whole.between(low, high))
     precision = F.regexp_extract(column_type, r"\((\d+),", 1).try_cast("int")
     scale = F.regexp_extract(column_type, r",\s*(\d+)\)", 1).try_cast("int")
-    out_of_numeric = F.abs(a["v_double"]) >= F.pow(F.lit(10.0), precision - scale)
+    # What is stored is rounded to the scale, so half a unit below the limit is out already.
+    ten = F.lit(10.0)
+    out_of_numeric = F.abs(a["v_double"]) >= F.pow(ten, precision - scale) - 0.5 * F.pow(ten, -scale)
     is_text, is_json = column_type == "text", column_type == "json"
     wants_geometry = column_type.startswith("geometry")
     wanted_kind = F.regexp_extract(column_type, r"\((\w+)", 1)

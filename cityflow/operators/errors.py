@@ -17,6 +17,14 @@ from cityflow.operators.envelope import error_headers, with_topic
 MAX_ERROR = 4000
 MAX_QUERY = 8000
 
+# What a statement, its schema, the main message and its detail look like in an error text, and
+# what follows the tenant in a topic name.
+STATEMENT = r'(INSERT INTO "[^"]+"[^)]+\)[^)]*\))'
+STATEMENT_SCHEMA = r'INSERT INTO "([^"]+)"'
+MAIN_MESSAGE = r"(ERROR: .+?)(\n|\z)"
+DETAIL = r"(Detail: .+?)(\n|\z)"
+AFTER_TENANT = r"_(historic|lastdata|mutable|http).*$"
+
 _VALUE = "payload MAP<STRING,VARIANT>, _bad STRING"
 
 
@@ -38,7 +46,7 @@ def errors_from_rejected(records: DataFrame, config: FlowConfig = FlowConfig(),
     staged = staged.withColumn("_full", full).where(F.col("_parsed.kind") != "VOID")
     staged = staged.withColumn("tenant", _tenant(F.col("_full"), header("__connect.errors.topic"), config.prefix))
     table = F.coalesce(header("target_table"), F.lit("unknown_table"))
-    statement = F.nullif(F.regexp_extract("_full", r'(INSERT INTO "[^"]+"[^)]+\)[^)]*\))', 1), F.lit(""))
+    statement = F.nullif(F.regexp_extract("_full", STATEMENT, 1), F.lit(""))
     query = F.coalesce(statement, _rebuilt(F.col("_parsed.m.payload"), F.col("tenant"), table, text))
     return staged.withColumns(
         {
@@ -50,19 +58,19 @@ def errors_from_rejected(records: DataFrame, config: FlowConfig = FlowConfig(),
 
 
 def _tenant(full: Column, topic: Column, prefix: str) -> Column:
-    in_statement = F.substring_index(F.regexp_extract(full, r'INSERT INTO "([^"]+)"', 1), ".", 1)
+    in_statement = F.substring_index(F.regexp_extract(full, STATEMENT_SCHEMA, 1), ".", 1)
     named = F.coalesce(topic, in_statement)
     if prefix:
         named = F.when(named.startswith(prefix), F.substring(named, F.lit(len(prefix) + 1), F.length(named))).otherwise(
             named
         )
-    cut = F.regexp_replace(named, r"_(historic|lastdata|mutable|http).*$", "")
+    cut = F.regexp_replace(named, AFTER_TENANT, "")
     return F.coalesce(F.nullif(cut, F.lit("")), F.lit("unknown"))
 
 
 def _main_message(full: Column) -> Column:
-    main = strip(F.regexp_extract(full, r"(ERROR: .+?)(\n|\z)", 1))
-    detail = strip(F.regexp_extract(full, r"(Detail: .+?)(\n|\z)", 1))
+    main = strip(F.regexp_extract(full, MAIN_MESSAGE, 1))
+    detail = strip(F.regexp_extract(full, DETAIL, 1))
     return F.when(main == "", full).otherwise(
         F.when(detail == "", main).otherwise(F.concat(main, F.lit(" - "), detail))
     )
@@ -122,9 +130,10 @@ def routing_rejects(routed: DataFrame) -> DataFrame:
 
 
 def rejects_to_error_log(*rejects: DataFrame, now: Column | None = None) -> DataFrame:
-    """Error log rows of rejects: tenant, timestamp, error, query, stage, code and seq.
+    """Error log rows of rejects: tenant, timestamp, error, query, stage, code, seq and value.
 
-    The statement names the target table when there is one, and carries the entity it was for.
+    The statement names the target table when there is one, and carries the entity it was for; like the
+    error it is cut to its limit. `value` is what was refused, whole, as nothing else keeps it.
     """
 
     def as_log(rows: DataFrame) -> DataFrame:
@@ -144,6 +153,7 @@ def rejects_to_error_log(*rejects: DataFrame, now: Column | None = None) -> Data
             F.col("reject.stage").alias("stage"),
             F.col("reject.code").alias("code"),
             (F.col("seq") if "seq" in has else F.struct("partition", "offset", F.lit(0).alias("pos"))).alias("seq"),
+            body.alias("value"),
         )
 
     return reduce(DataFrame.unionByName, [as_log(r) for r in rejects])

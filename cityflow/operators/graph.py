@@ -128,7 +128,8 @@ def build_mutations(entities: DataFrame, config: GraphConfig = GraphConfig()) ->
     staged = staged.withColumn("_object", rendered)
     dti = F.concat(F.lit('dti: "'), F.col("graph"), F.lit('"'))
     staging = F.lit(", staging: true" if config.staging else "")
-    resource = F.concat(F.lit(config.resource_base), F.col("graph"), F.lit("/resource/"), F.col("external_id"))
+    base = F.raise_error("set GraphConfig.resource_base to delete resources") if config.resource_base is None else F.lit(config.resource_base)
+    resource = F.concat(base.cast("string"), F.col("graph"), F.lit("/resource/"), F.col("external_id"))
     write = F.concat(
         F.lit("mutation { "),
         F.col("action"),

@@ -82,22 +82,49 @@ def pipeline_snapshot(log: DataFrame) -> DataFrame:
     )
 
 
-def throughput(records: DataFrame, width: str = "1 minute", slide: str | None = None, per_seconds: float = 60.0,
+def throughput(records: DataFrame, width: str = "1 minute", slide: str | None = None, unit_seconds: float = 1.0,
                by: str = "flow", watermark: str | None = None) -> DataFrame:
-    """Records per window and flow (or topic), with their rate per second over `per_seconds`."""
+    """Records per window and flow (or topic), with their rate per `unit_seconds` (1: per second, 60: per minute).
+
+    Sliding windows whose width is a whole number of slides are sums of counts per slide, so a record is
+    counted once and only counts are spread over windows. In a stream, and for other widths, records
+    are spread.
+    """
     if watermark:
         records = records.withWatermark("kafka_ts", watermark)
-    window = F.window("kafka_ts", width, slide) if slide else F.window("kafka_ts", width)
-    counted = records.groupBy(window.alias("w"), by).agg(F.count(F.lit(1)).alias("records"))
+    one = F.count(F.lit(1)).alias("records")
+    if slide and not records.isStreaming and _whole_slides(width, slide):
+        per_slide = records.groupBy(F.window("kafka_ts", slide).alias("s"), by).agg(one)
+        spread = per_slide.select(F.col("s.start").alias("at"), by, "records")
+        counted = spread.groupBy(F.window("at", width, slide).alias("w"), by).agg(F.sum("records").alias("records"))
+    else:
+        window = F.window("kafka_ts", width, slide) if slide else F.window("kafka_ts", width)
+        counted = records.groupBy(window.alias("w"), by).agg(one)
+    seconds = (F.unix_micros("w.end") - F.unix_micros("w.start")) / 1e6
     return counted.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         by,
         "records",
-        (F.col("records") / F.lit(per_seconds)).alias("rate"),
+        (F.col("records") * F.lit(unit_seconds) / seconds).alias("rate"),
     )
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _whole_slides(width: str, slide: str) -> bool:
+    """Whether a window is made of whole slides; unknown for lengths not given as a number and a unit."""
+    lengths = []
+    for text in (width, slide):
+        number, _, unit = text.strip().partition(" ")
+        unit = unit.strip().lower().removesuffix("s")
+        if not number.isdigit() or unit not in _SECONDS:
+            return False
+        lengths.append(int(number) * _SECONDS[unit])
+    return lengths[1] > 0 and lengths[0] % lengths[1] == 0
+
+
 def consumer_lag(end_offsets: DataFrame, done_offsets: DataFrame) -> DataFrame:
     """Records not yet processed, by consumer group and topic, summed over partitions.
 

@@ -54,9 +54,9 @@ def _with_current(current: DataFrame | None, changes: DataFrame, columns: Sequen
 
 
 def apply_historic(
-    current: DataFrame | None, changes: DataFrame, pk: Sequence[str] = ()
+    current: DataFrame | None, changes: DataFrame, pk: Sequence[str] = (), carry: Sequence[str] = (), piece: int = PIECE
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows to append, repeated rows with `reject`).
+    """(rows to append, repeated rows with `reject`). `carry` names columns of changes that only the latter have.
 
     With a primary key the first row of a key is stored and later ones are refused, as are keys the
     table already holds. Without one every row is stored. The stored rows are an aggregate that combines
@@ -64,16 +64,17 @@ def apply_historic(
     found in bounded pieces: within a piece of a key all but the first row are repeats, and only the
     first rows of the pieces meet to see which of them was the very first.
     """
-    columns = _columns(current, changes, _control(changes))
+    columns = _columns(current, changes, [*_control(changes), *carry])
+    told = [*columns, *carry]
     if not pk:
-        return changes.select(*columns), _refused(changes.where(F.lit(False)), columns)
+        return changes.select(*columns), _refused(changes.where(F.lit(False)), told)
     first = F.min_by(F.struct(*[F.col(c) for c in columns]), F.col("seq"))
     new = changes.groupBy(*pk).agg(first.alias("_row"))
     if current is not None:
         new = new.join(current.select(*pk), list(pk), "left_anti")
     inserted = new.select("_row.*")
 
-    of_piece = Window.partitionBy(*pk, F.col("seq.partition"), F.floor(F.col("seq.offset") / PIECE)).orderBy("seq")
+    of_piece = Window.partitionBy(*pk, F.col("seq.partition"), F.floor(F.col("seq.offset") / piece)).orderBy("seq")
     ranked = changes.withColumn("_nth", F.row_number().over(of_piece))
     repeats = ranked.where(F.col("_nth") > 1)
     heads = ranked.where(F.col("_nth") == 1).withColumn(
@@ -85,8 +86,8 @@ def apply_historic(
         # A table holds each key once, so this join adds no rows.
         held = current.select(*pk, F.lit(True).alias("_known"))
         late = heads.join(held, list(pk), "left").where((F.col("_nth") > 1) | F.col("_known"))
-    again = repeats.select(*columns, "seq").unionByName(late.select(*columns, "seq"))
-    return inserted, _refused(again, columns)
+    again = repeats.select(*told, "seq").unionByName(late.select(*told, "seq"))
+    return inserted, _refused(again, told)
 
 
 def _refused(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -33,14 +33,15 @@ USER_TABLE = "city.devices_user"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; their times have no zone and are taken as UTC."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        # A small file is one task; decoding is all processor work, so it is spread over the cores first.
-        rows = rows.repartition(cores)
     zoneless = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "timestamp_ntz"]
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else rows
 
 
+def spread_partition(event_id: Column) -> Column:
+    """Source partition of an event, where records come from several."""
+    return (event_id % 5).cast("int")
+
+
 def arrival(event_id: Column) -> Column:
     """Out-of-order offset of an event, unique for any number of events."""
     return (event_id * STEP) % BLOCK + F.floor(event_id / BLOCK) * BLOCK

@@ -39,7 +39,7 @@ def flagged_entities(
     """Typed, routed and checked entities of a relational flow; `reject` says why a row cannot go on.
 
     One pass over the records and no shuffle. Rows without entities are included, with code
-    NO_ENTITIES. Delete rows are not checked: they carry a key only.
+    NO_ENTITIES. Columns of delete rows are not checked, as they carry a key only; their table must exist.
     """
     rows = explode_flagged(parse_flagged(read_context(records)))
     rows = classify_changes(rows, "lastdata") if flow == "lastdata" else rows.withColumn("change", F.lit("update"))
@@ -49,7 +49,8 @@ def flagged_entities(
         "reject", F.when(F.col("reject").isNull() & F.col("route_error").isNotNull(), misrouted).otherwise(F.col("reject"))
     )
     checked = check_contract(rows, tables)
-    key_only = F.col("change").isin("delete", "ignored") & (F.col("reject.stage") == "contract")
+    no_table = (F.col("change") == "delete") & (F.col("reject.code") == "TABLE_MISSING")
+    key_only = F.col("change").isin("delete", "ignored") & (F.col("reject.stage") == "contract") & ~no_table
     return checked.withColumn("reject", F.when(~F.coalesce(key_only, F.lit(False)), F.col("reject")))
 
 

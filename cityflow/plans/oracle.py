@@ -47,6 +47,11 @@ SELECT 'U' || user_id AS entityid, tt AS ts_ms, value, event_type AS kind
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY a DESC) AS rn FROM acc) WHERE rn = 1
 """
 
+_STREAM_HISTORIC = f"""
+            WITH {_HOURLY}
+            SELECT 'U' || user_id AS entityid, CASE WHEN rn = 1 THEN hour_ms END AS ts_ms, value, CASE WHEN rn = 1 THEN event_type END AS kind,
+              CASE WHEN rn = 1 THEN 'stored' ELSE 'city DUPLICATE_KEY ' || a END AS outcome FROM r"""
+
 _SANE = "regexp_replace(lower(regexp_replace(trim({0}), '^/|/$', '', 'g')), '[^a-zA-Z0-9_]', '_', 'g')"
 
 _CUSTOMER = """
@@ -428,12 +433,31 @@ def oracle() -> dict[str, str]:
             WITH {_HOURLY}
             SELECT 'U' || user_id AS entityid, count(*) AS entities, count(*) FILTER (WHERE rn = 1) AS written,
               count(*) FILTER (WHERE rn > 1) AS rejected, TRUE AS balanced FROM r GROUP BY user_id""",
-        "stream_historic": f"""
-            WITH {_HOURLY}
-            SELECT CASE WHEN rn = 1 THEN event_type ELSE 'DUPLICATE_KEY' END AS kind,
-              CASE WHEN rn = 1 THEN 'stored' ELSE 'refused' END AS outcome, count(*) AS n FROM r GROUP BY ALL""",
+        "stream_historic": _STREAM_HISTORIC,
+        "stream_outage": _STREAM_HISTORIC,
+        "stream_replay": _LATEST,
+        "repeat_errors_by_tenant": f"""
+            WITH {_HOURLY} SELECT 'city' AS tenant, 'DUPLICATE_KEY' AS code, a AS "offset", 'U' || user_id AS entityid FROM r WHERE rn > 1""",
+        "stream_documents": f"""
+            SELECT 'sth_library' AS database, 'sth_library_' || {_SANE.format('source')} || '_' || lang AS collection, 'D' || doc_id AS entity, n_chars
+            FROM documents""",
+        "stream_error_log": f'WITH {_DEAD} SELECT o_orderkey AS "offset", tenant, error, query FROM dl',
+        "stream_graph": """
+            SELECT p_partkey AS "offset", CASE p_size % 3 WHEN 0 THEN 'exists' WHEN 1 THEN 'HTTP' ELSE 'accepted' END AS outcome,
+              CASE WHEN p_size % 3 = 1 THEN 'graph' END AS tenant FROM part""",
+        "expect_micros": "SELECT event_id, epoch_us(ts) - 1 AS asked_us FROM events",
+        "numeric_rounding": """
+            SELECT 'O' || o_orderkey AS entityid,
+              CASE WHEN o_orderkey % 200 < 95 THEN ((9905 + o_orderkey % 200) // 10) // 10 || '.' || ((9905 + o_orderkey % 200) // 10) % 10 END AS stored,
+              CASE WHEN o_orderkey % 200 >= 95 THEN 'OUT_OF_RANGE' END AS code FROM orders""",
+        "delete_missing_table": f"""
+            WITH {_EVENTS} SELECT a AS "offset", CASE WHEN event_type = 'error' THEN 'delete' ELSE 'update' END AS change, 'TABLE_MISSING' AS code FROM e""",
+        "throughput_5m": """
+            SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, ts)) AS start_ms, epoch_ms(time_bucket(INTERVAL 5 MINUTE, ts)) + 300000 AS end_ms,
+              event_type AS flow, count(*) AS records, count(*) / 300.0 AS rate FROM events GROUP BY ALL""",
+        "graph_slug": f"SELECT conv_id, turn, {_SLUG.format('text')} AS slug FROM conversations",
         "stream_throughput": """
-            SELECT epoch_ms(date_trunc('day', ts)) AS start_ms, 'lastdata' AS flow, count(*) AS records FROM events
+            SELECT epoch_ms(date_trunc('day', ts)) AS start_ms, 'lastdata' AS flow, count(*) AS records, count(*) / 24.0 AS rate FROM events
             WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",
     }
     return sql

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ from cityflow.plans.flows import documents_of, entities_of, flagged_entities, mu
 from cityflow.sources.legacy import normalise_legacy
 from cityflow.sources.raw import FileSource, drop_replayed, read_raw
 from cityflow.sources.render import as_raw, attribute, headers_of, notification
-from cityflow.streaming.jobs import RelationalJob, run_available
+from cityflow.streaming.jobs import DocumentJob, ErrorJob, GraphJob, RelationalJob, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -583,6 +585,25 @@ def numeric_limits(spark, sf_dir):
     return found.groupBy(F.col("v.column").alias("column"), F.col("v.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def numeric_rounding(spark, sf_dir):
+    """Numbers that only rounding to the scale of their column puts out of its range, and what is stored of the others."""
+    value = F.lit(99.0) + (F.col("o_orderkey") % 200) / 100
+    body = notification(F.concat(F.lit("O"), "o_orderkey"), F.lit("Line"), {"n": attribute("Number", value)})
+    table = contract("default._line", {"n": "numeric(3,1)"}, with_time=False)
+    raw = as_raw(A.table(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
+    rows = flagged_entities(raw, catalogue(spark, [table]), "historic", received=A.received())
+    return to_wide(rows, table, ["reject"]).select("entityid", F.col("n").cast("string").alias("stored"), F.col("reject.code").alias("code"))
+
+
+@query
+def delete_missing_table(spark, sf_dir):
+    """Updates and deletes for a table that the catalogue does not have: each is refused and none is lost."""
+    tables = catalogue(spark, [contract("city.other_lastdata", {}, ["entityid"])])
+    rows = flagged_entities(A.events_raw(spark, sf_dir, with_changes=True), tables, "lastdata", received=A.received())
+    return rows.select("offset", "change", F.col("reject.code").alias("code"))
+
+
 @query
 def contract_cast(spark, sf_dir):
     """Prices as whole numbers, reals and exact numbers, rounded the way the columns round."""
@@ -1001,13 +1022,19 @@ def _event_records(spark, sf_dir):
 @query
 def throughput_1m(spark, sf_dir):
     """Events per minute and flow."""
-    return _windows(metrics.throughput(_event_records(spark, sf_dir)))
+    return _windows(metrics.throughput(_event_records(spark, sf_dir), unit_seconds=1.0))
+
+
+@query
+def throughput_5m(spark, sf_dir):
+    """Events per five minutes, as a rate per second."""
+    return _windows(metrics.throughput(_event_records(spark, sf_dir), "5 minutes"))
 
 
 @query
 def throughput_5m_sliding(spark, sf_dir):
     """Events per five minutes, every minute, as a rate per minute."""
-    return _windows(metrics.throughput(_event_records(spark, sf_dir), "5 minutes", "1 minute", per_seconds=5.0))
+    return _windows(metrics.throughput(_event_records(spark, sf_dir), "5 minutes", "1 minute", unit_seconds=60.0))
 
 
 @query
@@ -1116,23 +1143,61 @@ def reconcile_counts(spark, sf_dir):
     return expect.reconcile(rows, inserted, again, ["entityid"])
 
 
+@query
+def expect_micros(spark, sf_dir):
+    """Of two expected rows a microsecond apart, the one that is not met."""
+    events = A.table(spark, sf_dir, "events").select("event_id", "ts")
+    asked = events.select("event_id", F.explode(F.array(F.col("ts"), F.col("ts") - F.expr("interval 1 microsecond"))).alias("ts__lte"))
+    return expect.expect_rows(events, asked, ["event_id"]).select("event_id", F.unix_micros("ts__lte").alias("asked_us"))
+
+
+@query
+def expect_geometry(spark, sf_dir):
+    """Places of parts found again by their geometry; those asked for in the wrong place are missing."""
+    rows = _geojson_entities(spark, sf_dir).where(F.col("wkt").startswith("POINT"))
+    held = rows.select("entityid", F.struct(wkb_from_wkt(F.col("wkt")).alias("wkb"), F.lit(4326).alias("srid")).alias("place"))
+    shifted = F.col("offset") % 3 == 0
+    asked = rows.select("entityid", F.when(shifted, F.lit("POINT (1 1)")).otherwise(F.col("wkt")).alias("place"))
+    return expect.expect_rows(held, asked, ["entityid"]).select("entityid")
+
+
 # ---- streaming ------------------------------------------------------------------------------------
 
 
-def _staged(spark: SparkSession, records: DataFrame, name: str, files: int) -> tuple[str, str]:
+def _staged(spark: SparkSession, name: str) -> tuple[str, str]:
     """(a new folder, a raw table in it) to stream from."""
     root = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    records.repartitionByRange(files, "offset").write.parquet(f"{root}/raw")
     return root, f"{root}/raw"
 
 
+def _arrive(records: DataFrame, raw: str, by: str = "offset", steps: int = 4, files: int = 2) -> None:
+    """Write records so that they arrive in as many steps, each of several files, along a column."""
+    low, high = records.agg(F.min(by), F.max(by)).first()
+    if low is None:
+        records.write.mode("append").parquet(raw)
+        return
+    borders = [low + (high - low) / steps * k if by != "offset" else low + (high - low + 1) * k // steps for k in range(1, steps)]
+    for k in range(steps):
+        part = records
+        if k:
+            part = part.where(F.col(by) >= F.lit(borders[k - 1]))
+        if k < steps - 1:
+            part = part.where(F.col(by) < F.lit(borders[k]))
+        part.repartition(files).write.mode("append").parquet(raw)
+
+
+def _drain(spark: SparkSession, flow: str, raw: str, handle, checkpoint: str) -> None:
+    """Run a job over what has arrived, two files at a time."""
+    run_available(read_raw(spark, flow, FileSource(raw, max_files=2)), handle, checkpoint)
+
+
 @query
 def stream_lastdata(spark, sf_dir):
     """Newest row per user, kept by a stream over several micro-batches."""
-    root, raw = _staged(spark, A.events_raw(spark, sf_dir), "lastdata", 4)
+    root, raw = _staged(spark, "lastdata")
+    _arrive(A.events_raw(spark, sf_dir), raw)
     job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
-    source = FileSource(raw, max_files=2)
-    run_available(read_raw(spark, "lastdata", source), job.handle, f"{root}/checkpoint")
+    _drain(spark, "lastdata", raw, job.handle, f"{root}/checkpoint")
     return _state(job.read(A.user_contract().target))
 
 
@@ -1141,34 +1206,144 @@ def stream_restart(spark, sf_dir):
     """The same, stopped half-way and started again from its checkpoint."""
     records = A.events_raw(spark, sf_dir)
     half = F.col("offset") % 2 == 0
-    root, raw = _staged(spark, records.where(half), "restart", 2)
+    root, raw = _staged(spark, "restart")
     job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
-    run_available(read_raw(spark, "lastdata", FileSource(raw)), job.handle, f"{root}/checkpoint")
-    records.where(~half).repartition(2).write.mode("append").parquet(raw)
-    run_available(read_raw(spark, "lastdata", FileSource(raw)), job.handle, f"{root}/checkpoint")
+    for part in (records.where(half), records.where(~half)):
+        _arrive(part, raw, steps=2)
+        _drain(spark, "lastdata", raw, job.handle, f"{root}/checkpoint")
     return _state(job.read(A.user_contract().target))
 
 
+@query
+def stream_replay(spark, sf_dir):
+    """The same, the second half read by another query into the same table, and all of it once more by a third."""
+    records = A.events_raw(spark, sf_dir)
+    middle = records.agg(F.floor((F.min("offset") + F.max("offset")) / 2)).first()[0]
+    root, raw = _staged(spark, "replay")
+    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
+    for name, part in (("a", records.where(F.col("offset") <= middle)), ("b", records.where(F.col("offset") > middle)), ("c", records)):
+        _arrive(part, f"{raw}/{name}", steps=2)
+        _drain(spark, "lastdata", f"{raw}/{name}", job.handle, f"{root}/checkpoint-{name}")
+    return _state(job.read(A.user_contract().target))
+
+
+def _hourly_events(spark, sf_dir):
+    return A.events_raw(spark, sf_dir, "historic", time=F.date_trunc("hour", F.col("ts")))
+
+
+def _historic_outcome(job: RelationalJob) -> DataFrame:
+    stored = _state(job.read(A.USER_TABLE)).withColumn("outcome", F.lit("stored"))
+    refused = job.errors().select(
+        F.get_json_object("value", "$.id").alias("entityid"),
+        F.lit(None).cast("long").alias("ts_ms"),
+        F.get_json_object(F.get_json_object("value", "$.value"), "$.value").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("kind"),
+        F.concat_ws(" ", "tenant", "code", F.col("seq.offset").cast("string")).alias("outcome"),
+    )
+    return stored.unionByName(refused)
+
+
 @query
 def stream_historic(spark, sf_dir):
-    """First event of each user and hour, and the refused ones, kept by a stream."""
-    records = A.events_raw(spark, sf_dir, "historic", time=F.date_trunc("hour", F.col("ts")))
-    root, raw = _staged(spark, records, "historic", 1)
+    """First event of each user and hour, and the refused ones, kept by a stream whose batches meet earlier ones."""
+    root, raw = _staged(spark, "historic")
+    _arrive(_hourly_events(spark, sf_dir), raw)
     job = RelationalJob(spark, "historic", [A.user_contract("historic")], f"{root}/tables")
-    run_available(read_raw(spark, "historic", FileSource(raw)), job.handle, f"{root}/checkpoint")
-    n = F.count(F.lit(1)).alias("n")
-    stored = job.read(A.USER_TABLE).groupBy("kind").agg(n).withColumn("outcome", F.lit("stored"))
-    refused = job.errors().groupBy(F.col("code").alias("kind")).agg(n).withColumn("outcome", F.lit("refused"))
-    return stored.unionByName(refused)
+    _drain(spark, "historic", raw, job.handle, f"{root}/checkpoint")
+    return _historic_outcome(job)
+
+
+class _BrokenJob(RelationalJob):
+    """Loses its database in the second batch, after the error log and before the table is written."""
+
+    def _apply(self, table, good, batch, query):
+        if batch == 1:
+            raise ConnectionError("the table cannot be reached")
+        super()._apply(table, good, batch, query)
+
+
+@query
+def stream_outage(spark, sf_dir):
+    """The same through an outage: a batch fails half-way and is run again from the checkpoint."""
+    root, raw = _staged(spark, "outage")
+    _arrive(_hourly_events(spark, sf_dir), raw)
+    tables = [A.user_contract("historic")]
+    broken = _BrokenJob(spark, "historic", tables, f"{root}/tables")
+    try:
+        _drain(spark, "historic", raw, broken.handle, f"{root}/checkpoint")
+    except StreamingQueryException:
+        pass
+    job = RelationalJob(spark, "historic", tables, f"{root}/tables")
+    _drain(spark, "historic", raw, job.handle, f"{root}/checkpoint")
+    return _historic_outcome(job)
+
+
+@query
+def repeat_errors_by_tenant(spark, sf_dir):
+    """Repeated events under a data model whose schema is not the tenant: their errors stay with the tenant."""
+    root, raw = _staged(spark, "tenants")
+    _arrive(_hourly_events(spark, sf_dir), raw, steps=1)
+    table = replace(A.user_contract("historic"), target="devices.devices_user")
+    job = RelationalJob(spark, "historic", [table], f"{root}/tables", FlowConfig(datamodel=DM_TYPE_SCHEMA))
+    _drain(spark, "historic", raw, job.handle, f"{root}/checkpoint")
+    return job.errors().select("tenant", "code", "seq.offset", F.get_json_object("value", "$.id").alias("entityid"))
+
+
+@query
+def stream_documents(spark, sf_dir):
+    """Documents built by a stream."""
+    root, raw = _staged(spark, "documents")
+    _arrive(A.documents_raw(spark, sf_dir), raw)
+    job = DocumentJob(spark, root, "sth_")
+    _drain(spark, "mongo", raw, job.handle, f"{root}/checkpoint")
+    return job.read().select(
+        "database",
+        "collection",
+        F.get_json_object("document", "$.entityId").alias("entity"),
+        F.get_json_object("document", "$.nChars").cast("long").alias("n_chars"),
+    )
+
+
+@query
+def stream_error_log(spark, sf_dir):
+    """Error rows of dead letters, kept by a stream."""
+    root, raw = _staged(spark, "errors")
+    _arrive(_dead_letters(spark, sf_dir), raw)
+    job = ErrorJob(spark, root, FlowConfig(prefix="in_"))
+    _drain(spark, "errors", raw, job.handle, f"{root}/checkpoint")
+    return job.read().select("seq.offset", "tenant", "error", "query")
+
+
+def _stand_in(endpoint: str, body: str, timeout_s: float) -> tuple[int, str]:
+    """A server that has some resources already and refuses others, by the size in the mutation."""
+    size = int(body.split("size: ")[1].split(" ")[0].rstrip(","))
+    if size % 3 == 0:
+        return 200, '{"errors":[{"message":"URI x already exists in the graph"}]}'
+    return (400, "no") if size % 3 == 1 else (200, '{"data":{}}')
+
+
+@query
+def stream_graph(spark, sf_dir):
+    """Mutations of parts sent by a stream to a stand-in server: taken, there already, or in the error log."""
+    parts = A.table(spark, sf_dir, "part")
+    members = {"type": F.lit("part"), "externalId": F.concat(F.lit("Part:"), "p_partkey"), "size": F.col("p_size")}
+    root, raw = _staged(spark, "graph")
+    _arrive(A.plain_raw(parts, "sgtr", members, F.col("p_partkey")), raw)
+    job = GraphJob(spark, root, "http://example.org/graph", send=_stand_in, backoff_s=0.0)
+    _drain(spark, "sgtr", raw, job.handle, f"{root}/checkpoint")
+    taken = job.outcomes().where("outcome <> 'failed'").select("seq.offset", "outcome", F.lit(None).cast("string").alias("tenant"))
+    return taken.unionByName(job.errors().select("seq.offset", F.col("code").alias("outcome"), "tenant"))
 
 
 @query
 def stream_throughput(spark, sf_dir):
     """Windowed counts of a stream with a watermark, late records waited for."""
-    root, raw = _staged(spark, A.events_raw(spark, sf_dir), "throughput", 1)
-    counted = metrics.throughput(read_raw(spark, "lastdata", FileSource(raw)), "1 day", watermark="1 hour")
+    root, raw = _staged(spark, "throughput")
+    _arrive(A.events_raw(spark, sf_dir), raw, by="kafka_ts")
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    counted = metrics.throughput(source, "1 day", unit_seconds=3600.0, watermark="1 hour")
     out = f"{root}/out"
     writer = counted.writeStream.outputMode("append").format("parquet").option("path", out)
     writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     closed = spark.read.schema(counted.schema).parquet(out)
-    return closed.select(_ms("window_start").alias("start_ms"), "flow", "records")
+    return closed.select(_ms("window_start").alias("start_ms"), "flow", "records", "rate")

@@ -1,4 +1,4 @@
-"""Streaming jobs: the flows run over micro-batches into maintained tables.
+"""Streaming jobs: the flows run over micro-batches into maintained tables, documents, replies and the error log.
 
 The functions are the ones the batch plans use, called on each micro-batch. A batch that is run again
 gives the same tables, so the delivery is effectively once into the tables of the store. Late rows are
@@ -7,7 +7,7 @@ never dropped: there is no watermark on maintained tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -18,57 +18,71 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cityflow.config import FlowConfig
+from cityflow.config import FlowConfig, GraphConfig
+from cityflow.operators.context import with_headers
 from cityflow.operators.contract import Contract, catalogue, to_wide
-from cityflow.operators.decode import rejected
-from cityflow.operators.errors import rejects_to_error_log
+from cityflow.operators.decode import rejected, rejection
+from cityflow.operators.errors import errors_from_rejected, rejects_to_error_log
+from cityflow.operators.graph import classify_response
 from cityflow.operators.tables import apply_historic, apply_lastdata, apply_mutable
-from cityflow.plans.flows import flagged_entities
-from cityflow.streaming.store import TableStore, day_parts, hash_parts
-
-ERROR_SCHEMA = T.StructType(
-    [
-        T.StructField("tenant", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("error", T.StringType()),
-        T.StructField("query", T.StringType()),
-        T.StructField("stage", T.StringType()),
-        T.StructField("code", T.StringType()),
-        T.StructField(
-            "seq",
-            T.StructType(
-                [
-                    T.StructField("partition", T.IntegerType()),
-                    T.StructField("offset", T.LongType()),
-                    T.StructField("pos", T.IntegerType()),
-                ]
-            ),
-        ),
-    ]
+from cityflow.plans.flows import documents_of, flagged_entities, mutations_of
+from cityflow.streaming.sinks import dispatch, post_json
+from cityflow.streaming.store import TableStore, checkpoint_id, day_parts, hash_parts
+
+ERROR_COLUMNS = (
+    "tenant string, timestamp timestamp, error string, query string, stage string, code string, "
+    "seq struct<partition:int,offset:bigint,pos:int>, value string"
 )
+#: Buckets of the error log, whatever the number of tenants.
+ERROR_PARTS = 16
+
+# A batch handler gets the records, the number of the batch, and the id of the query it is a batch of.
+Handler = Callable[[DataFrame, int, str], None]
 
 
 def start(
     stream: DataFrame,
-    handle: Callable[[DataFrame, int], None],
+    handle: Handler,
     checkpoint: str,
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
     """Run a handler over the micro-batches of a stream; it resumes from the checkpoint."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    spark = stream.sparkSession
+
+    def one_batch(records: DataFrame, batch: int) -> None:
+        handle(records, batch, checkpoint_id(spark, checkpoint))
+
+    writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
 
-def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_available(stream: DataFrame, handle: Handler, checkpoint: str) -> None:
     """Drain what is there now, then stop."""
     start(stream, handle, checkpoint).awaitTermination()
 
 
+def error_store(spark: SparkSession, path: str) -> TableStore:
+    """Where an error log is kept: a fixed number of buckets of tenants."""
+    return TableStore(spark, path, T.StructType.fromDDL(ERROR_COLUMNS), hash_parts(["tenant"], ERROR_PARTS))
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+#: How many offsets of a partition are told apart when a batch is put into the order of commits.
+_OFFSETS = 1 << 40
+
+
 @dataclass
 class RelationalJob:
-    """Keeps the tables of one relational flow (historic, lastdata or mutable) and its error log."""
+    """Keeps the tables of one relational flow (historic, lastdata or mutable) and its error log.
+
+    Tables of the last two flows are stored as changes, in the order of their commits, and folded when they are read
+    and now and then in the store, so a batch costs what it holds and not what the table holds.
+    """
 
     spark: SparkSession
     flow: str
@@ -76,41 +90,64 @@ class RelationalJob:
     root: str
     config: FlowConfig = field(default_factory=FlowConfig)
     partial: bool = True
-    parts: int = 64
+    # Buckets of a table, or of each by its target.
+    parts: int | Mapping[str, int] = 64
     # Tables of a batch that are written at the same time.
     parallel: int = 4
     # Receipt time of a batch.
-    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+    clock: Callable[[], datetime] = _now
 
     def store(self, table: Contract) -> TableStore:
         """Where one table is kept."""
-        schema = T.StructType([T.StructField(c.name, T._parse_datatype_string(c.spark_type)) for c in table.columns])
+        fields = [f"`{c.name}` {c.spark_type}" for c in table.columns]
+        path = f"{self.root}/{self.flow}/{table.target}"
         key = table.key or ["entityid"]
-        by_day = self.flow == "historic" and "timeinstant" in table.names
-        part = day_parts() if by_day else hash_parts([k for k in key if k == "entityid"] or key, self.parts)
-        return TableStore(self.spark, f"{self.root}/{self.flow}/{table.target}", schema, part)
+        if self.flow == "historic":
+            part = day_parts() if "timeinstant" in table.names else hash_parts(key, self._buckets(table))
+            return TableStore(self.spark, path, T.StructType.fromDDL(", ".join(fields)), part)
+        control = ["seq struct<partition:int,offset:bigint,pos:int>", "change string", "present array<string>"]
+        part = hash_parts([k for k in key if k == "entityid"] or key, self._buckets(table))
+        schema = T.StructType.fromDDL(", ".join([*fields, *control]))
+        return TableStore(self.spark, path, schema, part, lambda rows: self._as_changes(table, self._state(table, rows)))
+
+    def _buckets(self, table: Contract) -> int:
+        return self.parts if isinstance(self.parts, int) else self.parts.get(table.target, 64)
+
+    def _state(self, table: Contract, changes: DataFrame) -> DataFrame:
+        """Rows of a table of which all changes are given."""
+        if self.flow == "lastdata":
+            return apply_lastdata(None, changes, ["entityid"], partial=self.partial).select(*table.names)
+        return apply_mutable(None, changes.drop("change"), table.key, partial=self.partial).select(*table.names)
+
+    def _as_changes(self, table: Contract, rows: DataFrame) -> DataFrame:
+        """Rows of a table as changes older than any other."""
+        zero = F.lit(0)
+        seq = F.struct(zero.alias("partition"), F.lit(0).cast("long").alias("offset"), zero.alias("pos"))
+        present = F.array(*[F.lit(c) for c in table.names])
+        return rows.select(*table.names, seq.alias("seq"), F.lit("update").alias("change"), present.alias("present"))
 
     @property
     def error_store(self) -> TableStore:
         """Where the error log is kept."""
-        return TableStore(
-            self.spark,
-            f"{self.root}/{self.flow}/_error_log",
-            ERROR_SCHEMA,
-            F.regexp_replace("tenant", "[^A-Za-z0-9_]", "_"),
-        )
+        return error_store(self.spark, f"{self.root}/{self.flow}/_error_log")
 
     def read(self, target: str) -> DataFrame:
         """Rows of a table as of the last committed batch."""
-        return self.store(next(c for c in self.contracts if c.target == target)).read()
+        table = next(c for c in self.contracts if c.target == target)
+        rows = self.store(table).read()
+        return rows if self.flow == "historic" else self._state(table, rows)
 
     def errors(self) -> DataFrame:
         """Error log as of the last committed batch."""
         return self.error_store.read()
 
-    def handle(self, records: DataFrame, batch: int) -> None:
-        """Apply one micro-batch."""
-        if self.error_store.committed(batch):
+    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
+        """Apply one micro-batch: the error log first, then the tables, and last the note that all is done.
+
+        What a batch that is run again finds done it does not do again.
+        """
+        log_store = self.error_store
+        if log_store.committed(query, batch):
             return
         # One receipt time per batch, fixed here so that work done again gives the same rows.
         received = F.lit(self.clock()).cast("timestamp")
@@ -120,54 +157,165 @@ class RelationalJob:
             StorageLevel.MEMORY_AND_DISK
         )
         try:
-            good = entities.where(F.col("reject").isNull())
+            good = entities.where(F.col("reject").isNull() & (F.col("change") != "ignored"))
+            # Accepted rows belong to tables of the catalogue, so there are no more names than it has.
             present = {r[0] for r in good.select("target").distinct().collect()}
             busy = [c for c in self.contracts if c.target in present]
+            logged = f"{query}/log"
+            if not log_store.committed(logged, batch):
+                logs = [rejected(entities).where(F.col("reject.code") != "NO_ENTITIES")]
+                if self.flow == "historic":
+                    logs += [self._historic(c, good)[1] for c in busy if c.key]
+                log_store.commit(logged, batch, rejects_to_error_log(*logs, now=received))
             with ThreadPoolExecutor(self.parallel) as pool:
-                refused = list(pool.map(lambda c: self._apply(c, good, batch), busy))
-            logs = [rejected(entities).where(F.col("reject.code") != "NO_ENTITIES")]
-            logs += [r for r in refused if r is not None]
-            log = rejects_to_error_log(*logs, now=received)
-            store = self.error_store
-            # Last of all, so that a batch without this commit is run again as a whole.
-            store.commit(batch, log, store.touched(log), append=True)
+                list(pool.map(lambda c: self._apply(c, good, batch, query), busy))
+            log_store.commit(query, batch, None)
         finally:
             entities.unpersist()
 
-    def _apply(self, table: Contract, good: DataFrame, batch: int) -> DataFrame | None:
-        keep = ["seq", "change", "service", "target_schema", "target_table"]
-        rows = to_wide(good.where(F.col("target") == table.target), table, keep)
+    def _historic(self, table: Contract, good: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows to append and repeated ones, which keep their tenant, place and content for the log."""
+        origin = F.struct("service", "target_schema", "target_table", F.to_json("entity").alias("value"))
+        here = good.where(F.col("target") == table.target).withColumn("_origin", origin)
+        rows = to_wide(here, table, ["seq", "_origin"]).drop("present")
         store = self.store(table)
+        inserted, again = apply_historic(store.read(store.touched(rows)), rows, table.key, ["_origin"])
+        return inserted, again.select("seq", "reject", "_origin.*")
+
+    def _apply(self, table: Contract, good: DataFrame, batch: int, query: str) -> None:
+        store = self.store(table)
+        held = store.manifest()
+        if store.committed(query, batch, held):
+            return
         if self.flow == "historic":
-            touched = store.touched(rows)
-            # Batches before this one: when the batch is run again its own rows are not "already there".
-            current = store.read(touched) if not store.committed(batch) else self._before(store, touched, batch)
-            plain = rows.drop("present", "change", "service", "target_schema", "target_table")
-            inserted, again = apply_historic(current.select(*plain.drop("seq").columns), plain, table.key)
-            store.commit(batch, inserted, touched, append=True)
-            if not table.key:
-                return None
-            schema, name = table.target.split(".", 1)
-            return again.withColumns(
-                {"service": F.lit(schema), "target_schema": F.lit(schema), "target_table": F.lit(name)}
+            store.commit(query, batch, self._historic(table, good)[0])
+            return
+        rows = to_wide(good.where(F.col("target") == table.target), table, ["seq", "change"])
+        # Batches are in the order of their commits, then by where their records come from.
+        order = F.struct(
+            F.lit(held["version"] + 1).alias("partition"),
+            (F.col("seq.partition").cast("long") * _OFFSETS + F.col("seq.offset")).alias("offset"),
+            F.col("seq.pos").alias("pos"),
+        )
+        store.commit(query, batch, rows.withColumn("seq", order))
+
+
+@dataclass
+class DocumentJob:
+    """Writes the documents of a flow, one folder per database and collection."""
+
+    spark: SparkSession
+    root: str
+    prefix: str = ""
+    clock: Callable[[], datetime] = _now
+
+    @property
+    def store(self) -> TableStore:
+        """Where documents are kept: buckets of their namespace."""
+        schema = T.StructType.fromDDL("database string, collection string, document string")
+        return TableStore(self.spark, f"{self.root}/documents", schema, hash_parts(["database", "collection"]))
+
+    def read(self) -> DataFrame:
+        """Documents as of the last committed batch."""
+        return self.store.read()
+
+    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
+        """Add the documents of one micro-batch."""
+        store = self.store
+        if not store.committed(query, batch):
+            received = F.lit(self.clock()).cast("timestamp")
+            store.commit(query, batch, documents_of(records, self.prefix, received))
+
+
+@dataclass
+class ErrorJob:
+    """Turns dead letters into rows of the error log."""
+
+    spark: SparkSession
+    root: str
+    config: FlowConfig = field(default_factory=FlowConfig)
+    clock: Callable[[], datetime] = _now
+
+    @property
+    def store(self) -> TableStore:
+        """Where the error log is kept."""
+        return error_store(self.spark, f"{self.root}/_error_log")
+
+    def read(self) -> DataFrame:
+        """Error log as of the last committed batch."""
+        return self.store.read()
+
+    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
+        """Add the error rows of one micro-batch of dead letters."""
+        store = self.store
+        if store.committed(query, batch):
+            return
+        received = F.lit(self.clock()).cast("timestamp")
+        found = errors_from_rejected(with_headers(records, keep_case=True), self.config, received)
+        seq = F.struct("partition", "offset", F.lit(0).alias("pos"))
+        store.commit(
+            query,
+            batch,
+            found.select("tenant", "timestamp", "error", "query", F.lit("sink").alias("stage"), F.lit("DEAD_LETTER").alias("code"), seq.alias("seq"), "value"),
+        )
+
+
+@dataclass
+class GraphJob:
+    """Sends the mutations of the graph flow; what the server does not take goes to the error log.
+
+    Replies are written before they are judged, so a batch sends once unless its write fails half-way; the server
+    then answers that what it has is there already, which counts as taken.
+    """
+
+    spark: SparkSession
+    root: str
+    endpoint: str
+    config: GraphConfig = field(default_factory=GraphConfig)
+    send: Callable[[str, str, float], tuple[int, str]] = post_json
+    parallel: int | None = None
+    retries: int = 1
+    backoff_s: float = 0.5
+    clock: Callable[[], datetime] = _now
+
+    @property
+    def replies(self) -> TableStore:
+        """Where replies are kept."""
+        schema = T.StructType.fromDDL(
+            "service string, seq struct<partition:int,offset:bigint,pos:int>, query string, status int, body string, "
+            "attempts int, origin string"
+        )
+        return TableStore(self.spark, f"{self.root}/replies", schema, hash_parts(["origin"], 16))
+
+    @property
+    def error_store(self) -> TableStore:
+        """Where the error log is kept."""
+        return error_store(self.spark, f"{self.root}/_error_log")
+
+    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
+        """Send one micro-batch and log what failed."""
+        log_store = self.error_store
+        if log_store.committed(query, batch):
+            return
+        origin = f"{query}-{batch}"
+        store = self.replies
+        if not store.committed(query, batch):
+            sent = dispatch(
+                mutations_of(records, self.config), self.endpoint, self.send,
+                retries=self.retries, backoff_s=self.backoff_s, parallel=self.parallel,
             )
-        if store.committed(batch):
-            return None
-        touched = store.touched(rows)
-        changes = rows.drop("service", "target_schema", "target_table")
-        current = store.read(touched)
-        if self.flow == "lastdata":
-            state = apply_lastdata(current, changes, ["entityid"], partial=self.partial)
-        else:
-            state = apply_mutable(current, changes.drop("change"), table.key, partial=self.partial)
-        store.commit(batch, state, touched)
-        return None
+            store.commit(query, batch, sent.withColumn("origin", F.lit(origin)))
+        judged = classify_response(store.read().where(F.col("origin") == origin))
+        failed = judged.where(F.col("outcome") == "failed").select(
+            "service", "seq", F.col("query").alias("value"), rejection("dispatch", "HTTP", F.col("error")).alias("reject")
+        )
+        received = F.lit(self.clock()).cast("timestamp")
+        log_store.commit(query, batch, rejects_to_error_log(failed, now=received))
 
-    def _before(self, store: TableStore, touched: Sequence[str], batch: int) -> DataFrame:
-        held = store.manifest()
-        paths = [
-            f"{store.path}/data/v={v}/part={p}" for p in touched for v in held.get(p, []) if v < batch
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], store.schema)
-        return self.spark.read.schema(store.schema).parquet(*paths)
+    def outcomes(self) -> DataFrame:
+        """All replies with what they mean."""
+        return classify_response(self.replies.read())
+
+    def errors(self) -> DataFrame:
+        """Error log as of the last committed batch."""
+        return self.error_store.read()

@@ -77,26 +77,52 @@ class JdbcSink:
     batch_size: int = 5000
 
 
+def quoted(name: str) -> str:
+    """A table name with its schema, each part quoted."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split(".", 1))
+
+
+def delete_statement(table: Contract, staging: str) -> str:
+    """Statement that removes the rows whose keys are in a staging table."""
+    target, held = quoted(table.target), quoted(staging)
+    same = " AND ".join(f'{target}."{c}" = {held}."{c}"' for c in table.key)
+    return f"DELETE FROM {target} USING {held} WHERE {same}"
+
+
+def last_per_key(rows: DataFrame, table: Contract) -> DataFrame:
+    """The last row of each key by `seq`, where rows have one; an aggregate that combines before its shuffle."""
+    if not table.key or "seq" not in rows.columns:
+        return rows
+    last = F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.col("seq"))
+    return rows.groupBy(*table.key).agg(last.alias("_row")).select("_row.*")
+
+
 def upsert_statement(table: Contract, staging: str, newer: str | None = None) -> str:
     """Statement that applies a staging table: insert, or update on a key conflict.
 
-    With `newer` the update only happens when that column grows. Needs one staging row per key.
+    With `newer` the update only happens when that column grows, or where either row has none. Needs one
+    staging row per key.
     """
     columns = ", ".join(f'"{c}"' for c in table.names)
-    statement = f"INSERT INTO {table.target} ({columns}) SELECT {columns} FROM {staging}"
+    target = quoted(table.target)
+    statement = f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {quoted(staging)}"
     if not table.key:
         return statement
     keys = ", ".join(f'"{c}"' for c in table.key)
     sets = ", ".join(f'"{c}" = excluded."{c}"' for c in table.names if c not in table.key)
-    guard = f' WHERE excluded."{newer}" > {table.target}."{newer}"' if newer else ""
+    guard = ""
+    if newer:
+        held, new = f'{target}."{newer}"', f'excluded."{newer}"'
+        guard = f" WHERE {new} > {held} OR {new} IS NULL OR {held} IS NULL"
     return f"{statement} ON CONFLICT ({keys}) DO UPDATE SET {sets}{guard}"
 
 
 def write_jdbc(rows: DataFrame, sink: JdbcSink, table: Contract, newer: str | None = None) -> str:
-    """Load rows of one table into its staging table and apply it; returns the statement."""
+    """Load rows of one table, one per key, into its staging table and apply it; returns the statement."""
     staging = f"{table.target}_staging"
     (
-        rows.select(*table.names)
+        last_per_key(rows, table)
+        .select(*table.names)
         .write.format("jdbc")
         .options(url=sink.url, dbtable=staging, batchsize=str(sink.batch_size), truncate="true", **sink.options)
         .mode("overwrite")

@@ -1,68 +1,96 @@
-"""Maintained tables as Parquet folders with one committed version per batch.
-
-A table is split into parts (hash buckets of the key, or days). A batch writes only the parts it
-touches into a folder of its own, then commits by creating one small manifest that says which batches
-hold the rows of which part. Readers see the last manifest, so a batch is there whole or not at all,
-and a batch that is run again after its commit is skipped. All files live where every executor reaches
-them, through the file system API Spark itself uses.
+"""Maintained tables as Parquet folders with small manifests.
+
+A table is split into parts (hash buckets of the key, or days). A batch adds a file of its rows to the parts it
+touches, whatever the table holds, and commits with one manifest that says which folders make up a
+part. Readers see the last manifest, so a batch is there whole or not at all. A manifest also says which batch
+of which query came last: batch numbers mean something within one checkpoint only, so a batch that is run again
+is skipped, and one of another query is not. Many small files of a part are put together now and then, and
+folders that no recent manifest names are deleted. All files live where every executor reaches them, through
+the file system API Spark itself uses.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folders of a part, of about the same size, that are put together to one.
+MERGE = 8
+#: Times a row is merged before its part is folded, where a table has a fold.
+FOLD_AFTER = 2
+#: Manifests that are kept, for readers that started with an older one.
+KEEP = 10
+_BASE = 1_000
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """File system and location of a path."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, location = hadoop_path(spark, path)
+    stream = fs.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query a checkpoint belongs to; another checkpoint, or a new one in its place, has another."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata").splitlines()[-1])["id"]
+
 
 @dataclass(frozen=True)
 class TableStore:
     """One maintained table.
 
-    `part` is the expression that assigns a row to a part; its values must be fit for folder names.
+    `part` is the expression that assigns a row to a part; its values must be fit for folder names. `fold` turns
+    all rows of some parts into fewer that read the same.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     part: Column
-
-    def _hadoop(self, path: str):
-        location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()), location
+    fold: Callable[[DataFrame], DataFrame] | None = None
 
     def _listing(self, path: str) -> list[str]:
-        fs, location = self._hadoop(path)
+        fs, location = hadoop_path(self.spark, path)
         return sorted(s.getPath().getName() for s in fs.listStatus(location)) if fs.exists(location) else []
 
-    def _manifests(self) -> list[str]:
-        return [n for n in self._listing(f"{self.path}/_manifests") if n.endswith(".json") and n[0].isdigit()]
+    def _versions(self) -> list[int]:
+        return [int(n[:-5]) for n in self._listing(f"{self.path}/_manifests") if n.endswith(".json")]
 
-    def manifest(self) -> dict[str, list[int]]:
-        """Batches that hold the rows of each part, as of the last commit."""
-        names = self._manifests()
-        if not names:
-            return {}
-        fs, location = self._hadoop(f"{self.path}/_manifests/{names[-1]}")
-        stream = fs.open(location)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+    def _load(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/_manifests/{version:020d}.json"))
 
-    def committed(self, batch: int) -> bool:
-        """Whether the batch, or a later one, is in the table."""
-        names = self._manifests()
-        return bool(names) and int(names[-1].split(".")[0]) >= batch
+    def manifest(self) -> dict:
+        """Last commit: `version`, `parts` (part to its folders, each with how often it was merged), `done` (query to batch)."""
+        versions = self._versions()
+        return self._load(versions[-1]) if versions else {"version": 0, "parts": {}, "done": {}}
 
-    def read(self, parts: Iterable[str] | None = None) -> DataFrame:
-        """Rows of the table, or of some of its parts."""
-        held = self.manifest()
-        wanted = held if parts is None else {p: held[p] for p in parts if p in held}
-        paths = [f"{self.path}/data/v={v}/part={p}" for p, versions in wanted.items() for v in versions]
+    def committed(self, query: str, batch: int, held: dict | None = None) -> bool:
+        """Whether the batch of the query, or a later one, is in the table."""
+        return (held or self.manifest())["done"].get(query, -1) >= batch
+
+    def read(self, parts: Iterable[str] | None = None, held: dict | None = None) -> DataFrame:
+        """Stored rows of the table, or of some of its parts."""
+        known = (held or self.manifest())["parts"]
+        wanted = known if parts is None else {p: known[p] for p in parts if p in known}
+        return self._rows({p: [name for name, _ in entries] for p, entries in wanted.items()})
+
+    def _rows(self, folders: dict[str, list[str]]) -> DataFrame:
+        paths = [f"{self.path}/data/{name}/part={p}" for p, names in folders.items() for name in names]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -71,36 +99,83 @@ class TableStore:
         """Parts the rows belong to (at most as many as the table has)."""
         return [r[0] for r in rows.select(self.part.cast("string")).distinct().collect()]
 
-    def commit(self, batch: int, rows: DataFrame, touched: Sequence[str], append: bool = False) -> None:
-        """Write `rows` as the new content of the touched parts, or as more rows of theirs."""
-        if self.committed(batch):
-            return
-        target = f"{self.path}/data/v={batch}"
+    def _write(self, rows: DataFrame) -> tuple[str, list[str]]:
+        name = uuid.uuid4().hex
         # Rows of a part go together, and parts too big for a task are split at run time.
         placed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], self.part.alias("part"))
-        placed.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "part"
-        ).parquet(target)
-        written = {n[5:] for n in self._listing(target) if n.startswith("part=")}
+        placed.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.path}/data/{name}")
+        return name, [n[5:] for n in self._listing(f"{self.path}/data/{name}") if n.startswith("part=")]
+
+    def commit(self, query: str, batch: int, rows: DataFrame | None) -> None:
+        """Add the rows of a batch, or only note that it is done; the work does not grow with the table."""
         held = self.manifest()
-        for part in touched:
-            older = held.pop(part, [])
-            versions = (older if append else []) + ([batch] if part in written else [])
-            if versions:
-                held[part] = versions
-        self._publish(batch, held)
-
-    def _publish(self, batch: int, manifest: dict[str, list[int]]) -> None:
-        final = f"{self.path}/_manifests/{batch:020d}.json"
-        fs, draft = self._hadoop(f"{self.path}/_manifests/_draft-{batch}")
+        if self.committed(query, batch, held):
+            return
+        if rows is not None:
+            name, written = self._write(rows)
+            for part in written:
+                held["parts"].setdefault(part, []).append([name, 0])
+        held["done"][query] = batch
+        self._publish(held)
+        self._compact()
+
+    def _compact(self) -> None:
+        """Puts the newest folders of a part together where enough of them were merged equally often."""
+        held = self.manifest()
+        merge: dict[str, list] = {}
+        folded: dict[str, list] = {}
+        for part, entries in held["parts"].items():
+            times = entries[-1][1]
+            tail = [e for e in entries if e[1] == times]
+            if len(tail) < MERGE or times >= _BASE:
+                continue
+            if self.fold and times + 1 >= FOLD_AFTER:
+                folded[part] = entries
+            else:
+                merge[part] = tail
+        for chosen, fold in ((merge, None), (folded, self.fold)):
+            if not chosen:
+                continue
+            rows = self._rows({p: [name for name, _ in entries] for p, entries in chosen.items()})
+            name, written = self._write(fold(rows) if fold else rows)
+            for part, entries in chosen.items():
+                left = [e for e in held["parts"][part] if e not in entries]
+                # Folded rows are older than all others; merged ones take the place of the newest.
+                new = [[name, _BASE if fold else entries[-1][1] + 1]] if part in written else []
+                held["parts"][part] = left + new
+                if not held["parts"][part]:
+                    del held["parts"][part]
+        if merge or folded:
+            self._publish(held)
+        self._clean()
+
+    def _publish(self, manifest: dict) -> None:
+        """The manifest as the next version; fails if another writer has published it."""
+        manifest["version"] += 1
+        fs, draft = hadoop_path(self.spark, f"{self.path}/_manifests/_draft-{uuid.uuid4().hex}")
         stream = fs.create(draft, True)
         try:
             stream.write(bytearray(json.dumps(manifest).encode()))
         finally:
             stream.close()
-        _, destination = self._hadoop(final)
-        if not fs.rename(draft, destination):
-            raise RuntimeError(f"batch {batch} of {self.path} was committed by another writer")
+        _, final = hadoop_path(self.spark, f"{self.path}/_manifests/{manifest['version']:020d}.json")
+        if not fs.rename(draft, final):
+            fs.delete(draft, False)
+            raise RuntimeError(f"version {manifest['version']} of {self.path} was committed by another writer")
+
+    def _clean(self) -> None:
+        """Deletes old manifests, and folders that only they name."""
+        versions = self._versions()
+        if len(versions) <= 2 * KEEP:
+            return
+        named = lambda vs: {name for v in vs for entries in self._load(v)["parts"].values() for name, _ in entries}
+        old, recent = versions[:-KEEP], versions[-KEEP:]
+        for name in named(old) - named(recent):
+            fs, location = hadoop_path(self.spark, f"{self.path}/data/{name}")
+            fs.delete(location, True)
+        for version in old:
+            fs, location = hadoop_path(self.spark, f"{self.path}/_manifests/{version:020d}.json")
+            fs.delete(location, False)
 
 
 def hash_parts(keys: Sequence[str], parts: int = 64) -> Column:

@@ -9,19 +9,20 @@ from cityflow.config import DM_TYPE_SCHEMA, FlowConfig, GraphConfig
 from cityflow.functions.geometry import wkb_from_wkt, wkt_from_geojson, wkt_to_wkb
 from cityflow.functions.graphtext import mutation_value, number_of, slug_last_part, slug_of
 from cityflow.operators.context import with_headers
-from cityflow.operators.contract import contract, evolve
+from cityflow.operators.contract import catalogue, contract, evolve
 from cityflow.operators.errors import errors_from_rejected
 from cityflow.operators.expect import backlog_complete, expect_absent, expect_rows
 from cityflow.operators.graph import classify_response
-from cityflow.operators.metrics import observe_flow, pipeline_snapshot
+from cityflow.operators.metrics import observe_flow, pipeline_snapshot, throughput
 from cityflow.operators.routing import route
-from cityflow.plans.flows import entities_of, mutations_of
+from cityflow.plans.flows import entities_of, flagged_entities, mutations_of
 from cityflow.sources.raw import FileSource, KafkaSource, read_raw
 from cityflow.streaming.jobs import RelationalJob, run_available
-from cityflow.streaming.sinks import dispatch, publish, upsert_statement, write_documents, write_error_log, write_routed
+from cityflow.streaming.store import KEEP, MERGE, TableStore, checkpoint_id, hash_parts
+from cityflow.streaming.sinks import delete_statement, dispatch, last_per_key, publish, quoted, upsert_statement, write_documents, write_error_log, write_routed
 
 GEOMETRIES = [
-    ({"type": "Point", "coordinates": [34.5555, -3.67778]}, "POINT (34.5555 -3.67778)"),
+    ({"type": "Point", "coordinates": [12.0625, -7.25]}, "POINT (12.0625 -7.25)"),
     ({"type": "point", "coordinates": [1.0, 2e-06]}, "POINT (1 0.000002)"),
     ({"type": "Point", "coordinates": [1, 2, 3]}, "POINT Z (1 2 3)"),
     ({"type": "LineString", "coordinates": [[1, 2], [3, 4.5]]}, "LINESTRING (1 2, 3 4.5)"),
@@ -78,7 +79,7 @@ def test_mutations(spark):
             {"type": "hotel", "externalId": "Hotel:1", "alterationType": {"value": "ENTITYCHANGE"}},
         ]
     }
-    config = GraphConfig(prefix="kg_", suffix="_prd", staging=True, fallback_to_service=True)
+    config = GraphConfig(prefix="kg_", suffix="_prd", staging=True, fallback_to_service=True, resource_base="http://example.org/")
     rows = mutations_of(raw_rows(spark, [body], "sgtr", HEADERS), config).orderBy("entity_pos").collect()
     assert rows[0].query == (
         'mutation { createHotel(dti: "kg_test_prd", input: { object: { externalId: "Hotel:1", stars: 4, '
@@ -87,7 +88,7 @@ def test_mutations(spark):
     assert 'object: { externalId: "L:1", n: 1, asWkt: "POINT (1 2)" }' in rows[1].query
     assert 'object: { externalId: "L:2", asWkt: null }' in rows[2].query
     assert rows[3].query == (
-        'mutation { deleteData(dti: "kg_test_prd", uris: ["http://datos.segittur.es/kg_test_prd/resource/Hotel:1"], staging: true) }'
+        'mutation { deleteData(dti: "kg_test_prd", uris: ["http://example.org/kg_test_prd/resource/Hotel:1"], staging: true) }'
     )
     assert rows[4].query.startswith("mutation { updateHotel(")
 
@@ -186,7 +187,12 @@ def test_statements_and_source_options():
     table = contract("s.t", {"v": "text"}, ["entityid"])
     statement = upsert_statement(table, "s.t_staging", "timeinstant")
     assert 'ON CONFLICT ("entityid") DO UPDATE SET' in statement
-    assert statement.endswith('WHERE excluded."timeinstant" > s.t."timeinstant"')
+    held, new = '"s"."t"."timeinstant"', 'excluded."timeinstant"'
+    assert statement.endswith(f"WHERE {new} > {held} OR {new} IS NULL OR {held} IS NULL")
+    assert delete_statement(table, "s.t_staging") == (
+        'DELETE FROM "s"."t" USING "s"."t_staging" WHERE "s"."t"."entityid" = "s"."t_staging"."entityid"'
+    )
+    assert quoted('a.b"c') == '"a"."b""c"'
     options = KafkaSource("b:9092", prefix="in_", max_offsets=10).reader_options("historic", True)
     assert options["subscribe"] == "in_raw_historic" and options["maxOffsetsPerTrigger"] == "10"
     assert options["startingOffsets"] == "earliest" and options["includeHeaders"] == "true"
@@ -230,7 +236,8 @@ def test_stream_keeps_lastdata_over_restarts(spark):
     assert {(r.entityid, r.temperature) for r in job.read(table.target).collect()} == {("s1", 5.0), ("s2", 4.0)}
     assert sorted(r.code for r in job.errors().collect()) == ["BAD_JSON", "TYPE_MISMATCH"]
     # A batch that is run again after its commit changes nothing.
-    job.handle(raw_rows(spark, [_sensor(1, 100.0, 59)], "lastdata", HEADERS), 2)
+    query = checkpoint_id(spark, f"{job.root}/../checkpoint")
+    job.handle(raw_rows(spark, [_sensor(1, 100.0, 59)], "lastdata", HEADERS), 2, query)
     assert {(r.entityid, r.temperature) for r in job.read(table.target).collect()} == {("s1", 5.0), ("s2", 4.0)}
 
 
@@ -246,3 +253,85 @@ def test_stream_keeps_mutable(spark):
     table = contract("test.date_sensor_mutable", {"temperature": "double precision"}, ["entityid", "timeinstant"])
     job = _stream(spark, "mutable", [[_sensor(1, 1.0, 1), _sensor(1, 2.0, 1)], [_sensor(1, 3.0, 1), _sensor(1, 4.0, 2)]], table)
     assert sorted(r.temperature for r in job.read(table.target).collect()) == [3.0, 4.0]
+
+
+def test_another_checkpoint_is_another_query(spark):
+    """Batches of a new checkpoint are not taken for those of an old one."""
+    table = contract("test.date_sensor_mutable", {"temperature": "double precision"}, ["entityid", "timeinstant"])
+    job = _stream(spark, "mutable", [[_sensor(1, 1.0, 1)], [_sensor(2, 2.0, 1)]], table)
+    raw_rows(spark, [_sensor(3, 3.0, 1)], "mutable", HEADERS, 1).write.parquet(f"{job.root}/other")
+    stream = read_raw(spark, "mutable", FileSource(f"{job.root}/other", max_files=1))
+    run_available(stream, job.handle, f"{job.root}/checkpoint-2")
+    assert sorted(r.temperature for r in job.read(table.target).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_deletes_come_before_later_batches_however_they_are_stored(spark, monkeypatch):
+    """Changes give the same rows before and after they are merged and folded."""
+    monkeypatch.setattr("cityflow.streaming.store.MERGE", 2)
+    table = contract("test.date_sensor_lastdata", {"temperature": "double precision"}, ["entityid"])
+    job = RelationalJob(spark, "lastdata", [table], f"{tempfile.mkdtemp()}/tables", parts=2)
+    steps = [
+        ([_sensor(1, 1.0, 30), _sensor(2, 2.0, 10)], {"s1": 1.0, "s2": 2.0}),
+        ([_sensor(1, 0.0, 31, "entityDelete")], {"s2": 2.0}),
+        ([_sensor(1, 3.0, 5)], {"s1": 3.0, "s2": 2.0}),
+        ([_sensor(2, 4.0, 9)], {"s1": 3.0, "s2": 2.0}),
+        ([_sensor(1, 5.0, 4), _sensor(2, 6.0, 11)], {"s1": 3.0, "s2": 6.0}),
+        ([_sensor(2, 0.0, 12, "entityDelete"), _sensor(1, 7.0, 40)], {"s1": 7.0}),
+        ([_sensor(2, 8.0, 1)], {"s1": 7.0, "s2": 8.0}),
+    ]
+    for batch, (bodies, expected) in enumerate(steps):
+        job.handle(raw_rows(spark, bodies, "lastdata", HEADERS), batch)
+        assert {r.entityid: r.temperature for r in job.read(table.target).collect()} == expected, batch
+
+
+def test_a_batch_costs_what_it_holds(spark, tmp_path):
+    """A small batch adds small files to a large table, and files and manifests stay few over many batches."""
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k long, v string").schema
+    store = TableStore(spark, path, schema, hash_parts(["k"], 2))
+
+    def size():
+        return sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+
+    store.commit("q", 0, spark.range(200_000).selectExpr("id AS k", "sha2(string(id), 256) AS v"))
+    large = size()
+    for batch in range(1, 3 * MERGE + 2 * KEEP + 2):
+        before = size()
+        store.commit("q", batch, spark.createDataFrame([(batch, "x")], "k long, v string"))
+        if batch < MERGE:
+            assert size() - before < large / 100
+    assert store.read().count() == 200_000 + batch
+    held = store.manifest()
+    assert all(len(entries) <= 3 * MERGE for entries in held["parts"].values())
+    assert len(list((tmp_path / "table" / "_manifests").glob("*.json"))) <= 2 * KEEP + 2
+    assert len(list((tmp_path / "table" / "data").iterdir())) <= 2 * KEEP + 4 * MERGE
+    # What is run again is not added again; another query's batch of that number is.
+    store.commit("q", batch, spark.createDataFrame([(0, "again")], "k long, v string"))
+    assert store.read().count() == 200_000 + batch
+    store.commit("other", 0, spark.createDataFrame([(0, "new")], "k long, v string"))
+    assert store.read().count() == 200_001 + batch
+
+
+def test_one_staging_row_per_key(spark):
+    table = contract("s.t", {"v": "double precision"}, ["entityid"], with_time=False)
+    rows = spark.createDataFrame([("a", 1.0, (0, 1, 0)), ("a", 2.0, (0, 2, 0)), ("b", 3.0, (0, 0, 0))], "entityid string, v double, seq struct<partition:int,offset:bigint,pos:int>")
+    assert {(r.entityid, r.v) for r in last_per_key(rows, table).collect()} == {("a", 2.0), ("b", 3.0)}
+
+
+def test_catalogue_is_broadcast_and_entities_stay_where_they_are(spark, tmp_path):
+    """On a file source the contract check shuffles no entity."""
+    raw_rows(spark, [_sensor(1, 1.0, 1)], "historic", HEADERS).write.parquet(str(tmp_path / "raw"))
+    table = contract("test.date_sensor", {"temperature": "double precision"}, ["entityid", "timeinstant"])
+    rows = flagged_entities(read_raw(spark, "historic", FileSource(str(tmp_path / "raw")), streaming=False), catalogue(spark, [table]), "historic")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(target" not in plan
+
+
+def test_sliding_counts_are_made_before_they_are_spread(spark):
+    rows = spark.range(100).selectExpr("timestamp_seconds(id * 30) AS kafka_ts", "'f' AS flow")
+    direct = throughput(rows, "90 seconds", "1 minute")
+    counted = throughput(rows, "5 minutes", "1 minute")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate")
+    assert {r.rate for r in counted.collect()} <= {r / 300 for r in (2, 4, 6, 8, 10)}
+    assert sum(r.records for r in direct.collect()) > 100
