@@ -46,13 +46,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: `spark.checkpoint.dir`, which a session without one gets in
-    its warehouse, the other place that all of its executors share."""
+    """Shared folder for intermediate tables: `spark.checkpoint.dir`, or where that is unset one in the
+    warehouse, the other place that all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def bounded_batches(spark: SparkSession) -> None:
