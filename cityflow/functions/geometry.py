@@ -10,6 +10,7 @@ import json
 import re
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -143,7 +144,10 @@ def _pack(kind: str, nested: list, width: int) -> bytes:
         return struct.pack(f"<{width}d", *p)
 
     def line(points):
-        return struct.pack("<I", len(points)) + b"".join(map(position, points))
+        packed = np.asarray(points, dtype="<f8").reshape(len(points), -1)
+        if points and packed.shape[1] != width:
+            raise ValueError("a position has a wrong number of coordinates")
+        return struct.pack("<I", len(points)) + packed.tobytes()
 
     def rings(parts):
         return struct.pack("<I", len(parts)) + b"".join(map(line, parts))

@@ -70,31 +70,30 @@ def slug(text: pd.Series) -> pd.Series:
     return text.map(slug_of, na_action="ignore")
 
 
+def _edited(text: str, drop, extra: str | None) -> dict:
+    """Members of an object without those listed in `drop`, with those of `extra` put on.
+
+    Member order is kept; a member of `extra` that exists keeps its place and takes the new value.
+    """
+    left_out = set() if drop is None else set(drop)
+    members = {k: v for k, v in json.loads(text).items() if k not in left_out}
+    return members if extra is None else members | json.loads(extra)
+
+
 def mutation_text(slug_uri: bool):
-    """Arrow function: JSON object text to mutation argument text."""
+    """Arrow function: JSON object text, edited as `edit_object` does, to mutation argument text."""
 
     @F.pandas_udf(T.StringType())
-    def render(objects: pd.Series) -> pd.Series:
-        return objects.map(lambda text: mutation_value(json.loads(text), slug_uri), na_action="ignore")
+    def render(objects: pd.Series, drop: pd.Series, extra: pd.Series) -> pd.Series:
+        rows = zip(objects, drop, extra)
+        return pd.Series([None if t is None else mutation_value(_edited(t, d, e), slug_uri) for t, d, e in rows], dtype=object)
 
     return render
 
 
 @F.pandas_udf(T.StringType())
 def edit_object(objects: pd.Series, drop: pd.Series, extra: pd.Series) -> pd.Series:
-    """JSON object text without the keys listed in `drop`, then the members of `extra` put on.
-
-    Member order is kept; a member of `extra` that exists keeps its place and takes the new value.
-    """
-
-    def edit(text, keys, more):
-        if text is None:
-            return None
-        members = json.loads(text)
-        for key in [] if keys is None else keys:
-            members.pop(key, None)
-        if more is not None:
-            members.update(json.loads(more))
-        return json.dumps(members, ensure_ascii=False, separators=(",", ":"))
-
-    return pd.Series([edit(*row) for row in zip(objects, drop, extra)], dtype=object)
+    """JSON object text without the keys listed in `drop`, then the members of `extra` put on."""
+    rows = zip(objects, drop, extra)
+    edited = (None if t is None else _edited(t, d, e) for t, d, e in rows)
+    return pd.Series([None if m is None else json.dumps(m, ensure_ascii=False, separators=(",", ":")) for m in edited], dtype=object)

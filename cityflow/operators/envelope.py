@@ -55,9 +55,10 @@ def to_envelope(entities: DataFrame) -> DataFrame:
             lambda f: F.struct(f["name"].alias("key"), F.struct(f["kind"], f["text"], f["wkt"]).alias("value")),
         )
     )
-    staged = entities.withColumn("_fields", F.map_entries(fields)).withColumn(
-        "_wkb", _encode_all(F.transform("_fields", lambda f: f["value"]["wkt"]))
-    )
+    texts = F.transform("_fields", lambda f: f["value"]["wkt"])
+    # Entities without a geometry, the most by far, pass by as NULL.
+    some = F.exists("_fields", lambda f: f["value"]["wkt"].isNotNull())
+    staged = entities.withColumn("_fields", F.map_entries(fields)).withColumn("_wkb", _encode_all(F.when(some, texts)))
     schema = F.transform("_fields", lambda f: _schema_field(f["key"], f["value"]))
     payload = F.transform("_fields", lambda f, i: _payload_member(f["key"], f["value"], F.get(F.col("_wkb"), i)))
     receipt_field = F.lit('{"field":"recvtime","type":"string","optional":false}')

@@ -74,11 +74,8 @@ def rewrite_location(entities: DataFrame) -> DataFrame:
     ).drop("_geo", "_wkt")
 
 
-def prepare_graph_entities(entities: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
-    """Add `prepared` (object text without type and alterationType, location rewritten) and `external_id`.
-
-    With slugs on, externalId is a slug, in the object too.
-    """
+def _edits(entities: DataFrame, config: GraphConfig) -> DataFrame:
+    """Add `external_id`, and how the object changes: `_drop` (names of members) and `_extra` (members as JSON)."""
     if "geo_key" not in entities.columns:
         entities = rewrite_location(entities)
     external = F.from_json("object", "externalId STRING")["externalId"]
@@ -92,7 +89,16 @@ def prepare_graph_entities(entities: DataFrame, config: GraphConfig = GraphConfi
         geo_rest = F.coalesce(F.concat(F.lit(","), F.substring("geo_member", F.lit(2), F.length("geo_member"))), F.lit("}"))
         extra = F.when(F.coalesce("external_id", F.lit("")) != "", F.concat(id_member, geo_rest)).otherwise(extra)
     drop = F.array_compact(F.array(F.lit("type"), F.lit("alterationType"), F.col("geo_key")))
-    return staged.withColumn("prepared", edit_object("object", drop, extra))
+    return staged.withColumns({"_drop": drop, "_extra": extra})
+
+
+def prepare_graph_entities(entities: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
+    """Add `prepared` (object text without type and alterationType, location rewritten) and `external_id`.
+
+    With slugs on, externalId is a slug, in the object too.
+    """
+    staged = _edits(entities, config)
+    return staged.withColumn("prepared", edit_object("object", "_drop", "_extra")).drop("_drop", "_extra")
 
 
 def graph_name(config: GraphConfig) -> Column:
@@ -112,11 +118,10 @@ def type_name(entity_type: Column) -> Column:
 def build_mutations(entities: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
     """Add `graph`, `action` (create, update, delete) and `query`, the mutation text.
 
-    Only objects of creates and updates are rendered by the Arrow function; the mutation around them
-    and whole delete mutations are ordinary expressions.
+    Objects of creates and updates are edited and rendered by one Arrow function, which reads each of them
+    once; the mutation around them and whole delete mutations are ordinary expressions.
     """
-    if "prepared" not in entities.columns:
-        entities = prepare_graph_entities(entities, config)
+    entities = _edits(entities, config)
     alteration = F.col("alteration")
     action = (
         F.when(alteration.isin("entityupdate", "entitychange"), F.lit("update"))
@@ -124,8 +129,8 @@ def build_mutations(entities: DataFrame, config: GraphConfig = GraphConfig()) ->
         .otherwise(F.lit("create"))
     )
     staged = entities.withColumns({"graph": graph_name(config), "action": action})
-    rendered = mutation_text(config.slug_uri)(F.when(F.col("action") != "delete", F.col("prepared")))
-    staged = staged.withColumn("_object", rendered)
+    rendered = mutation_text(config.slug_uri)(F.when(F.col("action") != "delete", F.col("object")), F.col("_drop"), F.col("_extra"))
+    staged = staged.withColumn("_object", rendered).drop("_drop", "_extra")
     dti = F.concat(F.lit('dti: "'), F.col("graph"), F.lit('"'))
     staging = F.lit(", staging: true" if config.staging else "")
     base = F.raise_error("set GraphConfig.resource_base to delete resources") if config.resource_base is None else F.lit(config.resource_base)

@@ -75,9 +75,11 @@ def apply_historic(
     inserted = new.select("_row.*")
 
     of_piece = Window.partitionBy(*pk, F.col("seq.partition"), F.floor(F.col("seq.offset") / piece)).orderBy("seq")
-    ranked = changes.withColumn("_nth", F.row_number().over(of_piece))
-    repeats = ranked.where(F.col("_nth") > 1)
-    heads = ranked.where(F.col("_nth") == 1).withColumn(
+    # A flag and not a rank: a limit on the rank would go below the shuffle of one of the two, and they would no
+    # longer share it.
+    ranked = changes.withColumn("_head", F.lag("seq").over(of_piece).isNull())
+    repeats = ranked.where(~F.col("_head"))
+    heads = ranked.where("_head").withColumn(
         "_nth", F.row_number().over(Window.partitionBy(*pk).orderBy("seq"))
     )
     if current is None:

@@ -131,3 +131,24 @@ def test_folds_never_gather_a_key(spark):
     assert plan.count("hashpartitioning(entityid") == 2 and "_piece" in plan
     fast = apply_lastdata_fast(None, changes.drop("change", "present"))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in fast and "Window" not in fast
+
+
+def test_repeats_are_found_in_one_pass(spark, tmp_path):
+    """Heads of pieces and repeats share a shuffle, so what the changes come from is read once."""
+    spark.createDataFrame(history(500, 5, 0, 0), SCHEMA).write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes")).drop("change", "present")
+    _, again = apply_historic(None, changes, ["entityid", "timeinstant"], piece=100)
+    again.collect()
+    plan = again._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
+
+
+def test_pieces_and_partitions(spark):
+    """Repeats and stored rows are the same however the history is cut."""
+    rows = history(900, 4, 0, 0)
+    changes = spark.createDataFrame([(*r[:4], (i % 3, i * 50, 0)) for i, r in enumerate(rows)], SCHEMA.split(", change")[0])
+    outcomes = []
+    for piece in (1 << 17, 100, 7):
+        inserted, again = apply_historic(None, changes, ["entityid", "timeinstant"], piece=piece)
+        outcomes.append((sorted(map(repr, inserted.collect())), sorted(map(repr, again.collect()))))
+    assert outcomes[0] == outcomes[1] == outcomes[2]
