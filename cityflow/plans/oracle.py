@@ -348,6 +348,26 @@ def oracle() -> dict[str, str]:
             FROM s""",
         "geo_geojson": f"""
             WITH {_SHAPE} SELECT 'G' || p_partkey AS entityid, CASE WHEN wkt IS NULL THEN 'bad_geometry' ELSE 'geometry' END AS kind, wkt FROM w""",
+        "geo_wkb": f"""
+            WITH {_SHAPE},
+            n AS (SELECT p_partkey, wkt, list_transform(regexp_extract_all(wkt, '[0-9.]+'), lambda s: CAST(s AS DOUBLE)) AS v FROM w WHERE wkt IS NOT NULL),
+            b AS (SELECT p_partkey, wkt, list_transform(v, lambda d: lpad(to_hex(CASE WHEN d = 0 THEN 0::UBIGINT ELSE
+                    (CAST(floor(log2(d)) AS UBIGINT) + 1023) * 4503599627370496::UBIGINT
+                    + CAST((d / pow(2, floor(log2(d))) - 1) * 4503599627370496 AS UBIGINT) END), 16, '0')) AS big FROM n WHERE list_min(list_filter(v, lambda d: d > 0)) >= 1 OR list_max(v) = 0
+                  UNION ALL
+                  SELECT p_partkey, wkt, list_transform(v, lambda d: CASE WHEN d = 0 THEN '0000000000000000' WHEN d = 0.25 THEN '3FD0000000000000'
+                    WHEN d = 0.5 THEN '3FE0000000000000' WHEN d = 0.75 THEN '3FE8000000000000' ELSE lpad(to_hex(
+                    (CAST(floor(log2(greatest(d, 1))) AS UBIGINT) + 1023) * 4503599627370496::UBIGINT
+                    + CAST((greatest(d, 1) / pow(2, floor(log2(greatest(d, 1)))) - 1) * 4503599627370496 AS UBIGINT)), 16, '0') END) AS big
+                  FROM n WHERE NOT (list_min(list_filter(v, lambda d: d > 0)) >= 1 OR list_max(v) = 0)),
+            c AS (SELECT p_partkey, wkt, list_transform(big, lambda h: substr(h, 15, 2) || substr(h, 13, 2) || substr(h, 11, 2) || substr(h, 9, 2)
+                    || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2)) AS x FROM b)
+            SELECT 'G' || p_partkey AS entityid, wkt, CASE p_partkey % 8
+                WHEN 0 THEN '0101000000' WHEN 1 THEN '010200000002000000' WHEN 2 THEN '01030000000100000004000000'
+                WHEN 3 THEN '0104000000020000000101000000' WHEN 4 THEN '010500000001000000010200000002000000'
+                ELSE '01060000000100000001030000000100000004000000' END
+              || CASE WHEN p_partkey % 8 = 3 THEN x[1] || x[2] || '0101000000' || x[3] || x[4] ELSE array_to_string(x, '') END AS wkb FROM c""",
+        "expect_geometry": "SELECT 'G' || p_partkey AS entityid FROM part WHERE p_partkey % 8 = 0 AND p_partkey % 3 = 0",
         "geo_reject_counts": f"""
             WITH {_SHAPE} SELECT CASE WHEN wkt IS NULL THEN 'BAD_GEOMETRY' ELSE 'OK' END AS code, count(*) AS n FROM w GROUP BY ALL""",
         "documents_build": f"""
