@@ -162,10 +162,10 @@ def test_snapshot_of_nothing_and_observation(spark):
 
 
 def test_evolution(spark):
-    old = spark.createDataFrame([("e", 25.0, "x", 1)], "entityid string, temperature double, rename_column string, drop_column int")
-    new = contract("t.t", {"temperature": "text", "renamecolumn": "text", "pressure": "double precision"})
-    row = evolve(old, new, {"rename_column": "renamecolumn"}).first()
-    assert (row.temperature, row.renamecolumn, row.pressure) == ("25", "x", None) and "drop_column" not in row
+    old = spark.createDataFrame([("e", 40.0, "north", 1)], "entityid string, level double, old_side string, spare int")
+    new = contract("t.t", {"level": "text", "side": "text", "flow": "double precision"})
+    row = evolve(old, new, {"old_side": "side"}).first()
+    assert (row.level, row.side, row.flow) == ("40", "north", None) and "spare" not in row
 
 
 def test_writers(spark):
