@@ -37,11 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else rows
 
 
-def spread_partition(event_id: Column) -> Column:
-    """Source partition of an event, where records come from several."""
-    return (event_id % 5).cast("int")
-
-
 def arrival(event_id: Column) -> Column:
     """Out-of-order offset of an event, unique for any number of events."""
     return (event_id * STEP) % BLOCK + F.floor(event_id / BLOCK) * BLOCK

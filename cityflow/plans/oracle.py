@@ -215,10 +215,10 @@ def oracle() -> dict[str, str]:
             SELECT o_orderkey AS "offset", entity_pos, entityid, CASE WHEN o_orderstatus <> 'F' THEN 'update'
               WHEN entity_pos = 0 THEN 'delete' ELSE 'ignored' END AS change FROM oe""",
         "parse_quarantine": """
-            WITH p AS (SELECT substr(o_orderpriority, 1, 1) AS p FROM orders)
-            SELECT CASE p WHEN '1' THEN 'BAD_JSON' WHEN '2' THEN 'NO_ENTITIES' WHEN '3' THEN k ELSE 'OK' END AS code, count(*) AS n
+            WITH p AS (SELECT o_orderkey, substr(o_orderpriority, 1, 1) AS p FROM orders)
+            SELECT o_orderkey AS "offset", CASE p WHEN '1' THEN 'BAD_JSON' WHEN '2' THEN 'NO_ENTITIES' WHEN '3' THEN k ELSE 'OK' END AS code
             FROM p, (VALUES ('NULL_ENTITY'), ('NO_ENTITY_ID'), ('OK')) AS x(k)
-            WHERE p = '3' OR k = 'OK' GROUP BY ALL""",
+            WHERE p = '3' OR k = 'OK'""",
         "empty_notifications": "SELECT 'historic' AS flow, count(*) FILTER (WHERE o_orderstatus = 'P') AS no_entities FROM orders",
         "tenant_context": """
             SELECT c_custkey AS "offset", lower(c_mktsegment) AS service, '/seg/' || c_nationkey AS servicepath,
@@ -243,6 +243,15 @@ def oracle() -> dict[str, str]:
                   WHERE event_type <> 'signup')
             SELECT event_type AS kind, CASE WHEN known OR nth > 1 THEN 'refused' ELSE 'stored' END AS outcome, count(*) AS n
             FROM o GROUP BY ALL""",
+        "historic_partitions": f"""
+            WITH {_EVENTS},
+            h AS (SELECT *, epoch_ms(date_trunc('hour', ts)) AS hour_ms FROM e),
+            r AS (SELECT *, row_number() OVER (PARTITION BY user_id, hour_ms ORDER BY a % 5, a) AS rn FROM h)
+            SELECT 'U' || user_id AS entityid, hour_ms AS ts_ms, value, CASE WHEN rn = 1 THEN 'STORED' ELSE 'DUPLICATE_KEY' END AS code FROM r""",
+        "lastdata_partitions": f"""
+            WITH {_EVENTS},
+            n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC, a % 5, a) AS rn FROM e)
+            SELECT 'U' || user_id AS entityid, t AS ts_ms, value, event_type AS kind FROM n WHERE rn = 1""",
         "historic_without_key": "SELECT 'U' || user_id AS entityid, count(*) AS n FROM events GROUP BY user_id",
         "mutable_upsert": f"WITH {_HOURLY} SELECT 'U' || user_id AS entityid, hour_ms AS ts_ms, value, event_type AS kind FROM r WHERE back = 1",
         "mutable_partial": f"""
@@ -255,6 +264,7 @@ def oracle() -> dict[str, str]:
         "route_dm2": route_2,
         "route_dm3": route_3,
         "route_errors": f"WITH {_CUSTOMER} SELECT tenant AS target_schema, tenant || '_error_log' AS target_table, count(*) AS n FROM c GROUP BY ALL",
+        "route_http_errors": f"WITH {_CUSTOMER} SELECT tenant AS target_schema, tenant || '_error_log' AS target_table, count(*) AS n FROM c GROUP BY ALL",
         "route_precedence": f"""
             WITH {_CUSTOMER}
             SELECT c_custkey AS "offset", CASE c_custkey % 4 WHEN 0 THEN path || '.key_account' WHEN 1 THEN path || '.' || path || '_key_account'
@@ -294,7 +304,10 @@ def oracle() -> dict[str, str]:
               'fiware-service=' || tenant || ';fiware-servicepath=' || path || ';fiware-datamodel=;entityType=key_account;entityId=' ||
               {_SANE.format('c_name')} || ';suffix=_lastdata' AS headers FROM c""",
         "receipt_times": "SELECT '2024-06-01T00:00:00.000Z' AS recvtime, 2 * count(*) AS n FROM orders",
-        "contract_rejects": f'WITH {_VIOLATIONS} SELECT target, "column", code, count(*) AS n FROM bad GROUP BY ALL',
+        "contract_rejects": f'WITH {_VIOLATIONS} SELECT o_orderkey AS "offset", entity_pos AS pos, target, "column", code FROM bad',
+        "contract_missing_time": """
+            SELECT o_orderkey AS "offset", CASE WHEN o_orderkey % 3 = 0 THEN 'NULL_VALUE' END AS code,
+              CASE WHEN o_orderkey % 3 = 0 THEN 'Invalid null value for required STRING field' END AS error FROM orders""",
         "contract_ok": """
             SELECT o_orderkey AS "offset", 'O' || o_orderkey AS entityid, 'Order' AS entitytype, '/f' AS fiwareservicepath,
               epoch_ms(TIMESTAMP '2024-06-01 00:00:00') AS recv_ms, epoch_ms(o_orderdate) AS ts_ms, o_totalprice AS total, o_orderstatus AS status,
@@ -302,12 +315,12 @@ def oracle() -> dict[str, str]:
             FROM orders WHERE o_orderstatus = 'F'""",
         "numeric_limits": """
             WITH x AS (
-              SELECT 'small' AS "column", round_even(l_extendedprice, 0) NOT BETWEEN -32768 AND 32767 AS over FROM lineitem
-              UNION ALL SELECT 'whole', round_even(l_extendedprice * 1e5, 0) NOT BETWEEN -2147483648 AND 2147483647 FROM lineitem
-              UNION ALL SELECT 'big', l_extendedprice * 1e14 >= 9223372036854775808.0 FROM lineitem
-              UNION ALL SELECT 'exact', l_extendedprice * 1e10 >= 1e15 FROM lineitem
-              UNION ALL SELECT 'short', l_extendedprice * 1e34 >= 3.4028235677973366e38 FROM lineitem)
-            SELECT "column", 'OUT_OF_RANGE' AS code, count(*) AS n FROM x WHERE over GROUP BY ALL""",
+              SELECT l_orderkey, 'small' AS "column", round_even(l_extendedprice, 0) NOT BETWEEN -32768 AND 32767 AS over FROM lineitem
+              UNION ALL SELECT l_orderkey, 'whole', round_even(l_extendedprice * 1e5, 0) NOT BETWEEN -2147483648 AND 2147483647 FROM lineitem
+              UNION ALL SELECT l_orderkey, 'big', l_extendedprice * 1e14 >= 9223372036854775808.0 FROM lineitem
+              UNION ALL SELECT l_orderkey, 'exact', l_extendedprice * 1e10 >= 1e15 FROM lineitem
+              UNION ALL SELECT l_orderkey, 'short', l_extendedprice * 1e34 >= 3.4028235677973366e38 FROM lineitem)
+            SELECT l_orderkey AS "offset", "column", 'OUT_OF_RANGE' AS code FROM x WHERE over""",
         "contract_cast": """
             SELECT 'L' || l_orderkey AS entityid, CAST(sum(CAST(round_even(l_extendedprice, 0) AS BIGINT)) AS BIGINT) AS sum_n,
               CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(30, 15))) AS DECIMAL(38, 2)) AS VARCHAR) AS sum_d,
@@ -458,6 +471,17 @@ def oracle() -> dict[str, str]:
         "stream_replay": _LATEST,
         "repeat_errors_by_tenant": f"""
             WITH {_HOURLY} SELECT 'city' AS tenant, 'DUPLICATE_KEY' AS code, a AS "offset", 'U' || user_id AS entityid FROM r WHERE rn > 1""",
+        "sink_routed": f"WITH {_CUSTOMER} SELECT c_name AS entityid, tenant AS target_schema, path || '_key_account' AS target_table FROM c",
+        "sink_documents": f"""
+            SELECT 'sth_library_' || {_SANE.format('source')} || '_' || lang AS collection, 'D' || doc_id AS entity, md5(text) AS text_md5 FROM documents""",
+        "sink_error_log": f"WITH {_DEAD} SELECT tenant, error, query FROM dl",
+        "publish_files": f"WITH {_DEAD} SELECT 'in_' || tenant || '_error_log_out' AS topic, error FROM dl",
+        "rejected_records": """
+            SELECT o_orderkey AS "offset", CASE WHEN o_orderkey % 4 = 1 THEN 'orders_lastdata' END AS target_table,
+              CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END AS headers FROM orders""",
+        "observed_flow": """
+            SELECT count(*) AS rows, count(*) AS passed, epoch_ms(min(ts)) AS oldest_ms, epoch_ms(max(ts)) AS newest_ms FROM events""",
+        "backlog_marker": "SELECT 'U' || max(user_id) AS marker, TRUE AS arrived FROM events UNION ALL SELECT 'nobody', FALSE",
         "stream_documents": f"""
             SELECT 'sth_library' AS database, 'sth_library_' || {_SANE.format('source')} || '_' || lang AS collection, 'D' || doc_id AS entity, n_chars
             FROM documents""",

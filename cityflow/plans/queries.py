@@ -10,11 +10,12 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow.config import (
     DM_FIXED_TYPE_SCHEMA,
+    DM_HTTP_ERRORS,
     DM_SQL_ERRORS,
     DM_TYPE_DATABASE,
     DM_TYPE_SCHEMA,
@@ -49,9 +50,10 @@ from cityflow.operators.tables import apply_historic, apply_lastdata, apply_last
 from cityflow.plans import adapter as A
 from cityflow.plans.flows import documents_of, entities_of, flagged_entities, mutations_of, read_context
 from cityflow.sources.legacy import normalise_legacy
-from cityflow.sources.raw import FileSource, drop_replayed, read_raw
-from cityflow.sources.render import as_raw, attribute, headers_of, notification
+from cityflow.sources.raw import FileSource, drop_replayed, read_raw, read_rejected
+from cityflow.sources.render import as_raw, attribute, headers_of, notification, time_attribute
 from cityflow.streaming.jobs import DocumentJob, ErrorJob, GraphJob, RelationalJob, run_available
+from cityflow.streaming.sinks import publish, write_documents, write_error_log, write_routed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,7 +281,7 @@ def parse_quarantine(spark, sf_dir):
     )
     raw = read_context(as_raw(orders, "historic", broken, F.col("o_orderkey")))
     rows = explode_flagged(parse_flagged(raw))
-    return rows.groupBy(F.coalesce("reject.code", F.lit("OK")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("offset", F.coalesce("reject.code", F.lit("OK")).alias("code"))
 
 
 @query
@@ -376,6 +378,31 @@ def historic_onto_existing(spark, sf_dir):
     return stored.unionByName(refused)
 
 
+def _partitioned(records: DataFrame) -> DataFrame:
+    return records.withColumn("partition", (F.col("offset") % 5).cast("int"))
+
+
+#: Offsets of a piece, few enough that histories of the small tables are cut as well.
+_SMALL_PIECE = 64
+
+
+@query
+def historic_partitions(spark, sf_dir):
+    """First event of each user and hour and the refused ones, from several partitions and over borders of pieces."""
+    records = A.events_raw(spark, sf_dir, "historic", time=F.date_trunc("hour", F.col("ts")))
+    rows = _rows(_partitioned(records), "historic").drop("change", "present")
+    inserted, again = apply_historic(None, rows, _PK, piece=_SMALL_PIECE)
+    stored = inserted.select("entityid", _ms("timeinstant").alias("ts_ms"), "value", F.lit("STORED").alias("code"))
+    return stored.unionByName(again.select("entityid", _ms("timeinstant").alias("ts_ms"), "value", "reject.code"))
+
+
+@query
+def lastdata_partitions(spark, sf_dir):
+    """Newest value and kind per user through the general fold, from several partitions and over borders of pieces."""
+    rows = _rows(_partitioned(A.events_raw(spark, sf_dir)))
+    return _state(apply_lastdata(None, rows, piece=_SMALL_PIECE))
+
+
 @query
 def historic_without_key(spark, sf_dir):
     """A table without a primary key keeps every row."""
@@ -431,6 +458,12 @@ def route_errors(spark, sf_dir):
     return _target_counts(_routed(spark, sf_dir, FlowConfig(datamodel=DM_SQL_ERRORS)))
 
 
+@query
+def route_http_errors(spark, sf_dir):
+    """The error table of each tenant of the graph flow."""
+    return _target_counts(_routed(spark, sf_dir, FlowConfig(datamodel=DM_HTTP_ERRORS)))
+
+
 @query
 def route_precedence(spark, sf_dir):
     """The record's data model beats the configured one, and an unknown one is an error."""
@@ -525,12 +558,26 @@ def _checked_orders(spark, sf_dir):
 
 @query
 def contract_rejects(spark, sf_dir):
-    """Violations of order entities by table, column and reason."""
-    rows = _checked_orders(spark, sf_dir).select("target", F.explode_outer("violations").alias("v"))
-    found = rows.where(F.col("v").isNotNull())
-    return found.groupBy("target", F.col("v.column").alias("column"), F.col("v.code").alias("code")).agg(
-        F.count(F.lit(1)).alias("n")
+    """Violations of order entities, each with its table, column and reason."""
+    rows = _checked_orders(spark, sf_dir).select("offset", "seq.pos", "target", F.explode("violations").alias("v"))
+    return rows.select("offset", "pos", "target", "v.column", "v.code")
+
+
+@query
+def contract_missing_time(spark, sf_dir):
+    """Orders of which every third comes without the time that is part of its key."""
+    time = F.when(F.col("o_orderkey") % 3 != 0, time_attribute(F.col("o_orderdate")))
+    body = F.to_json(
+        F.struct(
+            F.array(
+                F.struct(F.concat(F.lit("O"), "o_orderkey").alias("id"), F.lit("Line").alias("type"), time.alias("TimeInstant"))
+            ).alias("data")
+        )
     )
+    table = contract("default._line", {}, ["entityid", "timeinstant"])
+    raw = as_raw(A.table(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
+    rows = flagged_entities(raw, catalogue(spark, [table]), "historic", received=A.received())
+    return rows.select("offset", "reject.code", "reject.error")
 
 
 @query
@@ -581,8 +628,7 @@ def numeric_limits(spark, sf_dir):
     table = contract("default._line", kinds, with_time=False)
     raw = as_raw(lines, "historic", body, F.col("l_orderkey"))
     rows = flagged_entities(raw, catalogue(spark, [table]), "historic", received=A.received())
-    found = rows.select(F.explode("violations").alias("v"))
-    return found.groupBy(F.col("v.column").alias("column"), F.col("v.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("offset", F.explode("violations").alias("v")).select("offset", "v.column", "v.code")
 
 
 @query
@@ -1161,6 +1207,79 @@ def expect_geometry(spark, sf_dir):
     return expect.expect_rows(held, asked, ["entityid"]).select("entityid")
 
 
+# ---- writers and what is read back ----------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def sink_routed(spark, sf_dir):
+    """Customers written to their tables in one write, and read again."""
+    path = _folder(spark, "routed")
+    write_routed(_routed(spark, sf_dir, FlowConfig()).select("entityid", "target_schema", "target_table"), path)
+    return spark.read.parquet(path).select("entityid", "target_schema", "target_table")
+
+
+@query
+def sink_documents(spark, sf_dir):
+    """Documents written as text, and read again."""
+    path = _folder(spark, "documents")
+    write_documents(documents_of(A.documents_raw(spark, sf_dir), "sth_", A.received()), path)
+    rows = spark.read.schema("value string, database string, collection string").text(path)
+    field = lambda at: F.get_json_object("value", at)
+    return rows.select("collection", field("$.entityId").alias("entity"), F.md5(field("$.text")).alias("text_md5"))
+
+
+@query
+def sink_error_log(spark, sf_dir):
+    """Error rows written by tenant, and read again."""
+    path = _folder(spark, "errors")
+    records = with_headers(_dead_letters(spark, sf_dir), keep_case=True)
+    rows = err.errors_from_rejected(records, FlowConfig(prefix="in_"), A.received())
+    write_error_log(rows.select("tenant", "timestamp", "error", "query"), path)
+    return spark.read.parquet(path).select(F.col("tenant").cast("string").alias("tenant"), "error", "query")
+
+
+@query
+def publish_files(spark, sf_dir):
+    """Error events published to files in place of topics, and read again."""
+    path = _folder(spark, "topics")
+    records = with_headers(_dead_letters(spark, sf_dir), keep_case=True)
+    config = FlowConfig(prefix="in_", suffix="_out")
+    publish(err.to_error_events(err.errors_from_rejected(records, config, A.received()), config), path=path)
+    return spark.read.parquet(path).select("topic", F.get_json_object("value", "$.payload.error").alias("error"))
+
+
+@query
+def rejected_records(spark, sf_dir):
+    """Dead letters read from files with their context headers."""
+    path = _folder(spark, "rejected")
+    _dead_letters(spark, sf_dir).write.parquet(path)
+    rows = read_rejected(spark, FileSource(path), streaming=False)
+    return rows.select("offset", F.try_element_at("hdr", F.lit("target_table")).alias("target_table"), F.size("hdr").alias("headers"))
+
+
+@query
+def observed_flow(spark, sf_dir):
+    """Counts taken while the events pass by, next to how many did."""
+    seen = Observation("events")
+    passed = metrics.observe_flow(A.events_raw(spark, sf_dir), seen).select(F.hash("value").alias("h")).agg(F.count("h")).first()[0]
+    got = seen.get
+    rows = [(got["rows"], passed, int(got["oldest"].timestamp() * 1000), int(got["newest"].timestamp() * 1000))]
+    return spark.createDataFrame(rows, "rows long, passed long, oldest_ms long, newest_ms long")
+
+
+@query
+def backlog_marker(spark, sf_dir):
+    """Whether the newest user, and one that does not exist, have arrived in the table."""
+    held = apply_lastdata_fast(None, _rows(A.events_raw(spark, sf_dir)).drop("change", "present"))
+    newest = A.table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
+    markers = [f"U{newest}", "nobody"]
+    return spark.createDataFrame([(m, expect.backlog_complete(held, m)) for m in markers], "marker string, arrived boolean")
+
+
 # ---- streaming ------------------------------------------------------------------------------------
 
 
