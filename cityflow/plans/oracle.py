@@ -469,6 +469,10 @@ def oracle() -> dict[str, str]:
         "stream_historic": _STREAM_HISTORIC,
         "stream_outage": _STREAM_HISTORIC,
         "stream_replay": _LATEST,
+        "stream_backlog": f"""
+            WITH {_VIOLATIONS}, f AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, entity_pos ORDER BY rank) AS rn FROM bad)
+            SELECT 'O' || o_orderkey AS entityid, 'shop.f_order' AS outcome FROM orders WHERE o_orderstatus = 'F'
+            UNION ALL SELECT o_orderkey || '-' || entity_pos, code FROM f WHERE rn = 1""",
         "repeat_errors_by_tenant": f"""
             WITH {_HOURLY} SELECT 'city' AS tenant, 'DUPLICATE_KEY' AS code, a AS "offset", 'U' || user_id AS entityid FROM r WHERE rn > 1""",
         "sink_routed": f"WITH {_CUSTOMER} SELECT c_name AS entityid, tenant AS target_schema, path || '_key_account' AS target_table FROM c",

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -1372,6 +1373,19 @@ def stream_historic(spark, sf_dir):
     return _historic_outcome(job)
 
 
+@query
+def stream_backlog(spark, sf_dir):
+    """A backlog of orders and customers with rows that no table takes, in many batches: what is stored and what is refused."""
+    root, raw = _staged(spark, "backlog")
+    _arrive(A.orders_raw(spark, sf_dir), raw, steps=5)
+    tables = _order_contracts()
+    job = RelationalJob(spark, "historic", tables, f"{root}/tables", period="yyyy")
+    _drain(spark, "historic", raw, job.handle, f"{root}/checkpoint")
+    held = [job.read(t.target).select("entityid", F.lit(t.target).alias("outcome")) for t in tables]
+    origin = F.concat_ws("-", F.col("seq.offset").cast("string"), F.col("seq.pos").cast("string"))
+    return reduce(DataFrame.unionByName, [*held, job.errors().select(origin.alias("entityid"), F.col("code").alias("outcome"))])
+
+
 class _BrokenJob(RelationalJob):
     """Loses its database in the second batch, after the error log and before the table is written."""
 

@@ -92,6 +92,8 @@ class RelationalJob:
     partial: bool = True
     # Buckets of a table, or of each by its target.
     parts: int | Mapping[str, int] = 64
+    # What a part of a historic table holds, as a date pattern; longer where few rows come from many days.
+    period: str = "yyyy-MM-dd"
     # Tables of a batch that are written at the same time.
     parallel: int = 4
     # Receipt time of a batch.
@@ -103,7 +105,7 @@ class RelationalJob:
         path = f"{self.root}/{self.flow}/{table.target}"
         key = table.key or ["entityid"]
         if self.flow == "historic":
-            part = day_parts() if "timeinstant" in table.names else hash_parts(key, self._buckets(table))
+            part = day_parts(period=self.period) if "timeinstant" in table.names else hash_parts(key, self._buckets(table))
             return TableStore(self.spark, path, T.StructType.fromDDL(", ".join(fields)), part)
         control = ["seq struct<partition:int,offset:bigint,pos:int>", "change string", "present array<string>"]
         part = hash_parts([k for k in key if k == "entityid"] or key, self._buckets(table))

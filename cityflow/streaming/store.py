@@ -183,6 +183,6 @@ def hash_parts(keys: Sequence[str], parts: int = 64) -> Column:
     return F.pmod(F.hash(*keys), F.lit(parts)).cast("string")
 
 
-def day_parts(time: str = "timeinstant") -> Column:
-    """Part of a table whose key has a time: its day, so that a key is only looked for among its day's."""
-    return F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("none"))
+def day_parts(time: str = "timeinstant", period: str = "yyyy-MM-dd") -> Column:
+    """Part of a table whose key has a time: its day (or month, or year), so that a key is only looked for there."""
+    return F.coalesce(F.date_format(time, period), F.lit("none"))
