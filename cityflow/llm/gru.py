@@ -14,6 +14,8 @@ import numpy as np
 WORD_BITS, GRAM_BITS = 18, 18
 INPUT, HIDDEN = 8, 8
 GRAMS = (3, 4, 5)
+#: Words that are worked on together.
+BLOCK = 16_384
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(1099511628211)
@@ -21,7 +23,7 @@ _BASE = np.uint64(1099511628211)
 
 def _mixed(values: np.ndarray, bits: int) -> np.ndarray:
     values = (values ^ (values >> np.uint64(29))) * _MIX
-    return (values >> np.uint64(64 - bits)).astype(np.int64)
+    return (values >> np.uint64(64 - bits)).astype(np.int32)
 
 
 @dataclass
@@ -36,9 +38,18 @@ class WordInputs:
 
 def word_inputs(words: list[bytes]) -> WordInputs:
     """Hashes of words; a word is marked at both ends, so that even an empty one has a character run."""
-    if not words:
+    parts = [_hashed(words[at : at + BLOCK]) for at in range(0, len(words), BLOCK)]
+    if not parts:
         empty = np.empty(0, dtype=np.int64)
         return WordInputs(empty, empty, empty, empty)
+    counts = np.concatenate([p.counts for p in parts])
+    return WordInputs(
+        np.concatenate([p.words for p in parts]), np.concatenate([p.grams for p in parts]), np.cumsum(counts) - counts, counts
+    )
+
+
+def _hashed(words: list[bytes]) -> WordInputs:
+    """Hashes of some words."""
     data = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), dtype=np.uint8).astype(np.uint64)
     lengths = np.fromiter((len(w) + 2 for w in words), dtype=np.int64, count=len(words))
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
@@ -135,8 +146,14 @@ class Network:
         w = self.weights
         if not len(inputs.words):
             return np.zeros((0, INPUT), np.float32)
-        total = np.add.reduceat(w["grams"][inputs.grams], inputs.begins, axis=0)
-        return w["words"][inputs.words] + total / inputs.counts[:, None].astype(np.float32)
+        out = w["words"][inputs.words]
+        ends = inputs.begins + inputs.counts
+        # A block at a time: the character runs of all words at once would take several hundred MB.
+        for at in range(0, len(out), BLOCK):
+            begins, counts = inputs.begins[at : at + BLOCK], inputs.counts[at : at + BLOCK, None].astype(np.float32)
+            rows = w["grams"][inputs.grams[begins[0] : ends[at : at + BLOCK][-1]]]
+            out[at : at + BLOCK] += np.add.reduceat(rows, begins - begins[0], axis=0) / counts
+        return out
 
     def _run(self, given: np.ndarray, ids: np.ndarray, active: np.ndarray, u: np.ndarray, trace: list | None) -> np.ndarray:
         """States after each step; `given` is what the words add to the gates."""
