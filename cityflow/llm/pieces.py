@@ -27,22 +27,61 @@ SPACE = "▁"
 #: Most parts a worker remembers; beyond, it starts anew.
 REMEMBERED = 600_000
 
+#: New parts that are indexed together.
+TOGETHER = 60_000
+
 # A part is spaces and what follows them, or the character that marks the end of parts in the index.
 _PARTS = re.compile(" *[^ \0]+| +(?=\0)| +$|\0")
 _END = "\0"
+
+
+def parts_of(text: str) -> list[str]:
+    """Parts of a text with a space put in front; nothing for an empty text.
+
+    A part with one space is named by what follows it, one without a space has the mark of the end before it.
+    """
+    if not text:
+        return []
+    if "  " not in text and _END not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    named = []
+    for part in _PARTS.findall(" " + text):
+        if part == _END or part[:2] == "  " or part == " ":
+            named.append(part)
+        else:
+            named.append(part[1:] if part[0] == " " else _END + part)
+    return named
+
+
+def spelled(part: str) -> str:
+    """The characters of a part, spaces marked."""
+    if part[0] == _END:
+        return part[1:]
+    return part.replace(" ", SPACE) if part[0] == " " else SPACE + part
 _NORMAL, _BYTE = 1, 6  # Fixed values: kinds of pieces in a model file.
 
 
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of a text sorted by the `depth` or more characters that follow, by prefix doubling."""
-    ranks = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    width = 1
+    """Positions of a text sorted by the `depth` or more characters that follow, by prefix doubling.
+
+    Starts with as many characters as fit a number; zero stands for what is beyond the end.
+    """
+    letters, ranks = np.unique(codes, return_inverse=True)
+    ranks = ranks.astype(np.int64) + 1
+    bits = int(len(letters)).bit_length()
+    width = min(62 // bits, depth)
+    keys = np.zeros_like(ranks)
+    for k in range(width):
+        keys <<= bits
+        if k < len(keys):
+            keys[: len(keys) - k] |= ranks[k:]
     while width < depth:
-        following = np.zeros_like(ranks)
-        following[:-width] = ranks[width:]
-        ranks = np.unique(ranks * (ranks.max(initial=0) + 1) + following, return_inverse=True)[1].astype(np.int64) + 1
+        names = np.unique(keys, return_inverse=True)[1].astype(np.int64) + 1
+        keys = names * (len(names) + 2)
+        if width < len(keys):
+            keys[:-width] += names[width:]
         width *= 2
-    return np.argsort(ranks, kind="stable")
+    return np.argsort(keys)
 
 
 class PieceModel:
@@ -153,31 +192,34 @@ class PieceModel:
 
     def occurrences(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each piece occurs in a text: starts and pieces."""
+        if not len(codes):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         order = suffix_order(codes, self.depth)
         padded = np.concatenate([codes, np.zeros(self.depth, dtype=codes.dtype)])
         span = np.arange(self.depth)
+        # Pieces with a letter that the text lacks need no search.
+        possible = np.isin(self.letters, np.append(np.unique(codes), 0)).all(axis=1)
+        asked, letters = self.normal[possible], self.letters[possible]
+        inside = span < self.length[asked][:, None]
+        rows = np.arange(len(asked))
 
         def bound(after: bool) -> np.ndarray:
-            low, high = np.zeros(len(self.normal), dtype=np.int64), np.full(len(self.normal), len(order))
-            inside = span < self.length[self.normal][:, None]
-            rows = np.arange(len(self.normal))
+            low, high = np.zeros(len(asked), dtype=np.int64), np.full(len(asked), len(order))
             while (busy := low < high).any():
                 middle = (low + high) // 2
                 there = padded[order[np.minimum(middle, len(order) - 1)][:, None] + span]
-                differ = (there != self.letters) & inside
+                differ = (there != letters) & inside
                 first = differ.argmax(axis=1)
-                equal = ~differ.any(axis=1)
-                smaller = np.where(equal, after, there[rows, first] < self.letters[rows, first]) & busy
+                equal = ~differ[rows, first]
+                smaller = np.where(equal, after, there[rows, first] < letters[rows, first]) & busy
                 low = np.where(smaller, middle + 1, low)
                 high = np.where(busy & ~smaller, middle, high)
             return low
 
-        if not len(codes):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         low, high = bound(False), bound(True)
         many = high - low
         place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        return order[np.repeat(low, many) + place], np.repeat(self.normal, many)
+        return order[np.repeat(low, many) + place], np.repeat(asked, many)
 
     def segment(self, parts: list[str]) -> list[bytes]:
         """Ids of parts of texts, in which spaces are marked, as little-endian unsigned 32-bit."""
@@ -243,16 +285,17 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit; an empty text has none."""
-        split = []
-        for text in texts:
-            split.append(_PARTS.findall(" " + text.replace(SPACE, " ")) if text else [])
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {_END: np.array([self.byte_ids[0]], dtype="<u4").tobytes()}
-            new = set().union(*split)
-        todo = sorted(new - {_END})
-        self.known.update(zip(todo, self.segment([p.replace(" ", SPACE) for p in todo]), strict=True))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        split = [parts_of(text.replace(SPACE, " ")) for text in texts]
+        known = self.known
+        new = {p for parts in split for p in parts if p not in known}
+        if len(known) + len(new) > REMEMBERED:
+            known = self.known = {_END: np.array([self.byte_ids[0]], dtype="<u4").tobytes()}
+            new = {p for parts in split for p in parts if p not in known}
+        todo = sorted(new)
+        for at in range(0, len(todo), TOGETHER):
+            some = todo[at : at + TOGETHER]
+            known.update(zip(some, self.segment(list(map(spelled, some))), strict=True))
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the space that encoding puts in front."""
@@ -269,7 +312,7 @@ def piece_model(path: str) -> PieceModel:
 def _coded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
-        for batch in slices(batches, "text", limit=8_000_000):
+        for batch in slices(batches, "text", limit=6_000_000):
             coded = model.encode(list(text_of(batch.column(1))))
             counts = np.array([len(c) // 4 for c in coded])
             values = np.frombuffer(b"".join(coded), dtype="<i4")
