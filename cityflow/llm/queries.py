@@ -93,7 +93,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Lengths of the marks around a turn in the output, and control strings in a text, each of which takes one more character.
+_GUARDS = r"len(regexp_extract_all({0}, '<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<ROLE>>|<\\*</ROLE>>'))"
+_ORDER = "ORDER BY turn NULLS FIRST, role, body"
+
 SQL: dict[str, str] = {
+    "op2_chat": f"""
+        WITH turns AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        guarded AS (SELECT *, length(body) + {_GUARDS.format('body')} AS body_chars, length(role) + {_GUARDS.format('role')} AS role_chars FROM turns)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || body || chr(10), '' {_ORDER})) AS turns_sha256,
+               CAST(coalesce(sum(length(body)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(body, '' {_ORDER}) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(CASE role WHEN 'user' THEN 18 + body_chars WHEN 'assistant' THEN 7 + body_chars ELSE 24 + role_chars + body_chars END)
+                 AS BIGINT) AS formatted_chars
+        FROM guarded GROUP BY conv_id
+    """,
     "op8_exact_dedup": f"""
         WITH normal AS (SELECT doc_id, {_NORMAL} AS body FROM documents)
         SELECT doc_id,
