@@ -45,7 +45,20 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30}))")
+_LETTERS = re.compile(r"[A-Za-z0-9]")
+#: Characters of an account number in international form, by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _BIRTH = re.compile(r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})(?![0-9/-])")
 _WORD = re.compile(r"\w+")
@@ -90,6 +103,25 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             yield begin, done
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers as long as their country has them; where it has none, to the last end that the checksum confirms."""
+    done = 0
+    for head in _IBAN.finditer(text):
+        start = head.start()
+        if start < done:
+            continue
+        ends = [i for i in range(head.end(), head.end(1)) if text[i] != " "]
+        known = IBAN_LENGTHS.get(text[start : start + 2])
+        for length in [known] if known else range(len(ends) + 4, 14, -1):
+            if length > len(ends) + 4:
+                continue
+            end = ends[length - 5] + 1
+            if not _LETTERS.match(text, end) and mod97(text[start:end].replace(" ", "")):
+                done = end
+                yield start, end
+                break
+
+
 def _octet(part: str) -> bool:
     significant = part.lstrip("0")
     return len(significant) <= 3 and int(significant or "0") <= 255
@@ -114,9 +146,8 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(_DIGITS.findall(m.group())) <= 15:
                 yield "phone", m.start(), m.end(), False
-    for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield "iban", m.start(), m.end(), True
+    for start, end in _ibans(text):
+        yield "iban", start, end, True
     for kind, pattern in (("ssn", _SSN), ("birth", _BIRTH)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end(), False

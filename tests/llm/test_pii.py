@@ -54,6 +54,24 @@ def test_further_kinds():
     assert find_spans("version of 03.04.1975") == []
 
 
+@pytest.mark.parametrize("number", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"])
+@pytest.mark.parametrize("behind", ["", ".", " BIC COBADEFFXXX", " EUR 500", " 500 EUR", " 1 250", " USD", " now", "\nBIC COBADEFFXXX"])
+@pytest.mark.parametrize("before", ["IBAN ", "KONTO AB12 ", "NR 12 "])
+def test_iban_ends_where_it_ends(before, number, behind):
+    text = before + number + behind
+    assert [(s.start, s.end) for s in find_spans(text) if s.kind == "iban"] == [(len(before), len(before) + len(number))]
+    assert mask(text) == before + "[IBAN]" + behind
+
+
+def test_iban_of_a_wrong_length_or_checksum_is_none():
+    for text in ("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFFXXX", "IBAN DE89 3704 0044 0532 0130 001", "IBAN DE89 3704 0044 0532 0130"):
+        assert not [s for s in find_spans(text) if s.kind == "iban"]
+    # A country without a length of its own.
+    assert mask("KONTO ZZ33 1234 5678 9012 345 EUR 500") == "KONTO [IBAN] EUR 500"
+    both = "GB82WEST12345698765432 DE89370400440532013000"
+    assert mask("IBAN " + both) == "IBAN [IBAN] [IBAN]"
+
+
 def test_words_nearby_raise_the_score():
     plain, near = find_spans("see 10.0.0.1 there")[0], find_spans("the host 10.0.0.1 there")[0]
     assert near.score > plain.score
