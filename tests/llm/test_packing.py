@@ -109,3 +109,14 @@ def test_pieces_and_places(spark, odd_rows):
 def test_odd_documents(odd_docs, no_docs):
     assert {r.length for r in pack_documents(odd_docs, PATH).where("doc_id in (3, 4)").collect()} == {1}
     assert pack_documents(no_docs, PATH).count() == 0
+
+
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n\t\u3000" * 300_000, "\r\n" * 6_000 + " ", "\x1c" * 20_000 + "\x85" * 20_000])
+def test_very_long_white_space(run):
+    """Ids of the library, wherever a run stands and whatever follows it."""
+    library = Tokenizer.from_file(PATH)
+    texts = [f"a{run}b", run, f"{run}b", f"a {run}", f"a{run}<|endoftext|>{run}.", f"a{run}'s 1{run}7"]
+    if len(run) > 100_000:
+        texts = texts[:2]
+    for text, ids in zip(texts, encode(PATH, texts), strict=True):
+        assert np.array_equal(np.frombuffer(ids, dtype="<u4"), np.array(library.encode(text).ids, dtype="<u4")), text[:5]
