@@ -1,9 +1,10 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 Each word is predicted from the two words on either side of it, never from itself, by a small network; the sum of
-these conditional log-probabilities scores a document. Words are classes: the most frequent ones of the whole
-corpus have one of their own, all others share some by hash. A class is predicted in two parts of 32 choices, so the
-work for a word does not depend on how many classes there are.
+these conditional log-probabilities scores a document. The network predicts a word's class: the most frequent words of
+the whole corpus have one of their own, all others share some by hash. A class is predicted in two parts of as many choices,
+32 each or more in a large vocabulary. The chance of a word within its class is its share of the class's words, from counts
+of all words, which stay distributed: only those of the most frequent ones are broadcast, all others are joined.
 
 The network learns from every document: each task takes its rows through the network once, from the same start, and
 what the tasks arrive at is averaged, weighted by their words, in a distributed aggregate.
@@ -11,6 +12,7 @@ what the tasks arrive at is averaged, weighted by their words, in a distributed
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,8 +26,10 @@ from cityflow.llm.common import bounded_batches, col, slices, stored, text_of
 
 SIDE = 32
 CLASSES = SIDE * SIDE
-#: Classes of frequent words; the others are shared.
+#: Classes of frequent words, three of four; the others are shared.
 FREQUENT = 768
+#: Words whose counts are broadcast; those of all others are joined.
+KNOWN = 100_000
 #: The class beyond the ends of a document.
 OUTSIDE = CLASSES
 HIDDEN = 16
@@ -33,22 +37,41 @@ AROUND = (-2, -1, 1, 2)
 BATCH = 2_048
 RATE = 0.5
 
-#: Shapes of the weights, in the order in which they are numbered.
-SHAPES = {
-    "around": (len(AROUND), CLASSES + 1, HIDDEN),
-    "first": (HIDDEN, SIDE),
-    "first0": (SIDE,),
-    "second": (HIDDEN, SIDE),
-    "second0": (SIDE, SIDE),
-}
+
+def shapes(side: int) -> dict[str, tuple[int, ...]]:
+    """Shapes of the weights, in the order in which they are numbered."""
+    return {
+        "around": (len(AROUND), side * side + 1, HIDDEN),
+        "first": (HIDDEN, side),
+        "first0": (side,),
+        "second": (HIDDEN, side),
+        "second0": (side, side),
+    }
+
+
+def side_for(vocabulary: int) -> int:
+    """Choices of each part for so many distinct words: classes grow as the square root of the vocabulary."""
+    return max(SIDE, math.ceil(1.25 * vocabulary**0.25))
+
+
+SHAPES = shapes(SIDE)
 Weights = dict[str, np.ndarray]
 
 
+def frequent_classes(side: int) -> int:
+    return side * side * FREQUENT // CLASSES
+
+
 class Classes(dict):
     """Class of each word; words without one of their own get a shared one when they are first asked for."""
 
+    def __init__(self, frequent: dict[bytes, int], side: int = SIDE) -> None:
+        super().__init__(frequent)
+        self.own = frequent_classes(side)
+        self.shared = side * side - self.own
+
     def __missing__(self, word: bytes) -> int:
-        found = FREQUENT + zlib.crc32(word) % (CLASSES - FREQUENT)
+        found = self.own + zlib.crc32(word) % self.shared
         if len(self) < 400_000:
             self[word] = found
         return found
@@ -62,8 +85,9 @@ def words_of(text: str) -> list[bytes]:
 def start(counts: np.ndarray, seed: int = 3) -> Weights:
     """Weights that predict a class by how frequent it is, with a little noise where the network has to tell apart."""
     rng = np.random.default_rng(seed)
-    share = (counts.reshape(SIDE, SIDE) + 1.0) / (counts.sum() + CLASSES)
-    small = {n: (rng.standard_normal(SHAPES[n]) * 0.1).astype(np.float32) for n in ("around", "first", "second")}
+    side = math.isqrt(len(counts))
+    share = (counts.reshape(side, side) + 1.0) / (counts.sum() + len(counts))
+    small = {n: (rng.standard_normal(shapes(side)[n]) * 0.1).astype(np.float32) for n in ("around", "first", "second")}
     of_first = share.sum(axis=1)
     return small | {
         "first0": np.log(of_first).astype(np.float32),
@@ -71,14 +95,14 @@ def start(counts: np.ndarray, seed: int = 3) -> Weights:
     }
 
 
-def neighbours(classes: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """Classes around each word, (place, word); those of another document are `OUTSIDE`. `documents` is ascending."""
-    out = np.full((len(AROUND), len(classes)), OUTSIDE, dtype=np.int64)
+def neighbours(classes: np.ndarray, documents: np.ndarray, outside: int = OUTSIDE) -> np.ndarray:
+    """Classes around each word, (place, word); those of another document are `outside`. `documents` is ascending."""
+    out = np.full((len(AROUND), len(classes)), outside, dtype=np.int64)
     for row, step in enumerate(AROUND):
         near = slice(max(0, step), len(classes) + min(0, step))
         here = slice(max(0, -step), len(classes) + min(0, -step))
         if here.start < here.stop:
-            out[row, here] = np.where(documents[near] == documents[here], classes[near], OUTSIDE)
+            out[row, here] = np.where(documents[near] == documents[here], classes[near], outside)
     return out
 
 
@@ -98,10 +122,11 @@ def _hidden(weights: Weights, near: np.ndarray) -> np.ndarray:
 def log_probabilities(weights: Weights, near: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Conditional log-probability of each word's class given those around it."""
     out = np.empty(len(classes), np.float64)
+    side = len(weights["first0"])
     for at in range(0, len(classes), 16_384):
         part = slice(at, at + 16_384)
         hidden = _hidden(weights, near[:, part])
-        first, second = classes[part] // SIDE, classes[part] % SIDE
+        first, second = classes[part] // side, classes[part] % side
         rows = np.arange(len(first))
         a = hidden @ weights["first"] + weights["first0"]
         b = hidden @ weights["second"] + weights["second0"][first]
@@ -114,7 +139,7 @@ def log_probabilities(weights: Weights, near: np.ndarray, classes: np.ndarray) -
 
 def _added(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
     """Adds values to rows of a table, those of the same row together."""
-    order = np.argsort(rows.astype(np.int16), kind="stable")
+    order = np.argsort(rows.astype(np.int16 if len(out) <= 1 << 15 else np.int32), kind="stable")
     ordered = rows[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     out[ordered[starts]] += np.add.reduceat(values[order], starts, axis=0)
@@ -122,11 +147,12 @@ def _added(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
 
 def learn(weights: Weights, near: np.ndarray, classes: np.ndarray, rate: float = RATE) -> None:
     """One pass of gradient steps over words, in place. A step is the mean over its batch; sparse rows by their sum."""
+    side = len(weights["first0"])
     for at in range(0, len(classes), BATCH):
         part = slice(at, at + BATCH)
         around, target = near[:, part], classes[part]
         n = len(target)
-        first, second = target // SIDE, target % SIDE
+        first, second = target // side, target % side
         rows = np.arange(n)
         hidden = _hidden(weights, around)
         a = _softmax(hidden @ weights["first"] + weights["first0"])
@@ -148,9 +174,9 @@ def _flat(weights: Weights) -> np.ndarray:
     return np.concatenate([weights[n].ravel() for n in SHAPES]).astype(np.float64)
 
 
-def _shaped(values: np.ndarray) -> Weights:
+def _shaped(values: np.ndarray, side: int) -> Weights:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes(side).items():
         size = int(np.prod(shape))
         out[name] = values[at : at + size].reshape(shape).astype(np.float32)
         at += size
@@ -179,23 +205,37 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _classified(texts: list[str], classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """Class and document of each word of a batch."""
+def _classified(texts: list[str], classes: Classes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of a batch, their classes and documents."""
     split = [words_of(t) for t in texts]
-    sizes = [len(s) for s in split]
-    found = np.fromiter((classes[w] for s in split for w in s), dtype=np.int64, count=sum(sizes))
-    return found, np.repeat(np.arange(len(texts)), sizes)
+    words = [w for s in split for w in s]
+    found = np.fromiter((classes[w] for w in words), dtype=np.int64, count=len(words))
+    return words, found, np.repeat(np.arange(len(texts)), [len(s) for s in split])
+
+
+def within_class(words: list[bytes], found: np.ndarray, own: int, known: dict[bytes, float], totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of each word within its class, and places of the words whose count is not known here.
+
+    A word with a class of its own has 0. A class's words count once more than they are, which is left to words never
+    seen. Words that are not known lack the logarithm of their count.
+    """
+    out = np.zeros(len(words))
+    shared = np.flatnonzero(found >= own)
+    logs = np.fromiter((known.get(words[i], np.nan) for i in shared.tolist()), dtype=np.float64, count=len(shared))
+    out[shared] = np.nan_to_num(logs) - np.log(totals[found[shared]] + 1)
+    return out, shared[np.isnan(logs)]
 
 
 def _learned(given):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, begin = given.value
-        classes = Classes(frequent)
+        side = len(begin["first0"])
+        classes = Classes(frequent, side)
         weights = {n: w.copy() for n, w in begin.items()}
         seen = 0
         for batch in slices(batches, "text"):
-            found, documents = _classified(list(text_of(batch.column(0))), classes)
-            learn(weights, neighbours(found, documents), found)
+            _, found, documents = _classified(list(text_of(batch.column(0))), classes)
+            learn(weights, neighbours(found, documents, side * side), found)
             seen += len(found)
         if seen:
             values = _flat(weights)
@@ -207,44 +247,62 @@ def _learned(given):
 
 def _scored(given):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, weights = given.value
-        classes = Classes(frequent)
+        frequent, weights, known, totals = given.value
+        side = len(weights["first0"])
+        classes = Classes(frequent, side)
         for batch in slices(batches, "text"):
-            found, documents = _classified(list(text_of(batch.column(1))), classes)
-            log_p = log_probabilities(weights, neighbours(found, documents), found)
+            words, found, documents = _classified(list(text_of(batch.column(1))), classes)
+            log_p = log_probabilities(weights, neighbours(found, documents, side * side), found)
+            within, rare = within_class(words, found, classes.own, known, totals)
             many = np.bincount(documents, minlength=batch.num_rows)
-            total = np.bincount(documents, weights=log_p, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(many, pa.int64()), pa.array(total)], ["doc_id", "n_words", "log_p"])
+            total = np.bincount(documents, weights=log_p + within, minlength=batch.num_rows)
+            ends = np.cumsum(np.bincount(documents[rare], minlength=batch.num_rows))
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array([words[i] for i in rare.tolist()], pa.binary()))
+            arrays = [batch.column(0), pa.array(many, pa.int64()), pa.array(total), listed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "log_p", "rare"])
 
     return run
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """How well each document's words go with those around them, by a network that learned from all documents.
+    """How well each document's words go with those around it, by a network that learned from all documents.
 
-    Returns doc_id, n_words, log_p (sum of the natural logarithms of the conditional probabilities of the words'
-    classes) and mean_log_p (per word). A null or empty text has no words, log_p 0 and a null mean. Null and repeated
+    Returns doc_id, n_words, log_p (sum of the natural logarithms of the conditional probabilities of the words)
+    and mean_log_p (per word). A null or empty text has no words, log_p 0 and a null mean. Null and repeated
     ids are rows like any other; other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
     counts = stored(word_counts(rows))
-    # TakeOrdered: at most FREQUENT words.
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = {bytes(r["word"]): i for i, r in enumerate(top)}
-    # The shared classes have what the other words have, evenly.
-    rest = (counts.agg(F.sum("n")).first()[0] or 0) - sum(r["n"] for r in top)
-    by_class = np.full(CLASSES, rest / (CLASSES - FREQUENT))
-    by_class[:FREQUENT] = 0
-    by_class[: len(top)] = [r["n"] for r in top]
+    side = side_for(counts.count())
+    own = frequent_classes(side)
+    # TakeOrdered: at most KNOWN words, and as many as have classes of their own.
+    top = counts.orderBy(F.desc("n"), "word").limit(max(KNOWN, own)).toArrow()
+    ranked, times = top.column("word").to_pylist(), top.column("n").to_pylist()
+    frequent = {w: i for i, w in enumerate(ranked[:own])}
+    known = {w: math.log(n) for w, n in zip(ranked[own:], times[own:], strict=True)}
+    by_class = np.zeros(side * side)
+    # One row for each shared class.
+    for r in counts.groupBy((F.crc32("word") % (side * side - own)).alias("shared")).agg(F.sum("n").alias("n")).collect():
+        by_class[own + r["shared"]] = r["n"]
+    for word, n in zip(ranked[:own], times, strict=False):
+        by_class[own + zlib.crc32(word) % (side * side - own)] -= n
+        by_class[frequent[word]] = n
     broadcast = spark.sparkContext.broadcast
     begin = start(by_class)
     # One row for each weight.
     told = rows.select("text").mapInArrow(_learned(broadcast((frequent, begin))), "place int, weighted double, words long")
-    means = told.groupBy("place").agg((F.sum("weighted") / F.sum("words")).alias("mean")).collect()
+    means = told.groupBy("place").agg((F.sum("weighted") / F.sum("words")).alias("mean")).toArrow()
     values = _flat(begin)
-    for r in means:
-        values[r["place"]] = r["mean"]
-    scored = rows.mapInArrow(_scored(broadcast((frequent, _shaped(values)))), "doc_id long, n_words long, log_p double")
-    return scored.withColumn("mean_log_p", F.col("log_p") / F.when(F.col("n_words") > 0, F.col("n_words")))
+    values[means.column("place").to_numpy()] = means.column("mean").to_numpy()
+    given = broadcast((frequent, _shaped(values, side), known, by_class))
+    scored = rows.mapInArrow(_scored(given), "doc_id long, n_words long, log_p double, rare array<binary>")
+    # Written, so the numbers stay what they are.
+    marked = stored(scored.withColumn("tag", F.monotonically_increasing_id()))
+    # A word that occurs once has the logarithm 0.
+    terms = marked.select("tag", F.explode("rare").alias("word")).join(counts.where("n > 1"), "word")
+    added = terms.groupBy("tag").agg(F.sum(F.log("n")).alias("added"))
+    log_p = F.col("log_p") + F.coalesce("added", F.lit(0.0))
+    whole = marked.join(added, "tag", "left").select("doc_id", "n_words", log_p.alias("log_p"))
+    return whole.withColumn("mean_log_p", F.col("log_p") / F.when(F.col("n_words") > 0, F.col("n_words")))

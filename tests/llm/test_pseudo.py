@@ -103,3 +103,37 @@ def test_order_of_words_matters(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*usual, shuffled])], "doc_id long, text string").repartition(2)
     found = {r.doc_id: r.mean_log_p for r in pseudo_likelihood(docs).collect()}
     assert min(found[i] for i in range(60)) > found[60]
+
+
+def test_rare_words_count_as_themselves(spark, monkeypatch):
+    """Words beyond those with classes of their own: a frequent one is likelier than a rare one of the same class."""
+    import zlib
+
+    from cityflow.llm import pseudo
+
+    monkeypatch.setattr(pseudo, "KNOWN", 800)
+    rng = random.Random(4)
+    own = [f"own{i}" for i in range(FREQUENT)]
+    others = [f"o{i}" for i in range(4000)]
+    a = others[0]
+    b, c = [o for o in others[1:] if zlib.crc32(o.encode()) % 256 == zlib.crc32(a.encode()) % 256][:2]
+    texts = [" ".join(own)] * 60 + [" ".join(rng.sample(others, 200)) for _ in range(60)] + [" ".join([a] * 30), b, b, c]
+    tests = [f"own1 own2 {w} own3 own4" for w in (a, b, c)]
+    docs = spark.createDataFrame(list(enumerate([*tests, *texts])), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.log_p for r in pseudo_likelihood(docs).collect()}
+    times = {bytes(r.word).decode(): r.n for r in word_counts(docs).collect()}
+    assert times[a] > times[b] != times[c]
+    # The same class in the same context: the difference is that of the counts.
+    assert abs(found[0] - found[1] - math.log(times[a] / times[b])) < 1e-6
+    assert abs(found[1] - found[2] - math.log(times[b] / times[c])) < 1e-6
+
+
+def test_classes_grow_with_the_vocabulary():
+    from cityflow.llm.pseudo import shapes, side_for
+
+    assert side_for(1000) == SIDE and side_for(5_000_000) > side_for(1_000_000) > SIDE
+    side = side_for(5_000_000)
+    weights = start(np.ones(side * side))
+    assert {n: w.shape for n, w in weights.items()} == shapes(side)
+    near = np.full((4, side * side), side * side)
+    assert abs(np.exp(log_probabilities(weights, near, np.arange(side * side))).sum() - 1) < 1e-4
