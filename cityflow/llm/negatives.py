@@ -30,11 +30,11 @@ SEED = 42
 #: Vectors that the codebooks are fitted to at most, those with the smallest hashes; all vectors are indexed.
 FITTED = 16_384
 #: Vectors of a cell on average, and centroids of a codebook at most.
-PER_CELL, CENTROIDS = 128, 256
+PER_CELL, CENTROIDS = 512, 256
 #: Anchors of a batch, and vectors of a block.
 BATCH, BLOCK = 256, 1024
 #: Vectors in the cells that are visited first.
-PROBED = 512
+PROBED = 1024
 #: Products of whole numbers up to this size are exact in floating point, 64 of them added.
 EXACT = 1 << 23
 
@@ -102,6 +102,8 @@ def _nearest(vectors: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def codebook(vectors: np.ndarray, size: int, rounds: int = 8) -> np.ndarray:
     """Centroids of at most `size` groups of vectors, by a few rounds of means."""
+    if not len(vectors):
+        return np.zeros((1, vectors.shape[1]))
     distinct = np.unique(vectors, axis=0).astype(float)
     rng = np.random.default_rng(SEED)
     book = distinct[rng.choice(len(distinct), min(size, len(distinct)), replace=False)]
@@ -135,16 +137,17 @@ def _blocks(dims: int):
         for batch in batches:
             cells = batch.column(0).to_numpy()
             ids, tags, labels = (batch.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3))
-            vectors = matrix(batch.column(4), dims).astype(np.int32)
+            vectors = matrix(batch.column(4), dims)
             edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
             made = [(b, min(b + BLOCK, e)) for s, e in zip(edges, edges[1:], strict=False) for b in range(s, e, BLOCK)]
             if made:
-                whole_block = [[x[b:e].tobytes() for b, e in made] for x in (ids, tags, labels, vectors)]
+                parts = [[x[b:e].tobytes() for b, e in made] for x in (ids, tags, labels)]
+                parts.append([_packed(vectors[b:e]) for b, e in made])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(uid, uid + len(made)), pa.int64()),
                         pa.array([int(cells[b]) for b, _ in made], pa.int64()),
-                        *[pa.array(x, pa.binary()) for x in whole_block],
+                        *[pa.array(x, pa.binary()) for x in parts],
                     ],
                     ["uid", "cell", "ids", "tags", "labels", "vectors"],
                 )
@@ -153,43 +156,55 @@ def _blocks(dims: int):
     return run
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in two bytes each where they fit, else in four."""
+    return numbers.astype(np.int16 if np.abs(numbers).max(initial=0) < 1 << 15 else np.int32).tobytes()
+
+
+def _unpacked(held: pa.Scalar, dims: int, rows: int) -> np.ndarray:
+    data = held.as_buffer()
+    return np.frombuffer(data, np.int16 if data.size == 2 * dims * rows else np.int32).reshape(rows, dims)
+
+
+def _numbers(held: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(held.as_buffer(), np.int64)
+
+
 def _visiting(given, dims: int):
-    """For batches of anchors, the cells they visit with the anchors that visit each."""
+    """For batches of anchors, the cells they visit with the anchors, and their windows, that visit each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*given.value)
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, BATCH):
                 batch = whole_batch.slice(at, BATCH)
-                keys, needed, windows = batch.column(0), batch.column(3).to_pylist(), batch.column(4)
-                labels = batch.column(1).to_numpy().astype(np.int64)
-                vectors = matrix(batch.column(2), dims)
+                numbers, labels = (batch.column(c).to_numpy().astype(np.int64) for c in (0, 1))
+                vectors, needed = matrix(batch.column(2), dims), batch.column(3).to_pylist()
+                parts = batch.column(4).flatten().flatten()
+                windows = np.stack([p.to_numpy(zero_copy_only=False).astype(np.int64) for p in parts])
+                sizes = batch.column(4).value_lengths().to_numpy().astype(np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
                 left, right = index.bounds(vectors)
                 guests: dict[int, list[int]] = {}
                 for q in range(batch.num_rows):
                     for cell in visits(index, left[q], right[q], needed[q]):
                         guests.setdefault(cell, []).append(q)
-                cells = list(guests)
-                for some in range(0, len(cells), 64):
-                    named = cells[some : some + 64]
-                    members = [np.array(guests[c]) for c in named]
+                place = np.full(batch.num_rows, -1)
+                for cell, members in guests.items():
+                    place[:] = -1
+                    place[members] = np.arange(len(members))
+                    own = place[owner] >= 0
+                    held = [numbers[members], labels[members], place[owner[own]], *windows[:, own]]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(named, pa.int64()),
-                            pa.array([keys.take(pa.array(m)).to_pylist() for m in members], pa.list_(pa.string())),
-                            pa.array([labels[m].tobytes() for m in members], pa.binary()),
-                            pa.array([vectors[m].astype(np.int32).tobytes() for m in members], pa.binary()),
-                            pa.array([windows.take(pa.array(m)).to_pylist() for m in members], pa.list_(_WINDOWS)),
-                        ],
-                        ["cell", "keys", "labels", "vectors", "windows"],
+                        [pa.array([cell], pa.int64()), pa.array([_packed(vectors[members])]), *[pa.array([h.tobytes()]) for h in held]],
+                        ["cell", "vectors", *_VISIT],
                     )
 
     return run
 
 
-#: What is wanted of a search: name, lowest and highest score of each window.
-_WINDOWS = pa.list_(pa.struct([("name", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]))
-_WINDOWS_DDL = "array<struct<name:long,low:long,high:long>>"
+#: What comes with a visit, each as longs: numbers and labels of the anchors; owner, name, lowest and highest score of the windows.
+_VISIT = ["numbers", "labels", "owner", "name", "low", "high"]
 
 
 def _scores(anchors: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -198,31 +213,37 @@ def _scores(anchors: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return anchors.astype(np.int64) @ vectors.astype(np.int64).T
 
 
+_NONE = -(1 << 62)
+
+
+def _highest(scores: np.ndarray, wanted: int) -> np.ndarray:
+    """Positions of the highest scores of each row; of equal ones the first go first."""
+    size = scores.shape[1]
+    if size <= wanted or np.abs(np.where(scores == _NONE, 0, scores)).max(initial=0) >= 1 << 50:
+        return np.argsort(-scores, axis=1, kind="stable")[:, :wanted]
+    # One number for score and position; blocks have at most 2^10 rows.
+    joined = np.where(scores == _NONE, _NONE, scores * size - np.arange(size)[None, :])
+    return np.argpartition(-joined, wanted, axis=1)[:, :wanted]
+
+
 def _met(dims: int, same: bool, wanted: int):
     """The best of each block for each window of the anchors that visit it: highest scores first, then smallest ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
             for at in range(batch.num_rows):
-                keys, windows = batch.column(0)[at].as_py(), batch.column(3)[at].as_py()
-                own, others = (np.frombuffer(batch.column(c)[at].as_buffer(), np.int64) for c in (1, 6))
-                anchors, vectors = (np.frombuffer(batch.column(c)[at].as_buffer(), np.int32).reshape(-1, dims) for c in (2, 7))
-                ids, tags = (np.frombuffer(batch.column(c)[at].as_buffer(), np.int64) for c in (4, 5))
-                scores = _scores(anchors, vectors)
-                fits = (own[:, None] == others[None, :]) == same
-                for q, key in enumerate(keys):
-                    for window in windows[q]:
-                        good = np.flatnonzero(fits[q] & (scores[q] >= window["low"]) & (scores[q] <= window["high"]))
-                        # Positions are in order of ids.
-                        best = good[np.argsort(-scores[q][good], kind="stable")[:wanted]]
-                        out += [(key, window["name"], int(scores[q][x]), int(ids[x]), int(tags[x])) for x in best.tolist()]
-            if out:
-                columns = list(zip(*out, strict=True))
-                kinds = [pa.string(), *[pa.int64()] * 4]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "name", "score", "vec_id", "tag"]
-                )
+                row = [batch.column(c)[at] for c in range(batch.num_columns)]
+                numbers, labels, owner, name, low, high, ids, tags, others = map(_numbers, row[2:])
+                scores = _scores(_unpacked(row[0], dims, len(numbers)), _unpacked(row[1], dims, len(ids)))
+                fits = (labels[:, None] == others[None, :]) == same
+                fits = fits[owner] & (scores[owner] >= low[:, None]) & (scores[owner] <= high[:, None])
+                best = _highest(np.where(fits, scores[owner], _NONE), wanted)
+                window = np.repeat(np.arange(len(owner)), best.shape[1])
+                spot = best.ravel()
+                good = fits[window, spot]
+                window, spot = window[good], spot[good]
+                found = [numbers[owner[window]], name[window], scores[owner[window], spot], ids[spot], tags[spot]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["number", "name", "score", "vec_id", "tag"])
 
     return run
 
@@ -266,39 +287,37 @@ class MultiIndex:
         return cls(Index(dims, books, (radii[0], radii[1]), held), stored(blocks))
 
     def _found(self, anchors: DataFrame, same: bool, wanted: int) -> DataFrame:
-        """Best rows of the cells that anchors (key, label, v, needed, windows) visit."""
-        spark, dims = anchors.sparkSession, self.index.dims
-        index = self.index
+        """Best rows of the cells that anchors (number, label, v, needed, windows) visit."""
+        spark, index = anchors.sparkSession, self.index
         # As plain values: executors have no copy of this module.
         given = spark.sparkContext.broadcast((index.dims, index.books, index.radii, index.held))
-        visiting = anchors.select("key", "label", "v", "needed", "windows").mapInArrow(
-            _visiting(given, dims), f"cell long, keys array<string>, labels binary, vectors binary, windows array<{_WINDOWS_DDL}>"
-        )
-        where = self.blocks.select("cell", "uid")
+        dealt = anchors.select("number", "label", "v", "needed", "windows").repartition(shuffle_partitions(spark), "number")
+        binary = ", ".join(f"{name} binary" for name in ["vectors", *_VISIT])
+        visiting = dealt.mapInArrow(_visiting(given, index.dims), f"cell long, {binary}")
+        # Visits are far larger than the anchors that make them, so both joins are told not to broadcast them.
+        where = self.blocks.select("cell", "uid").hint("shuffle_hash")
         blocks = self.blocks.select("uid", "ids", "tags", F.col("labels").alias("others"), F.col("vectors").alias("theirs"))
-        met = visiting.join(where, "cell").join(blocks, "uid")
-        found = met.select("keys", "labels", "vectors", "windows", "ids", "tags", "others", "theirs").mapInArrow(
-            _met(dims, same, wanted), "key string, name long, score long, vec_id long, tag long"
-        )
+        met = visiting.join(where, "cell").hint("merge").join(blocks, "uid").select("vectors", "theirs", *_VISIT, "ids", "tags", "others")
+        found = met.mapInArrow(_met(index.dims, same, wanted), "number long, name long, score long, vec_id long, tag long")
         return best_of(found, wanted)
 
     def search(self, anchors: DataFrame, same: bool, wanted: int) -> DataFrame:
-        """The first `wanted` rows of each window of the anchors (key, label, v, windows), of their label or of others.
+        """The first `wanted` rows of each window of the anchors (number, label, v, windows), of their label or of others.
 
-        Returns key, name, score, vec_id and tag; higher scores come first, then smaller ids.
+        Returns number, name, score, vec_id and tag; higher scores come first, then smaller ids.
         """
         probe = anchors.withColumn("needed", F.lit(None).cast("double"))
         early = stored(self._found(probe, same, wanted))
         # The score each window has to beat: that of its last row where it is full.
-        full = early.groupBy("key", "name").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == wanted)
-        known = full.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("name", "least"))).alias("known"))
+        full = early.groupBy("number", "name").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == wanted)
+        known = full.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("name", "least"))).alias("known"))
         raised = F.transform(
             "windows",
             lambda w: F.struct(
                 w["name"].alias("name"), F.coalesce(F.try_element_at("known", w["name"]), w["low"]).alias("low"), w["high"].alias("high")
             ),
         )
-        told = anchors.join(known, "key", "left").withColumn("windows", raised)
+        told = anchors.join(known, "number", "left").withColumn("windows", raised)
         least = F.array_min(F.transform("windows", lambda w: w["low"])).cast("double")
         rest = told.withColumn("needed", least).where(F.col("needed").isNotNull()).drop("known")
         return stored(best_of(early.unionByName(self._found(rest, same, wanted)), wanted))
@@ -306,7 +325,7 @@ class MultiIndex:
 
 def best_of(rows: DataFrame, wanted: int) -> DataFrame:
     """The first rows of each window; what is too late already in its task is cut before the shuffle."""
-    order = Window.partitionBy("key", "name").orderBy(F.desc("score"), "vec_id", "tag")
+    order = Window.partitionBy("number", "name").orderBy(F.desc("score"), "vec_id", "tag")
     return rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= wanted).drop("nth")
 
 
@@ -349,31 +368,29 @@ def hard_negatives(
         F.monotonically_increasing_id().alias("tag"),
     )
     rows = stored(taken)
-    dims = rows.agg(F.max(F.size("v"))).first()[0]
-    if not dims:
-        # No rows, or vectors without components, which all score zero.
-        rows, dims = rows.withColumn("v", F.array(F.lit(0))), 1
+    # Two halves at least.
+    dims = max(rows.agg(F.max(F.size("v"))).first()[0] or 0, 2)
     copies = Window.partitionBy("v", "label").orderBy("vec_id", "tag")
     some = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= max(positives + 1, negatives)).drop("copy")
     index = MultiIndex.over(stored(some), dims)
     key = F.sha2(F.to_json(F.struct("v", "label")), 256)
     anchors = stored(rows.where(F.col("vec_id") % every == 0).select(key.alias("key"), "vec_id", "tag", "label", "v"))
     searching = anchors.groupBy("key").agg(F.min("label").alias("label"), F.min("v").alias("v"))
-    searching = stored(searching.repartition(shuffle_partitions(spark), "key"))
+    searching = stored(searching.withColumn("number", F.monotonically_increasing_id()))
     any_score = F.array(F.struct(F.lit(0).cast("long").alias("name"), F.lit(-(1 << 62)).alias("low"), F.lit(1 << 62).alias("high")))
     found = index.search(searching.withColumn("windows", any_score), True, positives + 1)
-    windows = found.select("key", F.col("score").alias("name")).distinct()
+    windows = found.select("number", F.col("score").alias("name")).distinct()
     # Between the least whole number of at least low % and the greatest of at most high %.
     lowest = -_divided(-F.col("name") * low, 100)
-    windows = windows.select("key", "name", lowest.alias("low"), _divided(F.col("name") * high, 100).alias("high")).where("low <= high")
+    windows = windows.select("number", "name", lowest.alias("low"), _divided(F.col("name") * high, 100).alias("high")).where("low <= high")
     # As many windows as positives at most.
-    wanted = windows.groupBy("key").agg(F.collect_list(F.struct("name", "low", "high")).alias("windows"))
-    against = index.search(searching.join(wanted, "key"), False, negatives)
+    wanted = windows.groupBy("number").agg(F.collect_list(F.struct("name", "low", "high")).alias("windows"))
+    against = index.search(searching.join(wanted, "number"), False, negatives)
     nearest = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "vec_id", "tag")))
-    lists = against.groupBy("key", "name").agg(nearest.alias("negatives"))
-    paired = found.join(lists.withColumnRenamed("name", "score"), ["key", "score"], "left")
+    lists = against.groupBy("number", "name").agg(nearest.alias("negatives"))
+    paired = found.join(lists.withColumnRenamed("name", "score"), ["number", "score"], "left")
     order = F.struct((-F.col("score")).alias("order"), "vec_id", "tag", "negatives")
-    told = paired.groupBy("key").agg(F.sort_array(F.collect_list(order)).alias("positives"))
+    told = paired.groupBy("number").agg(F.sort_array(F.collect_list(order)).alias("positives")).join(searching.select("number", "key"), "number")
     others = F.slice(F.filter("positives", lambda p: p["tag"] != F.col("tag")), 1, positives)
     each = anchors.select("key", "vec_id", "tag").join(told, "key").select(F.col("vec_id").alias("anchor_id"), F.explode(others).alias("p"))
     ranked = each.select("anchor_id", "p", F.posexplode("p.negatives").alias("nth", "n"))
