@@ -68,6 +68,33 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+class WorkTables:
+    """Intermediate tables that are deleted as soon as nothing reads them any more.
+
+    What is made from a table must be written before the table is dropped: what was lost with an executor
+    could not be computed again without it.
+    """
+
+    def __init__(self) -> None:
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def put(self, rows: DataFrame) -> DataFrame:
+        """The rows written as Parquet in the shared folder and read again."""
+        spark = rows.sparkSession
+        path = f"{work_folder(spark)}/llm-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        made = spark.read.schema(rows.schema).parquet(path)
+        self.paths[id(made)] = (made, path)
+        return made
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that `put` wrote."""
+        for made in tables:
+            spark, (_, path) = made.sparkSession, self.paths.pop(id(made))
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def small_frame(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
     """Rows from the driver; callers state what bounds their number."""
     return spark.createDataFrame(list(zip(*columns.values(), strict=True)), schema)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import UPPER_TO_LOWER, bounded_batches, col, packed, shuffle_partitions, slices, stored, unpacked, with_first
+from cityflow.llm.common import UPPER_TO_LOWER, WorkTables, bounded_batches, col, packed, shuffle_partitions, slices, stored, unpacked, with_first
 
 DISTANCE = 2
 #: Widths of the ring's segments, from the lowest bit.
@@ -176,7 +176,8 @@ def roots(links: DataFrame) -> DataFrame:
     Alternates between tying larger neighbours and smaller neighbours of a node to the smallest one, until
     nothing moves; each round is a few joins on the node and is written to the shared folder.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    tables = WorkTables()
+    edges = tables.put(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -184,7 +185,9 @@ def roots(links: DataFrame) -> DataFrame:
         larger = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(smaller.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        moved = tables.put(smaller.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        tables.drop(edges)
+        edges = moved
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select("u", F.col("v").alias("root"))
