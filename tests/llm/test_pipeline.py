@@ -8,10 +8,11 @@ import public_tokenizers
 
 import corpus_pipeline
 from cityflow.llm.pii import mask
-from cityflow.llm.simhash import fingerprint
 from cityflow.llm.tokens import encode
 from cityflow.llm.toxicity import learned, score_documents
 
+from .test_near import shingles
+
 REPO = Path(__file__).resolve().parents[2]
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -46,8 +47,8 @@ def test_run_against_brute_force(spark, tmp_path):
     left = {}
     for row in sorted((r for r in docs.collect() if r.doc_id not in toxic), key=lambda r: (r.doc_id is None, r.doc_id)):
         left.setdefault((row.text or "").translate(LOWER), row)
-    prints = {r.doc_id: fingerprint(r.text or "") for r in left.values()}
-    parent = {d: d for d in prints}
+    sets = {r.doc_id: shingles(r.text) for r in left.values()}
+    parent = {d: d for d in sets}
 
     def root(d):
         while parent[d] != d:
@@ -55,10 +56,10 @@ def test_run_against_brute_force(spark, tmp_path):
         return d
 
     order = lambda d: (d is None, d or 0)
-    ids = sorted(prints, key=order)
+    ids = sorted(sets, key=order)
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
-            if (prints[a] ^ prints[b]).bit_count() <= 2 and root(a) != root(b):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root(a) != root(b):
                 low, high = sorted((root(a), root(b)), key=order)
                 parent[high] = low
     stays = [r for r in left.values() if root(r.doc_id) == r.doc_id]
@@ -79,6 +80,23 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
 
 
+def test_empty_tables_missing_labels_and_clashing_columns(spark, tmp_path):
+    """Stages pass on what there is: no documents, no usable labels, documents with columns named like working ones."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, tag string, root int, row string, fp int, score double, label string, n int, place int"
+    row = ["en", "s", 3, "t", 1, "r", 2, 0.5, "l", 4, 5]
+    texts = ["one two three four five six seven", "ONE two three four five six seven", None, "", "mail a@b.org now and then"]
+    for name, rows in (("none", []), ("some", [(i, t, *row) for i, t in enumerate(texts)])):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, kind).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(7, None, None), (None, 1, 1)] if rows else [], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(folder))
+            assert docs.schema.simpleString() == spark.read.parquet(f"{folder}/documents.parquet").schema.simpleString(), stage_name
+        assert sorted(r.doc_id for r in docs.collect()) == ([0, 2, 4] if rows else [])
+        assert {r.doc_id for r in corpus_pipeline.run(spark, str(folder)).collect()} == ({0, 2, 4} if rows else set())
+
+
 def test_rest_works_without_the_subpackage(tmp_path):
     """The entry module still loads, with all other queries, where the subpackage is not installed."""
     copy = tmp_path / "repo"
@@ -98,4 +116,4 @@ def test_rest_works_without_the_subpackage(tmp_path):
 def test_queries_have_their_names():
     from cityflow.llm.queries import QUERIES, SQL
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(SQL) <= set(QUERIES)

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from cityflow.llm.pseudo import AROUND, CLASSES, FREQUENT, OUTSIDE, SHAPES, SIDE, Classes, _added, learn, log_probabilities, neighbours, pseudo_likelihood, start, word_counts
+from cityflow.llm.pseudo import AROUND, CLASSES, FREQUENT, HIDDEN, OUTSIDE, SHAPES, SIDE, Vocabulary, learn, log_probabilities, neighbours, pseudo_likelihood, start, word_counts
 
 
 def test_neighbours_stay_in_their_document():
@@ -57,10 +57,22 @@ def test_word_itself_is_not_seen():
     assert (neighbours(a, same)[:, 1] == neighbours(b, same)[:, 1]).all()
 
 
-def test_added():
-    out = np.zeros((4, 2), np.float32)
-    _added(np.array([3, 0, 3]), np.array([[1, 2], [3, 4], [5, 6]], np.float32), out)
-    assert out.tolist() == [[3, 4], [0, 0], [0, 0], [6, 8]]
+def test_a_step_by_hand():
+    """One step over a few words, against gradients by differences."""
+    weights, rng = drawn(7), random.Random(3)
+    classes = np.array([rng.randrange(CLASSES) for _ in range(6)])
+    near = neighbours(classes, np.zeros(6, dtype=int))
+    loss = lambda w: -log_probabilities(w, near, classes).sum()
+    moved = {n: w.copy() for n, w in weights.items()}
+    learn(moved, near, classes, rate=6.0)
+    spots = [("around", (1, int(near[1, 2]), 5), 8), ("around", (3, OUTSIDE, 0), 8), ("first", (4, 7), 1), ("second", (HIDDEN - 1, 3), 1)]
+    spots += [("first0", (int(classes[0]) // SIDE,), 1), ("second0", (int(classes[0]) // SIDE, int(classes[0]) % SIDE), 1)]
+    for name, spot, times in spots:
+        high, low = ({n: w.astype(np.float64) for n, w in weights.items()} for _ in range(2))
+        high[name][spot] += 1e-4
+        low[name][spot] -= 1e-4
+        slope = (loss(high) - loss(low)) / 2e-4
+        assert abs(float(weights[name][spot] - moved[name][spot]) - times * slope) < 2e-3, name
 
 
 def test_learning_helps_unseen_text():
@@ -82,8 +94,23 @@ def test_learning_helps_unseen_text():
 
 
 def test_classes():
-    classes = Classes({b"a": 0})
-    assert classes[b"a"] == 0 and FREQUENT <= classes[b"other"] < CLASSES and classes[b"other"] == classes[b"other"]
+    words = [b"a", b"b", *[f"w{i}".encode() for i in range(FREQUENT)]]
+    known = Vocabulary(words, list(range(len(words) + 5, 5, -1)))
+    found, numbers, rare = known.classified([b"a", b"other", b"w767", b"other", b"b"])
+    assert found.tolist()[0] == 0 and found[4] == 1 and numbers.tolist() == [0, -1, FREQUENT + 1, -1, 1]
+    assert FREQUENT <= found[1] < CLASSES and found[1] == found[3] and FREQUENT <= found[2] < CLASSES
+    assert rare.tolist() == [1, 3] and known.logs[0] == 0 and known.logs[FREQUENT + 1] > 0
+
+
+def test_scores_depend_little_on_the_number_of_tasks(spark):
+    rng = random.Random(6)
+    phrases = [rng.choices([f"w{i}" for i in range(300)], k=5) for _ in range(60)]
+    texts = [" ".join(w for _ in range(40) for w in rng.choice(phrases)) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few, many = ({r.doc_id: r.mean_log_p for r in pseudo_likelihood(docs.repartition(n, "doc_id")).collect()} for n in (2, 6))
+    apart = np.array([few[i] - many[i] for i in few])
+    spread = np.std(list(few.values()))
+    assert abs(apart).mean() < 0.5 and np.corrcoef(list(few.values()), [many[i] for i in few])[0, 1] > 0.8 and spread > 0
 
 
 def test_documents(spark, odd_docs, odd_rows, no_docs):

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cityflow.llm.gru import HIDDEN, INPUT, Network, Windows, windows, word_inputs
-from cityflow.llm.toxicity import drop_toxic, learned, numbered, score_documents, score_texts, train
+from cityflow.llm.toxicity import STRIDE, WIDTH, _telling, drop_toxic, learned, numbered, score_documents, score_texts, train
 
 
 def test_windows_cover_and_overlap():
@@ -139,6 +139,33 @@ def test_held_out_labels_are_not_read(spark):
     assert all((a.weights[k] == b.weights[k]).all() for k in a.weights)
 
 
+def test_passages_are_whole_in_a_window_wherever_they_begin():
+    for n in (24, 49, 60, 200):
+        found = windows([np.arange(n)], WIDTH, STRIDE)
+        held = [set(found.ids[: found.lengths[i], i].tolist()) for i in range(len(found.owners))]
+        for begin in range(n - 23):
+            assert any(set(range(begin, begin + 24)) <= h for h in held), (n, begin)
+
+
+def test_a_toxic_passage_at_every_place_of_a_long_clean_text():
+    rows = corpus(500, seed=9)
+    network = train([r[1] for r in rows], [r[2] for r in rows])
+    clean = " ".join(t for _, t, y in rows if not y).split()[:300]
+    passage = "zgrubtare lo frakkmi sun zgrublo pa".split()
+    texts = [" ".join(clean[:at] + passage + clean[at:]) for at in range(0, 301, 7)]
+    assert (score_texts(network, texts) > 0.5).all() and score_texts(network, [" ".join(clean)])[0] < 0.5
+
+
+def test_inputs_are_those_that_tell_the_classes_apart():
+    """A word in eight toxic texts only tells; one in a hundred texts of both classes, or in two texts, does not."""
+    texts = [f"common{i % 3} often " + ("bad " if i < 8 else "") + ("rare" if i in (1, 3) else "") for i in range(400)]
+    label = np.array([float(i < 100) for i in range(400)], np.float32)
+    inputs, numbers = numbered(texts)
+    found = _telling(inputs, numbers, label)["words"]
+    words = {w: inputs.words[numbers[i][at]] for w, i, at in (("often", 0, 1), ("bad", 0, 2), ("rare", 1, 3))}
+    assert found[words["bad"]] and not found[words["often"]] and not found[words["rare"]]
+
+
 def test_scores_do_not_depend_on_the_batch():
     rows = corpus(60, seed=2)
     network = train([r[1] for r in rows], [r[2] for r in rows], epochs=2)
