@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from cityflow.llm.common import bounded_batches, col, packed, slices, text_of, unpacked, with_first
 from cityflow.llm.gru import GRAM_BITS, WORD_BITS, Network, Trainer, Windows, WordInputs, _sigmoid, windows, word_inputs
 
-#: Words of a window, and how far the next one is.
-WIDTH, STRIDE = 48, 36
+#: Words of a window, and how far the next one is: any 24 words in a row are whole in one of them.
+WIDTH, STRIDE = 48, 24
 #: Labelled rows the network learns from, at most, of each class; and their longest text in bytes.
 MOST_ROWS, MOST_BYTES = 2_000, 20_000
 EPOCHS, BATCH = 4, 256
@@ -22,9 +22,8 @@ EPOCHS, BATCH = 4, 256
 UPDATES, WARM_UP = 400, 120
 #: First step sizes of the weights and of the tables of words and character runs.
 RATES = (0.01, 0.05)
-#: Texts that a word or a run of characters must occur in to have an input of its own: a share of the rarer
-#: class, and a number. What is rarer says more about a text than about its class.
-LEAST_SHARE, LEAST_TEXTS = 0.03, 5
+#: What the G-test of a word or a run of characters must reach for an input of its own: one in ten thousand do by chance.
+TELLING = 15.1
 #: Windows that are scored together.
 TOGETHER = 4_096
 
@@ -85,17 +84,28 @@ def _restricted(inputs: WordInputs, batch: Windows) -> tuple[WordInputs, Windows
     return WordInputs(inputs.words[used], grams, begins, counts), Windows(place[batch.ids], batch.lengths, batch.owners)
 
 
-def _frequent(inputs: WordInputs, texts: list[np.ndarray], least: float) -> dict[str, np.ndarray]:
-    """Rows of the tables that at least so many texts have."""
-    words = np.zeros(1 << WORD_BITS, np.int32)
-    grams = np.zeros(1 << GRAM_BITS, np.int32)
-    for text in texts:
+def _telling(inputs: WordInputs, texts: list[np.ndarray], label: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of the tables whose words or runs are in texts of one class more often than chance would have it.
+
+    By the G-test on the numbers of texts with and without them. What is in a few texts only must be in texts of one
+    class alone to pass, whatever the size of the sample, and what passes recurs.
+    """
+    held = {"words": np.zeros((2, 1 << WORD_BITS)), "grams": np.zeros((2, 1 << GRAM_BITS))}
+    for text, of in zip(texts, label.astype(int).tolist(), strict=True):
         distinct = np.unique(text)
-        words[np.unique(inputs.words[distinct])] += 1
+        held["words"][of, np.unique(inputs.words[distinct])] += 1
         counts = inputs.counts[distinct]
         before = np.cumsum(counts) - counts
-        grams[np.unique(inputs.grams[np.repeat(inputs.begins[distinct] - before, counts) + np.arange(counts.sum())])] += 1
-    return {"words": words >= least, "grams": grams >= least}
+        held["grams"][of, np.unique(inputs.grams[np.repeat(inputs.begins[distinct] - before, counts) + np.arange(counts.sum())])] += 1
+    size = np.bincount(label.astype(int), minlength=2)[:, None].astype(float)
+    found = {}
+    for name, with_it in held.items():
+        g = np.zeros(with_it.shape[1])
+        for seen in (with_it, size - with_it):
+            expected = size * seen.sum(0) / size.sum()
+            g += 2 * (seen * np.log(np.divide(seen, expected, out=np.ones_like(seen), where=seen > 0))).sum(0)
+        found[name] = g >= TELLING
+    return found
 
 
 def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 11) -> Network:
@@ -116,8 +126,7 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int =
     inputs, numbers = numbered(texts)
     batch = windows(numbers, WIDTH, STRIDE)
     of_text = label[batch.owners]
-    least = max(LEAST_TEXTS, LEAST_SHARE * min(label.sum(), len(label) - label.sum()))
-    trainer = Trainer(network, open_rows=_frequent(inputs, numbers, least))
+    trainer = Trainer(network, open_rows=_telling(inputs, numbers, label))
     epochs = max(epochs, -(-UPDATES * BATCH // len(batch.lengths))) if len(batch.lengths) else 0
     warm = max(1, -(-WARM_UP * BATCH // max(1, len(batch.lengths))))
     for epoch in range(epochs):
