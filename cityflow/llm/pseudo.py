@@ -6,8 +6,8 @@ the whole corpus have one of their own, all others share some by hash. A class i
 32 each or more in a large vocabulary. The chance of a word within its class is its share of the class's words, from counts
 of all words, which stay distributed: only those of the most frequent ones are broadcast, all others are joined.
 
-The network learns from every document: each task takes its rows through the network once, from the same start, and
-what the tasks arrive at is averaged, weighted by their words, in a distributed aggregate.
+The network learns from every document: in each of two rounds, each task takes its rows through the network, from the same
+start, and what the tasks arrive at is averaged, weighted by their words, in a distributed aggregate.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,9 @@ HIDDEN = 16
 AROUND = (-2, -1, 1, 2)
 BATCH = 2_048
 RATE = 0.5
+#: Rates of the rounds. What the tasks of a round arrive at is averaged, and the next one begins with that, so that the
+#: weights depend little on how many tasks there are.
+RATES = (0.5, 0.25)
 
 
 def shapes(side: int) -> dict[str, tuple[int, ...]]:
@@ -62,19 +66,34 @@ def frequent_classes(side: int) -> int:
     return side * side * FREQUENT // CLASSES
 
 
-class Classes(dict):
-    """Class of each word; words without one of their own get a shared one when they are first asked for."""
+class Vocabulary:
+    """The words whose counts are known here, by number: those with classes of their own first.
 
-    def __init__(self, frequent: dict[bytes, int], side: int = SIDE) -> None:
-        super().__init__(frequent)
-        self.own = frequent_classes(side)
-        self.shared = side * side - self.own
+    Other words, of which there may be any number, share classes by hash.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        found = self.own + zlib.crc32(word) % self.shared
-        if len(self) < 400_000:
-            self[word] = found
-        return found
+    def __init__(self, words: list[bytes], times: list[int], side: int = SIDE) -> None:
+        self.own = min(len(words), frequent_classes(side))
+        self.first_shared = frequent_classes(side)
+        self.shared = side * side - self.first_shared
+        self.numbers = {w: i for i, w in enumerate(words)}
+        classes = [i if i < self.own else self.shared_class(w) for i, w in enumerate(words)]
+        # A last place each for words that are not here.
+        self.classes = np.array([*classes, 0], np.int64)
+        logs = [0.0 if i < self.own else math.log(n) for i, n in enumerate(times)]
+        self.logs = np.array([*logs, 0.0])
+
+    def shared_class(self, word: bytes) -> int:
+        """Class of a word that has none of its own."""
+        return self.first_shared + zlib.crc32(word) % self.shared
+
+    def classified(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes of words, their numbers (-1: not here), and the places of those that are not here."""
+        numbers = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        found = self.classes[numbers]
+        rare = np.flatnonzero(numbers < 0)
+        found[rare] = [self.shared_class(words[i]) for i in rare.tolist()]
+        return found, numbers, rare
 
 
 def words_of(text: str) -> list[bytes]:
@@ -106,68 +125,86 @@ def neighbours(classes: np.ndarray, documents: np.ndarray, outside: int = OUTSID
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
-    return x
-
-
 def _hidden(weights: Weights, near: np.ndarray) -> np.ndarray:
-    total = weights["around"][0][near[0]]
+    total = weights["around"][0].take(near[0], axis=0)
     for place in range(1, len(AROUND)):
-        total += weights["around"][place][near[place]]
-    return np.tanh(total)
+        total += weights["around"][place].take(near[place], axis=0)
+    return np.tanh(total, out=total)
+
+
+def _logits(weights: Weights, hidden: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of both parts, (choice, word): sums over choices then run along whole rows."""
+    a = weights["first"].T @ hidden.T
+    a += weights["first0"][:, None]
+    b = weights["second"].T @ hidden.T
+    b += weights["second0"].T.take(first, axis=1)
+    return a, b
+
+
+def _log_softmax(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithm of the share of one choice for each word; x is used up."""
+    x -= x.max(axis=0)
+    logits = x[chosen, np.arange(len(chosen))].astype(np.float64)
+    np.exp(x, out=x)
+    return logits - np.log(x.sum(axis=0), dtype=np.float64)
 
 
 def log_probabilities(weights: Weights, near: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Conditional log-probability of each word's class given those around it."""
     out = np.empty(len(classes), np.float64)
     side = len(weights["first0"])
-    for at in range(0, len(classes), 16_384):
-        part = slice(at, at + 16_384)
-        hidden = _hidden(weights, near[:, part])
-        first, second = classes[part] // side, classes[part] % side
-        rows = np.arange(len(first))
-        a = hidden @ weights["first"] + weights["first0"]
-        b = hidden @ weights["second"] + weights["second0"][first]
-        out[part] = (
-            a[rows, first] - a.max(axis=1) - np.log(np.exp(a - a.max(axis=1, keepdims=True)).sum(axis=1))
-            + b[rows, second] - b.max(axis=1) - np.log(np.exp(b - b.max(axis=1, keepdims=True)).sum(axis=1))
-        )
+    first, second = np.divmod(classes.astype(np.int32), side)
+    for at in range(0, len(classes), BATCH):
+        part = slice(at, at + BATCH)
+        a, b = _logits(weights, _hidden(weights, near[:, part]), first[part])
+        out[part] = _log_softmax(a, first[part]) + _log_softmax(b, second[part])
     return out
 
 
-def _added(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
-    """Adds values to rows of a table, those of the same row together."""
-    order = np.argsort(rows.astype(np.int16 if len(out) <= 1 << 15 else np.int32), kind="stable")
-    ordered = rows[order]
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out[ordered[starts]] += np.add.reduceat(values[order], starts, axis=0)
+def _shares(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Shares of all choices for each word, less one for the chosen: the gradient by the logits. In place."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    x[chosen, np.arange(len(chosen))] -= 1
+    return x
 
 
 def learn(weights: Weights, near: np.ndarray, classes: np.ndarray, rate: float = RATE) -> None:
     """One pass of gradient steps over words, in place. A step is the mean over its batch; sparse rows by their sum."""
     side = len(weights["first0"])
+    table = weights["around"].reshape(-1, HIDDEN)
+    places = len(table) // len(AROUND)
+    firsts, seconds = np.divmod(classes.astype(np.int32), side)
+    # Row of each neighbour in the table of all places; few enough for two bytes, which sort fastest, in small vocabularies.
+    rows = near + np.arange(len(AROUND))[:, None] * places
+    rows = rows.astype(np.int16 if len(table) < 1 << 15 else np.int32)
     for at in range(0, len(classes), BATCH):
         part = slice(at, at + BATCH)
-        around, target = near[:, part], classes[part]
-        n = len(target)
-        first, second = target // side, target % side
-        rows = np.arange(n)
-        hidden = _hidden(weights, around)
-        a = _softmax(hidden @ weights["first"] + weights["first0"])
-        b = _softmax(hidden @ weights["second"] + weights["second0"][first])
-        a[rows, first] -= 1
-        b[rows, second] -= 1
-        d_hidden = (a @ weights["first"].T + b @ weights["second"].T) * (1 - hidden * hidden)
+        first, second = firsts[part], seconds[part]
+        n = len(first)
+        hidden = _hidden(weights, near[:, part])
+        a, b = _logits(weights, hidden, first)
+        _shares(a, first)
+        _shares(b, second)
+        d_hidden = weights["first"] @ a
+        d_hidden += weights["second"] @ b
+        d_hidden = d_hidden.T * (1 - hidden * hidden)
         step = np.float32(rate / n)
-        weights["first"] -= step * (hidden.T @ a)
-        weights["second"] -= step * (hidden.T @ b)
-        weights["first0"] -= step * a.sum(axis=0)
-        _added(first, -step * b, weights["second0"])
+        weights["first"] -= step * (a @ hidden).T
+        weights["second"] -= step * (b @ hidden).T
+        weights["first0"] -= step * a.sum(axis=1)
+        # Sums over the words of each first part, as a product with their indicator.
+        of_first = np.zeros((side, n), np.float32)
+        of_first[first, np.arange(n)] = 1
+        weights["second0"] -= step * (of_first @ b.T)
+        flat = rows[:, part].ravel()
+        order = flat.argsort(kind="stable")
+        sorted_rows = flat[order]
+        starts = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
+        sums = np.add.reduceat(d_hidden.take(order % n, axis=0), starts, axis=0)
         # Rows of frequent classes get many words in a step, so the rate is that of the mean.
-        for place in range(len(AROUND)):
-            _added(around[place], -step * 8 * d_hidden, weights["around"][place])
+        table[sorted_rows[starts]] -= step * 8 * sums
 
 
 def _flat(weights: Weights) -> np.ndarray:
@@ -205,37 +242,57 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _classified(texts: list[str], classes: Classes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words of a batch, their classes and documents."""
+def _split(texts: Iterator[str]) -> tuple[list[bytes], np.ndarray]:
+    """Words of a batch, and the document of each."""
     split = [words_of(t) for t in texts]
-    words = [w for s in split for w in s]
-    found = np.fromiter((classes[w] for w in words), dtype=np.int64, count=len(words))
-    return words, found, np.repeat(np.arange(len(texts)), [len(s) for s in split])
+    return list(chain.from_iterable(split)), np.repeat(np.arange(len(split)), [len(s) for s in split])
 
 
-def within_class(words: list[bytes], found: np.ndarray, own: int, known: dict[bytes, float], totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of each word within its class, and places of the words whose count is not known here.
+def _numbered(given, side: int):
+    """Classes of the words of each document, what their shares of the classes add up to, and the words not known here."""
 
-    A word with a class of its own has 0. A class's words count once more than they are, which is left to words never
-    seen. Words that are not known lack the logarithm of their count.
-    """
-    out = np.zeros(len(words))
-    shared = np.flatnonzero(found >= own)
-    logs = np.fromiter((known.get(words[i], np.nan) for i in shared.tolist()), dtype=np.float64, count=len(shared))
-    out[shared] = np.nan_to_num(logs) - np.log(totals[found[shared]] + 1)
-    return out, shared[np.isnan(logs)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranked, times, totals = given.value
+        vocabulary = Vocabulary(ranked, times, side)
+        # A class's words count once more than they are, which is left to words never seen.
+        base = np.log(totals + 1)
+        base[: vocabulary.own] = 0
+        for batch in slices(batches, "text"):
+            words, documents = _split(text_of(batch.column(1)))
+            found, numbers, rare = vocabulary.classified(words)
+            many = np.bincount(documents, minlength=batch.num_rows)
+            # A word's share of its class; words that are not known here lack the logarithm of their count.
+            within = np.bincount(documents, weights=vocabulary.logs[numbers] - base[found], minlength=batch.num_rows)
+            ends = np.cumsum(many)
+            held = found.astype(_kind(side))
+            texts = [held[e - n : e].tobytes() for n, e in zip(many.tolist(), ends.tolist(), strict=True)]
+            borders = np.concatenate([[0], np.cumsum(np.bincount(documents[rare], minlength=batch.num_rows))])
+            listed = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array([words[i] for i in rare.tolist()], pa.binary()))
+            arrays = [batch.column(0), pa.array(many, pa.int64()), pa.array(within), pa.array(texts, pa.binary()), listed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "within", "classes", "rare"])
+
+    return run
+
+
+def _kind(side: int) -> str:
+    return "<i2" if side * side < 1 << 15 else "<i4"
 
 
-def _learned(given):
+def _classes(column: pa.Array, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the words of a batch, and the document of each."""
+    parts = [np.frombuffer(x.as_buffer(), _kind(side)) for x in column]
+    found = np.concatenate(parts) if parts else np.empty(0, _kind(side))
+    return found.astype(np.int64), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+
+
+def _learned(given, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, begin = given.value
-        side = len(begin["first0"])
-        classes = Classes(frequent, side)
-        weights = {n: w.copy() for n, w in begin.items()}
+        weights = {n: w.copy() for n, w in given.value.items()}
+        side = len(weights["first0"])
         seen = 0
-        for batch in slices(batches, "text"):
-            _, found, documents = _classified(list(text_of(batch.column(0))), classes)
-            learn(weights, neighbours(found, documents, side * side), found)
+        for batch in slices(batches, "classes", 2_000_000):
+            found, documents = _classes(batch.column(0), side)
+            learn(weights, neighbours(found, documents, side * side), found, rate)
             seen += len(found)
         if seen:
             values = _flat(weights)
@@ -247,19 +304,13 @@ def _learned(given):
 
 def _scored(given):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, weights, known, totals = given.value
+        weights = given.value
         side = len(weights["first0"])
-        classes = Classes(frequent, side)
-        for batch in slices(batches, "text"):
-            words, found, documents = _classified(list(text_of(batch.column(1))), classes)
+        for batch in slices(batches, "classes", 2_000_000):
+            found, documents = _classes(batch.column(3), side)
             log_p = log_probabilities(weights, neighbours(found, documents, side * side), found)
-            within, rare = within_class(words, found, classes.own, known, totals)
-            many = np.bincount(documents, minlength=batch.num_rows)
-            total = np.bincount(documents, weights=log_p + within, minlength=batch.num_rows)
-            ends = np.cumsum(np.bincount(documents[rare], minlength=batch.num_rows))
-            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array([words[i] for i in rare.tolist()], pa.binary()))
-            arrays = [batch.column(0), pa.array(many, pa.int64()), pa.array(total), listed]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "log_p", "rare"])
+            total = np.bincount(documents, weights=log_p, minlength=batch.num_rows) + batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(4), pa.array(total)], ["doc_id", "n_words", "tag", "log_p"])
 
     return run
 
@@ -280,29 +331,34 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # TakeOrdered: at most KNOWN words, and as many as have classes of their own.
     top = counts.orderBy(F.desc("n"), "word").limit(max(KNOWN, own)).toArrow()
     ranked, times = top.column("word").to_pylist(), top.column("n").to_pylist()
-    frequent = {w: i for i, w in enumerate(ranked[:own])}
-    known = {w: math.log(n) for w, n in zip(ranked[own:], times[own:], strict=True)}
+    first_shared, shared = own, side * side - own
     by_class = np.zeros(side * side)
     # One row for each shared class.
-    for r in counts.groupBy((F.crc32("word") % (side * side - own)).alias("shared")).agg(F.sum("n").alias("n")).collect():
-        by_class[own + r["shared"]] = r["n"]
-    for word, n in zip(ranked[:own], times, strict=False):
-        by_class[own + zlib.crc32(word) % (side * side - own)] -= n
-        by_class[frequent[word]] = n
+    for r in counts.groupBy((F.crc32("word") % shared).alias("shared")).agg(F.sum("n").alias("n")).collect():
+        by_class[first_shared + r["shared"]] = r["n"]
+    for i, (word, n) in enumerate(zip(ranked[:own], times, strict=False)):
+        by_class[first_shared + zlib.crc32(word) % shared] -= n
+        by_class[i] = n
     broadcast = spark.sparkContext.broadcast
-    begin = start(by_class)
-    # One row for each weight.
-    told = rows.select("text").mapInArrow(_learned(broadcast((frequent, begin))), "place int, weighted double, words long")
-    means = told.groupBy("place").agg((F.sum("weighted") / F.sum("words")).alias("mean")).toArrow()
-    values = _flat(begin)
-    values[means.column("place").to_numpy()] = means.column("mean").to_numpy()
-    given = broadcast((frequent, _shaped(values, side), known, by_class))
-    scored = rows.mapInArrow(_scored(given), "doc_id long, n_words long, log_p double, rare array<binary>")
-    # Written, so the numbers stay what they are.
-    marked = stored(scored.withColumn("tag", F.monotonically_increasing_id()))
+    # Words are split and looked up once; written, so the numbers stay what they are.
+    numbered = rows.mapInArrow(
+        _numbered(broadcast((ranked, times, by_class)), side), "doc_id long, n_words long, within double, classes binary, rare array<binary>"
+    )
+    marked = stored(numbered.withColumn("tag", F.monotonically_increasing_id()))
+    weights = start(by_class)
+    for rate in RATES:
+        # One row for each weight from each task; the next round begins with their mean.
+        told = marked.select("classes").mapInArrow(_learned(broadcast(weights), rate), "place int, weighted double, words long")
+        means = told.groupBy("place").agg((F.sum("weighted") / F.sum("words")).alias("mean")).toArrow()
+        values = _flat(weights)
+        values[means.column("place").to_numpy()] = means.column("mean").to_numpy()
+        weights = _shaped(values, side)
+    scored = marked.select("doc_id", "n_words", "within", "classes", "tag").mapInArrow(
+        _scored(broadcast(weights)), "doc_id long, n_words long, tag long, log_p double"
+    )
     # A word that occurs once has the logarithm 0.
     terms = marked.select("tag", F.explode("rare").alias("word")).join(counts.where("n > 1"), "word")
     added = terms.groupBy("tag").agg(F.sum(F.log("n")).alias("added"))
     log_p = F.col("log_p") + F.coalesce("added", F.lit(0.0))
-    whole = marked.join(added, "tag", "left").select("doc_id", "n_words", log_p.alias("log_p"))
+    whole = scored.join(added, "tag", "left").select("doc_id", "n_words", log_p.alias("log_p"))
     return whole.withColumn("mean_log_p", F.col("log_p") / F.when(F.col("n_words") > 0, F.col("n_words")))
