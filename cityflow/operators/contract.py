@@ -360,11 +360,101 @@ def evolve(table: DataFrame, new: Contract, renames: Mapping[str, str] | None =
         old = came_from.get(c.name, c.name)
         if old not in existing or (old in (renames or {}) and c.name not in came_from):
             value = F.lit(None).cast(c.spark_type)
-        elif c.spark_type == "string" and existing[old] in ("double", "float"):
-            value = number_text(F.col(old).cast("double"))
-        elif existing[old] == c.spark_type:
-            value = F.col(old)
         else:
-            value = F.col(old).try_cast(c.spark_type)
+            value = converted(F.col(old), existing[old], c.spark_type)
         columns.append(value.alias(c.name))
     return table.select(*columns)
+
+
+def converted(value: Column, old: str, new: str) -> Column:
+    """A value of one Spark type as another; what the new type cannot hold is NULL."""
+    if old == new:
+        return value
+    if old.startswith("struct") or new.startswith("struct"):
+        return F.lit(None).cast(new)
+    if new == "string" and old in ("double", "float"):
+        return number_text(value.cast("double"))
+    return value.try_cast(new)
+
+
+# ---- contracts over time ---------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Version:
+    """One version of a table's contract; `identities` says, column by column, which stored column it is."""
+
+    number: int
+    contract: Contract
+    identities: tuple[str, ...]
+
+    def stored(self) -> dict[str, str]:
+        """Name each column's values are stored under, by column: its identity and type, so that files of all versions go together."""
+        return {c.name: stored_name(i, c.spark_type) for c, i in zip(self.contract.columns, self.identities, strict=True)}
+
+
+def stored_name(identity: str, spark_type: str) -> str:
+    """Name of stored values: of one identity and type."""
+    return f"{identity}__{re.sub('[^a-z0-9]+', '_', spark_type).strip('_')}"
+
+
+def next_version(history: Sequence[Version], new: Contract, renames: Mapping[str, str] | None = None) -> Version:
+    """The contract as a further version of a table, or the last version if nothing has changed.
+
+    A column keeps its identity through a rename (`renames`: old name to new) and a change of type; a name that
+    was dropped or given away and comes back is another column.
+    """
+    if not history:
+        return Version(1, new, tuple(new.names))
+    last = history[-1]
+    if last.contract == new:
+        return last
+    held = dict(zip(last.contract.names, last.identities, strict=True))
+    given = {old: name for old, name in (renames or {}).items() if old in held and old not in new.names}
+    came_from = {name: old for old, name in given.items()}
+    used = {i for v in history for i in v.identities}
+    identities = []
+    for name in new.names:
+        old = came_from.get(name, name)
+        if old in held:
+            identities.append(held[old])
+            continue
+        fresh, k = name, 2
+        while fresh in used:
+            fresh, k = f"{name}~{k}", k + 1
+        used.add(fresh)
+        identities.append(fresh)
+    return Version(last.number + 1, new, tuple(identities))
+
+
+def stored_types(history: Iterable[Version]) -> dict[str, str]:
+    """Spark type of every stored column of all versions, by its name."""
+    return {name: c.spark_type for v in history for name, c in zip(v.stored().values(), v.contract.columns, strict=True)}
+
+
+def to_stored(rows: DataFrame, version: Version, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of a table under the names they are stored by; `present` names identities then."""
+    named = [F.col(c).alias(name) for c, name in version.stored().items()]
+    if "present" in rows.columns:
+        identity = F.create_map(*[F.lit(x) for pair in zip(version.contract.names, version.identities, strict=True) for x in pair])
+        carried = F.filter(F.transform("present", lambda n: F.try_element_at(identity, n)), lambda i: i.isNotNull())
+        rows = rows.withColumn("present", carried)
+        named.append(F.col("present"))
+    return rows.select(*named, *[F.col(k) for k in keep])
+
+
+def from_stored(rows: DataFrame, history: Sequence[Version], keep: Sequence[str] = ()) -> DataFrame:
+    """Stored rows of all versions in the columns of the last: each row has its value under the type it was written with."""
+    last = history[-1]
+    columns = []
+    for c, identity in zip(last.contract.columns, last.identities, strict=True):
+        # A stored name for each type the column has had, the last one first.
+        types = dict.fromkeys(
+            old.spark_type for v in reversed(history) for old, i in zip(v.contract.columns, v.identities, strict=True) if i == identity
+        )
+        held = [converted(F.col(f"`{stored_name(identity, t)}`"), t, c.spark_type) for t in types]
+        columns.append(F.coalesce(*held).alias(c.name))
+    if "present" in rows.columns:
+        name = F.create_map(*[F.lit(x) for pair in zip(last.identities, last.contract.names, strict=True) for x in pair])
+        columns.append(F.filter(F.transform("present", lambda i: F.try_element_at(name, i)), lambda n: n.isNotNull()).alias("present"))
+    return rows.select(*columns, *[F.col(k) for k in keep])

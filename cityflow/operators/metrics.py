@@ -5,6 +5,8 @@ The flow log has one row per notification: flow, service, result, duration_s, pr
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -87,15 +89,16 @@ def throughput(records: DataFrame, width: str = "1 minute", slide: str | None =
     """Records per window and flow (or topic), with their rate per `unit_seconds` (1: per second, 60: per minute).
 
     Sliding windows whose width is a whole number of slides are sums of counts per slide, so a record is
-    counted once and only counts are spread over windows. In a stream, and for other widths, records
-    are spread.
+    counted once and only counts are spread over windows; a stream with a watermark does so in two stateful
+    operators of one query, the second over the event time of the first one's windows. For other widths, and in a stream
+    without a watermark, records are spread.
     """
     if watermark:
         records = records.withWatermark("kafka_ts", watermark)
     one = F.count(F.lit(1)).alias("records")
-    if slide and not records.isStreaming and _whole_slides(width, slide):
+    if slide and _whole_slides(width, slide) and (watermark or not records.isStreaming):
         per_slide = records.groupBy(F.window("kafka_ts", slide).alias("s"), by).agg(one)
-        spread = per_slide.select(F.col("s.start").alias("at"), by, "records")
+        spread = per_slide.select(F.window_time("s").alias("at"), by, "records")
         counted = spread.groupBy(F.window("at", width, slide).alias("w"), by).agg(F.sum("records").alias("records"))
     else:
         window = F.window("kafka_ts", width, slide) if slide else F.window("kafka_ts", width)
@@ -160,4 +163,101 @@ def observe_flow(rows: DataFrame, name: str | Observation) -> DataFrame:
         metrics.append(F.count_if(F.col("reject").isNotNull()).alias("rejects"))
     if "kafka_ts" in rows.columns:
         metrics += [F.min("kafka_ts").alias("oldest"), F.max("kafka_ts").alias("newest")]
+        # Progress reports cut times to seconds.
+        metrics += [F.unix_micros(F.min("kafka_ts")).alias("oldest_us"), F.unix_micros(F.max("kafka_ts")).alias("newest_us")]
     return rows.observe(name, *metrics)
+
+
+# ---- numbers of running queries --------------------------------------------------------------------
+
+#: Names that observed counts of a flow, and observed offsets, begin with in the progress of a query.
+FLOW_NAME, OFFSETS_NAME = "flow/", "offsets"
+
+
+def observe_offsets(records: DataFrame, partitions: Mapping[str, int]) -> DataFrame:
+    """Records unchanged, with the last offset of every partition taken on the way past (`partitions`: their number by topic).
+
+    For sources that do not report offsets themselves, such as files; `source_offsets` reads those that do.
+    """
+    here = lambda topic, p: (F.col("topic") == topic) & (F.col("partition") == p)
+    last = [
+        F.max(F.when(here(topic, p), F.col("offset"))).alias(f"{topic}/{p}") for topic, n in partitions.items() for p in range(n)
+    ]
+    return records.observe(OFFSETS_NAME, *last) if last else records
+
+
+_PROGRESS = (
+    "id string, runId string, name string, batchId long, timestamp string, durationMs map<string,long>, "
+    "observedMetrics map<string,map<string,string>>, sources array<struct<description:string,endOffset:string,latestOffset:string>>"
+)
+
+
+def progress_rows(texts: DataFrame) -> DataFrame:
+    """Progress of queries from its JSON, in `value`: one row per micro-batch; a batch reported twice counts once."""
+    parsed = texts.select(F.from_json("value", _PROGRESS).alias("p")).select("p.*").where("id IS NOT NULL")
+    return parsed.dropDuplicates(["id", "runId", "batchId", "timestamp"])
+
+
+def progress_log(progress: DataFrame) -> DataFrame:
+    """Flow log of running queries: one row for each flow, result and micro-batch, with how many notifications it had.
+
+    The duration is how long the batch took, and `oldest` and `newest` are the times of its records.
+    """
+    each = progress.select("id", "batchId", "timestamp", "durationMs", F.explode("observedMetrics").alias("name", "m"))
+    counts = each.where(F.col("name").startswith(FLOW_NAME)).withColumns(
+        {
+            "flow": F.substr("name", F.lit(len(FLOW_NAME) + 1)),
+            "rows": F.coalesce(F.col("m")["rows"].cast("long"), F.lit(0)),
+            "rejects": F.coalesce(F.try_element_at("m", F.lit("rejects")).cast("long"), F.lit(0)),
+        }
+    )
+    parts = F.array(
+        F.struct(F.lit("success").alias("result"), (F.col("rows") - F.col("rejects")).alias("messages")),
+        F.struct(F.lit("error").alias("result"), F.col("rejects").alias("messages")),
+    )
+    told = counts.withColumn("part", F.explode(F.filter(parts, lambda p: p["messages"] > 0)))
+    return told.select(
+        F.col("id").alias("query"),
+        F.col("batchId").alias("batch"),
+        "flow",
+        "part.result",
+        "part.messages",
+        (F.try_element_at("durationMs", F.lit("triggerExecution")) / 1000.0).alias("duration_s"),
+        F.col("timestamp").cast("timestamp").alias("processed_at"),
+        F.timestamp_micros(F.try_element_at("m", F.lit("oldest_us")).cast("long")).alias("oldest"),
+        F.timestamp_micros(F.try_element_at("m", F.lit("newest_us")).cast("long")).alias("newest"),
+    )
+
+
+def observed_offsets(progress: DataFrame) -> DataFrame:
+    """Last offset of each partition that a query has read, as observed: consumer_group, topic, partition, offset.
+
+    The group is the name of the query, or its id where it has none.
+    """
+    held = progress.select(_group(), F.explode(F.try_element_at("observedMetrics", F.lit(OFFSETS_NAME))).alias("place", "offset"))
+    cut = F.length("place") - F.locate("/", F.reverse("place")) + 1
+    read = held.where(F.col("offset").isNotNull()).select(
+        "consumer_group",
+        F.substr("place", F.lit(1), cut - 1).alias("topic"),
+        F.substr("place", cut + 1).cast("int").alias("partition"),
+        F.col("offset").cast("long").alias("offset"),
+    )
+    return read.groupBy("consumer_group", "topic", "partition").agg(F.max("offset").alias("offset"))
+
+
+def source_offsets(progress: DataFrame, which: str = "endOffset") -> DataFrame:
+    """Last offset of each partition as sources report it (`endOffset`: read, `latestOffset`: there are).
+
+    Sources that do not count by topic and partition, such as files, give no rows.
+    """
+    each = progress.select(_group(), "batchId", F.explode("sources").alias("s"))
+    topics = each.select("consumer_group", "batchId", F.explode(F.from_json(f"s.{which}", "map<string,string>")).alias("topic", "ends"))
+    ends = topics.select("consumer_group", "topic", F.explode(F.from_json("ends", "map<string,long>")).alias("partition", "end"))
+    held = ends.where(F.col("partition").try_cast("int").isNotNull() & (F.col("end") > 0)).select(
+        "consumer_group", "topic", F.col("partition").cast("int").alias("partition"), (F.col("end") - 1).alias("offset")
+    )
+    return held.groupBy("consumer_group", "topic", "partition").agg(F.max("offset").alias("offset"))
+
+
+def _group() -> Column:
+    return F.coalesce("name", "id").alias("consumer_group")

@@ -2,7 +2,10 @@
 
 Change rows have the table's columns, an order column `seq` (a struct that sorts in arrival order) and,
 where needed, `change` (`delete`, `ignored` or anything else) and `present` (names of the columns the
-row carries). The rows a table already holds count as older than every change.
+row carries). The rows a table already holds count as older than every change. A folded row of a newest-wins table
+may have a control column `greatest_time_` too: the greatest time its entity has had since it was last deleted. The row itself
+need not carry that time, as a row without one may have replaced it; with that column the state can be folded again at
+any point and later rows are judged as if nothing had been folded.
 
 One entity may own a third of all rows. Nothing here gathers an entity in one task: the aggregates
 combine on the map side, and the ordered folds work on bounded pieces of an entity's history.
@@ -18,15 +21,20 @@ from pyspark.sql import functions as F
 # Rows of one partition offset range that are ordered together; bounds the size of a sort group.
 PIECE = 1 << 17
 
+#: Name of the control column with the greatest time of an entity.
+HIGH = "greatest_time_"
+
 _SEQ = "struct<partition:int,offset:bigint,pos:int>"
 
 
 def _columns(current: DataFrame | None, changes: DataFrame, control: Sequence[str]) -> list[str]:
-    return list(current.columns) if current is not None else [c for c in changes.columns if c not in control]
+    if current is not None:
+        return [c for c in current.columns if c != HIGH]
+    return [c for c in changes.columns if c not in control]
 
 
 def _control(changes: DataFrame) -> list[str]:
-    return [c for c in ("seq", "change", "present") if c in changes.columns]
+    return [c for c in ("seq", "change", "present", HIGH) if c in changes.columns]
 
 
 def _oldest() -> Column:
@@ -41,7 +49,9 @@ def _with_current(current: DataFrame | None, changes: DataFrame, columns: Sequen
     change = F.col("change") if "change" in changes.columns else F.lit("update")
     known = set(changes.columns)
     picked = [F.col(c) if c in known else F.lit(None).alias(c) for c in columns]
-    new = changes.select(*picked, F.col("seq").cast(_SEQ).alias("seq"), change.alias("change"), present.alias("present"))
+    new = changes.select(
+        *picked, F.col("seq").cast(_SEQ).alias("seq"), change.alias("change"), present.alias("present"), _high_of(changes)
+    )
     if current is None:
         return new
     old = current.select(
@@ -49,10 +59,16 @@ def _with_current(current: DataFrame | None, changes: DataFrame, columns: Sequen
         _oldest().alias("seq"),
         F.lit("update").alias("change"),
         F.array(*[F.lit(c) for c in columns]).alias("present"),
+        _high_of(current),
     )
     return old.unionByName(new)
 
 
+def _high_of(rows: DataFrame) -> Column:
+    held = F.col(HIGH) if HIGH in rows.columns else F.lit(None)
+    return held.cast("timestamp").alias(HIGH)
+
+
 def apply_historic(
     current: DataFrame | None, changes: DataFrame, pk: Sequence[str] = (), carry: Sequence[str] = (), piece: int = PIECE
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,13 +108,36 @@ def apply_historic(
     return inserted, _refused(again, told)
 
 
-def _refused(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    reject = F.struct(
+def mark_repeats(changes: DataFrame, pk: Sequence[str], held: DataFrame | None = None, piece: int = PIECE) -> DataFrame:
+    """Changes with `repeated`: whether a row's key came earlier, among the changes or the keys that are held.
+
+    The same decisions as `apply_historic` makes, as a column, for callers that want stored and refused rows of one
+    evaluation. Keys are ordered in bounded pieces; only the first rows of the pieces of a key meet.
+    """
+    of_piece = Window.partitionBy(*pk, F.col("seq.partition"), F.floor(F.col("seq.offset") / piece)).orderBy("seq")
+    ranked = changes.withColumn("_head", F.lag("seq").over(of_piece).isNull())
+    repeats = ranked.where(~F.col("_head")).withColumn("repeated", F.lit(True))
+    heads = ranked.where("_head").withColumn("_nth", F.row_number().over(Window.partitionBy(*pk).orderBy("seq")))
+    if held is None:
+        late = heads.withColumn("repeated", F.col("_nth") > 1)
+    else:
+        known = held.select(*pk).distinct().withColumn("_known", F.lit(True))
+        late = heads.join(known, list(pk), "left").withColumn("repeated", (F.col("_nth") > 1) | F.col("_known").isNotNull())
+    columns = [*changes.columns, "repeated"]
+    return repeats.select(*columns).unionByName(late.select(*columns))
+
+
+def repeat_rejection() -> Column:
+    """Why a repeated row is refused."""
+    return F.struct(
         F.lit("historic").alias("stage"),
         F.lit("DUPLICATE_KEY").alias("code"),
         F.lit("ERROR: duplicate key value violates unique constraint").alias("error"),
     )
-    return rows.select(*columns, "seq", reject.alias("reject"))
+
+
+def _refused(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return rows.select(*columns, "seq", repeat_rejection().alias("reject"))
 
 
 def apply_mutable(
@@ -149,6 +188,7 @@ def apply_lastdata(
     partial: bool = False,
     ties: str = "keep",
     piece: int = PIECE,
+    with_high: bool = False,
 ) -> DataFrame:
     """New state of a newest-wins table: upserts accepted only when newer, deletes in arrival order.
 
@@ -157,6 +197,10 @@ def apply_lastdata(
     greatest so far (`ties="replace"`: not below it). Accepted rows replace the whole row, or only the
     columns they carry with `partial`.
 
+    The state alone does not say what the greatest time was. With `with_high` it has the control column `greatest_time_`, which
+    this function reads from `current` and from folded rows among the changes: folds in any number of steps then give the
+    rows of one.
+
     The fold runs in two bounded levels. The history of a key is cut into pieces of consecutive
     offsets, and each piece is folded by itself to one summary: whether it deletes, its greatest time,
     and for every column the last accepted value with a time and the last one without. That is enough,
@@ -178,6 +222,7 @@ def apply_lastdata(
             ),
             "_delete": is_delete,
             "_ts": F.when(~is_delete, ts),
+            "_mark": F.when(~is_delete, F.greatest(ts, F.col(HIGH))),
         }
     )
 
@@ -187,13 +232,13 @@ def apply_lastdata(
     alive = rows.withColumn("_cut", F.max(F.when(F.col("_delete"), seq)).over(of_piece)).where(
         F.col("_cut").isNull() | (seq >= F.col("_cut"))
     )
-    marked = alive.withColumn("_high", F.max("_ts").over(before))
+    marked = alive.withColumn("_high", F.max("_mark").over(before))
     taken = ~F.col("_delete") & _newer(F.col("_ts"), F.col("_high"), ties)
     groups = _groups(columns, keys, partial)
     summaries = marked.groupBy(*keys, "_piece").agg(
         F.max("_delete").alias("_delete"),
         F.max(~F.col("_delete")).alias("_live"),
-        F.max("_ts").alias("_high"),
+        F.max("_mark").alias("_high"),
         *[agg for group, value, has in groups for agg in _candidates(group, value, taken & has)],
     )
 
@@ -209,13 +254,14 @@ def apply_lastdata(
         for group, _, _ in groups
     ]
     chosen = ranked.select(
-        *keys, "_live", *[_pick(group, ties).alias(f"_pick_{group}") for group, _, _ in groups]
+        *keys, "_live", "_high", *[_pick(group, ties).alias(f"_pick_{group}") for group, _, _ in groups]
     )
-    state = chosen.groupBy(*keys).agg(F.max("_live").alias("_live"), *picks).where("_live")
+    state = chosen.groupBy(*keys).agg(F.max("_live").alias("_live"), F.max("_high").alias(HIGH), *picks).where("_live")
+    control = [HIGH] if with_high else []
     if not partial:
-        return state.select(*keys, "_value_row.*").select(*columns)
+        return state.select(*keys, HIGH, "_value_row.*").select(*columns, *control)
     values = [c for c in columns if c not in keys]
-    return state.select(*keys, *[F.col(f"_value_{c}").alias(c) for c in values]).select(*columns)
+    return state.select(*keys, HIGH, *[F.col(f"_value_{c}").alias(c) for c in values]).select(*columns, *control)
 
 
 def _newer(ts: Column, high: Column, ties: str) -> Column:

@@ -107,9 +107,11 @@ def partial_events_raw(spark: SparkSession, sf_dir: str, flow: str = "lastdata",
     return as_raw(table(spark, sf_dir, "events"), flow, body, arrival(F.col("event_id")), _event_headers(), F.col("ts"))
 
 
-def timeless_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of which views have no time."""
+def timeless_events_raw(spark: SparkSession, sf_dir: str, with_changes: bool = False) -> DataFrame:
+    """Events of which views have no time; with changes, an error event deletes its user."""
     kind = F.col("event_type")
+    change = F.when(kind == "error", "entityDelete").otherwise("entityUpdate")
+    changes = [attribute("Text", change).alias("alterationType")] if with_changes else []
     members = F.to_json(
         F.struct(
             F.concat(F.lit("U"), "user_id").alias("id"),
@@ -117,6 +119,25 @@ def timeless_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind != "view", time_attribute(F.col("ts"))).alias("TimeInstant"),
             attribute("Number", F.col("value")).alias("value"),
             attribute("Text", kind).alias("kind"),
+            *changes,
+        )
+    )
+    body = F.concat(F.lit('{"subscriptionId":"sub","data":['), members, F.lit("]}"))
+    return as_raw(
+        table(spark, sf_dir, "events"), "lastdata", body, arrival(F.col("event_id")), _event_headers(), F.col("ts")
+    )
+
+
+def renamed_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a later version of their senders writes them: `label` in place of `kind`, and the number of the event."""
+    members = F.to_json(
+        F.struct(
+            F.concat(F.lit("U"), "user_id").alias("id"),
+            F.lit("User").alias("type"),
+            time_attribute(F.col("ts")).alias("TimeInstant"),
+            attribute("Number", F.col("value")).alias("value"),
+            attribute("Text", F.col("event_type")).alias("label"),
+            attribute("Number", F.col("event_id")).alias("event"),
         )
     )
     body = F.concat(F.lit('{"subscriptionId":"sub","data":['), members, F.lit("]}"))

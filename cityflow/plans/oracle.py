@@ -47,6 +47,11 @@ SELECT 'U' || user_id AS entityid, tt AS ts_ms, value, event_type AS kind
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY a DESC) AS rn FROM acc) WHERE rn = 1
 """
 
+_REFOLDED = (
+    f"WITH {_EVENTS},{_fold('event_type = ' + chr(39) + 'error' + chr(39), 'CASE WHEN event_type <> ' + chr(39) + 'view' + chr(39) + ' THEN t END')}"
+    f" {_LAST_ACCEPTED}"
+)
+
 _STREAM_HISTORIC = f"""
             WITH {_HOURLY}
             SELECT 'U' || user_id AS entityid, CASE WHEN rn = 1 THEN hour_ms END AS ts_ms, value, CASE WHEN rn = 1 THEN event_type END AS kind,
@@ -204,6 +209,13 @@ def oracle() -> dict[str, str]:
                 WHEN 6 THEN epoch_ms(ts) - 7200000 WHEN 7 THEN epoch_ms(ts) - 7200000
                 WHEN 8 THEN epoch_ms(ts) + 19800000 WHEN 9 THEN NULL ELSE epoch_ms(ts) END AS ms,
               f = 9 AS date_error FROM o""",
+        "timestamps_week": """
+            WITH o AS (SELECT o_orderkey, o_orderkey % 10 AS f, date_trunc('day', o_orderdate) AS d FROM orders)
+            SELECT 'O' || o_orderkey AS entityid, CASE WHEN f >= 7 THEN 'string' ELSE 'timestamp' END AS kind,
+              CASE f WHEN 0 THEN epoch_ms(d) WHEN 1 THEN epoch_ms(date_trunc('week', d)) WHEN 2 THEN epoch_ms(d)
+                WHEN 3 THEN epoch_ms(d) + 36930000 WHEN 4 THEN epoch_ms(d) + 29700000
+                WHEN 5 THEN epoch_ms(d) + 86400000 WHEN 6 THEN epoch_ms(d) + 86400000 END AS ms,
+              f >= 7 AS date_error FROM o""",
         "change_counts": """
             SELECT 'lastdata' AS flow, CASE event_type WHEN 'error' THEN 'delete' WHEN 'signup' THEN 'create'
               WHEN 'view' THEN 'change' ELSE 'update' END AS change, count(*) AS n FROM events GROUP BY ALL
@@ -484,7 +496,7 @@ def oracle() -> dict[str, str]:
             SELECT o_orderkey AS "offset", CASE WHEN o_orderkey % 4 = 1 THEN 'orders_lastdata' END AS target_table,
               CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END AS headers FROM orders""",
         "observed_flow": """
-            SELECT count(*) AS rows, count(*) AS passed, epoch_ms(min(ts)) AS oldest_ms, epoch_ms(max(ts)) AS newest_ms FROM events""",
+            SELECT count(*) AS rows, count(*) AS passed, epoch_us(min(ts)) AS oldest_us, epoch_us(max(ts)) AS newest_us FROM events""",
         "backlog_marker": "SELECT 'U' || max(user_id) AS marker, TRUE AS arrived FROM events UNION ALL SELECT 'nobody', FALSE",
         "stream_documents": f"""
             SELECT 'sth_library' AS database, 'sth_library_' || {_SANE.format('source')} || '_' || lang AS collection, 'D' || doc_id AS entity, n_chars
@@ -504,6 +516,33 @@ def oracle() -> dict[str, str]:
             SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, ts)) AS start_ms, epoch_ms(time_bucket(INTERVAL 5 MINUTE, ts)) + 300000 AS end_ms,
               event_type AS flow, count(*) AS records, count(*) / 300.0 AS rate FROM events GROUP BY ALL""",
         "graph_slug": f"SELECT conv_id, turn, {_SLUG.format('text')} AS slug FROM conversations",
+        "lastdata_refolded": _REFOLDED,
+        "stream_folded": _REFOLDED,
+        "stateful_lastdata": _REFOLDED,
+        "stream_evolution": f"""
+            WITH {_EVENTS},{_fold()},
+            l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY a DESC) AS rn FROM acc)
+            SELECT 'U' || user_id AS entityid, t AS ts_ms,
+                   CASE WHEN value = round(value, 0) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS value,
+                   event_type AS label,
+                   CASE WHEN a > (SELECT floor((min(a) + max(a)) / 2) FROM e) THEN event_id END AS event
+            FROM l WHERE rn = 1""",
+        "stream_flow_log": """
+            SELECT 'lastdata' AS flow, r AS result, CAST(sum(n) AS BIGINT) AS messages, min(oldest) AS oldest_us, max(newest) AS newest_us FROM (
+              SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS r, count(*) AS n,
+                     (SELECT epoch_us(min(ts)) FROM events) AS oldest, (SELECT epoch_us(max(ts)) FROM events) AS newest
+              FROM events GROUP BY ALL) GROUP BY ALL""",
+        "stream_lag": """
+            WITH x AS (SELECT 'raw_' || event_type AS topic, user_id % 6 AS p, event_id AS o, ts FROM events),
+            ends AS (SELECT topic, p, max(o) + 1 AS e FROM x GROUP BY ALL),
+            done AS (SELECT topic, p, max(o) + 1 AS d FROM x WHERE ts < TIMESTAMP '2024-01-15' GROUP BY ALL)
+            SELECT topic, CAST(sum(greatest(e - coalesce(d, 0), 0)) AS BIGINT) AS lag
+            FROM ends LEFT JOIN done USING (topic, p) WHERE topic IN (SELECT topic FROM done) GROUP BY ALL""",
+        "stream_replay_dedup": "SELECT 'raw_' || event_type AS topic, count(*) AS n FROM events GROUP BY ALL",
+        "stream_sliding": """
+            WITH w AS (SELECT date_trunc('day', ts) - k * INTERVAL 1 DAY AS s FROM events, range(3) AS r(k))
+            SELECT epoch_ms(s) AS start_ms, 'lastdata' AS flow, count(*) AS records, round(count(*) / 72.0, 6) AS rate FROM w
+            WHERE s + INTERVAL 3 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",
         "stream_throughput": """
             SELECT epoch_ms(date_trunc('day', ts)) AS start_ms, 'lastdata' AS flow, count(*) AS records, count(*) / 24.0 AS rate FROM events
             WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",

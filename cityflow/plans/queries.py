@@ -47,13 +47,15 @@ from cityflow.operators.decode import (
 from cityflow.operators.envelope import to_envelope, to_headers, to_key, with_topic
 from cityflow.operators.graph import classify_response, explode_graph_entities, prepare_graph_entities
 from cityflow.operators.routing import route, route_documents
-from cityflow.operators.tables import apply_historic, apply_lastdata, apply_lastdata_fast, apply_mutable
+from cityflow.operators.tables import HIGH, apply_historic, apply_lastdata, apply_lastdata_fast, apply_mutable
 from cityflow.plans import adapter as A
 from cityflow.plans.flows import documents_of, entities_of, flagged_entities, mutations_of, read_context
 from cityflow.sources.legacy import normalise_legacy
 from cityflow.sources.raw import FileSource, drop_replayed, read_raw, read_rejected
 from cityflow.sources.render import as_raw, attribute, headers_of, notification, time_attribute
+from cityflow.streaming import stateful
 from cityflow.streaming.jobs import DocumentJob, ErrorJob, GraphJob, RelationalJob, run_available
+from cityflow.streaming.progress import ProgressLog
 from cityflow.streaming.sinks import publish, write_documents, write_error_log, write_routed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +134,22 @@ def lastdata_no_time(spark, sf_dir):
     return _state(apply_lastdata(None, rows))
 
 
+def _quarters(records: DataFrame) -> list[DataFrame]:
+    """Records in four parts along their offsets."""
+    low, high = records.agg(F.min("offset"), F.max("offset")).first()
+    borders = [low + (high - low + 1) * k // 4 for k in range(5)] if low is not None else [0] * 5
+    return [records.where(F.col("offset").between(b, e - 1)) for b, e in zip(borders, borders[1:], strict=False)]
+
+
+@query
+def lastdata_refolded(spark, sf_dir):
+    """Deletes and missing times, folded in four steps: each takes the state of the one before."""
+    state = None
+    for part in _quarters(A.timeless_events_raw(spark, sf_dir, with_changes=True)):
+        state = apply_lastdata(state, _rows(part), with_high=True)
+    return _state(state)
+
+
 @query
 def lastdata_onto_existing(spark, sf_dir):
     """Purchases, views and the rest applied to the state that signups left."""
@@ -221,6 +239,33 @@ def timestamps_parsed(spark, sf_dir):
     return long.select("entityid", "kind", _ms("v_ts").alias("ms"), "date_error")
 
 
+@query
+def timestamps_week(spark, sf_dir):
+    """Order dates written as week dates, ordinal dates and ends of days, read back; some mean no day."""
+    orders = A.table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    year, week = F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lpad(F.weekofyear(day).cast("string"), 2, "0")
+    weekday, nth = (F.weekday(day) + 1).cast("string"), F.lpad(F.dayofyear(day).cast("string"), 3, "0")
+    forms = [
+        F.concat(year, F.lit("-W"), week, F.lit("-"), weekday),
+        F.concat(year, F.lit("-W"), week),
+        F.concat(F.date_format(day, "yyyy-"), nth),
+        F.concat(F.date_format(day, "yyyy"), nth, F.lit("T10:15:30Z")),
+        F.concat(year, F.lit("W"), week, weekday, F.lit("T10:15+02:00")),
+        F.date_format(day, "yyyy-MM-dd'T24:00'"),
+        F.concat(F.date_format(day, "yyyy-"), nth, F.lit("T24:00:00Z")),
+        F.concat(year, F.lit("-W54-1")),
+        F.date_format(day, "yyyy-'000'"),
+        F.date_format(day, "yyyy-MM-dd'T24:01'"),
+    ]
+    form, text = F.col("o_orderkey") % 10, F.lit(None).cast("string")
+    for i, written in enumerate(forms):
+        text = F.when(form == i, written).otherwise(text)
+    body = notification(F.concat(F.lit("O"), "o_orderkey"), F.lit("Order"), {"ordered": attribute("DateTime", text)})
+    long = infer_types(entities_of(as_raw(orders, "historic", body, F.col("o_orderkey"))))
+    return long.select("entityid", "kind", _ms("v_ts").alias("ms"), "date_error")
+
+
 @query
 def change_counts(spark, sf_dir):
     """Changes by kind, as the lastdata and the graph flow see them."""
@@ -1264,12 +1309,18 @@ def rejected_records(spark, sf_dir):
 
 @query
 def observed_flow(spark, sf_dir):
-    """Counts taken while the events pass by, next to how many did."""
+    """Counts taken while the events are written, next to how many are there."""
+    path = _folder(spark, "observed")
     seen = Observation("events")
-    passed = metrics.observe_flow(A.events_raw(spark, sf_dir), seen).select(F.hash("value").alias("h")).agg(F.count("h")).first()[0]
-    got = seen.get
-    rows = [(got["rows"], passed, int(got["oldest"].timestamp() * 1000), int(got["newest"].timestamp() * 1000))]
-    return spark.createDataFrame(rows, "rows long, passed long, oldest_ms long, newest_ms long")
+    metrics.observe_flow(A.events_raw(spark, sf_dir), seen).write.parquet(path)
+    told = {name: F.lit(value) for name, value in seen.get.items()}
+    passed = spark.read.schema("offset long").parquet(path).agg(F.count(F.lit(1)).alias("passed"))
+    return passed.select(
+        told["rows"].cast("long").alias("rows"),
+        "passed",
+        F.unix_micros(told["oldest"].cast("timestamp")).alias("oldest_us"),
+        F.unix_micros(told["newest"].cast("timestamp")).alias("newest_us"),
+    )
 
 
 @query
@@ -1316,7 +1367,7 @@ def stream_lastdata(spark, sf_dir):
     """Newest row per user, kept by a stream over several micro-batches."""
     root, raw = _staged(spark, "lastdata")
     _arrive(A.events_raw(spark, sf_dir), raw)
-    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
+    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables")
     _drain(spark, "lastdata", raw, job.handle, f"{root}/checkpoint")
     return _state(job.read(A.user_contract().target))
 
@@ -1327,7 +1378,7 @@ def stream_restart(spark, sf_dir):
     records = A.events_raw(spark, sf_dir)
     half = F.col("offset") % 2 == 0
     root, raw = _staged(spark, "restart")
-    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
+    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables")
     for part in (records.where(half), records.where(~half)):
         _arrive(part, raw, steps=2)
         _drain(spark, "lastdata", raw, job.handle, f"{root}/checkpoint")
@@ -1340,7 +1391,7 @@ def stream_replay(spark, sf_dir):
     records = A.events_raw(spark, sf_dir)
     middle = records.agg(F.floor((F.min("offset") + F.max("offset")) / 2)).first()[0]
     root, raw = _staged(spark, "replay")
-    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", parts=8)
+    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables")
     for name, part in (("a", records.where(F.col("offset") <= middle)), ("b", records.where(F.col("offset") > middle)), ("c", records)):
         _arrive(part, f"{raw}/{name}", steps=2)
         _drain(spark, "lastdata", f"{raw}/{name}", job.handle, f"{root}/checkpoint-{name}")
@@ -1389,10 +1440,10 @@ def stream_backlog(spark, sf_dir):
 class _BrokenJob(RelationalJob):
     """Loses its database in the second batch, after the error log and before the table is written."""
 
-    def _apply(self, table, good, batch, query):
+    def _write(self, store, query, batch, rows, busy):
         if batch == 1:
             raise ConnectionError("the table cannot be reached")
-        super()._apply(table, good, batch, query)
+        super()._write(store, query, batch, rows, busy)
 
 
 @query
@@ -1468,6 +1519,119 @@ def stream_graph(spark, sf_dir):
     return taken.unionByName(job.errors().select("seq.offset", F.col("code").alias("outcome"), "tenant"))
 
 
+@query
+def stream_evolution(spark, sf_dir):
+    """A table whose contract changes between two runs of its stream: a column renamed, one added, a number become text."""
+    old = A.user_contract()
+    new = contract(old.target, {"value": "text", "label": "text", "props": "json", "event": "bigint"}, old.key)
+    records, later = A.events_raw(spark, sf_dir), A.renamed_events_raw(spark, sf_dir)
+    middle = records.agg(F.floor((F.min("offset") + F.max("offset")) / 2)).first()[0]
+    root, raw = _staged(spark, "evolution")
+    before = RelationalJob(spark, "lastdata", [old], f"{root}/tables")
+    _arrive(records.where(F.col("offset") <= middle), raw, steps=2)
+    _drain(spark, "lastdata", raw, before.handle, f"{root}/checkpoint")
+    after = RelationalJob(spark, "lastdata", [new], f"{root}/tables", renames={old.target: {"kind": "label"}})
+    _arrive(later.where(F.col("offset") > middle), raw, steps=2)
+    _drain(spark, "lastdata", raw, after.handle, f"{root}/checkpoint")
+    return after.read(new.target).select("entityid", _ms("timeinstant").alias("ts_ms"), "value", "label", "event")
+
+
+@query
+def stream_folded(spark, sf_dir):
+    """Deletes and missing times in a stream whose batches are folded again and again while it runs."""
+    root, raw = _staged(spark, "folded")
+    _arrive(A.timeless_events_raw(spark, sf_dir, with_changes=True), raw, steps=5)
+    job = RelationalJob(spark, "lastdata", [A.user_contract()], f"{root}/tables", every=2, partial=False)
+    _drain(spark, "lastdata", raw, job.handle, f"{root}/checkpoint")
+    return _state(job.read(A.user_contract().target))
+
+
+@query
+def stateful_lastdata(spark, sf_dir):
+    """The same from the state of a query that begins with the table of the first quarter and is started twice."""
+    entities = lambda records: classify_changes(entities_of(records), "lastdata").withColumn("target", F.lit(A.USER_TABLE))
+    first, *rest = _quarters(A.timeless_events_raw(spark, sf_dir, with_changes=True))
+    began = stateful.changes_of(entities(first)).withColumns({"timeinstant": F.timestamp_micros("ts"), "present": F.array().cast("array<string>")})
+    folded = apply_lastdata(None, began.drop("ts"), ["target", "entityid"], with_high=True)
+    root, raw = _staged(spark, "stateful")
+    folded.select("target", "entityid", F.unix_micros(HIGH).alias("high"), "entity").write.parquet(f"{root}/initial")
+    initial = spark.read.parquet(f"{root}/initial")
+    for parts in (rest[:1], rest[1:]):
+        for part in parts:
+            _arrive(part, raw, steps=1)
+        stream = entities(read_raw(spark, "lastdata", FileSource(raw, max_files=2)))
+        changed = stateful.newest_by_state(stateful.changes_of(stream), initial, partial=False)
+        stateful.start_latest(changed, f"{root}/changed", f"{root}/checkpoint").awaitTermination()
+    return _state(stateful.as_table(stateful.latest(spark, f"{root}/changed", initial), replace(A.user_contract(), target=A.USER_TABLE)))
+
+
+def _logged(spark: SparkSession, root: str, rows: DataFrame, name: str) -> DataFrame:
+    """Progress of a query that reads all there is and keeps nothing."""
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        writer = rows.writeStream.format("noop").queryName(name).option("checkpointLocation", f"{root}/checkpoint")
+        running = writer.trigger(availableNow=True).start()
+        running.awaitTermination()
+        log.wait(running)
+    finally:
+        spark.streams.removeListener(log)
+    return log.rows()
+
+
+@query
+def stream_flow_log(spark, sf_dir):
+    """Notifications of a running flow by result, from its own progress; error events arrive broken."""
+    raw_events = A.events_raw(spark, sf_dir, with_changes=True)
+    broken = F.when(F.contains("value", F.lit('"entityDelete"')), F.lit("{broken")).otherwise(F.col("value"))
+    root, raw = _staged(spark, "flow")
+    _arrive(raw_events.withColumn("value", broken), raw)
+    records = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    seen = metrics.observe_flow(parse_flagged(read_context(records)), metrics.FLOW_NAME + "lastdata")
+    log = metrics.progress_log(_logged(spark, root, seen.select("offset"), f"flow-{uuid.uuid4().hex}"))
+    told = log.groupBy("flow", "result").agg(F.sum("messages").alias("messages"), F.min("oldest").alias("o"), F.max("newest").alias("n"))
+    return told.select("flow", "result", "messages", F.unix_micros("o").alias("oldest_us"), F.unix_micros("n").alias("newest_us"))
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """What a query that has read the first half of January has still to read, by topic, from its own progress."""
+    records = _event_records(spark, sf_dir).withColumn("flow", F.lit("lastdata"))
+    root, raw = _staged(spark, "lag")
+    _arrive(records.where(F.col("kafka_ts") < F.lit("2024-01-15").cast("timestamp")), raw, by="kafka_ts", steps=2)
+    # One name for each kind of event.
+    topics = {r.topic: r.n for r in records.groupBy("topic").agg((F.max("partition") + 1).alias("n")).collect()}
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    name = f"lag-{uuid.uuid4().hex}"
+    done = metrics.observed_offsets(_logged(spark, root, metrics.observe_offsets(source, topics).select("offset"), name))
+    return metrics.consumer_lag(records, done).select("topic", "lag")
+
+
+@query
+def stream_replay_dedup(spark, sf_dir):
+    """Records that arrive twice in a stream, counted once."""
+    records = _event_records(spark, sf_dir).withColumn("flow", F.lit("lastdata"))
+    root, raw = _staged(spark, "dedup")
+    _arrive(records.unionByName(records), raw, by="kafka_ts", steps=3)
+    once = drop_replayed(read_raw(spark, "lastdata", FileSource(raw, max_files=2)), "1 day").select("topic", "partition", "offset")
+    writer = once.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{root}/out").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_sliding(spark, sf_dir):
+    """Sliding windows of a stream: counts per slide, then sums of these, in two stateful operators."""
+    root, raw = _staged(spark, "sliding")
+    _arrive(A.events_raw(spark, sf_dir), raw, by="kafka_ts")
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    counted = metrics.throughput(source, "3 days", "1 day", unit_seconds=3600.0, watermark="1 hour")
+    writer = counted.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    closed = spark.read.schema(counted.schema).parquet(f"{root}/out")
+    return closed.select(_ms("window_start").alias("start_ms"), "flow", "records", F.round("rate", 6).alias("rate"))
+
+
 @query
 def stream_throughput(spark, sf_dir):
     """Windowed counts of a stream with a watermark, late records waited for."""

@@ -8,9 +8,9 @@ never dropped: there is no watermark on maintained tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -20,21 +20,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cityflow.config import FlowConfig, GraphConfig
 from cityflow.operators.context import with_headers
-from cityflow.operators.contract import Contract, catalogue, to_wide
+from cityflow.operators.contract import (
+    Contract,
+    TableColumn,
+    Version,
+    catalogue,
+    from_stored,
+    next_version,
+    stored_types,
+    to_stored,
+    to_wide,
+)
 from cityflow.operators.decode import rejected, rejection
 from cityflow.operators.errors import errors_from_rejected, rejects_to_error_log
 from cityflow.operators.graph import classify_response
-from cityflow.operators.tables import apply_historic, apply_lastdata, apply_mutable
+from cityflow.operators.tables import HIGH, apply_lastdata, apply_mutable, mark_repeats, repeat_rejection
 from cityflow.plans.flows import documents_of, flagged_entities, mutations_of
 from cityflow.streaming.sinks import dispatch, post_json
-from cityflow.streaming.store import TableStore, checkpoint_id, day_parts, hash_parts
+from cityflow.streaming.store import (
+    TOGETHER,
+    BatchStore,
+    Commit,
+    checkpoint_id,
+    day_parts,
+    folder_name,
+    hadoop_path,
+    key_words,
+    parts_with,
+    words_for,
+)
 
-ERROR_COLUMNS = (
+ERROR_SCHEMA = (
     "tenant string, timestamp timestamp, error string, query string, stage string, code string, "
     "seq struct<partition:int,offset:bigint,pos:int>, value string"
 )
-#: Buckets of the error log, whatever the number of tenants.
-ERROR_PARTS = 16
+_SEQ = "struct<partition:bigint,offset:bigint,pos:int>"
 
 # A batch handler gets the records, the number of the batch, and the id of the query it is a batch of.
 Handler = Callable[[DataFrame, int, str], None]
@@ -63,11 +83,6 @@ def run_available(stream: DataFrame, handle: Handler, checkpoint: str) -> None:
     start(stream, handle, checkpoint).awaitTermination()
 
 
-def error_store(spark: SparkSession, path: str) -> TableStore:
-    """Where an error log is kept: a fixed number of buckets of tenants."""
-    return TableStore(spark, path, T.StructType.fromDDL(ERROR_COLUMNS), hash_parts(["tenant"], ERROR_PARTS))
-
-
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -80,8 +95,10 @@ _OFFSETS = 1 << 40
 class RelationalJob:
     """Keeps the tables of one relational flow (historic, lastdata or mutable) and its error log.
 
-    Tables of the last two flows are stored as changes, in the order of their commits, and folded when they are read
-    and now and then in the store, so a batch costs what it holds and not what the table holds.
+    All tables of a batch, and its log, are one commit, and the rows of all tables go out in one write. Tables of
+    the last two flows are stored as changes, in the order of their commits, and folded when they are read, so a batch
+    costs what it holds and not what the table holds. Contracts may change while the tables are kept: a batch is
+    stored under the version of its time and read in the columns of the newest (`renames`: by target, old column name to new).
     """
 
     spark: SparkSession
@@ -90,143 +107,330 @@ class RelationalJob:
     root: str
     config: FlowConfig = field(default_factory=FlowConfig)
     partial: bool = True
-    # Buckets of a table, or of each by its target.
-    parts: int | Mapping[str, int] = 64
     # What a part of a historic table holds, as a date pattern; longer where few rows come from many days.
     period: str = "yyyy-MM-dd"
-    # Tables of a batch that are written at the same time.
-    parallel: int = 4
+    renames: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    # Batches that are put together; None leaves that to a job that calls `compact`.
+    every: int | None = 32
     # Receipt time of a batch.
     clock: Callable[[], datetime] = _now
 
-    def store(self, table: Contract) -> TableStore:
-        """Where one table is kept."""
-        fields = [f"`{c.name}` {c.spark_type}" for c in table.columns]
-        path = f"{self.root}/{self.flow}/{table.target}"
-        key = table.key or ["entityid"]
+    @property
+    def store(self) -> BatchStore:
+        """Where batches are kept: rows of tables, filters of their keys, and the error log."""
+        kinds = {"rows": ("target", "part"), "log": ()}
         if self.flow == "historic":
-            part = day_parts(period=self.period) if "timeinstant" in table.names else hash_parts(key, self._buckets(table))
-            return TableStore(self.spark, path, T.StructType.fromDDL(", ".join(fields)), part)
-        control = ["seq struct<partition:int,offset:bigint,pos:int>", "change string", "present array<string>"]
-        part = hash_parts([k for k in key if k == "entityid"] or key, self._buckets(table))
-        schema = T.StructType.fromDDL(", ".join([*fields, *control]))
-        return TableStore(self.spark, path, schema, part, lambda rows: self._as_changes(table, self._state(table, rows)))
+            kinds["keys"] = ("target", "part")
+        return BatchStore(self.spark, f"{self.root}/{self.flow}", kinds, self.every)
 
-    def _buckets(self, table: Contract) -> int:
-        return self.parts if isinstance(self.parts, int) else self.parts.get(table.target, 64)
-
-    def _state(self, table: Contract, changes: DataFrame) -> DataFrame:
-        """Rows of a table of which all changes are given."""
-        if self.flow == "lastdata":
-            return apply_lastdata(None, changes, ["entityid"], partial=self.partial).select(*table.names)
-        return apply_mutable(None, changes.drop("change"), table.key, partial=self.partial).select(*table.names)
-
-    def _as_changes(self, table: Contract, rows: DataFrame) -> DataFrame:
-        """Rows of a table as changes older than any other."""
-        zero = F.lit(0)
-        seq = F.struct(zero.alias("partition"), F.lit(0).cast("long").alias("offset"), zero.alias("pos"))
-        present = F.array(*[F.lit(c) for c in table.names])
-        return rows.select(*table.names, seq.alias("seq"), F.lit("update").alias("change"), present.alias("present"))
+    # ---- contracts --------------------------------------------------------------------------------
 
     @property
-    def error_store(self) -> TableStore:
-        """Where the error log is kept."""
-        return error_store(self.spark, f"{self.root}/{self.flow}/_error_log")
+    def _contract_path(self) -> str:
+        return f"{self.root}/{self.flow}/contracts"
+
+    def history(self) -> dict[str, list[Version]]:
+        """Contract versions of every table, those given here last; new ones are written down."""
+        kept = self._kept_history()
+        for table in self.contracts:
+            held = kept.setdefault(table.target, [])
+            version = next_version(held, table, self.renames.get(table.target))
+            if not held or version is not held[-1]:
+                self._keep_version(version)
+                held.append(version)
+        return kept
+
+    def _kept_history(self) -> dict[str, list[Version]]:
+        fs, location = hadoop_path(self.spark, self._contract_path)
+        if not fs.exists(location):
+            return {}
+        schema = "columns array<struct<name:string,type:string,nullable:boolean,pk:boolean,identity:string>>, target string, version int"
+        found: dict[str, list[Version]] = {}
+        # As many rows as the catalogue has had versions.
+        for row in sorted(self.spark.read.schema(schema).parquet(self._contract_path).collect(), key=lambda r: r.version):
+            columns = tuple(TableColumn(c.name, c.type, c.nullable, c.pk) for c in row["columns"])
+            identities = tuple(c.identity for c in row["columns"])
+            found.setdefault(row.target, []).append(Version(row.version, Contract(row.target, columns), identities))
+        return found
+
+    def _keep_version(self, version: Version) -> None:
+        columns = [(c.name, c.type, c.nullable, c.pk, i) for c, i in zip(version.contract.columns, version.identities, strict=True)]
+        schema = "columns array<struct<name:string,type:string,nullable:boolean,pk:boolean,identity:string>>"
+        row = self.spark.createDataFrame([(columns,)], schema).coalesce(1)
+        place = folder_name(self.spark, target=version.contract.target, version=version.number)
+        row.write.mode("overwrite").parquet(f"{self._contract_path}/{place}")
+
+    def _schema(self, history: Sequence[Version]) -> T.StructType:
+        """Stored columns of a table, of all its versions."""
+        names = [f"`{n}` {t}" for n, t in stored_types(history).items()]
+        if self.flow != "historic":
+            names += [f"seq {_SEQ}", "change string", "present array<string>", f"{HIGH} timestamp"]
+        return T.StructType.fromDDL(", ".join(names))
+
+    # ---- reading ----------------------------------------------------------------------------------
 
     def read(self, target: str) -> DataFrame:
         """Rows of a table as of the last committed batch."""
-        table = next(c for c in self.contracts if c.target == target)
-        rows = self.store(table).read()
-        return rows if self.flow == "historic" else self._state(table, rows)
+        history = self.history()[target]
+        store = self.store
+        rows = self._rows(target, history, store.live(store.commits()))
+        return rows if self.flow == "historic" else self._state(history[-1].contract, rows)
+
+    def _rows(self, target: str, history: Sequence[Version], commits: Sequence[Commit]) -> DataFrame:
+        """Stored rows of a table in the columns of its newest contract."""
+        place = "/" + folder_name(self.spark, target=target) + "/"
+        schema = self._schema(history)
+        rows = self.store.read("rows", schema, commits, lambda folder: folder.startswith(place))
+        return from_stored(rows, history, [c for c in ("seq", "change", HIGH) if c in schema.names])
+
+    def _state(self, table: Contract, changes: DataFrame, with_high: bool = False) -> DataFrame:
+        """Rows of a table of which all changes are given."""
+        if self.flow == "lastdata":
+            control = [HIGH] if with_high else []
+            return apply_lastdata(None, changes, ["entityid"], partial=self.partial, with_high=with_high).select(*table.names, *control)
+        return apply_mutable(None, changes.drop("change", HIGH), table.key, partial=self.partial).select(*table.names)
 
     def errors(self) -> DataFrame:
         """Error log as of the last committed batch."""
-        return self.error_store.read()
+        store = self.store
+        return store.read("log", ERROR_SCHEMA, store.live(store.commits()))
 
-    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
-        """Apply one micro-batch: the error log first, then the tables, and last the note that all is done.
+    # ---- batches ----------------------------------------------------------------------------------
 
-        What a batch that is run again finds done it does not do again.
-        """
-        log_store = self.error_store
-        if log_store.committed(query, batch):
+    def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
+        """Apply one micro-batch; one that is in the store already is left out, one that failed before its commit is replaced."""
+        store = self.store
+        commits = store.commits()
+        if store.committed(query, batch, commits):
             return
+        history = self.history()
         # One receipt time per batch, fixed here so that work done again gives the same rows.
         received = F.lit(self.clock()).cast("timestamp")
         tables = catalogue(self.spark, self.contracts)
-        # Used once per table; executors that go away only cost the work of decoding again.
+        # Used once per shape of table; executors that go away only cost the work of decoding again.
         entities = flagged_entities(records, tables, self.flow, self.config, received).persist(
             StorageLevel.MEMORY_AND_DISK
         )
+        position = max((c.position for c in commits), default=0) + 1
+        kept: list[DataFrame] = [entities]
         try:
             good = entities.where(F.col("reject").isNull() & (F.col("change") != "ignored"))
             # Accepted rows belong to tables of the catalogue, so there are no more names than it has.
             present = {r[0] for r in good.select("target").distinct().collect()}
-            busy = [c for c in self.contracts if c.target in present]
-            logged = f"{query}/log"
-            if not log_store.committed(logged, batch):
-                logs = [rejected(entities).where(F.col("reject.code") != "NO_ENTITIES")]
+            busy = [history[c.target][-1] for c in self.contracts if c.target in present]
+            logs = [rejected(entities).where(F.col("reject.code") != "NO_ENTITIES")]
+            written: list[DataFrame] = []
+            for shape in _shapes(busy):
                 if self.flow == "historic":
-                    logs += [self._historic(c, good)[1] for c in busy if c.key]
-                log_store.commit(logged, batch, rejects_to_error_log(*logs, now=received))
-            with ThreadPoolExecutor(self.parallel) as pool:
-                list(pool.map(lambda c: self._apply(c, good, batch, query), busy))
-            log_store.commit(query, batch, None)
+                    rows = self._historic(shape, good, store, store.live(commits), history)
+                    if shape[0].contract.key:
+                        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                        kept.append(rows)
+                        again = rows.where("repeated").withColumn("reject", repeat_rejection())
+                        logs.append(again.select("seq", "reject", "_origin.*"))
+                    written.append(to_stored(rows.where(~F.col("repeated")), shape[0], ["target", "part"]))
+                else:
+                    written.append(self._changes(shape, good, position))
+            store.write("log", query, batch, rejects_to_error_log(*logs, now=received))
+            if written:
+                self._write(store, query, batch, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written), busy)
+            store.commit(query, batch, position, versions={v.contract.target: v.number for v in busy})
         finally:
-            entities.unpersist()
-
-    def _historic(self, table: Contract, good: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows to append and repeated ones, which keep their tenant, place and content for the log."""
-        origin = F.struct("service", "target_schema", "target_table", F.to_json("entity").alias("value"))
-        here = good.where(F.col("target") == table.target).withColumn("_origin", origin)
-        rows = to_wide(here, table, ["seq", "_origin"]).drop("present")
-        store = self.store(table)
-        inserted, again = apply_historic(store.read(store.touched(rows)), rows, table.key, ["_origin"])
-        return inserted, again.select("seq", "reject", "_origin.*")
-
-    def _apply(self, table: Contract, good: DataFrame, batch: int, query: str) -> None:
-        store = self.store(table)
-        held = store.manifest()
-        if store.committed(query, batch, held):
-            return
+            for frame in kept:
+                frame.unpersist()
+        if self.every and sum(c.origin != TOGETHER for c in store.live(store.commits())) >= self.every:
+            self.compact()
+
+    def _write(self, store: BatchStore, query: str, batch: int, rows: DataFrame, busy: Sequence[Version]) -> None:
+        """The rows of all tables in one write, and for historic tables the filters of their keys in another."""
+        store.write("rows", query, batch, rows)
         if self.flow == "historic":
-            store.commit(query, batch, self._historic(table, good)[0])
-            return
-        rows = to_wide(good.where(F.col("target") == table.target), table, ["seq", "change"])
-        # Batches are in the order of their commits, then by where their records come from.
+            # Read back, as what is stored is what the filters are of.
+            names = {n: t for v in busy for n, t in stored_types([v]).items()}
+            schema = T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in names.items()))
+            written = store.read("rows", schema, [Commit(query, batch, 0, tuple(store._written("rows", (query, batch))))])
+            self._write_filters(store, query, batch, written, busy)
+
+    def _write_filters(self, store: BatchStore, query: str, batch: int, rows: DataFrame, tables: Sequence[Version]) -> None:
+        words = words_for(rows.count())
+        made = []
+        for shape in _shapes(tables):
+            if shape[0].contract.key:
+                own = rows.where(F.col("target").isin([v.contract.target for v in shape]))
+                made.append(key_words(own, _key_names(shape[0]), ["target", "part"], words))
+        if made:
+            store.write("keys", query, batch, reduce(DataFrame.unionByName, made))
+
+    def _of_shape(self, shape: Sequence[Version], good: DataFrame, keep: Sequence[str]) -> DataFrame:
+        here = good.where(F.col("target").isin([v.contract.target for v in shape]))
+        return to_wide(here, shape[0].contract, ["target", *keep])
+
+    def _historic(
+        self, shape: Sequence[Version], good: DataFrame, store: BatchStore, live: Sequence[Commit], history: Mapping[str, Sequence[Version]]
+    ) -> DataFrame:
+        """Rows of tables of one shape with `repeated`, and with their tenant, place and content for the log."""
+        table = shape[0].contract
+        origin = F.struct("service", "target_schema", "target_table", F.to_json("entity").alias("value"))
+        rows = self._of_shape(shape, good.withColumn("_origin", origin), ["seq", "_origin"]).drop("present")
+        part = day_parts(period=self.period) if "timeinstant" in table.names else F.lit("all")
+        rows = rows.withColumn("part", part)
+        if not table.key:
+            return rows.withColumn("repeated", F.lit(False))
+        return mark_repeats(rows, ["target", *table.key], self.held_keys(rows, shape, store, live, history))
+
+    def held_keys(
+        self, rows: DataFrame, shape: Sequence[Version], store: BatchStore, live: Sequence[Commit], history: Mapping[str, Sequence[Version]]
+    ) -> DataFrame | None:
+        """Stored keys of the parts that may hold one of the rows' keys; the filters of all batches say which these are."""
+        targets = [v.contract.target for v in shape]
+        table = shape[0].contract
+        schema = T.StructType.fromDDL("words long, word long, bits long, origin string, batch long")
+        places = {"/" + folder_name(self.spark, target=t) + "/" for t in targets}
+        filters = store.read("keys", schema, live, lambda folder: any(folder.startswith(p) for p in places))
+        # Where a key column was changed, filters are of other values than these.
+        names = [_key_names(v) for t in targets for v in history[t]]
+        if any(n != names[0] for n in names):
+            chosen = {(c.origin, c.batch): None for c in live}
+        elif not live:
+            return None
+        else:
+            stored = to_stored(rows, shape[0], ["target", "part"])
+            # As many rows at most as there are parts in the batches that have not been put together.
+            chosen = {}
+            for r in parts_with(stored, names[0], ["target", "part"], filters).collect():
+                chosen.setdefault((r.origin, r.batch), set()).add("/" + folder_name(self.spark, target=r.target, part=r.part))
+        found = []
+        for target in targets:
+            place = "/" + folder_name(self.spark, target=target) + "/"
+            for c in live:
+                parts = chosen.get((c.origin, c.batch), set())
+                own = lambda f, parts=parts, place=place: f.startswith(place) and (parts is None or f in parts)
+                if any(f.startswith("rows") and own(f[4:]) for f in c.folders):
+                    rows_there = store.read("rows", self._schema(history[target]), [c], own)
+                    found.append(from_stored(rows_there, history[target]).select(F.lit(target).alias("target"), *table.key))
+        return reduce(DataFrame.unionByName, found) if found else None
+
+    def _changes(self, shape: Sequence[Version], good: DataFrame, position: int) -> DataFrame:
+        """Rows of tables of one shape as changes in the order of their commits, then by where their records come from."""
+        rows = self._of_shape(shape, good, ["seq", "change"])
         order = F.struct(
-            F.lit(held["version"] + 1).alias("partition"),
+            F.lit(position).cast("long").alias("partition"),
             (F.col("seq.partition").cast("long") * _OFFSETS + F.col("seq.offset")).alias("offset"),
             F.col("seq.pos").alias("pos"),
         )
-        store.commit(query, batch, rows.withColumn("seq", order))
+        rows = rows.withColumns({"seq": order, HIGH: F.lit(None).cast("timestamp"), "part": F.lit("all")})
+        return to_stored(rows, shape[0], ["seq", "change", HIGH, "target", "part"])
+
+    # ---- putting batches together -------------------------------------------------------------------
+
+    def compact(self, whole: bool = False) -> None:
+        """Put batches together: historic ones as they are, changes folded to the rows they leave.
+
+        Historic batches that were put together before stay, unless `whole` is given or there are as many of them as of
+        others. A fold reads the whole table; with `every` None it is for the caller to say when.
+        """
+        store = self.store
+        commits = store.commits()
+        live = store.live(commits)
+        chosen = live
+        if self.flow == "historic" and not whole:
+            fresh = [c for c in live if c.origin != TOGETHER]
+            chosen = fresh if len(live) - len(fresh) < (self.every or 32) else live
+        history = self.history()
+
+        def rows_of(kind: str, batches: list[Commit]) -> DataFrame:
+            if kind == "log":
+                return store.read("log", ERROR_SCHEMA, batches)
+            if kind == "keys":
+                return self._filters_of(store, history, batches)
+            tables = [t for t, versions in history.items() if any(t in c.versions for c in batches)]
+            folded = [self._folded(t, history[t], batches) for t in tables]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), folded)
+
+        store.put_together(rows_of, chosen, commits)
+
+    def _filters_of(self, store: BatchStore, history: Mapping[str, Sequence[Version]], batches: Sequence[Commit]) -> DataFrame:
+        made = []
+        for target, versions in history.items():
+            if versions[-1].contract.key and any(target in c.versions for c in batches):
+                place = "/" + folder_name(self.spark, target=target) + "/"
+                rows = store.read("rows", self._schema(versions), batches, lambda f, place=place: f.startswith(place))
+                held = to_stored(from_stored(rows, versions, ["target", "part"]), versions[-1], ["target", "part"])
+                made.append(key_words(held, _key_names(versions[-1]), ["target", "part"], words_for(held.count())))
+        return reduce(DataFrame.unionByName, made)
+
+    def _folded(self, target: str, history: Sequence[Version], batches: Sequence[Commit]) -> DataFrame:
+        """Stored rows of a table that stand for those of some batches."""
+        if self.flow == "historic":
+            place = "/" + folder_name(self.spark, target=target) + "/"
+            rows = self.store.read("rows", self._schema(history), batches, lambda f: f.startswith(place))
+            kept = from_stored(rows, history, ["part"])
+            return to_stored(kept.withColumn("target", F.lit(target)), history[-1], ["target", "part"])
+        table = history[-1].contract
+        rows = self._state(table, self._rows(target, history, batches), with_high=self.flow == "lastdata")
+        zero = F.lit(0)
+        # Older than any change.
+        seq = F.struct(zero.cast("long").alias("partition"), zero.cast("long").alias("offset"), zero.alias("pos"))
+        high = F.col(HIGH) if HIGH in rows.columns else F.lit(None).cast("timestamp")
+        all_names = F.array(*[F.lit(c) for c in table.names])
+        changes = rows.withColumns({"seq": seq, "change": F.lit("update"), HIGH: high, "present": all_names, "target": F.lit(target), "part": F.lit("all")})
+        return to_stored(changes, history[-1], ["seq", "change", HIGH, "target", "part"])
+
+
+def _shapes(versions: Sequence[Version]) -> list[list[Version]]:
+    """Tables whose rows are made and stored alike."""
+    shapes: dict[tuple, list[Version]] = {}
+    for v in versions:
+        shapes.setdefault((v.contract.columns, v.identities), []).append(v)
+    return list(shapes.values())
+
+
+def _key_names(version: Version) -> list[str]:
+    """Names the key columns of a table are stored under."""
+    return [version.stored()[k] for k in version.contract.key]
 
 
 @dataclass
 class DocumentJob:
-    """Writes the documents of a flow, one folder per database and collection."""
+    """Writes the documents of a flow, one folder per database and collection in each batch."""
 
     spark: SparkSession
     root: str
     prefix: str = ""
+    every: int | None = 32
     clock: Callable[[], datetime] = _now
 
     @property
-    def store(self) -> TableStore:
-        """Where documents are kept: buckets of their namespace."""
-        schema = T.StructType.fromDDL("database string, collection string, document string")
-        return TableStore(self.spark, f"{self.root}/documents", schema, hash_parts(["database", "collection"]))
+    def store(self) -> BatchStore:
+        """Where documents are kept."""
+        return BatchStore(self.spark, f"{self.root}/documents", {"rows": ("database", "collection")}, self.every)
 
     def read(self) -> DataFrame:
         """Documents as of the last committed batch."""
-        return self.store.read()
+        store = self.store
+        return store.read("rows", _DOCUMENT, store.live(store.commits())).select("database", "collection", "document")
 
     def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
         """Add the documents of one micro-batch."""
-        store = self.store
-        if not store.committed(query, batch):
-            received = F.lit(self.clock()).cast("timestamp")
-            store.commit(query, batch, documents_of(records, self.prefix, received))
+        received = F.lit(self.clock()).cast("timestamp")
+        _append(self.store, "rows", _DOCUMENT, query, batch, lambda: documents_of(records, self.prefix, received).select("database", "collection", "document"))
+
+
+_DOCUMENT = "document string"
+
+
+def _append(store: BatchStore, kind: str, schema: str, query: str, batch: int, rows: Callable[[], DataFrame]) -> None:
+    """Add a batch to a store whose rows are never changed."""
+    commits = store.commits()
+    if store.committed(query, batch, commits):
+        return
+    store.write(kind, query, batch, rows())
+    store.commit(query, batch, max((c.position for c in commits), default=0) + 1)
+    now = store.commits()
+    fresh = [c for c in store.live(now) if c.origin != TOGETHER]
+    if store.every and len(fresh) >= store.every:
+        gathered = store.live(now) if len(store.live(now)) - len(fresh) >= store.every else fresh
+        store.put_together(lambda _, chosen: store.read(kind, schema, chosen), gathered, now)
 
 
 @dataclass
@@ -236,38 +440,39 @@ class ErrorJob:
     spark: SparkSession
     root: str
     config: FlowConfig = field(default_factory=FlowConfig)
+    every: int | None = 32
     clock: Callable[[], datetime] = _now
 
     @property
-    def store(self) -> TableStore:
+    def store(self) -> BatchStore:
         """Where the error log is kept."""
-        return error_store(self.spark, f"{self.root}/_error_log")
+        return BatchStore(self.spark, f"{self.root}/_error_log", {"log": ()}, self.every)
 
     def read(self) -> DataFrame:
         """Error log as of the last committed batch."""
-        return self.store.read()
+        store = self.store
+        return store.read("log", ERROR_SCHEMA, store.live(store.commits()))
 
     def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
         """Add the error rows of one micro-batch of dead letters."""
-        store = self.store
-        if store.committed(query, batch):
-            return
-        received = F.lit(self.clock()).cast("timestamp")
-        found = errors_from_rejected(with_headers(records, keep_case=True), self.config, received)
-        seq = F.struct("partition", "offset", F.lit(0).alias("pos"))
-        store.commit(
-            query,
-            batch,
-            found.select("tenant", "timestamp", "error", "query", F.lit("sink").alias("stage"), F.lit("DEAD_LETTER").alias("code"), seq.alias("seq"), "value"),
-        )
+
+        def rows() -> DataFrame:
+            received = F.lit(self.clock()).cast("timestamp")
+            found = errors_from_rejected(with_headers(records, keep_case=True), self.config, received)
+            seq = F.struct("partition", "offset", F.lit(0).alias("pos"))
+            return found.select(
+                "tenant", "timestamp", "error", "query", F.lit("sink").alias("stage"), F.lit("DEAD_LETTER").alias("code"), seq.alias("seq"), "value"
+            )
+
+        _append(self.store, "log", ERROR_SCHEMA, query, batch, rows)
 
 
 @dataclass
 class GraphJob:
     """Sends the mutations of the graph flow; what the server does not take goes to the error log.
 
-    Replies are written before they are judged, so a batch sends once unless its write fails half-way; the server
-    then answers that what it has is there already, which counts as taken.
+    Replies are written before they are judged, and only those of the batch are read for that. A batch that fails half-way
+    is sent again; the server then answers that what it has is there already, which counts as taken.
     """
 
     spark: SparkSession
@@ -278,46 +483,47 @@ class GraphJob:
     parallel: int | None = None
     retries: int = 1
     backoff_s: float = 0.5
+    every: int | None = 32
     clock: Callable[[], datetime] = _now
 
     @property
-    def replies(self) -> TableStore:
-        """Where replies are kept."""
-        schema = T.StructType.fromDDL(
-            "service string, seq struct<partition:int,offset:bigint,pos:int>, query string, status int, body string, "
-            "attempts int, origin string"
-        )
-        return TableStore(self.spark, f"{self.root}/replies", schema, hash_parts(["origin"], 16))
-
-    @property
-    def error_store(self) -> TableStore:
-        """Where the error log is kept."""
-        return error_store(self.spark, f"{self.root}/_error_log")
+    def store(self) -> BatchStore:
+        """Where replies and the error log are kept."""
+        return BatchStore(self.spark, f"{self.root}/graph", {"replies": (), "log": ()}, self.every)
 
     def handle(self, records: DataFrame, batch: int, query: str = "batch") -> None:
         """Send one micro-batch and log what failed."""
-        log_store = self.error_store
-        if log_store.committed(query, batch):
+        store = self.store
+        commits = store.commits()
+        if store.committed(query, batch, commits):
             return
-        origin = f"{query}-{batch}"
-        store = self.replies
-        if not store.committed(query, batch):
-            sent = dispatch(
-                mutations_of(records, self.config), self.endpoint, self.send,
-                retries=self.retries, backoff_s=self.backoff_s, parallel=self.parallel,
-            )
-            store.commit(query, batch, sent.withColumn("origin", F.lit(origin)))
-        judged = classify_response(store.read().where(F.col("origin") == origin))
+        sent = dispatch(
+            mutations_of(records, self.config), self.endpoint, self.send, retries=self.retries, backoff_s=self.backoff_s, parallel=self.parallel
+        )
+        store.write("replies", query, batch, sent.select("service", "seq", "query", "status", "body", "attempts"))
+        own = Commit(query, batch, 0, ("replies",))
+        judged = classify_response(store.read("replies", _REPLY, [own]))
         failed = judged.where(F.col("outcome") == "failed").select(
             "service", "seq", F.col("query").alias("value"), rejection("dispatch", "HTTP", F.col("error")).alias("reject")
         )
         received = F.lit(self.clock()).cast("timestamp")
-        log_store.commit(query, batch, rejects_to_error_log(failed, now=received))
+        store.write("log", query, batch, rejects_to_error_log(failed, now=received))
+        store.commit(query, batch, max((c.position for c in commits), default=0) + 1)
+        now = store.commits()
+        fresh = [c for c in store.live(now) if c.origin != TOGETHER]
+        if store.every and len(fresh) >= store.every:
+            kinds = {"replies": _REPLY, "log": ERROR_SCHEMA}
+            store.put_together(lambda kind, chosen: store.read(kind, kinds[kind], chosen), fresh, now)
 
     def outcomes(self) -> DataFrame:
         """All replies with what they mean."""
-        return classify_response(self.replies.read())
+        store = self.store
+        return classify_response(store.read("replies", _REPLY, store.live(store.commits())))
 
     def errors(self) -> DataFrame:
         """Error log as of the last committed batch."""
-        return self.error_store.read()
+        store = self.store
+        return store.read("log", ERROR_SCHEMA, store.live(store.commits()))
+
+
+_REPLY = "service string, seq struct<partition:int,offset:bigint,pos:int>, query string, status int, body string, attempts int"

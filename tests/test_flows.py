@@ -18,7 +18,7 @@ from cityflow.operators.routing import route
 from cityflow.plans.flows import entities_of, flagged_entities, mutations_of
 from cityflow.sources.raw import FileSource, KafkaSource, read_raw
 from cityflow.streaming.jobs import RelationalJob, run_available
-from cityflow.streaming.store import KEEP, MERGE, TableStore, checkpoint_id, hash_parts
+from cityflow.streaming.store import checkpoint_id
 from cityflow.streaming.sinks import delete_statement, dispatch, last_per_key, publish, quoted, upsert_statement, write_documents, write_error_log, write_routed
 
 GEOMETRIES = [
@@ -215,7 +215,7 @@ def _sensor(i, value, minute, change=None):
 def _stream(spark, flow, batches, table, **kwargs):
     """Run each list of bodies as one file, one micro-batch per file, with a restart after each."""
     root = tempfile.mkdtemp()
-    job = RelationalJob(spark, flow, [table], f"{root}/tables", parts=4, **kwargs)
+    job = RelationalJob(spark, flow, [table], f"{root}/tables", **kwargs)
     offset = 1
     for bodies in batches:
         raw_rows(spark, bodies, flow, HEADERS, offset).coalesce(1).write.mode("append").parquet(f"{root}/raw")
@@ -265,11 +265,10 @@ def test_another_checkpoint_is_another_query(spark):
     assert sorted(r.temperature for r in job.read(table.target).collect()) == [1.0, 2.0, 3.0]
 
 
-def test_deletes_come_before_later_batches_however_they_are_stored(spark, monkeypatch):
-    """Changes give the same rows before and after they are merged and folded."""
-    monkeypatch.setattr("cityflow.streaming.store.MERGE", 2)
+def test_deletes_come_before_later_batches_however_they_are_stored(spark):
+    """Changes give the same rows before and after they are folded."""
     table = contract("test.date_sensor_lastdata", {"temperature": "double precision"}, ["entityid"])
-    job = RelationalJob(spark, "lastdata", [table], f"{tempfile.mkdtemp()}/tables", parts=2)
+    job = RelationalJob(spark, "lastdata", [table], f"{tempfile.mkdtemp()}/tables", every=2)
     steps = [
         ([_sensor(1, 1.0, 30), _sensor(2, 2.0, 10)], {"s1": 1.0, "s2": 2.0}),
         ([_sensor(1, 0.0, 31, "entityDelete")], {"s2": 2.0}),
@@ -284,34 +283,6 @@ def test_deletes_come_before_later_batches_however_they_are_stored(spark, monkey
         assert {r.entityid: r.temperature for r in job.read(table.target).collect()} == expected, batch
 
 
-def test_a_batch_costs_what_it_holds(spark, tmp_path):
-    """A small batch adds small files to a large table, and files and manifests stay few over many batches."""
-    path = str(tmp_path / "table")
-    schema = spark.createDataFrame([], "k long, v string").schema
-    store = TableStore(spark, path, schema, hash_parts(["k"], 2))
-
-    def size():
-        return sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
-
-    store.commit("q", 0, spark.range(200_000).selectExpr("id AS k", "sha2(string(id), 256) AS v"))
-    large = size()
-    for batch in range(1, 3 * MERGE + 2 * KEEP + 2):
-        before = size()
-        store.commit("q", batch, spark.createDataFrame([(batch, "x")], "k long, v string"))
-        if batch < MERGE:
-            assert size() - before < large / 100
-    assert store.read().count() == 200_000 + batch
-    held = store.manifest()
-    assert all(len(entries) <= 3 * MERGE for entries in held["parts"].values())
-    assert len(list((tmp_path / "table" / "_manifests").glob("*.json"))) <= 2 * KEEP + 2
-    assert len(list((tmp_path / "table" / "data").iterdir())) <= 2 * KEEP + 4 * MERGE
-    # What is run again is not added again; another query's batch of that number is.
-    store.commit("q", batch, spark.createDataFrame([(0, "again")], "k long, v string"))
-    assert store.read().count() == 200_000 + batch
-    store.commit("other", 0, spark.createDataFrame([(0, "new")], "k long, v string"))
-    assert store.read().count() == 200_001 + batch
-
-
 def test_one_staging_row_per_key(spark):
     table = contract("s.t", {"v": "double precision"}, ["entityid"], with_time=False)
     rows = spark.createDataFrame([("a", 1.0, (0, 1, 0)), ("a", 2.0, (0, 2, 0)), ("b", 3.0, (0, 0, 0))], "entityid string, v double, seq struct<partition:int,offset:bigint,pos:int>")

@@ -78,6 +78,33 @@ def test_fold_onto_a_state_in_two_batches(spark):
     assert got == model(rows[400:], held, False)
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("partial", [False, True])
+@pytest.mark.parametrize("ties", ["keep", "replace"])
+def test_folds_in_any_number_of_steps_give_the_rows_of_one(spark, partial, ties, seed):
+    """Also where a row without a time has replaced the one with the greatest time, and late rows follow."""
+    rows = history(600, 15, deletes=0.05, no_time=0.3, seed=20 + seed)
+    rng = random.Random(seed)
+    borders = [0, *sorted(rng.sample(range(1, len(rows)), 5)), len(rows)]
+    state = None
+    for begin, end in zip(borders, borders[1:]):
+        changes = spark.createDataFrame(rows[begin:end], SCHEMA)
+        folded = apply_lastdata(state, changes, partial=partial, ties=ties, piece=40, with_high=True)
+        state = spark.createDataFrame(folded.collect(), folded.schema)
+    whole = apply_lastdata(None, spark.createDataFrame(rows, SCHEMA), partial=partial, ties=ties)
+    assert as_dict(state) == as_dict(whole) == model(rows, {}, partial, ties)
+
+
+def test_a_late_row_stays_late_after_a_fold(spark):
+    """Times 10, none, 5: the row without a time stays, whether or not the first two were folded before."""
+    rows = [("e", START + timedelta(minutes=m) if m else None, v, None, (0, i, 0), "update", ["timeinstant", "a"] if m else ["a"]) for i, (m, v) in enumerate([(10, 1.0), (None, 2.0), (5, 3.0)])]
+    for partial in (False, True):
+        folded = apply_lastdata(None, spark.createDataFrame(rows[:2], SCHEMA), partial=partial, with_high=True)
+        late = apply_lastdata(folded, spark.createDataFrame(rows[2:], SCHEMA), partial=partial)
+        assert as_dict(late) == as_dict(apply_lastdata(None, spark.createDataFrame(rows, SCHEMA), partial=partial))
+        assert late.first().a == 2.0 and late.columns == ["entityid", "timeinstant", "a", "b"]
+
+
 def test_fast_path_equals_the_fold(spark):
     rows = [r for r in history(800, 20, deletes=0, no_time=0, seed=3)]
     changes = spark.createDataFrame(rows, SCHEMA).withColumn("timeinstant", F.coalesce("timeinstant", F.lit(START)))
