@@ -21,6 +21,8 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Attributes that differ only by case: the later one wins, at the place of the first.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # The same for names that occur twice in a nested value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -6,12 +6,9 @@ since Spark has no function that writes the bytes of a double.
 
 from __future__ import annotations
 
-import json
-import re
-import struct
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,60 +116,147 @@ def _assembled(g: Column) -> Column:
     return F.when(g["fold"] == letters, F.concat(names, axis, body))
 
 
-_WKT = re.compile(r"^\s*([A-Za-z]+)\s*(Z)?\s*(\(.*\))\s*$", re.S)
-_POSITION = re.compile(r"[^\s,()]+(?:\s+[^\s,()]+)+")
+# ---- binary form ------------------------------------------------------------------------------------
+
+# Positions, and what they are nested in, as patterns of the text; all of them match in linear time.
+_JSON_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+
+
+def _shapes(width: int) -> dict[str, str]:
+    position = rf"\s*{_JSON_NUMBER}" + rf"\s+{_JSON_NUMBER}" * (width - 1) + r"\s*"
+    listed = lambda inner: rf"\s*\({inner}(?:,{inner})*\)\s*"
+    line = listed(position)
+    rings = listed(line)
+    # Points of a multipoint stand bare or in parentheses.
+    either = rf"(?:{position}|\s*\({position}\)\s*)"
+    return {
+        "point": rf"\s*\({position}\)\s*",
+        "linestring": line,
+        "polygon": rings,
+        "multipoint": listed(either),
+        "multilinestring": rings,
+        "multipolygon": listed(rings),
+    }
+
+
+_SHAPES = {2: _shapes(2), 3: _shapes(3)}
+
+# What an opening parenthesis writes, by kind and depth: binary type of a header or 0, and whether a count follows.
+_OPENS = {
+    "point": {1: (1, False)},
+    "linestring": {1: (2, True)},
+    "polygon": {1: (3, True), 2: (0, True)},
+    "multipoint": {1: (4, True), 2: (0, False)},
+    "multilinestring": {1: (5, True), 2: (2, True)},
+    "multipolygon": {1: (6, True), 2: (3, True), 3: (0, True)},
+}
+
+_HEADER, _COUNT, _DOUBLE = 5, 4, 8
+
+
+def wkb_of_texts(texts: pa.Array) -> pa.Array:
+    """Little-endian well-known binary of well-known texts, null where a text is none.
+
+    All texts of a batch at once: a pattern per kind says which are well formed, what is left is a row of parentheses,
+    commas and numbers, and since the binary form has its parts in the order of the text, the place of every header, count
+    and coordinate is a running sum.
+    """
+    texts = texts.cast(pa.large_string())
+    result = pa.nulls(len(texts), pa.large_binary())
+    named = pc.extract_regex(texts, r"^\s*(?P<kind>[A-Za-z]+)\s*(?P<axis>Z?)\s*(?P<body>\((?s:.*)\))\s*$")
+    kinds = pc.utf8_lower(named.field("kind"))
+    raised = pc.equal(named.field("axis"), "Z")
+    found_at, found = [], []
+    for kind in KINDS:
+        for width in (2, 3):
+            chosen = pc.and_(pc.equal(kinds, kind), pc.equal(raised, width == 3))
+            held = pc.and_(chosen, pc.match_substring_regex(named.field("body"), f"^{_SHAPES[width][kind]}$"))
+            held = pc.and_(pc.fill_null(held, False), pc.is_valid(texts))
+            rows = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+            if len(rows):
+                found_at.append(rows)
+                found.append(_encoded(named.field("body").take(pa.array(rows)), kind, width))
+    if not found:
+        return result.cast(pa.binary())
+    place = np.full(len(texts), -1, np.int64)
+    place[np.concatenate(found_at)] = np.arange(sum(map(len, found_at)))
+    index = pa.array(place, mask=place < 0)
+    return pa.concat_arrays(found).take(index).cast(pa.binary())
+
+
+def _encoded(bodies: pa.Array, kind: str, width: int) -> pa.Array:
+    """Binary form of the bodies of well-formed texts of one kind."""
+    ends = np.frombuffer(bodies.buffers()[1], np.int64)[bodies.offset : bodies.offset + len(bodies) + 1]
+    chars = np.frombuffer(bodies.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    opened, closed, comma = chars == ord("("), chars == ord(")"), chars == ord(",")
+    digits = ~(opened | closed | comma | (chars == 32) | ((chars >= 9) & (chars <= 13)))
+    # A number begins where a character of one follows something else, or a text begins.
+    before = np.concatenate([[False], digits[:-1]])
+    after = np.concatenate([digits[1:], [False]])
+    starts, stops = np.flatnonzero(digits & ~before), np.flatnonzero(digits & ~after) + 1
+    depth = np.cumsum(opened.astype(np.int64) - closed.astype(np.int64))
+    token_at = np.sort(np.concatenate([np.flatnonzero(opened), np.flatnonzero(comma), starts]))
+    is_open, is_comma = opened[token_at], comma[token_at]
+    is_number = ~is_open & ~is_comma
+    level = depth[token_at]
+    # A position begins with a number that does not follow another one.
+    leads = is_number & ~np.concatenate([[False], is_number[:-1]])
+    sizes = np.where(is_number, _DOUBLE, 0)
+    if kind == "multipoint":
+        sizes = sizes + np.where(leads, _HEADER, 0)
+    headers, counts = [], []
+    for d, (code, counted) in _OPENS[kind].items():
+        at = np.flatnonzero(is_open & (level == d))
+        sizes[at] = (_HEADER if code else 0) + (_COUNT if counted else 0)
+        if code:
+            headers.append((at, code))
+        if counted:
+            # Elements of a list: the commas directly in it, and one.
+            inside = np.searchsorted(at, np.flatnonzero(is_comma & (level == d)), "right") - 1
+            counts.append((at, _HEADER if code else 0, np.bincount(inside, minlength=len(at)) + 1))
+    offsets = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+
+    def put(where: np.ndarray, values: np.ndarray) -> None:
+        raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(where), -1)
+        out[where[:, None] + np.arange(raw.shape[1])] = raw
+
+    more = 1000 if width == 3 else 0
+    if kind == "multipoint":
+        headers.append((np.flatnonzero(leads), 1))
+    for at, code in headers:
+        put(offsets[at], np.ones(len(at), np.uint8))
+        put(offsets[at] + 1, np.full(len(at), code + more, "<u4"))
+    for at, skip, count in counts:
+        put(offsets[at] + skip, count.astype("<u4"))
+    at = np.flatnonzero(is_number)
+    put(offsets[at] + (np.where(leads[at], _HEADER, 0) if kind == "multipoint" else 0), _numbers(chars, starts, stops))
+    # Where the tokens of each text begin.
+    first = np.searchsorted(token_at, ends[:-1])
+    borders = np.concatenate([offsets, [len(out)]])[np.concatenate([first, [len(token_at)]])]
+    return pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(out)])
+
+
+def _numbers(chars: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Doubles of the numbers that stand between starts and stops."""
+    # Numbers and the gaps between them are one array of texts, of which every other one is a number.
+    borders = np.stack([starts, stops], axis=1).ravel().astype(np.int64)
+    texts = pa.Array.from_buffers(
+        pa.large_string(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(chars))]
+    )
+    return texts.take(pa.array(np.arange(0, len(borders) - 1, 2))).cast(pa.float64()).to_numpy().astype("<f8")
 
 
 def wkt_to_wkb(wkt: str | None) -> bytes | None:
     """Little-endian well-known binary of one well-known text."""
-    match = _WKT.match(wkt) if wkt else None
-    if not match or match.group(1).lower() not in KINDS:
-        return None
-    kind, raised, body = match.group(1).lower(), match.group(2), match.group(3)
-    listed = _POSITION.sub(lambda m: "[" + ",".join(m.group(0).split()) + "]", body)
-    try:
-        nested = json.loads(listed.replace("(", "[").replace(")", "]"))
-        return _pack(kind, nested, 3 if raised else 2)
-    except (ValueError, struct.error, TypeError, IndexError):
-        return None
-
-
-def _pack(kind: str, nested: list, width: int) -> bytes:
-    head = struct.pack("<BI", 1, KINDS[kind][1] + (1000 if width == 3 else 0))
-
-    def position(p):
-        return struct.pack(f"<{width}d", *p)
-
-    def line(points):
-        packed = np.asarray(points, dtype="<f8").reshape(len(points), -1)
-        if points and packed.shape[1] != width:
-            raise ValueError("a position has a wrong number of coordinates")
-        return struct.pack("<I", len(points)) + packed.tobytes()
-
-    def rings(parts):
-        return struct.pack("<I", len(parts)) + b"".join(map(line, parts))
-
-    if kind == "point":
-        return head + position(nested[0])
-    if kind == "linestring":
-        return head + line(nested)
-    if kind == "polygon":
-        return head + rings(nested)
-    if kind == "multipoint":
-        # Both `(1 2, 3 4)` and `((1 2), (3 4))` are in use.
-        nested = [p[0] if isinstance(p[0], list) else p for p in nested]
-        parts = [_pack("point", [p], width) for p in nested]
-    elif kind == "multilinestring":
-        parts = [_pack("linestring", p, width) for p in nested]
-    else:
-        parts = [_pack("polygon", p, width) for p in nested]
-    return head + struct.pack("<I", len(parts)) + b"".join(parts)
-
-
-@F.pandas_udf(T.BinaryType())
-def wkb_from_wkt(wkt: pd.Series) -> pd.Series:
+    return wkb_of_texts(pa.array([wkt], pa.string()))[0].as_py()
+
+
+@F.arrow_udf(T.BinaryType())
+def wkb_from_wkt(wkt: pa.Array) -> pa.Array:
     """Well-known binary of well-known text, NULL where it does not parse."""
-    return wkt.map(wkt_to_wkb, na_action="ignore")
+    return wkb_of_texts(wkt)
 
 
 def geometry_struct(wkb: Column) -> Column:

@@ -7,7 +7,10 @@ import math
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,30 +73,20 @@ def slug(text: pd.Series) -> pd.Series:
     return text.map(slug_of, na_action="ignore")
 
 
-def _edited(text: str, drop, extra: str | None) -> dict:
-    """Members of an object without those listed in `drop`, with those of `extra` put on.
+def nested_values(slug_uri: bool):
+    """Arrow function: lists of JSON texts of nested values, null where a member is flat, as lists of argument texts."""
 
-    Member order is kept; a member of `extra` that exists keeps its place and takes the new value.
-    """
-    left_out = set() if drop is None else set(drop)
-    members = {k: v for k, v in json.loads(text).items() if k not in left_out}
-    return members if extra is None else members | json.loads(extra)
-
-
-def mutation_text(slug_uri: bool):
-    """Arrow function: JSON object text, edited as `edit_object` does, to mutation argument text."""
-
-    @F.pandas_udf(T.StringType())
-    def render(objects: pd.Series, drop: pd.Series, extra: pd.Series) -> pd.Series:
-        rows = zip(objects, drop, extra)
-        return pd.Series([None if t is None else mutation_value(_edited(t, d, e), slug_uri) for t, d, e in rows], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def render(texts: pa.Array) -> pa.Array:
+        flat = texts.flatten()
+        held = pc.is_valid(flat)
+        written = [mutation_value(json.loads(t), slug_uri) for t in flat.filter(held).to_pylist()]
+        # Back to the places the nested values had.
+        places = pa.array(np.cumsum(held.to_numpy(zero_copy_only=False)) - 1, mask=~held.to_numpy(zero_copy_only=False))
+        rendered = pa.array(written, pa.string()).take(places)
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int32)
+        borders = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        made = pa.ListArray.from_arrays(borders, rendered)
+        return pc.if_else(pc.is_valid(texts), made, pa.nulls(len(texts), made.type))
 
     return render
-
-
-@F.pandas_udf(T.StringType())
-def edit_object(objects: pd.Series, drop: pd.Series, extra: pd.Series) -> pd.Series:
-    """JSON object text without the keys listed in `drop`, then the members of `extra` put on."""
-    rows = zip(objects, drop, extra)
-    edited = (None if t is None else _edited(t, d, e) for t, d, e in rows)
-    return pd.Series([None if m is None else json.dumps(m, ensure_ascii=False, separators=(",", ":")) for m in edited], dtype=object)

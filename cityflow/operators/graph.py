@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from cityflow.config import GraphConfig
 from cityflow.functions.binding import bind
 from cityflow.functions.geometry import KINDS, wkt_from_geojson
-from cityflow.functions.graphtext import edit_object, mutation_text, slug
-from cityflow.functions.text import json_quote
-from cityflow.operators.decode import rejection
+from cityflow.functions.graphtext import nested_values, slug
+from cityflow.functions.text import json_quote, number_text
+from cityflow.operators.decode import json_kind, rejection
 
 
 def explode_graph_entities(records: DataFrame) -> DataFrame:
@@ -74,22 +74,61 @@ def rewrite_location(entities: DataFrame) -> DataFrame:
     ).drop("_geo", "_wkt")
 
 
-def _edits(entities: DataFrame, config: GraphConfig) -> DataFrame:
-    """Add `external_id`, and how the object changes: `_drop` (names of members) and `_extra` (members as JSON)."""
+_SCALARS = ("null", "string", "boolean", "number")
+
+
+def _with_members(entities: DataFrame, config: GraphConfig) -> DataFrame:
+    """Add `external_id` and `_members`: what is left of each object's members, edited, in document order.
+
+    A member is `{key, kind, text, json}`: the text of a string, number or boolean, and the JSON text of a nested value, which
+    is read in a second look at the object, and only where it has one. type and alterationType go, the location member
+    becomes `asWkt`, and with slugs externalId is one.
+    """
     if "geo_key" not in entities.columns:
         entities = rewrite_location(entities)
     external = F.from_json("object", "externalId STRING")["externalId"]
     if config.slug_uri:
         external = F.when(F.coalesce(external, F.lit("")) != "", slug(external)).otherwise(external)
     staged = entities.withColumn("external_id", external)
-    extra = F.col("geo_member")
+    read = F.transform(
+        F.map_entries(F.from_json("object", "map<string,variant>")),
+        lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), json_kind(F.schema_of_variant(e["value"])).alias("kind")),
+    )
+    staged = bind(staged, "_read", read)
+    nested = F.exists("_read", lambda e: ~e["kind"].isin(*_SCALARS))
+    texts = F.when(nested, F.from_json("object", "map<string,string>"))
+    staged = bind(staged, "_texts", texts)
+    text = lambda e: (
+        F.when(e["kind"] == "string", F.try_variant_get(e["value"], "$", "string"))
+        .when(e["kind"] == "number", number_text(F.try_variant_get(e["value"], "$", "double")))
+        .when(e["kind"] == "boolean", F.try_variant_get(e["value"], "$", "boolean").cast("string"))
+    )
+    members = F.transform(
+        "_read",
+        lambda e: _member(
+            e["key"], e["kind"], text(e), F.when(~e["kind"].isin(*_SCALARS), F.try_element_at("_texts", e["key"]))
+        ),
+    )
+    gone = F.array_compact(F.array(F.lit("type"), F.lit("alterationType"), F.col("geo_key")))
+    members = F.filter(members, lambda m: ~F.array_contains(gone, m["key"]))
     if config.slug_uri:
-        # The slug replaces the value in place, so it goes along with the other new members.
-        id_member = F.concat(F.lit('{"externalId":'), json_quote(F.col("external_id")))
-        geo_rest = F.coalesce(F.concat(F.lit(","), F.substring("geo_member", F.lit(2), F.length("geo_member"))), F.lit("}"))
-        extra = F.when(F.coalesce("external_id", F.lit("")) != "", F.concat(id_member, geo_rest)).otherwise(extra)
-    drop = F.array_compact(F.array(F.lit("type"), F.lit("alterationType"), F.col("geo_key")))
-    return staged.withColumns({"_drop": drop, "_extra": extra})
+        is_id = F.coalesce("external_id", F.lit("")) != ""
+        members = _put(members, is_id, _member(F.lit("externalId"), F.lit("string"), F.col("external_id"), F.lit(None)))
+    wkt = F.get_json_object("geo_member", "$.asWkt")
+    geometry = _member(F.lit("asWkt"), F.when(wkt.isNull(), "null").otherwise("string"), wkt, F.lit(None))
+    members = _put(members, F.col("geo_member").isNotNull(), geometry)
+    return bind(staged, "_members", members).drop("_read", "_texts")
+
+
+def _member(key: Column, kind: Column, text: Column, nested: Column) -> Column:
+    return F.struct(key.alias("key"), kind.alias("kind"), text.cast("string").alias("text"), nested.cast("string").alias("json"))
+
+
+def _put(members: Column, wanted: Column, member: Column) -> Column:
+    """Members with one put in: in the place of the one of its name, or at the end."""
+    known = F.exists(members, lambda m: m["key"] == member["key"])
+    replaced = F.transform(members, lambda m: F.when(m["key"] == member["key"], member).otherwise(m))
+    return F.when(wanted & known, replaced).when(wanted, F.concat(members, F.array(member))).otherwise(members)
 
 
 def prepare_graph_entities(entities: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
@@ -97,8 +136,13 @@ def prepare_graph_entities(entities: DataFrame, config: GraphConfig = GraphConfi
 
     With slugs on, externalId is a slug, in the object too.
     """
-    staged = _edits(entities, config)
-    return staged.withColumn("prepared", edit_object("object", "_drop", "_extra")).drop("_drop", "_extra")
+    staged = _with_members(entities, config)
+    value = lambda m: (
+        F.when(m["kind"] == "string", json_quote(m["text"])).when(m["json"].isNotNull(), m["json"]).otherwise(F.coalesce(m["text"], F.lit("null")))
+    )
+    written = F.transform("_members", lambda m: F.concat(json_quote(m["key"]), F.lit(":"), value(m)))
+    prepared = F.concat(F.lit("{"), F.array_join(written, ","), F.lit("}"))
+    return staged.withColumn("prepared", prepared).drop("_members")
 
 
 def graph_name(config: GraphConfig) -> Column:
@@ -118,19 +162,24 @@ def type_name(entity_type: Column) -> Column:
 def build_mutations(entities: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
     """Add `graph`, `action` (create, update, delete) and `query`, the mutation text.
 
-    Objects of creates and updates are edited and rendered by one Arrow function, which reads each of them
-    once; the mutation around them and whole delete mutations are ordinary expressions.
+    Mutations are ordinary expressions; only nested values of members go to an Arrow function.
     """
-    entities = _edits(entities, config)
     alteration = F.col("alteration")
     action = (
         F.when(alteration.isin("entityupdate", "entitychange"), F.lit("update"))
         .when(alteration == "entitydelete", F.lit("delete"))
         .otherwise(F.lit("create"))
     )
-    staged = entities.withColumns({"graph": graph_name(config), "action": action})
-    rendered = mutation_text(config.slug_uri)(F.when(F.col("action") != "delete", F.col("object")), F.col("_drop"), F.col("_extra"))
-    staged = staged.withColumn("_object", rendered).drop("_drop", "_extra")
+    staged = _with_members(entities, config).withColumns({"graph": graph_name(config), "action": action})
+    writes = (F.col("action") != "delete") & F.exists("_members", lambda m: m["json"].isNotNull())
+    staged = staged.withColumn("_nested", nested_values(config.slug_uri)(F.when(writes, F.transform("_members", lambda m: m["json"]))))
+    argument = lambda m, i: (
+        F.when(m["kind"] == "string", F.concat(F.lit('"'), _escaped(m["text"]), F.lit('"')))
+        .when(m["json"].isNotNull(), F.get("_nested", i))
+        .otherwise(F.coalesce(m["text"], F.lit("null")))
+    )
+    written = F.transform("_members", lambda m, i: F.concat(m["key"], F.lit(": "), argument(m, i)))
+    staged = staged.withColumn("_object", F.concat(F.lit("{ "), F.array_join(written, ", "), F.lit(" }"))).drop("_members", "_nested")
     dti = F.concat(F.lit('dti: "'), F.col("graph"), F.lit('"'))
     staging = F.lit(", staging: true" if config.staging else "")
     base = F.raise_error("set GraphConfig.resource_base to delete resources") if config.resource_base is None else F.lit(config.resource_base)
