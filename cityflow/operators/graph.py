@@ -90,9 +90,19 @@ def _with_members(entities: DataFrame, config: GraphConfig) -> DataFrame:
     if config.slug_uri:
         external = F.when(F.coalesce(external, F.lit("")) != "", slug(external)).otherwise(external)
     staged = entities.withColumn("external_id", external)
-    read = F.transform(
+    typed = F.transform(
         F.map_entries(F.from_json("object", "map<string,variant>")),
-        lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), json_kind(F.schema_of_variant(e["value"])).alias("kind")),
+        lambda e: F.struct(
+            e["key"].alias("key"),
+            e["value"].alias("value"),
+            json_kind(F.schema_of_variant(e["value"])).alias("kind"),
+            F.try_variant_get(e["value"], "$", "double").cast("string").alias("plain"),
+        ),
+    )
+    # Doubles of many digits, of which this text is not always the shortest, are left to the reader of nested values.
+    exact = lambda e: (e["kind"] == "number") & (e["plain"].contains("E") | (F.length(e["plain"]) > 16))
+    read = F.transform(
+        typed, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.when(exact(e), "exact").otherwise(e["kind"]).alias("kind"))
     )
     staged = bind(staged, "_read", read)
     nested = F.exists("_read", lambda e: ~e["kind"].isin(*_SCALARS))

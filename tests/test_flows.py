@@ -1,4 +1,5 @@
 import json
+import random
 import tempfile
 
 import pytest
@@ -93,6 +94,76 @@ def test_mutations(spark):
     assert rows[4].query.startswith("mutation { updateHotel(")
 
 
+def test_members_of_mutations_against_a_reader_of_whole_objects(spark):
+    """Random objects: what the expressions write is what a reader of the whole JSON text writes."""
+    rng = random.Random(8)
+    scalars = [0, 1, -7, 2.5, 1e-7, 1e21, 25.0, True, False, None, "", 'a"b\\c\nd', "Ñandú {x}", "null", "12", 2**60]
+
+    def value(depth=0):
+        if depth < 2 and rng.random() < 0.25:
+            return [value(depth + 1) for _ in range(rng.randint(0, 3))]
+        if depth < 2 and rng.random() < 0.25:
+            return {rng.choice(["z", "a", "uri", "x y"]): value(depth + 1) for _ in range(rng.randint(0, 3))}
+        return rng.choice(scalars)
+
+    objects = []
+    for i in range(150):
+        members = {"type": "hotel", "externalId": f"Hotel:{i}", **{f"m{k}": value() for k in range(rng.randint(0, 5))}}
+        keys = list(members)
+        rng.shuffle(keys)
+        objects.append({k: members[k] for k in keys})
+    rows = mutations_of(raw_rows(spark, [{"data": objects}], "sgtr", HEADERS), GraphConfig()).orderBy("entity_pos").collect()
+    for row, given in zip(rows, objects, strict=True):
+        kept = {k: v for k, v in given.items() if k != "type"}
+        assert f"object: {mutation_value(kept, False)} }}" in row.query
+
+
+def test_binary_form_of_whole_batches():
+    """Texts of all kinds in one batch, good and bad ones next to each other, against one position at a time."""
+    import struct
+
+    import pyarrow as pa
+
+    from cityflow.functions.geometry import wkb_of_texts
+
+    rng = random.Random(3)
+    number = lambda: rng.choice(["0", "1.5", "-2e-3", "179.25", "7E2"])
+
+    def line(width, n):
+        return [[number() for _ in range(width)] for _ in range(n)]
+
+    def pack(points):
+        return struct.pack("<I", len(points)) + b"".join(struct.pack(f"<{len(p)}d", *map(float, p)) for p in points)
+
+    def text(points):
+        return "(" + ", ".join(" ".join(p) for p in points) + ")"
+
+    texts, expected = [], []
+    for _ in range(400):
+        width = rng.choice([2, 3])
+        axis, more = (" Z ", 1000) if width == 3 else (" ", 0)
+        head = lambda code: struct.pack("<BI", 1, code + more)
+        rings = [line(width, rng.randint(1, 4)) for _ in range(rng.randint(1, 3))]
+        made = {
+            "POINT": (text(rings[0][:1]), head(1) + pack(rings[0][:1])[4:]),
+            "LINESTRING": (text(rings[0]), head(2) + pack(rings[0])),
+            "POLYGON": ("(" + ",".join(map(text, rings)) + ")", head(3) + struct.pack("<I", len(rings)) + b"".join(map(pack, rings))),
+            "MULTIPOINT": (text(rings[0]), head(4) + struct.pack("<I", len(rings[0])) + b"".join(head(1) + pack([p])[4:] for p in rings[0])),
+            "MULTILINESTRING": ("(" + ",".join(map(text, rings)) + ")", head(5) + struct.pack("<I", len(rings)) + b"".join(head(2) + pack(r) for r in rings)),
+            "MULTIPOLYGON": ("((" + ",".join(map(text, rings)) + "))", head(6) + struct.pack("<I", 1) + head(3) + struct.pack("<I", len(rings)) + b"".join(map(pack, rings))),
+        }
+        kind = rng.choice(list(made))
+        body, packed = made[kind]
+        texts.append(kind + axis + body)
+        expected.append(packed)
+        if rng.random() < 0.3:
+            texts.append(rng.choice([None, "", "POINT", "POINT EMPTY", kind + axis + body[:-1], "POINT (1 2 3)", "POINT (01 2)", "CIRCLE (1 2)", "LINESTRING ()"]))
+            expected.append(None)
+    assert wkb_of_texts(pa.array(texts, pa.string())).to_pylist() == expected
+    assert wkb_of_texts(pa.array(texts, pa.string()).slice(7, 50)).to_pylist() == expected[7:57]
+    assert wkb_of_texts(pa.array([None, "x"], pa.string())).to_pylist() == [None, None]
+
+
 def test_routing_needs_a_path_only_where_the_schema_is_one(spark):
     raw = raw_rows(spark, [{"data": [{"id": "s", "type": "Sensor"}]}], headers=[("fiware-service", b"test")])
     entities = entities_of(raw)
