@@ -117,7 +117,8 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int =
     """
     network = Network.new()
     label = np.array(toxic, dtype=np.float32)
-    share = (label.sum() + 1) / (len(label) + 2)
+    # Without any labels nothing is taken for toxic.
+    share = (label.sum() + 1) / (len(label) + 2) if len(label) else 0.25
     network.weights["out0"][0] = np.log(share / (1 - share))
     if not len(label) or label.min() == label.max():
         network.weights["out"][:] = 0
@@ -145,6 +146,7 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int =
             trainer.step(few, part, of_text[some], np.full(len(some), 1 / len(some), np.float32))
     return network
 
+
 def remainder(id_col: Column) -> Column:
     """crc32 of the id as text, modulo 5; rows with 0 are never learned from."""
     return F.crc32(id_col.cast("string").cast("binary")) % 5
