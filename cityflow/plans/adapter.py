@@ -37,6 +37,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else rows
 
 
+def cores(spark: SparkSession) -> int:
+    """Tasks that run at once."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table whose rows are to be decoded, on all cores.
+
+    A table of few files or row groups is read by few tasks. Its rows are dealt out before they are rendered, as decoding
+    costs far more than moving a row.
+    """
+    rows = table(spark, sf_dir, name)
+    return rows if rows.rdd.getNumPartitions() >= cores(spark) else rows.repartition(cores(spark))
+
+
 def arrival(event_id: Column) -> Column:
     """Out-of-order offset of an event, unique for any number of events."""
     return (event_id * STEP) % BLOCK + F.floor(event_id / BLOCK) * BLOCK
@@ -83,7 +98,7 @@ def events_raw(
     if with_changes:
         change = F.when(F.col("event_type") == "error", "entityDelete").otherwise("entityUpdate")
         attributes["alterationType"] = attribute("Text", change)
-    events = table(spark, sf_dir, "events")
+    events = source(spark, sf_dir, "events")
     body = notification(F.concat(F.lit("U"), "user_id"), F.lit("User"), attributes)
     return as_raw(events, flow, body, arrival(F.col("event_id")), _event_headers(), F.col("ts"))
 
@@ -104,7 +119,7 @@ def partial_events_raw(spark: SparkSession, sf_dir: str, flow: str = "lastdata",
         )
     )
     body = F.concat(F.lit('{"subscriptionId":"sub","data":['), members, F.lit("]}"))
-    return as_raw(table(spark, sf_dir, "events"), flow, body, arrival(F.col("event_id")), _event_headers(), F.col("ts"))
+    return as_raw(source(spark, sf_dir, "events"), flow, body, arrival(F.col("event_id")), _event_headers(), F.col("ts"))
 
 
 def timeless_events_raw(spark: SparkSession, sf_dir: str, with_changes: bool = False) -> DataFrame:
@@ -124,7 +139,7 @@ def timeless_events_raw(spark: SparkSession, sf_dir: str, with_changes: bool = F
     )
     body = F.concat(F.lit('{"subscriptionId":"sub","data":['), members, F.lit("]}"))
     return as_raw(
-        table(spark, sf_dir, "events"), "lastdata", body, arrival(F.col("event_id")), _event_headers(), F.col("ts")
+        source(spark, sf_dir, "events"), "lastdata", body, arrival(F.col("event_id")), _event_headers(), F.col("ts")
     )
 
 
@@ -142,13 +157,13 @@ def renamed_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.concat(F.lit('{"subscriptionId":"sub","data":['), members, F.lit("]}"))
     return as_raw(
-        table(spark, sf_dir, "events"), "lastdata", body, arrival(F.col("event_id")), _event_headers(), F.col("ts")
+        source(spark, sf_dir, "events"), "lastdata", body, arrival(F.col("event_id")), _event_headers(), F.col("ts")
     )
 
 
 def orders_raw(spark: SparkSession, sf_dir: str, flow: str = "historic") -> DataFrame:
     """Orders as notifications of two entities: the order, then its customer."""
-    orders = table(spark, sf_dir, "orders")
+    orders = source(spark, sf_dir, "orders")
     urgent = F.substring("o_orderpriority", 1, 1) == "1"
     attributes = {
         "TimeInstant": time_attribute(F.col("o_orderdate")),
@@ -168,7 +183,7 @@ def orders_raw(spark: SparkSession, sf_dir: str, flow: str = "historic") -> Data
 
 def lineitem_raw(spark: SparkSession, sf_dir: str, flow: str = "historic") -> DataFrame:
     """Order lines as notifications of one entity."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = source(spark, sf_dir, "lineitem")
     attributes = {
         "TimeInstant": time_attribute(F.col("l_shipdate")),
         "quantity": attribute("Number", F.col("l_quantity")),
@@ -184,7 +199,7 @@ def lineitem_raw(spark: SparkSession, sf_dir: str, flow: str = "historic") -> Da
 
 def customers_raw(spark: SparkSession, sf_dir: str, datamodel: Column | None = None, path: Column | None = None) -> DataFrame:
     """Customers as notifications; the tenant is the nation, the service path the market segment."""
-    customers = table(spark, sf_dir, "customer")
+    customers = source(spark, sf_dir, "customer")
     # Nations are a fixed list of 25, which Spark broadcasts by its size.
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"])
@@ -195,7 +210,7 @@ def customers_raw(spark: SparkSession, sf_dir: str, datamodel: Column | None = N
 
 def documents_raw(spark: SparkSession, sf_dir: str, flow: str = "mongo") -> DataFrame:
     """Documents as notifications: the whole text, with the language as its metadata."""
-    documents = table(spark, sf_dir, "documents")
+    documents = source(spark, sf_dir, "documents")
     about = F.struct(F.struct(F.lit("Text").alias("type"), F.col("lang").alias("value")).alias("lang"))
     attributes = {
         "text": attribute("Text", F.col("text"), about),

@@ -197,7 +197,7 @@ def attributes_typed(spark, sf_dir):
 @query
 def nested_json_text(spark, sf_dir):
     """Nested values as compact JSON text, and a plain string declared as JSON."""
-    events = A.table(spark, sf_dir, "events")
+    events = A.source(spark, sf_dir, "events")
     body = notification(
         F.concat(F.lit("E"), "event_id"),
         F.lit("Event"),
@@ -216,7 +216,7 @@ def nested_json_text(spark, sf_dir):
 @query
 def timestamps_parsed(spark, sf_dir):
     """Order dates written in many ISO forms, read back; some are no dates."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     ts = F.col("o_orderdate") + F.make_interval(hours=F.col("o_custkey") % 24, mins=F.col("o_orderkey") % 60)
     form = F.col("o_orderkey") % 10
     patterns = [
@@ -242,7 +242,7 @@ def timestamps_parsed(spark, sf_dir):
 @query
 def timestamps_week(spark, sf_dir):
     """Order dates written as week dates, ordinal dates and ends of days, read back; some mean no day."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     day = F.col("o_orderdate").cast("date")
     year, week = F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lpad(F.weekofyear(day).cast("string"), 2, "0")
     weekday, nth = (F.weekday(day) + 1).cast("string"), F.lpad(F.dayofyear(day).cast("string"), 3, "0")
@@ -269,7 +269,7 @@ def timestamps_week(spark, sf_dir):
 @query
 def change_counts(spark, sf_dir):
     """Changes by kind, as the lastdata and the graph flow see them."""
-    events = A.table(spark, sf_dir, "events")
+    events = A.source(spark, sf_dir, "events")
     named = (
         F.when(F.col("event_type") == "error", "entityDelete")
         .when(F.col("event_type") == "signup", "ENTITYCREATE")
@@ -295,7 +295,7 @@ def change_counts(spark, sf_dir):
 @query
 def deletes_in_batch(spark, sf_dir):
     """Order notifications of two entities; a finished order deletes the first and ignores the second."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     change = F.when(F.col("o_orderstatus") == "F", "entityDelete").otherwise("entityUpdate")
     first = F.struct(
         F.concat(F.lit("O"), "o_orderkey").alias("id"),
@@ -315,7 +315,7 @@ def deletes_in_batch(spark, sf_dir):
 @query
 def parse_quarantine(spark, sf_dir):
     """Notifications of which some are cut short, empty, or have entities without id."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     body = notification(F.concat(F.lit("O"), "o_orderkey"), F.lit("Order"), {"total": attribute("Number", F.col("o_totalprice"))})
     status = F.col("o_orderstatus")
     priority = F.substring("o_orderpriority", 1, 1)
@@ -333,7 +333,7 @@ def parse_quarantine(spark, sf_dir):
 @query
 def empty_notifications(spark, sf_dir):
     """Notifications without entities, counted by flow."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     body = F.when(F.col("o_orderstatus") == "P", '{"data":[]}').otherwise('{"data":[{"id":"x","type":"y"}]}')
     good, _ = parse(read_context(as_raw(orders, "historic", body, F.col("o_orderkey"))))
     return no_entity_counts(good)
@@ -342,7 +342,7 @@ def empty_notifications(spark, sf_dir):
 @query
 def tenant_context(spark, sf_dir):
     """Tenant of customer notifications from headers, from the body's headers, or from its top level."""
-    customers = A.table(spark, sf_dir, "customer")
+    customers = A.source(spark, sf_dir, "customer")
     which = F.col("c_custkey") % 3
     service, path = F.upper("c_mktsegment"), F.concat(F.lit("Seg/"), "c_nationkey")
     top = F.to_json(F.struct(service.alias("fiware-service"), path.alias("fiware-servicepath")))
@@ -359,7 +359,7 @@ def tenant_context(spark, sf_dir):
 @query
 def header_decode(spark, sf_dir):
     """Headers with repeated names in different case: the last one wins."""
-    customers = A.table(spark, sf_dir, "customer")
+    customers = A.source(spark, sf_dir, "customer")
     pair = lambda k, v: F.struct(F.lit(k).alias("key"), F.encode(v, "utf-8").alias("value"))
     headers = F.array(
         pair("Fiware-Service", F.col("c_name")), pair("X-Note", F.lit("ñandú")), pair("fiware-SERVICE", F.col("c_mktsegment"))
@@ -371,7 +371,7 @@ def header_decode(spark, sf_dir):
 @query
 def legacy_normalise(spark, sf_dir):
     """Older order notifications rewritten, then decoded."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     attr = lambda n, v, t: F.concat(
         F.lit(f'{{"attrName":"{n}","attrValue":'), v, F.lit(f',"type":"{t}"}}' if t else "}")
     )
@@ -621,7 +621,7 @@ def contract_missing_time(spark, sf_dir):
         )
     )
     table = contract("default._line", {}, ["entityid", "timeinstant"])
-    raw = as_raw(A.table(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
+    raw = as_raw(A.source(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
     rows = flagged_entities(raw, catalogue(spark, [table]), "historic", received=A.received())
     return rows.select("offset", "reject.code", "reject.error")
 
@@ -649,7 +649,7 @@ def contract_ok(spark, sf_dir):
 @query
 def numeric_limits(spark, sf_dir):
     """Order line prices scaled up until they leave the range of their column."""
-    lines = A.table(spark, sf_dir, "lineitem")
+    lines = A.source(spark, sf_dir, "lineitem")
     scaled = lambda power: attribute("Number", F.col("l_extendedprice") * F.lit(10.0**power))
     body = notification(
         F.concat(F.lit("L"), "l_orderkey"),
@@ -683,7 +683,7 @@ def numeric_rounding(spark, sf_dir):
     value = F.lit(99.0) + (F.col("o_orderkey") % 200) / 100
     body = notification(F.concat(F.lit("O"), "o_orderkey"), F.lit("Line"), {"n": attribute("Number", value)})
     table = contract("default._line", {"n": "numeric(3,1)"}, with_time=False)
-    raw = as_raw(A.table(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
+    raw = as_raw(A.source(spark, sf_dir, "orders"), "historic", body, F.col("o_orderkey"))
     rows = flagged_entities(raw, catalogue(spark, [table]), "historic", received=A.received())
     return to_wide(rows, table, ["reject"]).select("entityid", F.col("n").cast("string").alias("stored"), F.col("reject.code").alias("code"))
 
@@ -699,7 +699,7 @@ def delete_missing_table(spark, sf_dir):
 @query
 def contract_cast(spark, sf_dir):
     """Prices as whole numbers, reals and exact numbers, rounded the way the columns round."""
-    lines = A.table(spark, sf_dir, "lineitem")
+    lines = A.source(spark, sf_dir, "lineitem")
     price = lambda: attribute("Number", F.col("l_extendedprice"))
     body = notification(F.concat(F.lit("L"), "l_orderkey"), F.lit("Line"), {"n": price(), "t": price(), "d": price()})
     table = contract("default._line", {"n": "integer", "t": "text", "d": "numeric(30,15)"}, with_time=False)
@@ -744,7 +744,7 @@ def batch_isolation(spark, sf_dir):
 
 def _dead_letters(spark, sf_dir):
     """Every order as a dead letter: database errors with and without statement, cause and topic."""
-    orders = A.table(spark, sf_dir, "orders")
+    orders = A.source(spark, sf_dir, "orders")
     which = F.col("o_orderkey") % 4
     key = F.col("o_orderkey").cast("string")
     statement = F.concat(F.lit('INSERT INTO "shop.orders" ("id","total") VALUES ('), key, F.lit(",1.5)"))
@@ -806,7 +806,7 @@ def error_events(spark, sf_dir):
 @query
 def error_truncation(spark, sf_dir):
     """Whole document texts as error messages, cut to the longest an error row takes."""
-    documents = A.table(spark, sf_dir, "documents")
+    documents = A.source(spark, sf_dir, "documents")
     headers = F.array(
         F.struct(
             F.lit("__connect.errors.exception.message").alias("key"),
@@ -902,7 +902,7 @@ def geo_wkb(spark, sf_dir):
 @query
 def geo_reject_counts(spark, sf_dir):
     """Places that cannot be converted, refused by the contract."""
-    parts = A.table(spark, sf_dir, "part")
+    parts = A.source(spark, sf_dir, "part")
     body = notification(
         F.concat(F.lit("G"), "p_partkey"), F.lit("Place"), {"place": attribute("geo:json", F.parse_json(_geojson("p_partkey")))}
     )
@@ -944,7 +944,7 @@ def documents_namespace(spark, sf_dir):
 @query
 def graph_create(spark, sf_dir):
     """Create mutations of documents with their whole texts."""
-    documents = A.table(spark, sf_dir, "documents")
+    documents = A.source(spark, sf_dir, "documents")
     members = {
         "type": F.lit("tourDOCUMENT"),
         "externalId": F.concat(F.lit("Doc:"), "doc_id"),
@@ -961,7 +961,7 @@ def graph_create(spark, sf_dir):
 @query
 def graph_update(spark, sf_dir):
     """Update mutations of parts, with numbers, nulls and staging."""
-    parts = A.table(spark, sf_dir, "part")
+    parts = A.source(spark, sf_dir, "part")
     members = {
         "alterationType": F.when(F.col("p_size") > 25, "entityUpdate").otherwise("EntityChange"),
         "type": F.lit("part"),
@@ -979,7 +979,7 @@ def graph_update(spark, sf_dir):
 @query
 def graph_delete(spark, sf_dir):
     """Delete mutations of suppliers."""
-    suppliers = A.table(spark, sf_dir, "supplier")
+    suppliers = A.source(spark, sf_dir, "supplier")
     members = {
         "type": F.lit("supplier"),
         "externalId": F.concat(F.lit("Supplier:"), "s_suppkey"),
@@ -1000,7 +1000,7 @@ def graph_slug(spark, sf_dir):
 @query
 def graph_slug_uri(spark, sf_dir):
     """Mutations of parts with slugs on: external ids and URIs change, other texts stay."""
-    parts = A.table(spark, sf_dir, "part")
+    parts = A.source(spark, sf_dir, "part")
     members = {
         "type": F.lit("part"),
         "externalId": F.concat(F.lit("Part:"), "p_partkey"),
@@ -1014,7 +1014,7 @@ def graph_slug_uri(spark, sf_dir):
 @query
 def graph_locations(spark, sf_dir):
     """Location entities of parts, their geometry rewritten where it is one."""
-    parts = A.table(spark, sf_dir, "part")
+    parts = A.source(spark, sf_dir, "part")
     text = _geojson("p_partkey")
     size = F.col("p_size")
     geometry = F.when(size <= 10, F.lit("null")).when(size <= 30, text).otherwise(
@@ -1341,8 +1341,9 @@ def _staged(spark: SparkSession, name: str) -> tuple[str, str]:
     return root, f"{root}/raw"
 
 
-def _arrive(records: DataFrame, raw: str, by: str = "offset", steps: int = 4, files: int = 2) -> None:
-    """Write records so that they arrive in as many steps, each of several files, along a column."""
+def _arrive(records: DataFrame, raw: str, by: str = "offset", steps: int = 4) -> None:
+    """Write records so that they arrive in as many steps, each of a file for every core, along a column."""
+    files = A.cores(records.sparkSession)
     low, high = records.agg(F.min(by), F.max(by)).first()
     if low is None:
         records.write.mode("append").parquet(raw)
@@ -1358,8 +1359,8 @@ def _arrive(records: DataFrame, raw: str, by: str = "offset", steps: int = 4, fi
 
 
 def _drain(spark: SparkSession, flow: str, raw: str, handle, checkpoint: str) -> None:
-    """Run a job over what has arrived, two files at a time."""
-    run_available(read_raw(spark, flow, FileSource(raw, max_files=2)), handle, checkpoint)
+    """Run a job over what has arrived, one step at a time."""
+    run_available(read_raw(spark, flow, FileSource(raw, max_files=A.cores(spark))), handle, checkpoint)
 
 
 @query
@@ -1509,7 +1510,7 @@ def _stand_in(endpoint: str, body: str, timeout_s: float) -> tuple[int, str]:
 @query
 def stream_graph(spark, sf_dir):
     """Mutations of parts sent by a stream to a stand-in server: taken, there already, or in the error log."""
-    parts = A.table(spark, sf_dir, "part")
+    parts = A.source(spark, sf_dir, "part")
     members = {"type": F.lit("part"), "externalId": F.concat(F.lit("Part:"), "p_partkey"), "size": F.col("p_size")}
     root, raw = _staged(spark, "graph")
     _arrive(A.plain_raw(parts, "sgtr", members, F.col("p_partkey")), raw)
@@ -1559,7 +1560,7 @@ def stateful_lastdata(spark, sf_dir):
     for parts in (rest[:1], rest[1:]):
         for part in parts:
             _arrive(part, raw, steps=1)
-        stream = entities(read_raw(spark, "lastdata", FileSource(raw, max_files=2)))
+        stream = entities(read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark))))
         changed = stateful.newest_by_state(stateful.changes_of(stream), initial, partial=False)
         stateful.start_latest(changed, f"{root}/changed", f"{root}/checkpoint").awaitTermination()
     return _state(stateful.as_table(stateful.latest(spark, f"{root}/changed", initial), replace(A.user_contract(), target=A.USER_TABLE)))
@@ -1586,7 +1587,7 @@ def stream_flow_log(spark, sf_dir):
     broken = F.when(F.contains("value", F.lit('"entityDelete"')), F.lit("{broken")).otherwise(F.col("value"))
     root, raw = _staged(spark, "flow")
     _arrive(raw_events.withColumn("value", broken), raw)
-    records = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    records = read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark)))
     seen = metrics.observe_flow(parse_flagged(read_context(records)), metrics.FLOW_NAME + "lastdata")
     log = metrics.progress_log(_logged(spark, root, seen.select("offset"), f"flow-{uuid.uuid4().hex}"))
     told = log.groupBy("flow", "result").agg(F.sum("messages").alias("messages"), F.min("oldest").alias("o"), F.max("newest").alias("n"))
@@ -1601,7 +1602,7 @@ def stream_lag(spark, sf_dir):
     _arrive(records.where(F.col("kafka_ts") < F.lit("2024-01-15").cast("timestamp")), raw, by="kafka_ts", steps=2)
     # One name for each kind of event.
     topics = {r.topic: r.n for r in records.groupBy("topic").agg((F.max("partition") + 1).alias("n")).collect()}
-    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark)))
     name = f"lag-{uuid.uuid4().hex}"
     done = metrics.observed_offsets(_logged(spark, root, metrics.observe_offsets(source, topics).select("offset"), name))
     return metrics.consumer_lag(records, done).select("topic", "lag")
@@ -1613,7 +1614,7 @@ def stream_replay_dedup(spark, sf_dir):
     records = _event_records(spark, sf_dir).withColumn("flow", F.lit("lastdata"))
     root, raw = _staged(spark, "dedup")
     _arrive(records.unionByName(records), raw, by="kafka_ts", steps=3)
-    once = drop_replayed(read_raw(spark, "lastdata", FileSource(raw, max_files=2)), "1 day").select("topic", "partition", "offset")
+    once = drop_replayed(read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark))), "1 day").select("topic", "partition", "offset")
     writer = once.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(once.schema).parquet(f"{root}/out").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
@@ -1624,7 +1625,7 @@ def stream_sliding(spark, sf_dir):
     """Sliding windows of a stream: counts per slide, then sums of these, in two stateful operators."""
     root, raw = _staged(spark, "sliding")
     _arrive(A.events_raw(spark, sf_dir), raw, by="kafka_ts")
-    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark)))
     counted = metrics.throughput(source, "3 days", "1 day", unit_seconds=3600.0, watermark="1 hour")
     writer = counted.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
     writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
@@ -1637,7 +1638,7 @@ def stream_throughput(spark, sf_dir):
     """Windowed counts of a stream with a watermark, late records waited for."""
     root, raw = _staged(spark, "throughput")
     _arrive(A.events_raw(spark, sf_dir), raw, by="kafka_ts")
-    source = read_raw(spark, "lastdata", FileSource(raw, max_files=2))
+    source = read_raw(spark, "lastdata", FileSource(raw, max_files=A.cores(spark)))
     counted = metrics.throughput(source, "1 day", unit_seconds=3600.0, watermark="1 hour")
     out = f"{root}/out"
     writer = counted.writeStream.outputMode("append").format("parquet").option("path", out)
