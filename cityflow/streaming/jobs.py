@@ -56,6 +56,22 @@ ERROR_SCHEMA = (
 )
 _SEQ = "struct<partition:bigint,offset:bigint,pos:int>"
 
+#: What of a checked entity its table or the error log needs; the notification itself is kept of refused ones only.
+_KEPT = (
+    "entity",
+    "entityid",
+    "entitytype",
+    "service",
+    "servicepath",
+    "seq",
+    "change",
+    "recvtime",
+    "target",
+    "target_schema",
+    "target_table",
+    "reject",
+)
+
 # A batch handler gets the records, the number of the batch, and the id of the query it is a batch of.
 Handler = Callable[[DataFrame, int, str], None]
 
@@ -208,7 +224,8 @@ class RelationalJob:
         received = F.lit(self.clock()).cast("timestamp")
         tables = catalogue(self.spark, self.contracts)
         # Used once per shape of table; executors that go away only cost the work of decoding again.
-        entities = flagged_entities(records, tables, self.flow, self.config, received).persist(
+        flagged = flagged_entities(records, tables, self.flow, self.config, received)
+        entities = flagged.select(*_KEPT, F.when(F.col("reject").isNotNull(), F.col("value")).alias("value")).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         position = max((c.position for c in commits), default=0) + 1
