@@ -146,3 +146,13 @@ def reconcile(entities: DataFrame, written: DataFrame, rejects: DataFrame, by: S
     joined = going_in.join(out, keys, "full_outer").join(refused, keys, "full_outer")
     filled = joined.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("entities", "written", "rejected")])
     return filled.withColumn("balanced", F.col("entities") == F.col("written") + F.col("rejected"))
+
+
+def reconcile_flagged(flagged: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
+    """The same of rows that say by `reject` whether they were refused: they are made once, and counted as they are made."""
+    counted = flagged.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("entities"),
+        F.count_if(F.col("reject").isNull()).alias("written"),
+        F.count_if(F.col("reject").isNotNull()).alias("rejected"),
+    )
+    return counted.withColumn("balanced", F.col("entities") == F.col("written") + F.col("rejected"))

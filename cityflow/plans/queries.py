@@ -47,7 +47,15 @@ from cityflow.operators.decode import (
 from cityflow.operators.envelope import to_envelope, to_headers, to_key, with_topic
 from cityflow.operators.graph import classify_response, explode_graph_entities, prepare_graph_entities
 from cityflow.operators.routing import route, route_documents
-from cityflow.operators.tables import HIGH, apply_historic, apply_lastdata, apply_lastdata_fast, apply_mutable
+from cityflow.operators.tables import (
+    HIGH,
+    apply_historic,
+    apply_lastdata,
+    apply_lastdata_fast,
+    apply_mutable,
+    mark_repeats,
+    repeat_rejection,
+)
 from cityflow.plans import adapter as A
 from cityflow.plans.flows import documents_of, entities_of, flagged_entities, mutations_of, read_context
 from cityflow.sources.legacy import normalise_legacy
@@ -437,9 +445,9 @@ def historic_partitions(spark, sf_dir):
     """First event of each user and hour and the refused ones, from several partitions and over borders of pieces."""
     records = A.events_raw(spark, sf_dir, "historic", time=F.date_trunc("hour", F.col("ts")))
     rows = _rows(_partitioned(records), "historic").drop("change", "present")
-    inserted, again = apply_historic(None, rows, _PK, piece=_SMALL_PIECE)
-    stored = inserted.select("entityid", _ms("timeinstant").alias("ts_ms"), "value", F.lit("STORED").alias("code"))
-    return stored.unionByName(again.select("entityid", _ms("timeinstant").alias("ts_ms"), "value", "reject.code"))
+    marked = mark_repeats(rows, _PK, piece=_SMALL_PIECE)
+    code = F.when(F.col("repeated"), repeat_rejection()["code"]).otherwise("STORED")
+    return marked.select("entityid", _ms("timeinstant").alias("ts_ms"), "value", code.alias("code"))
 
 
 @query
@@ -735,8 +743,7 @@ def native_error_log(spark, sf_dir):
 @query
 def batch_isolation(spark, sf_dir):
     """Entities in, rows written and rows refused by table: one bad row never costs the others."""
-    rows = _checked_orders(spark, sf_dir)
-    return expect.reconcile(rows, accepted(rows), rejected(rows))
+    return expect.reconcile_flagged(_checked_orders(spark, sf_dir))
 
 
 # ---- errors ---------------------------------------------------------------------------------------
@@ -1231,8 +1238,8 @@ def expect_documents(spark, sf_dir):
 def reconcile_counts(spark, sf_dir):
     """Events in, stored and refused by user."""
     rows = _hourly(spark, sf_dir, "historic")
-    inserted, again = apply_historic(None, rows, _PK)
-    return expect.reconcile(rows, inserted, again, ["entityid"])
+    flagged = mark_repeats(rows, _PK).withColumn("reject", F.when(F.col("repeated"), repeat_rejection()))
+    return expect.reconcile_flagged(flagged, ["entityid"])
 
 
 @query
