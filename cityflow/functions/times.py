@@ -21,7 +21,13 @@ def iso_timestamp(text: Column) -> Column:
     # Few texts are of the rarer forms, so the rest only pays for one look at the first characters.
     written = F.when(text.rlike(_RARE), _as_calendar(text)).otherwise(text)
     # An array of one, so that the text is looked at once and not wherever it is used.
-    return F.get(F.transform(F.array(written), _calendar_timestamp), 0)
+    other = F.get(F.transform(F.array(written), _calendar_timestamp), 0)
+    # Most texts are what the cast takes as it is.
+    return F.when(text.rlike(_USUAL), to_milliseconds(text.try_cast("timestamp"))).otherwise(other)
+
+
+# Date, time to the second or a fraction of it, and offset.
+_USUAL = r"^\d{4}-\d{2}-\d{2}T([01]\d|2[0-3]):\d{2}:\d{2}(\.\d{1,30})?(Z|[+-]\d{2}:\d{2})?$"
 
 
 # A week or ordinal date, or an hour 24.

@@ -153,47 +153,114 @@ def with_attributes(entities: DataFrame, names: Sequence[str] | None = None) ->
     is_null}`. Names are in lower case; of those that differ only by case the last one wins and takes
     the place of the first. With `names`, other attributes are left unparsed.
 
-    Each `transform` below binds what the next one uses several times, so every attribute is parsed once.
+    Every attribute is parsed once.
     """
     entries = F.transform(F.map_entries("entity"), lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"]))
-    skipped = F.array(*[F.lit(n) for n in NOT_ATTRIBUTES])
     if names is None:
-        entries = F.filter(entries, lambda e: ~F.array_contains(skipped, e["name"]))
+        entries = F.filter(entries, lambda e: ~e["name"].isin(*NOT_ATTRIBUTES))
     else:
-        wanted = F.array(*[F.lit(n.lower()) for n in names])
-        entries = F.filter(entries, lambda e: F.array_contains(wanted, e["name"]))
+        wanted = [n.lower() for n in names]
+        entries = F.filter(entries, lambda e: e["name"].isin(*wanted))
     unique = F.map_entries(F.map_from_entries(entries))
     return bind(entities, "attrs", _typed(unique))
 
 
+# Names of time attributes, and declared types of JSON and of dates.
+_TIMES = ("timeinstant", "recvtime")
+_JSON_TYPES = ("json", "jsonb")
+_DATE_TYPES = ("datetime", "iso8601")
+
+
 def _typed(entries: Column) -> Column:
+    """Typed attributes of the entries of an entity.
+
+    Functions of an array are evaluated one node at a time and copy what they return, so there are few steps: plain values,
+    times and dates given as text are typed in one, and only the others go the long way.
+    """
     shape = "type STRING, value VARIANT, metadata STRING"
     parsed = F.transform(
         entries,
-        lambda e, i: F.struct(
-            e["key"].alias("name"), i.alias("pos"), e["value"].alias("json"), F.from_json(e["value"], shape).alias("p")
-        ),
+        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("json"), F.from_json(e["value"], shape).alias("p")),
     )
     described = F.transform(
         parsed,
-        lambda a: F.struct(
+        lambda a, i: F.struct(
             a["name"].alias("name"),
-            a["pos"].alias("pos"),
+            i.alias("pos"),
             F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
             a["p"]["metadata"].alias("metadata"),
             a["p"]["value"].alias("value"),
-            F.schema_of_variant(a["p"]["value"]).alias("schema"),
             a["json"].alias("json"),
+            _kind_at_once(F.schema_of_variant(a["p"]["value"])).alias("json_kind"),
+            _way(a["name"], a["p"]["type"]).alias("way"),
+            # Of a text; what else a date may be given as is read the long way.
+            F.when(
+                F.lower(a["p"]["type"]).isin(*_DATE_TYPES) & ~a["name"].isin(*_TIMES),
+                iso_timestamp(F.try_variant_get(a["p"]["value"], "$", "string")),
+            ).alias("ts"),
         ),
     )
+    return F.transform(
+        described,
+        lambda a: F.when(
+            (a["way"] == "plain") | ((a["json_kind"] == "string") & (a["way"] != "other")), _direct(a)
+        ).otherwise(F.get(_by_steps(F.array(a)), 0)),
+    )
+
+
+def _way(name: Column, declared: Column) -> Column:
+    """How an attribute is typed: plain, time, date, or other."""
+    return (
+        F.when(F.lower(declared).startswith("geo:"), "other")
+        .when(name.isin(*_TIMES), "time")
+        .when(declared.isin(*_JSON_TYPES), "other")
+        .when(F.lower(declared).isin(*_DATE_TYPES), "date")
+        .otherwise("plain")
+    )
+
+
+def _kind_at_once(schema: Column) -> Column:
+    """`json_kind` that evaluates its argument once: two characters tell the schemas of JSON values apart."""
+    kinds = {"VO": "null", "ST": "string", "BO": "boolean", "OB": "object", "AR": "array"}
+    known = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.substring(F.coalesce(schema, F.lit("VO")), 1, 2)), F.lit("number"))
+
+
+def _direct(a: Column) -> Column:
+    """A plain value, or a time or date given as text, with its type."""
+    is_time, is_date = a["way"] == "time", a["way"] == "date"
+    is_text = a["json_kind"] == "string"
+    is_number, is_boolean = a["json_kind"] == "number", a["json_kind"] == "boolean"
+    has_ts = is_date & a["ts"].isNotNull()
+    return F.struct(
+        *_keep(a),
+        F.when(has_ts, "timestamp")
+        .when(is_text, "string")
+        .when(is_number, "double")
+        .when(is_boolean, "boolean")
+        .otherwise("string")
+        .alias("kind"),
+        F.when(is_text, F.when(~has_ts, F.try_variant_get(a["value"], "$", "string")))
+        .when(a["json_kind"].isin("object", "array"), F.get_json_object(a["json"], "$.value"))
+        .alias("v_string"),
+        F.when(is_number, F.try_variant_get(a["value"], "$", "double")).alias("v_double"),
+        F.when(is_boolean, F.try_variant_get(a["value"], "$", "boolean")).alias("v_bool"),
+        F.when(is_date, a["ts"]).alias("v_ts"),
+        F.lit(None).cast("string").alias("wkt"),
+        (is_date & a["ts"].isNull()).alias("date_error"),
+        (a["json_kind"] == "null").alias("is_null"),
+    )
+
+
+def _by_steps(described: Column) -> Column:
+    """Attributes of any declared type; each `transform` binds what the next one uses several times."""
     read = F.transform(
         described,
         lambda a: F.struct(
-            *_keep(a, "value", "json"),
-            json_kind(a["schema"]).alias("json_kind"),
-            a["type"].isin("json", "jsonb").alias("is_json"),
-            a["name"].isin("timeinstant", "recvtime").alias("is_time"),
-            F.lower(a["type"]).isin("datetime", "iso8601").alias("is_date"),
+            *_keep(a, "value", "json", "json_kind"),
+            a["type"].isin(*_JSON_TYPES).alias("is_json"),
+            a["name"].isin(*_TIMES).alias("is_time"),
+            F.lower(a["type"]).isin(*_DATE_TYPES).alias("is_date"),
             F.lower(a["type"]).startswith("geo:").alias("is_geo"),
         ),
     )
