@@ -11,7 +11,10 @@ def bind(rows: DataFrame, name: str, value: Column) -> DataFrame:
 
     A plain `withColumn` lets the optimizer copy the expression into filters that are pushed below it
     and into every later use, so that a JSON parse runs many times. The output of a generator is
-    never copied, and a generator over a one-element array keeps every row.
+    never copied, and a generator over a one-element array keeps every row. The array is made in a projection of its own:
+    a generator interprets its argument node by node where any function in it has no generated code, a projection only
+    that function.
     """
     others = [F.col(c) for c in rows.columns if c != name]
-    return rows.select(*others, F.explode_outer(F.array(value)).alias(name))
+    made = rows.select(*others, F.array(value).alias(name))
+    return made.select(*others, F.explode_outer(name).alias(name))

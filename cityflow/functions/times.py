@@ -18,9 +18,13 @@ def iso_timestamp(text: Column) -> Column:
     `+0200`, `+02:00`; also the basic form without separators. Week dates (`2031-W05-3`), ordinal dates (`2031-123`), both
     with or without separators, and midnight at the end of a day (`T24:00`) are first written as the calendar date they mean.
     """
+    # Arrays of one, so that a text is made once and not wherever it is used.
+    return F.get(F.transform(F.array(text), _any_timestamp), 0)
+
+
+def _any_timestamp(text: Column) -> Column:
     # Few texts are of the rarer forms, so the rest only pays for one look at the first characters.
     written = F.when(text.rlike(_RARE), _as_calendar(text)).otherwise(text)
-    # An array of one, so that the text is looked at once and not wherever it is used.
     other = F.get(F.transform(F.array(written), _calendar_timestamp), 0)
     # Most texts are what the cast takes as it is.
     return F.when(text.rlike(_USUAL), to_milliseconds(text.try_cast("timestamp"))).otherwise(other)
