@@ -33,6 +33,20 @@ def number_text(value: Column) -> Column:
     """Shortest decimal text of a double as JSON writers print it: `25`, `0.00001`, `1e+21`."""
     plain = value.cast("string")
     magnitude = F.abs(value)
+    # Few numbers are written with an exponent; as a function of an array the long way stays out of the generated code of the others,
+    # which is compiled only as long as it is small.
+    rare = F.get(F.transform(F.array(value), _with_exponent), 0)
+    return (
+        F.when(value.isNull() | F.isnan(value) | (magnitude == float("inf")), F.lit(None).cast("string"))
+        .when((magnitude < 1e15) & (value == F.rint(value)), value.try_cast("bigint").cast("string"))
+        .when(~plain.contains("E"), plain)
+        .otherwise(rare)
+    )
+
+
+def _with_exponent(value: Column) -> Column:
+    """`number_text` of a double that Spark writes with an exponent."""
+    plain = value.cast("string")
     exponent = F.substring_index(plain, "E", -1).try_cast("int")
     mantissa = F.substring_index(plain, "E", 1)
     sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
@@ -59,10 +73,7 @@ def number_text(value: Column) -> Column:
         exponent.cast("string"),
     )
     return (
-        F.when(value.isNull() | F.isnan(value) | (magnitude == float("inf")), F.lit(None).cast("string"))
-        .when((magnitude < 1e15) & (value == F.rint(value)), value.try_cast("bigint").cast("string"))
-        .when(~plain.contains("E"), plain)
-        .when((exponent < 0) & (exponent >= -6), fraction)
+        F.when((exponent < 0) & (exponent >= -6), fraction)
         .when((exponent >= 0) & (exponent < 21), long_number)
         .otherwise(scientific)
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -264,30 +264,38 @@ def to_wide(entities: DataFrame, table: Contract, keep: Sequence[str] = ()) -> D
     base = {"entityid": F.col("entityid"), "entitytype": F.col("entitytype"), "fiwareservicepath": F.col("servicepath")}
     parsed = [c for c in table.columns if c.name != "recvtime"]
     staged = bind(entities, "_low", lowered)
-    names = F.array(*[F.lit(c.name) for c in parsed])
-    texts = F.transform(names, lambda n: F.try_element_at("_low", n))
-    # All attributes of the table side by side, each parsed once.
-    read = F.transform(
-        texts, lambda t: F.struct(t.alias("json"), F.from_json(t, "type STRING, value VARIANT").alias("p"))
-    )
-    staged = bind(
-        staged,
-        "_read",
-        F.transform(
-            read,
-            lambda a: F.struct(
-                a["json"].alias("json"),
-                F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
-                a["p"]["value"].alias("value"),
-                F.schema_of_variant(a["p"]["value"]).alias("schema"),
-            ),
-        ),
-    )
+
+    def side_by_side(rows: DataFrame, name: str, made: Callable[[int], Column]) -> DataFrame:
+        """A struct with a member for each attribute of the table, each made once; no arrays, whose functions are interpreted."""
+        return bind(rows, name, F.struct(*[made(i).alias(f"c{i}") for i in range(len(parsed))])) if parsed else rows
+
+    def texts(i: int) -> Column:
+        json = F.try_element_at("_low", F.lit(parsed[i].name))
+        return F.struct(json.alias("json"), F.from_json(json, "type STRING, value VARIANT").alias("p"))
+
+    def described(i: int) -> Column:
+        a = F.col(f"_texts.c{i}")
+        return F.struct(
+            a["json"].alias("json"),
+            F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
+            a["p"]["value"].alias("value"),
+            F.schema_of_variant(a["p"]["value"]).alias("schema"),
+        )
+
+    def read(i: int) -> Column:
+        a = F.col(f"_described.c{i}")
+        # Getting a value out of a variant is dear, so it is done once for all uses, and only as what the column may take.
+        name, kind = parsed[i].name, re.sub(r"\(.*", "", parsed[i].type)
+        made = [_number(a).alias("number")] if name not in base and kind in _FROM_NUMBERS else []
+        made += [_string(a).alias("string")] if name in base or kind in _FROM_STRINGS else []
+        return F.struct(*[a[f].alias(f) for f in ("json", "type", "value", "schema")], *made)
+
+    staged = side_by_side(side_by_side(side_by_side(staged, "_texts", texts), "_described", described), "_read", read)
     values = {}
     for i, c in enumerate(parsed):
-        attr = F.get(F.col("_read"), i)
+        attr = F.col(f"_read.c{i}")
         if c.name in base:
-            values[c.name] = F.coalesce(_text_value(attr), base[c.name])
+            values[c.name] = F.coalesce(attr["string"], base[c.name])
         else:
             values[c.name] = _cast(attr, c)
     if "recvtime" in table.names:
@@ -298,29 +306,31 @@ def to_wide(entities: DataFrame, table: Contract, keep: Sequence[str] = ()) -> D
     return staged.select(*[values[c].alias(c) for c in table.names], present.alias("present"), *[F.col(k) for k in keep])
 
 
-def _text_value(a: Column) -> Column:
+# Column types that take numbers, and those that take texts.
+_FROM_NUMBERS = (*WHOLE_NUMBERS, "real", "double precision", "numeric", "text", "json")
+_FROM_STRINGS = ("text", "json", "timestamp", "timestamp_ntz", "geometry")
+
+
+def _string(a: Column) -> Column:
     return F.when(a["schema"] == "STRING", F.try_variant_get(a["value"], "$", "string"))
 
 
+def _number(a: Column) -> Column:
+    return F.when(json_kind(a["schema"]) == "number", F.try_variant_get(a["value"], "$", "double"))
+
+
 def _any_text(a: Column) -> Column:
     """Text of a value as a text column takes it: strings bare, nested values as JSON."""
     kind = json_kind(a["schema"])
-    text = F.when(kind == "string", F.try_variant_get(a["value"], "$", "string")).when(
-        kind != "null", F.get_json_object(a["json"], "$.value")
-    )
     is_json = a["type"].isin("json", "jsonb")
-    number = F.when(kind == "number", number_text(F.try_variant_get(a["value"], "$", "double")))
+    # Text of a number is only read where its own form is not what is wanted.
+    text = F.when(kind == "string", a["string"]).when(kind != "null", F.get_json_object(a["json"], "$.value"))
+    number = F.when(kind == "number", number_text(a["number"]))
     return F.when(is_json, declared_json(a["value"], kind, text)).otherwise(F.coalesce(number, text))
 
 
 def _cast(a: Column, c: TableColumn) -> Column:
-    number = F.when(
-        ~a["schema"].isin("STRING", "BOOLEAN", "VOID")
-        & ~a["schema"].startswith("OBJECT")
-        & ~a["schema"].startswith("ARRAY")
-        & ~a["type"].isin("json", "jsonb"),
-        F.try_variant_get(a["value"], "$", "double"),
-    )
+    number = F.when(~a["type"].isin("json", "jsonb"), a["number"])
     if c.type == "boolean":
         return F.when((a["schema"] == "BOOLEAN") & ~a["type"].isin("json", "jsonb"), F.try_variant_get(a["value"], "$", "boolean"))
     if c.type in WHOLE_NUMBERS:
@@ -340,9 +350,9 @@ def _cast(a: Column, c: TableColumn) -> Column:
         return _any_text(a)
     if c.type.startswith("timestamp"):
         declared = F.lower(a["type"]).isin("datetime", "iso8601") if c.name != "timeinstant" else F.lit(True)
-        return F.when(declared, iso_timestamp(_text_value(a))).cast(c.spark_type)
+        return F.when(declared, iso_timestamp(a["string"])).cast(c.spark_type)
     if c.type.startswith("geometry"):
-        text = F.coalesce(_text_value(a), F.get_json_object(a["json"], "$.value"))
+        text = F.coalesce(a["string"], F.get_json_object(a["json"], "$.value"))
         return geometry_struct(wkb_from_wkt(wkt_of(a["type"], json_kind(a["schema"]), text)))
     raise ValueError(f"unknown column type {c.type!r}")
 
