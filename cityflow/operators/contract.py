@@ -14,7 +14,7 @@ from cityflow.functions.binding import bind
 from cityflow.functions.geometry import geometry_struct, wkb_from_wkt
 from cityflow.functions.text import number_text
 from cityflow.functions.times import iso_timestamp
-from cityflow.operators.decode import accepted, declared_json, json_kind, rejected, rejection, wkt_of
+from cityflow.operators.decode import accepted, declared_json, json_kind, rejected, rejection, with_attributes, wkt_of
 
 CATALOGUE_SCHEMA = "target STRING, column STRING, type STRING, nullable BOOLEAN, pk BOOLEAN"
 
@@ -119,7 +119,8 @@ def catalogue(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:
 def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
     """Add `violations`, an array of `{column, code, error}`, and `reject` with the first of them.
 
-    Needs `target` and `attrs`. `tables` is a `catalogue`, or a frame of CATALOGUE_SCHEMA, which is folded
+    Needs `target`, and `attrs` or `entity`: without `attrs` that is added for the rows that have a table, as the attributes of others
+    need not be typed to refuse them. `tables` is a `catalogue`, or a frame of CATALOGUE_SCHEMA, which is folded
     to one row per table first. It is joined on the table name without a hint: Spark broadcasts a
     catalogue below its own threshold, which then needs no shuffle of the entities; above it the
     entities are shuffled by table and hot tables split at run time. All tables and tenants are checked in one pass.
@@ -131,6 +132,8 @@ def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
             F.collect_list(F.struct("column", "type", "nullable", "pk")).alias("_columns")
         )
     joined = entities.join(folded, "target", "left")
+    if "attrs" not in entities.columns:
+        joined = with_attributes(joined, wanted=F.col("_columns").isNotNull())
     # Attribute and its column side by side, so that the lookup runs once per attribute.
     paired = F.transform(
         F.filter("attrs", lambda a: a["name"] != "recvtime"),

@@ -146,12 +146,13 @@ def _change_of(named: Column, default: str) -> Column:
     return F.coalesce(F.try_element_at(known, named), F.lit(default))
 
 
-def with_attributes(entities: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+def with_attributes(entities: DataFrame, names: Sequence[str] | None = None, wanted: Column | None = None) -> DataFrame:
     """Add `attrs`, the typed attributes of each entity, in document order.
 
     Elements are `{name, pos, type, metadata, kind, v_string, v_double, v_bool, v_ts, wkt, date_error,
     is_null}`. Names are in lower case; of those that differ only by case the last one wins and takes
-    the place of the first. With `names`, other attributes are left unparsed.
+    the place of the first. With `names`, other attributes are left unparsed; with `wanted`, `attrs` is NULL where it does
+    not hold.
 
     Every attribute is parsed once.
     """
@@ -159,10 +160,11 @@ def with_attributes(entities: DataFrame, names: Sequence[str] | None = None) ->
     if names is None:
         entries = F.filter(entries, lambda e: ~e["name"].isin(*NOT_ATTRIBUTES))
     else:
-        wanted = [n.lower() for n in names]
-        entries = F.filter(entries, lambda e: e["name"].isin(*wanted))
+        lowered = [n.lower() for n in names]
+        entries = F.filter(entries, lambda e: e["name"].isin(*lowered))
     unique = F.map_entries(F.map_from_entries(entries))
-    return bind(entities, "attrs", _typed(unique))
+    typed = _typed(unique)
+    return bind(entities, "attrs", typed if wanted is None else F.when(wanted, typed))
 
 
 # Names of time attributes, and declared types of JSON and of dates.

@@ -16,7 +16,6 @@ from cityflow.operators.decode import (
     parse,
     parse_flagged,
     rejection,
-    with_attributes,
     with_recvtime,
 )
 from cityflow.operators.documents import build_documents
@@ -39,11 +38,11 @@ def flagged_entities(
     """Typed, routed and checked entities of a relational flow; `reject` says why a row cannot go on.
 
     One pass over the records and no shuffle. Rows without entities are included, with code
-    NO_ENTITIES. Columns of delete rows are not checked, as they carry a key only; their table must exist.
+    NO_ENTITIES. `attrs` of rows for which there is no table is NULL. Columns of delete rows are not checked, as they carry a key only; their table must exist.
     """
     rows = explode_flagged(parse_flagged(read_context(records)))
     rows = classify_changes(rows, "lastdata") if flow == "lastdata" else rows.withColumn("change", F.lit("update"))
-    rows = with_recvtime(route(with_attributes(rows), config, flow), received)
+    rows = with_recvtime(route(rows, config, flow), received)
     misrouted = rejection("route", "ROUTE", F.col("route_error"))
     rows = rows.withColumn(
         "reject", F.when(F.col("reject").isNull() & F.col("route_error").isNotNull(), misrouted).otherwise(F.col("reject"))
