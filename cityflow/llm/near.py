@@ -5,7 +5,8 @@ All documents order shingles alike, rare ones first. Two sets of similarity 0.8
 the similarity takes; pairs for which it is not are never looked at, so that pages which share a template but not their
 own words do not meet. A shingle that only one document has among its first leaves with the one shuffle that finds this out.
 
-Pairs are compared in rounds. In the first, every document is compared with a few of those it is beside, or that come
+Pairs are compared in rounds. The first are those that SimHash finds (`simhash.py`), by fingerprints of the same shingles; two bits are
+next to identity, so that it finds few of the pairs, and what it misses is found by shingles. In the next round, every document is compared with a few of those it is beside, or that come
 first, under the most keys; two more compare documents with one of another component that they meet. In the last, only
 documents that are not connected yet are compared, all that the keys allow.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityflow.llm.common import UPPER_TO_LOWER, WorkTables, bounded_batches, col, packed, shuffle_partitions, slices, stored, text_of, unpacked
-from cityflow.llm.simhash import roots
+from cityflow.llm.simhash import candidates, roots
 
 SEED = 42
 #: Similarity as a fraction.
@@ -212,10 +213,10 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
 
 
-def _links(texts: DataFrame, candidates: DataFrame, words: int) -> DataFrame:
+def _links(texts: DataFrame, found: DataFrame, words: int) -> DataFrame:
     """Those of the pairs (a, b) that are alike enough."""
     tables = WorkTables()
-    pairs = tables.put(candidates.distinct())
+    pairs = tables.put(found.distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("tag")).distinct()
     sets = tables.put(
         texts.join(wanted, "tag", "left_semi").select("tag", "text").mapInArrow(_sets(words), "tag long, shingles binary, counts binary")
@@ -227,9 +228,9 @@ def _links(texts: DataFrame, candidates: DataFrame, words: int) -> DataFrame:
         return rows.join(two, "b").join(one, "a").select("a", "b", "x", "y")
 
     near = tables.put(with_both(pairs, "counts").mapInArrow(_in_reach, "a long, b long"))
-    found = stored(with_both(near, "shingles").mapInArrow(_checked, "a long, b long"))
+    alike = stored(with_both(near, "shingles").mapInArrow(_checked, "a long, b long"))
     tables.drop(pairs, sets, near)
-    return found
+    return alike
 
 
 def near_copies(texts: DataFrame, words: int) -> DataFrame:
@@ -260,7 +261,9 @@ def near_copies(texts: DataFrame, words: int) -> DataFrame:
         best = often_met.withColumn("nth", F.row_number().over(of_tag)).where(F.col("nth") <= PARTNERS)
         return best.select(F.least("tag", "partner").alias("a"), F.greatest("tag", "partner").alias("b"))
 
-    early = _links(texts, met_most(beside("before").unionByName(beside("head"))), words)
+    # What SimHash connects and is alike, then what documents meet most often.
+    printed = _links(texts, candidates(texts, words), words)
+    early = stored(printed.unionByName(_links(texts, met_most(beside("before").unionByName(beside("head"))), words)))
     entries = shared.select("key", "tag", "n", "place")
     for again in range(ROUNDS + 1):
         rooted = roots(early).withColumnRenamed("u", "tag")

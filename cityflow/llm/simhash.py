@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityflow.llm.common import UPPER_TO_LOWER, WorkTables, bounded_batches, col, packed, shuffle_partitions, slices, stored, unpacked, with_first
@@ -170,6 +170,23 @@ def near_links(prints: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_links, "a long, b long").distinct()
 
 
+def candidates(texts: DataFrame, words: int) -> DataFrame:
+    """Pairs (a, b) of `tag` that connect the texts whose fingerprints connect, for an exact check to follow.
+
+    Texts of one fingerprint are a chain in the order of their numbers, and the first ones of linked fingerprints meet, so that
+    there are fewer pairs than texts and links.
+    """
+    printed = texts.select(F.col("tag").alias("row"), "text").mapInArrow(_fingerprints(words), "row long, fp long")
+    # Written, as texts are only read once for this.
+    prints = stored(printed.select(F.col("row").alias("tag"), "fp"))
+    chained = prints.withColumn("a", F.lag("tag").over(Window.partitionBy("fp").orderBy("tag")))
+    same = chained.where(F.col("a").isNotNull()).select("a", F.col("tag").alias("b"))
+    first = prints.groupBy("fp").agg(F.min("tag").alias("tag"))
+    one, two = (first.select(F.col("fp").alias(side), F.col("tag").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    across = near_links(first.select("fp")).join(one, "a").join(two, "b")
+    return same.unionByName(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
 def roots(links: DataFrame) -> DataFrame:
     """Node and smallest node of its component, for each node of a link but the smallest ones themselves.
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from cityflow.llm import near
+from cityflow.llm import near, simhash
 from cityflow.llm.near import drop_similar
 
 WORDS = 5
@@ -119,3 +119,24 @@ def test_columns_and_edge_cases(odd_docs, no_docs):
     assert left.schema.simpleString() == odd_docs.schema.simpleString()
     assert {r.doc_id for r in left.collect()} >= {1, 3, 6, 8, 9, 10, 11, None}
     assert drop_similar(no_docs).count() == 0
+
+
+def test_simhash_finds_the_first_pairs(spark, monkeypatch):
+    """Documents whose fingerprints are near are compared first; those that it cannot find are found all the same."""
+    rng = random.Random(15)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(3000)], k=400)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts)]
+    near_prints = {(i, 100 + i) for i in range(20) if (simhash.fingerprint(rows[i][1], WORDS) ^ simhash.fingerprint(rows[20 + i][1], WORDS)).bit_count() <= 2}
+    assert 0 < len(near_prints)
+    compared = []
+    links = near._links
+
+    def noting(texts, found, words):
+        compared.append({(r.a, r.b) for r in found.collect()})
+        return links(texts, found, words)
+
+    monkeypatch.setattr(near, "_links", noting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(r.doc_id for r in drop_similar(docs).collect()) == list(range(20)) == expected(rows)
+    # Numbers of rows in one part are their places.
+    assert {(a, b - 20 + 100) for a, b in compared[0] if b - a == 20} == near_prints
