@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import UPPER_TO_LOWER, WorkTables, bounded_batches, col, packed, shuffle_partitions, slices, stored, text_of, unpacked
+from cityflow.llm.common import UPPER_TO_LOWER, WorkTables, bounded_batches, col, packed, shuffle_partitions, shuffles_dropped, slices, stored, text_of, unpacked
 from cityflow.llm.simhash import candidates, roots
 
 SEED = 42
@@ -305,7 +305,8 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = stored(rows)
     text: Column = F.col("row").getField(text_col).cast("string")
     texts = marked.select("tag", text.alias("text"))
-    classes = roots(near_copies(texts, words)).withColumnRenamed("u", "tag")
+    with shuffles_dropped(docs.sparkSession):
+        classes = roots(near_copies(texts, words)).withColumnRenamed("u", "tag")
     # Only members of classes with more than one document are compared.
     placed = marked.select("id", "tag").join(classes, "tag", "left").withColumn("root", F.coalesce("root", "tag"))
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag"))

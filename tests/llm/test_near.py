@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 
@@ -140,3 +142,24 @@ def test_simhash_finds_the_first_pairs(spark, monkeypatch):
     assert sorted(r.doc_id for r in drop_similar(docs).collect()) == list(range(20)) == expected(rows)
     # Numbers of rows in one part are their places.
     assert {(a, b - 20 + 100) for a, b in compared[0] if b - a == 20} == near_prints
+
+
+def test_shuffle_files_go_with_their_queries(spark):
+    """The rounds leave no shuffle files behind, whether or not the driver collects its garbage."""
+    texts = [" ".join(random.Random(i // 3).choices([f"w{k}" for k in range(500)], k=40)) + f" end{i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(folders), spark.conf.get(setting)
+    kept = drop_similar(docs, words=WORDS)
+    for _ in range(50):
+        if not (left := shuffle_files(folders) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(setting) == was
+    assert sorted(r.doc_id for r in kept.collect()) == expected(list(enumerate(texts)))
+
+
+def shuffle_files(folders):
+    return {p.name for folder in folders for p in Path(folder).rglob("shuffle_*")}
