@@ -1,7 +1,7 @@
 """Geometry text and binary forms.
 
-Well-known text is built from JSON by ordinary expressions. Only the binary form needs Python,
-since Spark has no function that writes the bytes of a double.
+Well-known text is built from JSON by ordinary expressions. The binary form of whole columns is made in Python a batch at
+a time; where few rows have a geometry, `wkb_by_steps` makes it by expressions, as rows that wait for Python are held.
 """
 
 from __future__ import annotations
@@ -259,6 +259,126 @@ def wkb_from_wkt(wkt: pa.Array) -> pa.Array:
     return wkb_of_texts(wkt)
 
 
+# ---- binary form by expressions ---------------------------------------------------------------------
+
+_SPACE = r"[ \t\n\f\r]"
+_NAMED = rf"^{_SPACE}*([A-Za-z]+){_SPACE}*(Z?){_SPACE}*(\([\s\S]*\)){_SPACE}*$"
+
+
+def wkb_by_steps(wkt: Column) -> Column:
+    """What `wkb_from_wkt` gives, without Python; it pays where few rows have a text.
+
+    As in `wkt_from_geojson`, positions are folded into `p`, lists of those into `l` and so on, and a kind is well formed when
+    its body folds to its letter. The bytes are put together as hexadecimal text.
+    """
+    read = F.transform(
+        F.array(wkt),
+        lambda t: F.struct(
+            F.lower(F.regexp_extract(t, _NAMED, 1)).alias("kind"),
+            (F.regexp_extract(t, _NAMED, 2) == "Z").alias("raised"),
+            F.regexp_replace(
+                F.regexp_replace(F.regexp_extract(t, _NAMED, 3), rf"{_SPACE}*([(),]){_SPACE}*", "$1"), rf"{_SPACE}+", " "
+            ).alias("body"),
+        ),
+    )
+    positions = {w: rf"(?<=[(,]){_JSON_NUMBER}" + rf" {_JSON_NUMBER}" * (w - 1) + r"(?=[,)])" for w in (2, 3)}
+    folded = F.transform(
+        read,
+        lambda g: F.struct(
+            *[g[c].alias(c) for c in ("kind", "raised", "body")],
+            F.when(g["raised"], F.regexp_replace(g["body"], positions[3], "p"))
+            .otherwise(F.regexp_replace(g["body"], positions[2], "p"))
+            .alias("fold"),
+        ),
+    )
+    return F.get(F.transform(folded, lambda g: F.when(_well_formed(g), F.unhex(_hex(g)))), 0)
+
+
+def _well_formed(g: Column) -> Column:
+    fold = F.when(
+        g["kind"] == "multipoint",
+        # Its points stand bare or in parentheses.
+        F.concat(F.lit("("), F.replace(F.substring(g["fold"], F.lit(2), F.length(g["fold"]) - 2), F.lit("(p)"), F.lit("p")), F.lit(")")),
+    ).otherwise(g["fold"])
+    lines = F.regexp_replace(fold, r"\(p(,p)*\)", "l")
+    rings = F.regexp_replace(lines, r"\(l(,l)*\)", "r")
+    right = (
+        F.when(g["kind"] == "point", fold == "(p)")
+        .when(g["kind"].isin("linestring", "multipoint"), lines == "l")
+        .when(g["kind"].isin("polygon", "multilinestring"), rings == "r")
+        .when(g["kind"] == "multipolygon", F.regexp_replace(rings, r"\(r(,r)*\)", "m") == "m")
+    )
+    return g["body"].rlike(r"^[-+.0-9eE, ()]+$") & right
+
+
+def _hex(g: Column) -> Column:
+    """Hexadecimal text of the binary form of a well-formed geometry."""
+    bare = lambda text: F.regexp_replace(text, r"^\(+|\)+$", "")
+    joined = lambda parts: F.array_join(parts, "")
+    header = lambda code: F.concat(F.lit("01"), _hex_of_whole(F.when(g["raised"], code + 1000).otherwise(code)))
+    position = lambda text: joined(F.transform(F.split(text, " "), _hex_of_double))
+
+    def counted(text: Column, border: str, part) -> Column:
+        """The number of the parts of a text and the parts."""
+        found = F.transform(F.array(F.split(text, border)), lambda s: F.concat(_hex_of_whole(F.size(s)), joined(F.transform(s, part))))
+        return F.get(found, 0)
+
+    line = lambda text: counted(text, ",", position)
+    rings = lambda text: counted(text, r"\),\(", line)
+    bodies = {
+        "point": lambda text: position(text),
+        "linestring": line,
+        "polygon": rings,
+        "multipoint": lambda text: counted(F.translate(text, "()", ""), ",", lambda p: F.concat(header(F.lit(1)), position(p))),
+        "multilinestring": lambda text: counted(text, r"\),\(", lambda s: F.concat(header(F.lit(2)), line(s))),
+        "multipolygon": lambda text: counted(text, r"\)\),\(\(", lambda s: F.concat(header(F.lit(3)), rings(s))),
+    }
+    made = F.lit(None).cast("string")
+    for kind, (_, code, _) in KINDS.items():
+        made = F.when(g["kind"] == kind, F.concat(header(F.lit(code)), bodies[kind](bare(g["body"])))).otherwise(made)
+    return made
+
+
+def _reversed_bytes(text: Column) -> Column:
+    return F.regexp_replace(F.reverse(text), "(.)(.)", "$2$1")
+
+
+def _hex_of_whole(number: Column) -> Column:
+    """A whole number below 2^31 in four bytes, the lowest first."""
+    return _reversed_bytes(F.lpad(F.hex(number.cast("bigint")), 8, "0"))
+
+
+def _hex_of_double(text: Column) -> Column:
+    """The double of a number's text in eight bytes, the lowest first; infinite where it is beyond the largest.
+
+    Powers of two and what is scaled by them are exact, so the bits come out of plain arithmetic. The estimate of the exponent
+    may be one off.
+    """
+    sized = F.transform(
+        F.array(F.abs(text.try_cast("double"))),
+        lambda a: F.struct(a.alias("a"), F.greatest(F.coalesce(F.floor(F.log2(a)), F.lit(-1022)), F.lit(-1022)).cast("int").alias("e")),
+    )
+    two = F.lit(2.0)
+    exact = F.transform(
+        sized,
+        lambda s: F.struct(
+            s["a"].alias("a"),
+            F.when((F.pow(two, s["e"]) > s["a"]) & (s["e"] > -1022), s["e"] - 1)
+            .when(F.pow(two, s["e"] + 1) <= s["a"], s["e"] + 1)
+            .otherwise(s["e"])
+            .alias("e"),
+        ),
+    )
+    # Below the smallest normal double the exponent stays, and the quotient is less than one.
+    bits = F.transform(
+        exact,
+        lambda s: (s["e"] + 1022).cast("bigint") * F.lit(2**52) + (s["a"] / F.pow(two, s["e"]) * F.lit(2.0**52)).cast("bigint"),
+    )
+    whole = F.when(F.abs(text.try_cast("double")) < float("inf"), F.get(bits, 0)).otherwise(F.lit(0x7FF << 52))
+    signed = F.when(text.startswith("-"), whole + F.lit(-(2**63))).otherwise(whole)
+    return _reversed_bytes(F.lpad(F.hex(signed), 16, "0"))
+
+
 def geometry_struct(wkb: Column) -> Column:
     """The `{wkb, srid}` struct a geometry column holds."""
     return F.when(wkb.isNotNull(), F.struct(wkb.alias("wkb"), F.lit(SRID).alias("srid")))

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cityflow.config import DM_SQL_ERRORS, FlowConfig, GraphConfig
-from cityflow.functions.geometry import SRID, wkt_to_wkb
+from cityflow.functions.binding import bind
+from cityflow.functions.geometry import SRID, wkb_by_steps
 from cityflow.functions.text import json_quote, number_text, sanitise_name
 
 # Names of published field types.
@@ -26,61 +24,46 @@ def to_envelope(entities: DataFrame) -> DataFrame:
     """Add `message`, `{schema: {fields}, payload}` as JSON text.
 
     Fields come in the order base columns, attributes, recvtime; an attribute named like a base column
-    takes its place. Needs `attrs` and `recvtime`. Geometries are packed to binary for all geometry
-    attributes of an entity in one array, so Python sees one value per geometry and nothing else.
+    takes its place. Needs `attrs` and `recvtime`. Everything is an expression, so that a row is written as it is read:
+    with a function in Python, rows wait for it on disk, and those without a geometry, the most by far, by the hundred thousand.
     """
+    base = [
+        _field(F.lit(name), F.lit("string"), F.col(column), F.lit(None).cast("string"))
+        for name, column in (
+            ("entityid", "entityid"),
+            ("entitytype", "entitytype"),
+            ("fiwareservicepath", "servicepath"),
+        )
+    ]
     no_receipt = F.filter("attrs", lambda a: a["name"] != "recvtime")
-    base = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit("string").alias("kind"),
-                F.col(column).alias("text"),
-                F.lit(None).cast("string").alias("wkt"),
-            )
-            for name, column in (
-                ("entityid", "entityid"),
-                ("entitytype", "entitytype"),
-                ("fiwareservicepath", "servicepath"),
-            )
-        ]
-    )
     listed = F.transform(
-        no_receipt,
-        lambda a: F.struct(a["name"].alias("name"), a["kind"].alias("kind"), _text(a).alias("text"), a["wkt"].alias("wkt")),
-    )
-    fields = F.map_from_entries(
         F.transform(
-            F.concat(base, listed),
-            lambda f: F.struct(f["name"].alias("key"), F.struct(f["kind"], f["text"], f["wkt"]).alias("value")),
-        )
+            no_receipt,
+            lambda a: F.struct(a["name"].alias("name"), a["kind"].alias("kind"), _text(a).alias("text"), a["wkt"].alias("wkt")),
+        ),
+        lambda f: _field(f["name"], f["kind"], f["text"], f["wkt"]),
     )
-    texts = F.transform("_fields", lambda f: f["value"]["wkt"])
-    # Entities without a geometry, the most by far, pass by as NULL.
-    some = F.exists("_fields", lambda f: f["value"]["wkt"].isNotNull())
-    staged = entities.withColumn("_fields", F.map_entries(fields)).withColumn("_wkb", _encode_all(F.when(some, texts)))
-    schema = F.transform("_fields", lambda f: _schema_field(f["key"], f["value"]))
-    payload = F.transform("_fields", lambda f, i: _payload_member(f["key"], f["value"], F.get(F.col("_wkb"), i)))
+    fields = F.map_values(F.map_from_entries(F.concat(F.array(*base), listed)))
+    staged = bind(entities, "_fields", fields)
     receipt_field = F.lit('{"field":"recvtime","type":"string","optional":false}')
     receipt = F.concat(F.lit('"recvtime":'), json_quote(F.col("recvtime")))
     message = F.concat(
         F.lit('{"schema":{"type":"struct","fields":['),
-        F.array_join(F.concat(schema, F.array(receipt_field)), ","),
+        F.array_join(F.concat(F.col("_fields.schema"), F.array(receipt_field)), ","),
         F.lit('],"optional":false},"payload":{'),
-        F.array_join(F.concat(payload, F.array(receipt)), ","),
+        F.array_join(F.concat(F.col("_fields.member"), F.array(receipt)), ","),
         F.lit("}}"),
     )
-    return staged.withColumn("message", message).drop("_fields", "_wkb")
-
+    return staged.withColumn("message", message).drop("_fields")
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _encode_all(texts: pd.Series) -> pd.Series:
-    """Base-64 binary of each geometry of a row, NULL where there is none."""
-    def one(wkt):
-        packed = wkt_to_wkb(wkt)
-        return base64.b64encode(packed).decode() if packed else None
 
-    return texts.map(lambda row: None if row is None else [one(w) for w in row])
+def _field(name: Column, kind: Column, text: Column, wkt: Column) -> Column:
+    """Entry of a map of fields by name: what a field is written as in the schema and in the payload."""
+    made = F.struct(
+        _schema_field(name, kind, text.isNull() & wkt.isNull()).alias("schema"),
+        _payload_member(name, kind, text, wkt).alias("member"),
+    )
+    return F.struct(name.alias("key"), made.alias("value"))
 
 
 def _text(a: Column) -> Column:
@@ -92,25 +75,25 @@ def _text(a: Column) -> Column:
     )
 
 
-def _schema_field(name: Column, f: Column) -> Column:
-    optional = F.when(f["text"].isNull() & f["wkt"].isNull(), "true").otherwise("false")
+def _schema_field(name: Column, kind: Column, is_null: Column) -> Column:
     described = (
-        F.when(f["kind"] == "geometry", F.lit(GEOMETRY_FIELD))
-        .when(f["kind"] == "timestamp", F.lit(TIMESTAMP_FIELD))
+        F.when(kind == "geometry", F.lit(GEOMETRY_FIELD))
+        .when(kind == "timestamp", F.lit(TIMESTAMP_FIELD))
         # A geometry that could not be converted is published as it came, under a type no table has.
-        .when(f["kind"] == "bad_geometry", F.lit('"type":"geometry"'))
-        .otherwise(F.concat(F.lit('"type":"'), f["kind"], F.lit('"')))
+        .when(kind == "bad_geometry", F.lit('"type":"geometry"'))
+        .otherwise(F.concat(F.lit('"type":"'), kind, F.lit('"')))
     )
+    optional = F.when(is_null, "true").otherwise("false")
     return F.concat(
         F.lit('{"field":'), json_quote(name), F.lit(","), described, F.lit(',"optional":'), optional, F.lit("}")
     )
 
 
-def _payload_member(name: Column, f: Column, wkb: Column) -> Column:
+def _payload_member(name: Column, kind: Column, text: Column, wkt: Column) -> Column:
     value = (
-        F.when(f["kind"] == "geometry", F.concat(F.lit('{"wkb":"'), wkb, F.lit(f'","srid":{SRID}}}')))
-        .when(f["kind"] == "string", json_quote(f["text"]))
-        .otherwise(f["text"])
+        F.when(kind == "geometry", F.concat(F.lit('{"wkb":"'), F.base64(wkb_by_steps(wkt)), F.lit(f'","srid":{SRID}}}')))
+        .when(kind == "string", json_quote(text))
+        .otherwise(text)
     )
     return F.concat(json_quote(name), F.lit(":"), F.coalesce(value, F.lit("null")))
 
