@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 def sanitise_name(name: Column) -> Column:
     """Identifier form of a name: one leading and one trailing slash off, lower case, the rest `_`."""
     bare = F.regexp_replace(F.regexp_replace(name, r"^\s+|\s+$", ""), r"^/|/$", "")
-    return F.coalesce(F.regexp_replace(F.lower(bare), "[^a-zA-Z0-9_]", "_"), F.lit(""))
+    written = F.coalesce(F.regexp_replace(F.lower(bare), "[^a-zA-Z0-9_]", "_"), F.lit(""))
+    # Most names need one look only.
+    usual = F.when(name == "/", F.lit("")).when(name.rlike(r"\A/?[a-zA-Z0-9_]+\z"), F.lower(F.ltrim(name, F.lit("/"))))
+    return F.coalesce(usual, written)
 
 
 def strip(text: Column) -> Column:

@@ -131,30 +131,28 @@ def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
         folded = tables.groupBy("target").agg(
             F.collect_list(F.struct("column", "type", "nullable", "pk")).alias("_columns")
         )
-    joined = entities.join(folded, "target", "left")
+    joined = entities.join(_prepared(folded), "target", "left")
     if "attrs" not in entities.columns:
         joined = with_attributes(joined, wanted=F.col("_columns").isNotNull())
-    # Attribute and its column side by side, so that the lookup runs once per attribute.
+    # Most attributes fit, which takes a look or two; only the others are paired with their column, so that it is looked up once.
+    doubtful = F.filter("attrs", lambda a: (a["name"] != "recvtime") & ~F.coalesce(_fits(a), F.lit(False)))
     paired = F.transform(
-        F.filter("attrs", lambda a: a["name"] != "recvtime"),
+        doubtful,
         lambda a: F.struct(
-            a.alias("a"), F.get(F.filter("_columns", lambda c: c["column"] == a["name"]), 0).alias("c")
+            *[a[m].alias(m) for m in ("name", "kind", "v_string", "v_double", "wkt", "is_null")],
+            F.try_element_at("_columns", a["name"]).alias("c"),
         ),
     )
-    values = F.filter(F.transform(paired, lambda p: _verdict(p["a"], p["c"])), lambda v: v.isNotNull())
-    has_value = F.transform(F.filter("attrs", lambda a: ~a["is_null"]), lambda a: a["name"])
+    values = F.filter(F.transform(paired, lambda a: _verdict(a, a["c"])), lambda v: v.isNotNull())
     required = F.filter(
-        "_columns",
-        lambda c: (~c["nullable"] | c["pk"])
-        & ~c["column"].isin(*BASE_COLUMNS)
-        & ~F.array_contains("_present", c["column"]),
+        "_required", lambda c: ~F.exists("attrs", lambda a: (a["name"] == c["column"]) & ~a["is_null"])
     )
     missing = F.transform(required, _missing)
     no_table = F.array(
         violation(F.lit(""), "TABLE_MISSING", F.concat(F.lit('ERROR: relation "'), "target", F.lit('" does not exist')))
     )
     checked = bind(
-        joined.withColumn("_present", has_value),
+        joined,
         "violations",
         F.when(F.col("_columns").isNull(), no_table).otherwise(F.concat(values, missing)),
     )
@@ -163,7 +161,61 @@ def check_contract(entities: DataFrame, tables: DataFrame) -> DataFrame:
     reject = F.when(prior.isNotNull(), prior).when(
         F.size("violations") > 0, rejection("contract", first["code"], first["error"])
     )
-    return checked.withColumn("reject", reject).drop("_present", "_columns")
+    return checked.withColumn("reject", reject).drop("_columns", "_required", "_bounds", "_texts")
+
+
+def _prepared(folded: DataFrame) -> DataFrame:
+    """Tables with what a check asks of their columns, made once for each table: columns by name, with the limit of a `numeric`; columns
+    that must have a value; sizes up to which numbers fit without a closer look; and columns that take any text."""
+    precision = lambda c: F.regexp_extract(c["type"], r"\((\d+),", 1).try_cast("int")
+    scale = lambda c: F.regexp_extract(c["type"], r",\s*(\d+)\)", 1).try_cast("int")
+    # What is stored is rounded to the scale, so half a unit below the limit is out already.
+    ten = F.lit(10.0)
+    limit = lambda c: F.when(
+        c["type"].startswith("numeric"), F.pow(ten, precision(c) - scale(c)) - 0.5 * F.pow(ten, -scale(c))
+    )
+    wanted = lambda c: F.regexp_extract(c["type"], r"\((\w+)", 1)
+    listed = F.transform(
+        "_columns",
+        lambda c: F.struct(
+            *[c[m].alias(m) for m in ("column", "type", "nullable", "pk")], limit(c).alias("limit"), wanted(c).alias("shape")
+        ),
+    )
+
+    def by_name(columns: Column, value: Callable[[Column], Column]) -> Column:
+        """The first column of a name counts."""
+        entries = F.transform(columns, lambda c: F.struct(c["column"].alias("key"), value(c).alias("value")))
+        return F.map_from_entries(F.reverse(entries))
+
+    def bound(c: Column) -> Column:
+        """Numbers next to a limit are left to the closer look."""
+        whole = F.lit(None).cast("double")
+        for name, (_, high) in WHOLE_NUMBERS.items():
+            whole = F.when(c["type"] == name, F.lit(high)).otherwise(whole)
+        return (
+            F.when(c["type"].isin(*WHOLE_NUMBERS), whole)
+            .when(c["type"] == "real", F.lit(3.4e38))
+            .when(c["type"].startswith("numeric"), c["limit"] * (1 - 1e-9))
+            .when(c["type"].isin("double precision", "text"), F.lit(1.7e308))
+        )
+
+    others = F.filter("_listed", lambda c: ~c["column"].isin(*BASE_COLUMNS) & bound(c).isNotNull())
+    must = F.filter("_listed", lambda c: (~c["nullable"] | c["pk"]) & ~c["column"].isin(*BASE_COLUMNS))
+    texts = F.transform(F.filter("_listed", lambda c: c["type"] == "text"), lambda c: c["column"])
+    return folded.withColumn("_listed", listed).select(
+        "target",
+        by_name(F.col("_listed"), lambda c: c).alias("_columns"),
+        must.alias("_required"),
+        by_name(others, bound).alias("_bounds"),
+        texts.alias("_texts"),
+    )
+
+
+def _fits(a: Column) -> Column:
+    """Whether an attribute is a number or text that its column takes, as far as that is seen at once."""
+    return F.when(
+        a["kind"] == "double", F.abs(a["v_double"]) <= F.try_element_at("_bounds", a["name"])
+    ).when((a["kind"] == "string") & ~a["is_null"], F.array_contains("_texts", a["name"]))
 
 
 def enforce_contract(entities: DataFrame, tables: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -219,14 +271,10 @@ def _verdict(a: Column, c: Column) -> Column:
     out_of_whole = F.lit(False)
     for type_name, (low, high) in WHOLE_NUMBERS.items():
         out_of_whole = out_of_whole | ((column_type == type_name) & ~whole.between(low, high))
-    precision = F.regexp_extract(column_type, r"\((\d+),", 1).try_cast("int")
-    scale = F.regexp_extract(column_type, r",\s*(\d+)\)", 1).try_cast("int")
-    # What is stored is rounded to the scale, so half a unit below the limit is out already.
-    ten = F.lit(10.0)
-    out_of_numeric = F.abs(a["v_double"]) >= F.pow(ten, precision - scale) - 0.5 * F.pow(ten, -scale)
+    out_of_numeric = F.abs(a["v_double"]) >= c["limit"]
     is_text, is_json = column_type == "text", column_type == "json"
     wants_geometry = column_type.startswith("geometry")
-    wanted_kind = F.regexp_extract(column_type, r"\((\w+)", 1)
+    wanted_kind = c["shape"]
     wrong_shape = (wanted_kind != "") & (F.lower(F.regexp_extract(a["wkt"], r"^(\w+)", 1)) != wanted_kind)
     for_double = (
         F.when(column_type.isin(*WHOLE_NUMBERS), F.when(out_of_whole, overflow))

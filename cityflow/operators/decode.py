@@ -156,14 +156,13 @@ def with_attributes(entities: DataFrame, names: Sequence[str] | None = None, wan
 
     Every attribute is parsed once.
     """
-    entries = F.transform(F.map_entries("entity"), lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"]))
+    unique = F.transform_keys("entity", lambda k, v: F.lower(k))
     if names is None:
-        entries = F.filter(entries, lambda e: ~e["name"].isin(*NOT_ATTRIBUTES))
+        chosen = F.map_filter(unique, lambda k, v: ~k.isin(*NOT_ATTRIBUTES))
     else:
         lowered = [n.lower() for n in names]
-        entries = F.filter(entries, lambda e: e["name"].isin(*lowered))
-    unique = F.map_entries(F.map_from_entries(entries))
-    typed = _typed(unique)
+        chosen = F.map_filter(unique, lambda k, v: k.isin(*lowered))
+    typed = _typed(F.map_entries(chosen))
     return bind(entities, "attrs", typed if wanted is None else F.when(wanted, typed))
 
 
@@ -172,48 +171,109 @@ _TIMES = ("timeinstant", "recvtime")
 _JSON_TYPES = ("json", "jsonb")
 _DATE_TYPES = ("datetime", "iso8601")
 
+# Declared types that most attributes have and that ask for nothing; others of the kind only take longer to be told.
+_USUAL_TYPES = ("Number", "Text", "Boolean")
+
 
 def _typed(entries: Column) -> Column:
     """Typed attributes of the entries of an entity.
 
-    Functions of an array are evaluated one node at a time and copy what they return, so there are few steps: plain values,
-    times and dates given as text are typed in one, and only the others go the long way.
+    Functions of an array are evaluated one node at a time and copy what they return, so there are few steps. An attribute
+    written the usual way is told by one pattern and needs no parser; of the others, plain values, times and dates given as text are
+    typed in one step, and only what is left goes the long way.
     """
+    read = F.transform(
+        entries,
+        lambda e, i: F.struct(
+            e["key"].alias("name"),
+            i.alias("pos"),
+            e["value"].alias("json"),
+            F.when(e["value"].startswith('{"type":"Number"'), _only_group(e["value"], _USUAL_NUMBER).try_cast("double")).alias("number"),
+            F.when(
+                e["value"].startswith('{"type":"Text"') | e["value"].startswith('{"type":"DateTime"'),
+                _only_group(e["value"], _USUAL_TEXT),
+            ).alias("text"),
+        ),
+    )
+    return F.transform(
+        read,
+        lambda a: F.when(_is_usual_number(a), _usual(a, "Number", "double", v_double=a["number"]))
+        .when(_is_usual_text(a), _usual(a, F.when(_is_text(a), "Text").otherwise("DateTime"), "string", v_string=a["text"]))
+        .otherwise(F.get(_of_any_kind(F.array(a)), 0)),
+    )
+
+
+# Attributes as context brokers write them, all of the text: a number of type Number, and a text without escapes of type Text or
+# DateTime. The parser copies objects without white space.
+_USUAL_END = r'(?:,"metadata":\{\})?\}\z'
+_USUAL_NUMBER = r'\A\{"type":"Number","value":(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)' + _USUAL_END
+_USUAL_TEXT = r'\A\{"type":"(?:Text|DateTime)","value":"([^"\\\x00-\x1f]+)"' + _USUAL_END
+
+
+def _only_group(json: Column, pattern: str) -> Column:
+    """What stands in the group of a pattern, which is never empty, or the empty text."""
+    return F.regexp_extract(json, pattern, 1)
+
+
+def _is_text(a: Column) -> Column:
+    return a["json"].startswith('{"type":"Text"')
+
+
+def _is_usual_number(a: Column) -> Column:
+    """Zeros with a sign and numbers beyond the largest double are left to the variant."""
+    return (
+        (F.abs(a["number"]) < float("inf"))
+        & ((a["number"] != 0) | ~a["json"].contains("-"))
+        & ~a["name"].isin(*_TIMES)
+    )
+
+
+def _is_usual_text(a: Column) -> Column:
+    """A plain text, or a time; other dates are to be read."""
+    return (a["text"] != "") & (_is_text(a) | a["name"].isin(*_TIMES))
+
+
+def _usual(a: Column, declared: Column | str, kind: str, **value: Column) -> Column:
+    metadata = F.when(a["json"].endswith(',"metadata":{}}'), "{}")
+    return _made(a, kind, type=F.lit(declared) if isinstance(declared, str) else declared, metadata=metadata, **value)
+
+
+def _of_any_kind(read: Column) -> Column:
+    """Typed attributes of any kind of value."""
     shape = "type STRING, value VARIANT, metadata STRING"
     parsed = F.transform(
-        entries,
-        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("json"), F.from_json(e["value"], shape).alias("p")),
+        read,
+        lambda a: F.struct(
+            a["name"].alias("name"), a["pos"].alias("pos"), a["json"].alias("json"), F.from_json(a["json"], shape).alias("p")
+        ),
     )
     described = F.transform(
         parsed,
-        lambda a, i: F.struct(
+        lambda a: F.struct(
             a["name"].alias("name"),
-            i.alias("pos"),
+            a["pos"].alias("pos"),
             F.coalesce(a["p"]["type"], F.lit("")).alias("type"),
             a["p"]["metadata"].alias("metadata"),
             a["p"]["value"].alias("value"),
             a["json"].alias("json"),
             _kind_at_once(F.schema_of_variant(a["p"]["value"])).alias("json_kind"),
             _way(a["name"], a["p"]["type"]).alias("way"),
-            # Of a text; what else a date may be given as is read the long way.
-            F.when(
-                F.lower(a["p"]["type"]).isin(*_DATE_TYPES) & ~a["name"].isin(*_TIMES),
-                iso_timestamp(F.try_variant_get(a["p"]["value"], "$", "string")),
-            ).alias("ts"),
         ),
     )
     return F.transform(
         described,
-        lambda a: F.when(
-            (a["way"] == "plain") | ((a["json_kind"] == "string") & (a["way"] != "other")), _direct(a)
-        ).otherwise(F.get(_by_steps(F.array(a)), 0)),
+        lambda a: F.when((a["json_kind"] == "string") & a["way"].isin("plain", "time"), _text(a))
+        .when(a["way"] == "plain", _other_plain(a))
+        .when((a["json_kind"] == "string") & (a["way"] == "date"), _date(a))
+        .otherwise(F.get(_by_steps(F.array(a)), 0)),
     )
 
 
 def _way(name: Column, declared: Column) -> Column:
     """How an attribute is typed: plain, time, date, or other."""
     return (
-        F.when(F.lower(declared).startswith("geo:"), "other")
+        F.when(declared.isin(*_USUAL_TYPES) & ~name.isin(*_TIMES), "plain")
+        .when(F.lower(declared).startswith("geo:"), "other")
         .when(name.isin(*_TIMES), "time")
         .when(declared.isin(*_JSON_TYPES), "other")
         .when(F.lower(declared).isin(*_DATE_TYPES), "date")
@@ -228,30 +288,52 @@ def _kind_at_once(schema: Column) -> Column:
     return F.coalesce(F.try_element_at(known, F.substring(F.coalesce(schema, F.lit("VO")), 1, 2)), F.lit("number"))
 
 
-def _direct(a: Column) -> Column:
-    """A plain value, or a time or date given as text, with its type."""
-    is_time, is_date = a["way"] == "time", a["way"] == "date"
-    is_text = a["json_kind"] == "string"
-    is_number, is_boolean = a["json_kind"] == "number", a["json_kind"] == "boolean"
-    has_ts = is_date & a["ts"].isNotNull()
-    return F.struct(
-        *_keep(a),
-        F.when(has_ts, "timestamp")
-        .when(is_text, "string")
-        .when(is_number, "double")
-        .when(is_boolean, "boolean")
-        .otherwise("string")
-        .alias("kind"),
-        F.when(is_text, F.when(~has_ts, F.try_variant_get(a["value"], "$", "string")))
-        .when(a["json_kind"].isin("object", "array"), F.get_json_object(a["json"], "$.value"))
-        .alias("v_string"),
-        F.when(is_number, F.try_variant_get(a["value"], "$", "double")).alias("v_double"),
-        F.when(is_boolean, F.try_variant_get(a["value"], "$", "boolean")).alias("v_bool"),
-        F.when(is_date, a["ts"]).alias("v_ts"),
-        F.lit(None).cast("string").alias("wkt"),
-        (is_date & a["ts"].isNull()).alias("date_error"),
-        (a["json_kind"] == "null").alias("is_null"),
+def _made(a: Column, kind: Column | str, **values: Column) -> Column:
+    """A typed attribute with the given members; values that are not given are NULL, and flags false."""
+    about = {name: values[name] if name in values else a[name] for name in ("name", "pos", "type", "metadata")}
+    held = {name: values.get(name, F.lit(None).cast(of)) for name, of in _VALUES.items()}
+    flags = {name: values.get(name, F.lit(False)) for name in ("date_error", "is_null")}
+    members = {**about, "kind": F.lit(kind) if isinstance(kind, str) else kind, **held, **flags}
+    return F.struct(*[member.alias(name) for name, member in members.items()])
+
+
+# Value members of a typed attribute.
+_VALUES = {"v_string": "string", "v_double": "double", "v_bool": "boolean", "v_ts": "timestamp", "wkt": "string"}
+
+
+def _text(a: Column) -> Column:
+    return _made(a, "string", v_string=F.try_variant_get(a["value"], "$", "string"))
+
+
+def _other_plain(a: Column) -> Column:
+    """A plain value that is no text."""
+    is_boolean, is_number = a["json_kind"] == "boolean", a["json_kind"] == "number"
+    return _made(
+        a,
+        F.when(is_number, "double").when(is_boolean, "boolean").otherwise("string"),
+        v_double=F.when(is_number, F.try_variant_get(a["value"], "$", "double")),
+        v_string=F.when(a["json_kind"].isin("object", "array"), F.get_json_object(a["json"], "$.value")),
+        v_bool=F.when(is_boolean, F.try_variant_get(a["value"], "$", "boolean")),
+        is_null=a["json_kind"] == "null",
+    )
+
+
+def _date(a: Column) -> Column:
+    """A date given as text."""
+    read = F.transform(
+        F.array(F.try_variant_get(a["value"], "$", "string")), lambda t: F.struct(t.alias("text"), iso_timestamp(t).alias("ts"))
+    )
+    made = F.transform(
+        read,
+        lambda d: _made(
+            a,
+            F.when(d["ts"].isNotNull(), "timestamp").otherwise("string"),
+            v_string=F.when(d["ts"].isNull(), d["text"]),
+            v_ts=d["ts"],
+            date_error=d["ts"].isNull(),
+        ),
     )
+    return F.get(made, 0)
 
 
 def _by_steps(described: Column) -> Column:
